@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from murmullo.functions.binding import bind
+
 
 def percent(part: Column, total: Column, digits: int = 2) -> Column:
     """``part`` of ``total`` in percent; null where the total is zero."""
@@ -26,16 +28,28 @@ def risk_score(hate_percent: Column, hate_likes: Column) -> Column:
     return F.round(hate_percent * (1 + hate_likes * 0.01), 2)
 
 
-def probability(probas: Column, label: str) -> Column:
-    return F.coalesce(F.element_at(probas, F.lit(label)), F.lit(0.0))
+def best_position(scores: Column) -> Column:
+    """Index, from 1, of the first highest score."""
+    return bind(scores, lambda s: F.array_position(s, F.array_max(s)).cast("int"))
+
+
+def best_class(probas: Column, labels: Sequence[str]) -> Column:
+    """The most probable label and its probability, as a struct.
 
+    A missing label, or a missing map, has probability 0. Of equal labels the
+    first in declared order wins.
+    """
+    names = F.array(*[F.lit(label) for label in labels])
 
-def probability_array(probas: Column, labels: Sequence[str]) -> Column:
-    """The labels' probabilities in declared order, 0 for a missing label."""
-    return F.array(*[probability(probas, label) for label in labels])
+    def in_order(table: Column) -> Column:
+        return F.array(
+            *[F.coalesce(F.element_at(table, F.lit(x)), F.lit(0.0)) for x in labels]
+        )
 
+    def pick(scores: Column) -> Column:
+        position = F.array_position(scores, F.array_max(scores)).cast("int")
+        return F.struct(
+            F.element_at(names, position).alias("label"), F.array_max(scores).alias("p")
+        )
 
-def best_label(scores: Column, labels: Sequence[str]) -> Column:
-    """The first label, in declared order, that has the highest score."""
-    position = F.array_position(scores, F.array_max(scores)).cast("int")
-    return F.element_at(F.array(*[F.lit(label) for label in labels]), position)
+    return bind(bind(probas, in_order), pick)

@@ -9,9 +9,10 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from murmullo.functions.binding import bind
 from murmullo.wordlists import EMOJI_NAMES
 
 _SPACE = r"\s\p{Z}\x0b\x1c-\x1f\x85"
@@ -107,24 +108,8 @@ def _finish(text: Column) -> Column:
 
 
 def clean_text(text: Column, emoji: Mapping[str, str] = EMOJI_NAMES) -> Column:
-    """The whole cleaner as one expression."""
-    return _finish(name_emoji(_without_links(text), emoji))
-
-
-def with_clean_text(
-    df: DataFrame,
-    text: str = "comentario",
-    target: str = "comentario_limpio",
-    emoji: Mapping[str, str] = EMOJI_NAMES,
-) -> DataFrame:
-    """Add the cleaned text. The link-free text is a column of its own, so the
-    emoji step, which reads it several times, does not compute it again."""
-    step = f"_{target}"
-    return (
-        df.withColumn(step, _without_links(F.col(text)))
-        .withColumn(target, _finish(name_emoji(F.col(step), emoji)))
-        .drop(step)
-    )
+    """The whole cleaner as one expression that reads the text once."""
+    return bind(_without_links(text), lambda t: _finish(name_emoji(t, emoji)))
 
 
 def tokens(text: Column) -> Column:

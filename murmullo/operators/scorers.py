@@ -20,6 +20,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from murmullo.functions.binding import bind
+
 Scorer = Callable[[DataFrame, str, str], DataFrame]
 Lexicon = Mapping[str, Sequence[str]]
 # A loaded model: texts in, one probability list per text out (label order).
@@ -27,8 +29,7 @@ Model = Callable[[Sequence[str]], Sequence[Sequence[float]]]
 
 
 def _hits(words: Column, terms: Sequence[str]) -> Column:
-    wanted = list(terms)
-    return F.size(F.filter(words, lambda word: word.isin(wanted))).cast("double")
+    return F.size(F.filter(words, lambda word: word.isin(list(terms)))).cast("double")
 
 
 def lexicon_scorer(
@@ -40,28 +41,25 @@ def lexicon_scorer(
     for ``h`` hits. With it they share one total, and ``rest_label`` gets what
     the others leave: ``half_point / (all hits + half_point)``.
     """
+    labels = [*lexicon] if rest_label is None else [*lexicon, rest_label]
+    listed = sorted({term for terms in lexicon.values() for term in terms})
+    half = float(half_point)
 
-    def score(df: DataFrame, text: str, target: str) -> DataFrame:
-        # The word array and the hit counts are columns of their own, so they
-        # are computed once although several expressions read them.
-        words = df.withColumn(
-            "_w", F.split(F.coalesce(F.lower(F.col(text)), F.lit("")), " ")
-        )
-        hits = words.withColumns({
-            f"_h{i}": _hits(F.col("_w"), terms) for i, terms in enumerate(lexicon.values())
-        })
-        counts = [F.col(f"_h{i}") for i in range(len(lexicon))]
-        half = F.lit(float(half_point))
+    def probabilities(hits: Column) -> Column:
+        counts = [hits[i] for i in range(len(lexicon))]
         if rest_label is None:
-            probabilities = [h / (h + half) for h in counts]
-            labels = list(lexicon)
-        else:
-            total = sum(counts[1:], counts[0]) + half
-            probabilities = [h / total for h in counts] + [half / total]
-            labels = [*lexicon, rest_label]
-        pairs = [x for label, p in zip(labels, probabilities) for x in (F.lit(label), p)]
-        scratch = ["_w", *[f"_h{i}" for i in range(len(lexicon))]]
-        return hits.withColumn(target, F.create_map(*pairs)).drop(*scratch)
+            return F.array(*[h / (h + half) for h in counts])
+        total = sum(counts[1:], counts[0]) + half
+        return F.array(*[h / total for h in counts], F.lit(half) / total)
+
+    def score(df: DataFrame, text: str, target: str) -> DataFrame:
+        words = F.split(F.coalesce(F.lower(F.col(text)), F.lit("")), " ")
+        # The text is searched once for all lists; the few words found are then
+        # sorted out by label.
+        found = F.filter(words, lambda word: word.isin(listed))
+        hits = bind(found, lambda f: F.array(*[_hits(f, t) for t in lexicon.values()]))
+        names = F.array(*[F.lit(label) for label in labels])
+        return df.withColumn(target, F.map_from_arrays(names, bind(hits, probabilities)))
 
     return score
 

@@ -11,8 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmullo.functions.measures import best_label, probability_array
-from murmullo.functions.text import has_text, with_clean_text
+from murmullo.functions.measures import best_class
+from murmullo.functions.text import clean_text, has_text
 from murmullo.operators.scorers import Scorer
 from murmullo.schemas import (
     FINAL, HATE_LABELS, HATE_THRESHOLD, NEUTRAL, NO_HATE, NO_TEXT, SENTIMENT_LABELS,
@@ -21,7 +21,7 @@ from murmullo.wordlists import EMOJI_NAMES
 
 
 def clean(df: DataFrame, emoji: Mapping[str, str] = EMOJI_NAMES) -> DataFrame:
-    return with_clean_text(df, "comentario", "comentario_limpio", emoji)
+    return df.withColumn("comentario_limpio", clean_text(F.col("comentario"), emoji))
 
 
 def decide_hate(
@@ -30,19 +30,20 @@ def decide_hate(
 ) -> DataFrame:
     """Flag, probability and category from the label probabilities.
 
-    The threshold is strict and applies to the unrounded maximum.
+    The threshold is strict and applies to the unrounded maximum. None of the
+    three is ever null, so a null check on them costs nothing.
     """
-    scored = df.withColumn("_p", probability_array(F.col(probas), labels))
-    top = F.array_max("_p")
+    scored = df.withColumn("_best", best_class(F.col(probas), labels))
+    top = F.coalesce("_best.p", F.lit(0.0))
     some_text = has_text(F.col(text))
-    over = some_text & (top > F.lit(threshold))
+    over = top > F.lit(threshold)
     return scored.withColumns({
-        "es_odio": over,
-        "prob_odio": F.when(some_text, F.round(top, 3)).otherwise(0.0),
+        "es_odio": over & some_text,
+        "prob_odio": F.when(some_text, F.coalesce(F.round(top, 3), F.lit(0.0))).otherwise(0.0),
         "categoria_odio": F.when(~some_text, NO_TEXT)
-        .when(top > F.lit(threshold), best_label(F.col("_p"), labels))
+        .when(over, F.coalesce("_best.label", F.lit(NO_HATE)))
         .otherwise(NO_HATE),
-    }).drop("_p")
+    }).drop("_best")
 
 
 def decide_sentiment(
@@ -50,12 +51,14 @@ def decide_sentiment(
     labels: Sequence[str] = SENTIMENT_LABELS,
 ) -> DataFrame:
     """Most probable class and its probability; blank text is neutral."""
-    scored = df.withColumn("_p", probability_array(F.col(probas), labels))
+    scored = df.withColumn("_best", best_class(F.col(probas), labels))
     some_text = has_text(F.col(text))
+    label = F.coalesce("_best.label", F.lit(NEUTRAL))
+    top = F.coalesce(F.round("_best.p", 3), F.lit(0.0))
     return scored.withColumns({
-        "sentimiento": F.when(some_text, best_label(F.col("_p"), labels)).otherwise(NEUTRAL),
-        "prob_sentimiento": F.when(some_text, F.round(F.array_max("_p"), 3)).otherwise(0.0),
-    }).drop("_p")
+        "sentimiento": F.when(some_text, label).otherwise(NEUTRAL),
+        "prob_sentimiento": F.when(some_text, top).otherwise(0.0),
+    }).drop("_best")
 
 
 def classify_hate(df: DataFrame, scorer: Scorer, threshold: float = HATE_THRESHOLD) -> DataFrame:

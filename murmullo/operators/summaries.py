@@ -10,11 +10,10 @@ from pyspark.sql import functions as F
 from murmullo.functions.labels import (
     category_name, clock, flag_name, hate_band, named,
 )
-from murmullo.functions.measures import percent_or_zero
-from murmullo.schemas import SENTIMENT_LABELS
+from murmullo.functions.measures import best_position, percent_or_zero
 from murmullo.wordlists import SENTIMENT_NAMES
 
-_WINDOW_COUNTS = {"positivos": "POS", "negativos": "NEG", "neutrales": "NEU"}
+_WINDOW_COUNTS = {"positivos": "Positivo", "negativos": "Negativo", "neutrales": "Neutral"}
 
 
 def value_counts(df: DataFrame, key: str, count: str = "cantidad") -> DataFrame:
@@ -115,12 +114,8 @@ def with_clock(df: DataFrame, time: str = "ventana_fin", target: str = "hora") -
 
 def window_long(windows: DataFrame, time: str = "ventana_fin") -> DataFrame:
     """One row per window and sentiment."""
-    code = named(F.col("tipo"), _WINDOW_COUNTS)
-    return (
-        windows.select(time, *_WINDOW_COUNTS)
-        .unpivot([time], list(_WINDOW_COUNTS), "tipo", "cantidad")
-        .withColumn("tipo", named(code, SENTIMENT_NAMES))
-    )
+    named_counts = windows.select(time, *_WINDOW_COUNTS).withColumnsRenamed(_WINDOW_COUNTS)
+    return named_counts.unpivot([time], list(_WINDOW_COUNTS.values()), "tipo", "cantidad")
 
 
 def _last(windows: DataFrame, *columns: str, time: str = "ventana_fin") -> DataFrame:
@@ -131,10 +126,9 @@ def _last(windows: DataFrame, *columns: str, time: str = "ventana_fin") -> DataF
 def dominant_sentiment(windows: DataFrame, time: str = "ventana_fin") -> DataFrame:
     """The most frequent sentiment of the last window; ties: POS, NEG, NEU."""
     last = _last(windows, *_WINDOW_COUNTS, time=time)
-    counts = F.array(*_WINDOW_COUNTS)
-    position = F.array_position(counts, F.array_max(counts)).cast("int")
-    code = F.element_at(F.array(*[F.lit(x) for x in SENTIMENT_LABELS]), position)
-    return last.select(time, named(code, SENTIMENT_NAMES).alias("dominante"))
+    names = F.array(*[F.lit(name) for name in _WINDOW_COUNTS.values()])
+    dominant = F.element_at(names, best_position(F.array(*_WINDOW_COUNTS)))
+    return last.select(time, dominant.alias("dominante"))
 
 
 def with_hate_band(windows: DataFrame, pct: str = "porcentaje_odio") -> DataFrame:
