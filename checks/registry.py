@@ -17,7 +17,7 @@ from murmullo.operators.correlation import likes_correlation
 from murmullo.operators.risk import top_users, user_risk, user_risk_score
 from murmullo.operators.scorers import classifier_scorer, fit_classifier, model_scorer
 from murmullo.operators.similarity import (
-    fit_word2vec, load_model, nearest_terms, save_model, word_lists,
+    fit_word2vec, nearest_terms, save_model, saved_vectors, word_lists,
 )
 from murmullo.operators.stages import clean, decide_hate, decide_sentiment
 from murmullo.operators.terms import top_hate_terms, top_negative_terms
@@ -629,9 +629,10 @@ def _stream_recent_messages(spark, sf):
 
 def _synonyms(spark, sf, terms):
     path = work_dir(spark, "word2vec")
-    model = fit_word2vec(word_lists(clean(views.raw(views.tables(spark, sf)))))
-    save_model(model, path)
-    return nearest_terms(load_model(path).getVectors(), terms)
+    # Training reads its input several times, so the cleaned words are stored.
+    tables.write_table(word_lists(clean(views.raw(views.tables(spark, sf)))), f"{path}/words")
+    save_model(fit_word2vec(tables.read_table(spark, f"{path}/words")), f"{path}/model")
+    return nearest_terms(saved_vectors(spark, f"{path}/model"), terms)
 
 
 @checked("word2vec_synonyms")

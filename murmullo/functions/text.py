@@ -19,6 +19,7 @@ from murmullo.wordlists import EMOJI_NAMES
 _SPACE = r"\s\p{Z}\x0b\x1c-\x1f\x85"
 # Single characters, not ranges: Java turns them into one bit set, and a negated
 # class of several ranges takes ten times as long.
+_LETTERS = string.ascii_lowercase + "áéíóúñü"
 _KEPT = string.ascii_letters + string.digits + "ñáéíóúü"
 
 # Every character that counts as whitespace, for trimming.
@@ -136,7 +137,7 @@ def tokens(text: Column) -> Column:
 
 def letter_tokens(text: Column) -> Column:
     """Words of letters only: digits and marks are separators."""
-    letters = F.regexp_replace(F.lower(text), "[^a-záéíóúñü]+", " ")
+    letters = F.regexp_replace(F.lower(text), f"[^{_LETTERS}]++", " ")
     return F.split(F.trim(letters), " ")
 
 

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 
 from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from murmullo.wordlists import KEY_TERMS
 
@@ -70,12 +71,14 @@ def nearest_terms(
 ) -> DataFrame:
     """The ``k`` words with the highest cosine for each key term.
 
-    ``vectors`` has ``word`` and ``vector``. The few key vectors come to the
+    ``vectors`` has ``word`` and ``vector`` (an array or an ML vector). The few key vectors come to the
     driver (one row per key term) and go back as literals, so the vocabulary is
     read once and never joined. A term outside the vocabulary gives no rows; if
     none is in it, the result is empty.
     """
-    words = vectors.select("word", vector_to_array("vector").alias("v"))
+    kind = vectors.schema["vector"].dataType
+    plain = F.col("vector") if isinstance(kind, T.ArrayType) else vector_to_array("vector")
+    words = vectors.select("word", plain.cast("array<double>").alias("v"))
     keys = {
         row["word"]: row["v"]
         for row in words.filter(F.col("word").isin(list(terms))).collect()
@@ -117,5 +120,13 @@ def save_model(model: Word2VecModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+def saved_vectors(spark: SparkSession, path: str) -> DataFrame:
+    """The word vectors of a saved model, read by the executors.
+
+    ``Word2VecModel.getVectors`` would build the same table on the driver.
+    """
+    return spark.read.parquet(f"{path.rstrip('/')}/data").select("word", "vector")
+
+
 def load_model(path: str) -> Word2VecModel:
     return Word2VecModel.load(path)

@@ -20,6 +20,9 @@ from murmullo.schemas import (
 from murmullo.wordlists import EMOJI_NAMES
 
 
+METRICS = "comentarios"
+
+
 def clean(df: DataFrame, emoji: Mapping[str, str] = EMOJI_NAMES) -> DataFrame:
     return df.withColumn("comentario_limpio", clean_text(F.col("comentario"), emoji))
 
@@ -71,12 +74,28 @@ def classify_sentiment(df: DataFrame, scorer: Scorer) -> DataFrame:
     return decide_sentiment(scored).drop("probas_sentimiento")
 
 
+def with_counts(df: DataFrame, name: str = METRICS) -> DataFrame:
+    """Count all rows and the hate rows while they pass.
+
+    The counts arrive with the result: a ``QueryExecutionListener`` or
+    ``Observation`` in a batch job, ``lastProgress.observedMetrics`` in a
+    stream. No second scan is needed. As the counts are of all rows, a later
+    filter stays behind this point, so it reads the scores that were computed
+    here rather than computing them a second time.
+    """
+    return df.observe(
+        name, F.count(F.lit(1)).alias("total"), F.count_if("es_odio").alias("n_odio")
+    )
+
+
 def enrich(
     raw: DataFrame, hate: Scorer, sentiment: Scorer,
     threshold: float = HATE_THRESHOLD, emoji: Mapping[str, str] = EMOJI_NAMES,
+    metrics: str | None = METRICS,
 ) -> DataFrame:
-    """Raw records to final records in one plan."""
-    return classify_sentiment(classify_hate(clean(raw, emoji), hate, threshold), sentiment)
+    """Raw records to final records in one plan, counted under ``metrics``."""
+    final = classify_sentiment(classify_hate(clean(raw, emoji), hate, threshold), sentiment)
+    return final if metrics is None else with_counts(final, metrics)
 
 
 def final_columns(df: DataFrame) -> DataFrame:

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from murmullo.operators.correlation import likes_correlation
 from murmullo.operators.risk import user_risk_score
-from murmullo.operators.similarity import fit_word2vec, nearest_terms, save_model, word_lists
+from murmullo.operators.similarity import (
+    fit_word2vec, nearest_terms, save_model, saved_vectors, word_lists,
+)
 from murmullo.operators.stages import enrich, final_columns
 from murmullo.operators.scorers import Scorer
 from murmullo.operators.terms import top_hate_terms
@@ -53,7 +55,7 @@ def run_synonyms(
     require_rows(comments, min_rows)
     model = fit_word2vec(word_lists(comments), **training)
     save_model(model, model_path)
-    near = nearest_terms(model.getVectors(), terms, k)
+    near = nearest_terms(saved_vectors(spark, model_path), terms, k)
     if not near.isEmpty():
         write_table(near, target)
 
