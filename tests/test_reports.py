@@ -1,0 +1,202 @@
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from murmullo.operators import summaries
+from murmullo.operators.correlation import likes_correlation
+from murmullo.operators.risk import top_users, user_risk_score
+from murmullo.operators.terms import top_hate_terms, top_negative_terms, without_stopwords
+from murmullo.operators.trend import hourly_trend, peak_hour
+from murmullo.operators.windows import sentiment_windows, throughput_windows
+
+FLAGS = "autor string, es_odio boolean, likes long"
+
+
+def test_user_risk_score(spark):
+    rows = [
+        ("a", True, 150), ("a", False, 1), ("a", False, 2),
+        ("b", True, 10), ("b", True, 0),
+        ("c", True, 99),
+        ("d", False, 5), ("d", None, 5),
+    ]
+    found = [tuple(r) for r in user_risk_score(spark.createDataFrame(rows, FLAGS)).collect()]
+    assert found == [
+        ("b", 2, 2, 10, 10, 100.0, 110.0),
+        ("a", 3, 1, 150, 153, 33.33, 83.32),  # 33.33 * 2.5 is 83.32499999999999
+        ("d", 2, 0, 0, 10, 0.0, 0.0),
+    ]
+    again = user_risk_score(spark.createDataFrame(rows, FLAGS), min_comments=1)
+    assert [r.autor for r in top_users(again, 2).collect()] == ["c", "b"]
+
+
+def test_one_hot_author_is_counted_whole(spark):
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("u"), F.col("id"))).alias("autor"),
+        (F.col("id") % 2 == 0).alias("es_odio"), F.lit(1).cast("long").alias("likes"),
+    )
+    found = user_risk_score(df).collect()
+    assert [(r.autor, r.total_comentarios, r.comentarios_odio) for r in found] == [("hot", 10_000, 5_000)]
+
+
+def test_top_hate_terms(spark):
+    rows = [
+        (True, "perro perro gato que que que"), (True, "gato raro la"), (False, "perro perro perro"),
+        (None, "perro"), (True, None), (True, ""), (True, "ab zorro"),
+    ]
+    df = spark.createDataFrame(rows, "es_odio boolean, comentario_limpio string")
+    found = [tuple(r) for r in top_hate_terms(df, 3).collect()]
+    assert found == [("gato", 2), ("perro", 2), ("raro", 1)]
+
+
+def test_top_negative_terms(spark):
+    rows = [("NEG", "mentira1mentira cosa"), ("POS", "mentira"), ("NEG", None), ("NEG", "todos cosa")]
+    df = spark.createDataFrame(rows, "sentimiento string, comentario_limpio string")
+    assert [tuple(r) for r in top_negative_terms(df).collect()] == [("cosa", 2), ("mentira", 2)]
+
+
+def test_long_stopword_table(spark):
+    words = spark.createDataFrame([("a",), ("b",), ("b",)], "palabra string")
+    stop = spark.createDataFrame([("b",)], "palabra string")
+    assert [r.palabra for r in without_stopwords(words, stop).collect()] == ["a"]
+
+
+TREND = "fecha string, es_odio boolean"
+
+
+def test_hourly_trend_formats(spark):
+    rows = [
+        ("2024-01-01T06:30:00Z", True), ("2024-01-01 06:59:59", False), ("2024-01-01T06:00:00", None),
+        ("2024-01-01", True), ("2024-01-01T06:00:00.5Z", True), ("2024-01-01T06:00:00+00:00", True),
+        ("", True), ("nan", True), (None, True),
+    ]
+    found = [tuple(r) for r in hourly_trend(spark.createDataFrame(rows, TREND)).collect()]
+    assert found == [(1, 3, 1, 33.33), (19, 1, 1, 100.0)]
+    assert tuple(peak_hour(hourly_trend(spark.createDataFrame(rows, TREND))).first()) == (19, 100.0)
+
+
+def test_hourly_trend_without_any_date(spark):
+    df = spark.createDataFrame([("", True), ("x", False), (None, True)], TREND)
+    assert [tuple(r) for r in hourly_trend(df).collect()] == [(0, 3, 2, 66.67)]
+    assert hourly_trend(df.limit(0)).collect() == []
+
+
+def test_peak_hour_takes_the_first_of_equals(spark):
+    df = spark.createDataFrame([(5, 10.0), (3, 10.0), (4, 2.0)], "hora_dia int, porcentaje_odio double")
+    assert tuple(peak_hour(df).first()) == (3, 10.0)
+
+
+CORR = "es_odio boolean, likes long, prob_odio double"
+
+
+def _pearson(pairs):
+    n = len(pairs)
+    mx, my = sum(x for x, _ in pairs) / n, sum(y for _, y in pairs) / n
+    cov = sum((x - mx) * (y - my) for x, y in pairs)
+    return cov / math.sqrt(sum((x - mx) ** 2 for x, _ in pairs) * sum((y - my) ** 2 for _, y in pairs))
+
+
+def test_correlation_against_the_definition(spark):
+    rows = [(i % 3 == 0, (i * 37) % 101 + (40 if i % 3 == 0 else 0), i / 100) for i in range(99)]
+    found = likes_correlation(spark.createDataFrame(rows, CORR)).collect()
+    r = round(_pearson([(int(f), y) for f, y, _ in rows]), 4)
+    assert [x.es_odio for x in found] == [False, True]
+    assert all(x.correlacion_pearson == r and "MAS likes" in x.interpretacion for x in found)
+    assert [x.cantidad for x in found] == [66, 33]
+
+
+def test_correlation_leaves_out_null_pairs_but_counts_their_rows(spark):
+    rows = [(True, 10, 0.5), (True, 20, 0.7), (False, 1, 0.1), (False, 2, None), (None, 500, 0.2), (True, None, 0.9)]
+    found = {r.es_odio: r for r in likes_correlation(spark.createDataFrame(rows, CORR)).collect()}
+    assert {k: v.cantidad for k, v in found.items()} == {None: 1, False: 2, True: 3}
+    r = round(_pearson([(1, 10), (1, 20), (0, 1), (0, 2)]), 4)
+    assert all(v.correlacion_pearson == r for v in found.values())
+    assert found[True].promedio_likes == 15.0 and found[True].prob_odio_promedio == 0.7
+
+
+@pytest.mark.parametrize("rows", [
+    [(True, 5, 0.1), (False, 5, 0.2)],
+    [(True, 5, 0.1), (True, 6, 0.1)],
+    [(True, 5, 0.1)],
+    [(None, 5, 0.1), (None, 6, 0.1)],
+    [(True, None, 0.1), (False, None, 0.1)],
+])
+def test_correlation_without_variance_is_null(spark, rows):
+    for row in likes_correlation(spark.createDataFrame(rows, CORR)).collect():
+        assert row.correlacion_pearson is None
+        assert row.interpretacion.startswith("No hay correlacion")
+
+
+def test_correlation_of_nothing(spark):
+    assert likes_correlation(spark.createDataFrame([], CORR)).collect() == []
+
+
+def test_windows_skip_empty_ones_and_count_unknown_as_neutral(spark):
+    rows = [
+        ("2024-01-01 00:00:00", "POS", True), ("2024-01-01 00:00:59.9", "NEG", None),
+        ("2024-01-01 00:01:00", None, False), ("2024-01-01 00:05:00", "RARO", True),
+    ]
+    df = spark.createDataFrame(rows, "t string, sentimiento string, es_odio boolean").withColumn(
+        "timestamp", F.col("t").cast("timestamp"))
+    found = sorted(tuple(r) for r in sentiment_windows(df).collect())
+    base = 1704067200
+    assert found == [
+        (base + 60, 2, 1, 1, 0, 1, 50.0), (base + 120, 1, 0, 0, 1, 0, 0.0),
+        (base + 360, 1, 0, 0, 1, 1, 100.0)]
+    counts = sorted(tuple(r) for r in throughput_windows(df).collect())
+    assert counts == [(base + 10, 1, 0.1), (base + 60, 1, 0.1), (base + 70, 1, 0.1), (base + 310, 1, 0.1)]
+
+
+WINDOWS = ("ventana_fin long, total_comentarios long, positivos long, negativos long, "
+           "neutrales long, odio long, porcentaje_odio double")
+
+
+@pytest.fixture(scope="module")
+def windows(spark):
+    rows = [(60, 10, 5, 2, 3, 1, 10.0), (180, 8, 3, 3, 2, 4, 50.0), (120, 4, 0, 4, 0, 1, 25.0)]
+    return spark.createDataFrame(rows, WINDOWS)
+
+
+def test_window_reports(windows):
+    assert tuple(summaries.dominant_sentiment(windows).first()) == (180, "Positivo")
+    assert tuple(summaries.hate_delta(windows).first()) == (50.0, 28.33, 21.67)
+    bands = {r.ventana_fin: r.banda for r in summaries.with_hate_band(windows).collect()}
+    assert bands == {60: "bajo", 120: "medio", 180: "alto"}
+    long = {(r.ventana_fin, r.tipo): r.cantidad for r in summaries.window_long(windows).collect()}
+    assert len(long) == 9 and long[120, "Negativo"] == 4
+    assert [r.hora for r in summaries.with_clock(windows).orderBy("ventana_fin").collect()] == [
+        "00:01:00", "00:02:00", "00:03:00"]
+    total = summaries.series_summary(windows, "porcentaje_odio", "odio").first()
+    assert tuple(total) == (50.0, 50.0, 28.33, 6)
+
+
+def test_counts_and_shares(spark):
+    rows = [(True, "CALLS", "POS"), (True, "XX", "NEG"), (False, "ninguna", "NEG"), (None, None, None)]
+    df = spark.createDataFrame(rows, "es_odio boolean, categoria_odio string, sentimiento string")
+    assert [tuple(r) for r in summaries.flag_counts(df).collect()] == [
+        (True, 2, "Discriminatorio"), (False, 1, "Sin discriminación")]
+    assert [tuple(r) for r in summaries.category_counts(df).collect()] == [
+        ("CALLS", 1, "Incitación"), ("XX", 1, "XX")]
+    assert [tuple(r) for r in summaries.sentiment_counts(df).collect()] == [
+        ("NEG", 2, "Negativo"), ("POS", 1, "Positivo")]
+    assert tuple(summaries.hate_share(df).first()) == (4, 2, 50.0)
+    assert tuple(summaries.hate_share(df.limit(0)).first()) == (0, 0, 0.0)
+    assert [r[0] for r in summaries.distinct_sorted(df.na.drop(), "sentimiento").collect()] == ["NEG", "POS"]
+
+
+def test_rows_reports(spark):
+    rows = [
+        ("a", "x", "x", "CALLS", 0.9, True, "POS", 0.5), ("b", "y", None, "WOMEN", 0.95, True, None, 0.5),
+        ("c", "z", "z", "ninguna", 0.99, False, "NEG", 0.1),
+    ]
+    df = spark.createDataFrame(rows, (
+        "autor string, comentario string, comentario_limpio string, categoria_odio string, "
+        "prob_odio double, es_odio boolean, sentimiento string, prob_sentimiento double"))
+    assert [tuple(r) for r in summaries.top_hate_rows(df, 2).collect()] == [
+        ("b", None, "Misoginia", 0.95), ("a", "x", "Incitación", 0.9)]
+    assert tuple(summaries.clean_rate(df).first()) == (3, 2, 66.7)
+    first = summaries.first_complete(df, ["comentario", "comentario_limpio"], "autor", 1)
+    assert [tuple(r) for r in first.collect()] == [("x", "x")]
+    assert {r.Sentimiento_nombre for r in summaries.scatter_points(df).collect()} == {"Positivo", "Negativo"}
+    renamed = summaries.complete_rows(df, ["autor", "sentimiento"], {"autor": "Usuario"})
+    assert renamed.columns == ["Usuario", "sentimiento"] and renamed.count() == 2
