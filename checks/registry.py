@@ -30,7 +30,9 @@ from murmullo.sources.records import decode, encode, split_json
 from murmullo.sources.topics import FileTopic, advance, incremental_tail, last_messages
 from murmullo.streaming import jobs
 from murmullo.streaming.buffer import read_buffer, start_buffer
-from murmullo.wordlists import NEGATIVE_STOPWORDS, SENTIMENT_NAMES, TERM_STOPWORDS
+from murmullo.wordlists import (
+    CATEGORY_NAMES, NEGATIVE_STOPWORDS, SENTIMENT_NAMES, TERM_STOPWORDS,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -371,8 +373,11 @@ def _ml_hate_scores(spark, sf):
     cleaned = read("documents").select(
         "doc_id", tx.clean_text(F.col("text")).alias("comentario_limpio")
     )
-    labelled = cleaned.join(read("labels"), "doc_id").withColumn("label", F.col("toxic"))
-    model = fit_classifier(labelled, features=1 << 14, max_iter=10)
+    labelled = cleaned.join(read("labels").withColumnRenamed("toxic", "label"), "doc_id")
+    # Training reads its input several times, so the cleaned texts are stored.
+    path = work_dir(spark, "labelled")
+    tables.write_table(labelled.select("comentario_limpio", "label"), path)
+    model = fit_classifier(tables.read_table(spark, path), features=1 << 14, max_iter=10)
     scored = classifier_scorer(model, "CALLS")(cleaned, "comentario_limpio", "probas_odio")
     return decide_hate(scored).select("doc_id", "es_odio", "prob_odio", "categoria_odio")
 
@@ -529,6 +534,14 @@ over_final("recent_messages", lambda df: recent.recent_messages(df, "rid"), sql.
     FROM final ORDER BY rid DESC LIMIT 30"""))
 
 
+over_final("processed_messages", lambda df: recent.processed_messages(df, "rid"), sql.over("final", f"""
+    SELECT rid, autor, substr(coalesce(nullif(comentario_limpio, ''), comentario), 1, 120) AS texto,
+        {sql.names('categoria_odio', CATEGORY_NAMES, "'Sin odio'")} AS categoria, prob_odio, sentimiento,
+        CASE WHEN es_odio THEN 'odio' WHEN sentimiento = 'NEG' THEN 'negativo'
+             WHEN sentimiento = 'POS' THEN 'positivo' ELSE 'neutral' END AS nivel
+    FROM final ORDER BY rid DESC LIMIT 6"""))
+
+
 # --- Streams -----------------------------------------------------------------
 
 def _to_parquet(spark, df: DataFrame, purpose: str) -> DataFrame:

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from murmullo.functions.labels import category_name, severity
+from murmullo.functions.labels import category_name, named, severity
 from murmullo.functions.measures import percent_or_zero
 from murmullo.functions.text import shorten
+from murmullo.schemas import NEUTRAL, NO_HATE
+from murmullo.wordlists import CATEGORY_NAMES
 
 BUFFER_SIZE = 60
 
@@ -115,3 +117,17 @@ def recent_messages(
         category_name(F.coalesce("categoria_odio", F.lit("ninguna"))).alias("categoria"),
         severity(F.col("es_odio"), F.col("sentimiento")).alias("nivel"),
     )
+
+
+def processed_messages(df: DataFrame, *order: str, k: int = 6, length: int = 120) -> DataFrame:
+    """The last processed messages: cleaned text, or the original where that is
+    empty, with category, probability and sentiment."""
+    body = F.coalesce(F.nullif(F.col("comentario_limpio"), F.lit("")), "comentario", F.lit(""))
+    no_hate = F.lit(CATEGORY_NAMES[NO_HATE])
+    return last_rows(df, k, *order).select(
+        *order, "autor", shorten(body, length).alias("texto"),
+        named(F.col("categoria_odio"), CATEGORY_NAMES, no_hate).alias("categoria"),
+        F.coalesce("prob_odio", F.lit(0.0)).alias("prob_odio"),
+        F.coalesce("sentimiento", F.lit(NEUTRAL)).alias("sentimiento"),
+        severity(F.col("es_odio"), F.col("sentimiento")).alias("nivel"),
+    )

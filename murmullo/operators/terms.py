@@ -12,20 +12,26 @@ from murmullo.wordlists import NEGATIVE_STOPWORDS, TERM_STOPWORDS
 
 
 def word_counts(
-    df: DataFrame, words: Column, longer_than: int, stopwords: Sequence[str],
+    df: DataFrame, words: Column, longer_than: int, stopwords: Sequence[str] | DataFrame,
     word: str = "palabra", count: str = "count",
 ) -> DataFrame:
     """Occurrences of each word.
 
     Words are counted inside each task before the shuffle, so a word that makes
-    up a third of the text costs one row per task.
+    up a third of the text costs one row per task. Stop words are a list, or a
+    table with a column of the same name for lists too long for ``isin``; the
+    table meets the counts, where every word is one row.
     """
-    return (
+    listed = () if isinstance(stopwords, DataFrame) else stopwords
+    counts = (
         df.select(F.explode(words).alias(word))
-        .filter(is_term(F.col(word), longer_than, stopwords))
+        .filter(is_term(F.col(word), longer_than, listed))
         .groupBy(word)
         .agg(F.count("*").alias(count))
     )
+    if isinstance(stopwords, DataFrame):
+        counts = counts.join(stopwords.select(word), word, "left_anti")
+    return counts
 
 
 def top(counts: DataFrame, k: int, word: str = "palabra", count: str = "count") -> DataFrame:
@@ -35,7 +41,7 @@ def top(counts: DataFrame, k: int, word: str = "palabra", count: str = "count")
 
 def top_hate_terms(
     df: DataFrame, k: int = 30, text: str = "comentario_limpio", flag: str = "es_odio",
-    stopwords: Sequence[str] = TERM_STOPWORDS, longer_than: int = 2,
+    stopwords: Sequence[str] | DataFrame = TERM_STOPWORDS, longer_than: int = 2,
 ) -> DataFrame:
     hate = df.filter(F.col(flag))
     return top(word_counts(hate, tokens(F.col(text)), longer_than, stopwords), k)
@@ -44,7 +50,7 @@ def top_hate_terms(
 def top_negative_terms(
     df: DataFrame, k: int = 15, text: str = "comentario_limpio",
     sentiment: str = "sentimiento",
-    stopwords: Sequence[str] = NEGATIVE_STOPWORDS, longer_than: int = 3,
+    stopwords: Sequence[str] | DataFrame = NEGATIVE_STOPWORDS, longer_than: int = 3,
 ) -> DataFrame:
     negative = df.filter((F.col(sentiment) == "NEG") & F.col(text).isNotNull())
     counts = word_counts(
@@ -52,8 +58,3 @@ def top_negative_terms(
     )
     return top(counts, k, count="frecuencia")
 
-
-def without_stopwords(words: DataFrame, stopwords: DataFrame, word: str = "palabra") -> DataFrame:
-    """Leave out the words of a table of stop words, for lists too long for
-    ``isin``. Spark broadcasts the table if it is small enough."""
-    return words.join(stopwords.select(word), word, "left_anti")

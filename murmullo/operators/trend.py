@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,8 +20,28 @@ DATE_FORMATS = (
 HOURS_BEHIND_UTC = 5
 
 
+def _marks(date_format: str) -> set[str]:
+    """The fixed characters of a format: quoted text and punctuation."""
+    if set("[]{}#") & set(date_format):
+        return set()
+    quoted = "".join(date_format.split("'")[1::2])
+    plain = "".join(date_format.split("'")[0::2])
+    return {c.upper() for c in quoted} | {c for c in plain if not c.isalpha()}
+
+
 def parse_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+    """The timestamp by the first format that matches, else null.
+
+    A format is tried only on texts that hold its fixed characters. A failed
+    attempt costs an exception inside Spark, many times the price of this check.
+    """
+
+    def attempt(date_format: str) -> Column:
+        parsed = F.try_to_timestamp(text, F.lit(date_format))
+        marks = [F.upper(text).contains(c) for c in sorted(_marks(date_format))]
+        return F.when(functools.reduce(Column.__and__, marks), parsed) if marks else parsed
+
+    return F.coalesce(*[attempt(f) for f in formats])
 
 
 def local_hour(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -37,17 +38,22 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     It lies in the folder every executor shares, named by
     ``spark.checkpoint.dir``. Only a local session may go without that setting.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(
-                "set spark.checkpoint.dir to a folder that all executors share"
-            )
-        root = tempfile.mkdtemp(prefix="murmullo-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    root = spark.conf.get("spark.checkpoint.dir", None) or _local_root(spark)
     return f"{root.rstrip('/')}/murmullo/{purpose}-{uuid.uuid4().hex}"
 
 
+def _local_root(spark: SparkSession) -> str:
+    """Driver and executors are one process here, so its own folder will do."""
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return _own_folder()
+
+
+@functools.cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="murmullo-")
+
+
 _shipped: set[str] = set()
 
 
@@ -55,7 +61,8 @@ def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per application.
 
     Needed only where a Python model runs inside tasks and the package is not
-    installed on the executors.
+    installed on the executors. The archive is made on the driver; Spark copies
+    it to the executors.
     """
     app = spark.sparkContext.applicationId
     if app in _shipped:

@@ -11,8 +11,12 @@ from murmullo.operators.recent import BUFFER_SIZE, last_rows
 from murmullo.streaming.jobs import begin
 
 
-def _version(path: str, number: int) -> str:
-    return f"{path.rstrip('/')}/version={number}"
+# Versions go round a few folders, so a buffer does not grow with its batches.
+_SLOTS = 8
+
+
+def _slot(path: str, number: int) -> str:
+    return f"{path.rstrip('/')}/slot={number % _SLOTS}"
 
 
 def start_buffer(
@@ -25,23 +29,30 @@ def start_buffer(
     writes a new one. A batch that is repeated reads the same previous version
     and writes the same result.
     """
-    schema = df.schema
+    schema = _with_version(df.schema)
 
     def keep_newest(batch: DataFrame, number: int) -> None:
         newest = last_rows(batch, size, *order)
         if number > 0:
-            before = batch.sparkSession.read.schema(schema).parquet(_version(path, number - 1))
+            reader = batch.sparkSession.read.schema(schema)
+            before = reader.parquet(_slot(path, number - 1)).drop("version")
             newest = last_rows(newest.unionByName(before), size, *order)
-        newest.coalesce(1).write.mode("overwrite").parquet(_version(path, number))
+        stamped = newest.withColumn("version", F.lit(number).cast("bigint"))
+        stamped.coalesce(1).write.mode("overwrite").parquet(_slot(path, number))
 
     writer = df.writeStream.outputMode("append").foreachBatch(keep_newest)
     return begin(writer, checkpoint, name, trigger)
 
 
 def read_buffer(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The newest version of a buffer."""
-    versions = spark.read.schema(
-        T.StructType([*schema.fields, T.StructField("version", T.LongType())])
-    ).parquet(path)
+    """The newest version of a buffer. A folder that is being replaced while it
+    is read is an old one, so its missing files are of no interest."""
+    versions = (
+        spark.read.schema(_with_version(schema)).option("ignoreMissingFiles", True).parquet(path)
+    )
     newest = versions.agg(F.max("version")).first()[0]
-    return versions.filter(F.col("version") == F.lit(newest)).drop("version")
+    return versions.filter(F.col("version") == F.lit(newest)).drop("version", "slot")
+
+
+def _with_version(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("version", T.LongType())])

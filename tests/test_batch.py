@@ -97,3 +97,17 @@ def test_work_dir_lies_in_the_shared_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     one, two = work_dir(spark, "x"), work_dir(spark, "x")
     assert one.startswith(root) and one != two
+
+
+class _Unset:
+    """A session without the shared folder."""
+
+    def __init__(self, master):
+        self.sparkContext = type("C", (), {"master": master})
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})
+
+
+def test_only_a_local_session_may_lack_the_shared_folder():
+    assert work_dir(_Unset("local[2]"), "x") != work_dir(_Unset("local[2]"), "x")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        work_dir(_Unset("yarn"), "x")

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from murmullo.operators import summaries
 from murmullo.operators.correlation import likes_correlation
 from murmullo.operators.risk import top_users, user_risk_score
-from murmullo.operators.terms import top_hate_terms, top_negative_terms, without_stopwords
-from murmullo.operators.trend import hourly_trend, peak_hour
+from murmullo.operators.terms import top_hate_terms, top_negative_terms
+from murmullo.operators.trend import DATE_FORMATS, hourly_trend, parse_date, peak_hour
 from murmullo.operators.windows import sentiment_windows, throughput_windows
 
 FLAGS = "autor string, es_odio boolean, likes long"
@@ -56,9 +56,19 @@ def test_top_negative_terms(spark):
 
 
 def test_long_stopword_table(spark):
-    words = spark.createDataFrame([("a",), ("b",), ("b",)], "palabra string")
-    stop = spark.createDataFrame([("b",)], "palabra string")
-    assert [r.palabra for r in without_stopwords(words, stop).collect()] == ["a"]
+    df = spark.createDataFrame([(True, "alfa beta beta gama"), (True, "alfa")], "es_odio boolean, comentario_limpio string")
+    stop = spark.createDataFrame([("beta",), ("otra",)], "palabra string")
+    assert [tuple(r) for r in top_hate_terms(df, stopwords=stop).collect()] == [("alfa", 2), ("gama", 1)]
+
+
+def test_date_formats_are_tried_on_any_text_they_could_match(values):
+    texts = ["2024-01-01t06:00:00z", "+12024-01-01", "2024-1-1", "2024-01-01T06:00:00Z ", "T-:Z"]
+    direct = lambda c: F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in DATE_FORMATS])
+    as_text = lambda parse: lambda c: parse(c).cast("string")
+    assert values(as_text(parse_date), texts) == values(as_text(direct), texts)
+    optional = ["yyyy-MM-dd[ HH:mm]"]
+    found = values(as_text(lambda c: parse_date(c, optional)), ["2024-01-01", "2024-01-01 05:00"])
+    assert found == ["2024-01-01 00:00:00", "2024-01-01 05:00:00"]
 
 
 TREND = "fecha string, es_odio boolean"

@@ -173,6 +173,10 @@ def test_buffer_keeps_the_newest_over_batches(spark, tmp_path):
     assert run([(1, i, "x") for i in range(4)]) == [(1, 0), (1, 1), (2, 0), (2, 1), (3, 1)]
     assert run([(0, 0, "viejo")]) == [(1, 0), (1, 1), (2, 0), (2, 1), (3, 1)]
     assert run([(0, 50 + i, "x") for i in range(9)]) == [(54 + i, 0) for i in range(5)]
+    for i in range(6):
+        newest = run([(2, 100 + i, "x")])
+    assert newest == [(101 + i, 2) for i in range(5)]
+    assert len(list((tmp_path / "out").glob("slot=*"))) == 8
 
 
 def test_sentiment_metric_topic(spark, tmp_path, lines):
