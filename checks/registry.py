@@ -23,7 +23,7 @@ from murmullo.operators.stages import clean, decide_hate, decide_sentiment
 from murmullo.operators.terms import top_hate_terms, top_negative_terms
 from murmullo.operators.trend import hourly_trend, peak_hour
 from murmullo.operators.windows import sentiment_windows, throughput_windows
-from murmullo.schemas import FINAL, HATE_LABELS, RAW, extend, struct
+from murmullo.schemas import FINAL, HATE_LABELS, RAW, SENTIMENT_LABELS, extend, struct
 from murmullo.session import work_dir
 from murmullo.sources import tables
 from murmullo.sources.records import decode, encode, split_json
@@ -336,8 +336,8 @@ def _lexicon_scores(spark, sf):
     scored = mood(hate(cleaned, "comentario_limpio", "h"), "comentario_limpio", "s")
     return scored.select(
         "rid",
-        *[F.element_at("h", F.lit(x)).alias(f"p_{x}") for x in HATE_LABELS],
-        *[F.element_at("s", F.lit(x)).alias(f"p_{x}") for x in ("POS", "NEG", "NEU")],
+        *[F.get("h", F.lit(i)).alias(f"p_{x}") for i, x in enumerate(HATE_LABELS)],
+        *[F.get("s", F.lit(i)).alias(f"p_{x}") for i, x in enumerate(SENTIMENT_LABELS)],
     )
 
 
@@ -364,7 +364,9 @@ def _udf_scores(spark, sf):
     scorer = model_scorer(spark, "word-lists", load, list(lists))
     cleaned = clean(views.raw(views.tables(spark, sf))).select("rid", "comentario_limpio")
     scored = scorer(cleaned, "comentario_limpio", "h")
-    return scored.select("rid", *[F.element_at("h", F.lit(x)).alias(f"p_{x}") for x in lists])
+    return scored.select(
+        "rid", *[F.get("h", F.lit(i)).alias(f"p_{x}") for i, x in enumerate(HATE_LABELS)]
+    )
 
 
 @checked("ml_hate_scores")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from murmullo.operators.scorers import lexicon_scorer
 from murmullo.operators.stages import decide_hate, decide_sentiment, enrich
-from murmullo.schemas import HATE_LABELS, NEUTRAL
+from murmullo.schemas import HATE_LABELS, NEUTRAL, SENTIMENT_LABELS
 from murmullo.sources.tables import normalize_comments
 
 Reader = Callable[[str], DataFrame]
@@ -135,8 +135,8 @@ def raw(read: Reader) -> DataFrame:
 
 def scorers():
     return (
-        lexicon_scorer(HATE_LEXICON, HALF_POINT),
-        lexicon_scorer(SENTIMENT_LEXICON, HALF_POINT, NEUTRAL),
+        lexicon_scorer(HATE_LEXICON, HATE_LABELS, HALF_POINT),
+        lexicon_scorer(SENTIMENT_LEXICON, SENTIMENT_LABELS, HALF_POINT, NEUTRAL),
     )
 
 

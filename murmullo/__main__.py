@@ -31,7 +31,9 @@ def _lexicons(path: str):
         words = json.load(file)
     return (
         lexicon_scorer(words["hate"]),
-        lexicon_scorer(words["sentiment"], rest_label=schemas.NEUTRAL),
+        lexicon_scorer(
+            words["sentiment"], schemas.SENTIMENT_LABELS, rest_label=schemas.NEUTRAL
+        ),
     )
 
 

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from murmullo.functions.binding import bind
-
 
 def percent(part: Column, total: Column, digits: int = 2) -> Column:
     """``part`` of ``total`` in percent; null where the total is zero."""
@@ -28,28 +26,15 @@ def risk_score(hate_percent: Column, hate_likes: Column) -> Column:
     return F.round(hate_percent * (1 + hate_likes * 0.01), 2)
 
 
-def best_position(scores: Column) -> Column:
-    """Index, from 1, of the first highest score."""
-    return bind(scores, lambda s: F.array_position(s, F.array_max(s)).cast("int"))
+def probability_array(probas: Column, labels: Sequence[str]) -> Column:
+    """A map of probabilities as an array in label order; a missing label is 0."""
+    return F.array(*[F.coalesce(probas[label], F.lit(0.0)) for label in labels])
 
 
-def best_class(probas: Column, labels: Sequence[str]) -> Column:
-    """The most probable label and its probability, as a struct.
+def first_highest(scores: Column, labels: Sequence[str]) -> Column:
+    """The label of the highest score; of equal ones the first in label order.
 
-    A missing label, or a missing map, has probability 0. Of equal labels the
-    first in declared order wins.
+    Null where there are no scores.
     """
     names = F.array(*[F.lit(label) for label in labels])
-
-    def in_order(table: Column) -> Column:
-        return F.array(
-            *[F.coalesce(F.element_at(table, F.lit(x)), F.lit(0.0)) for x in labels]
-        )
-
-    def pick(scores: Column) -> Column:
-        position = F.array_position(scores, F.array_max(scores)).cast("int")
-        return F.struct(
-            F.element_at(names, position).alias("label"), F.array_max(scores).alias("p")
-        )
-
-    return bind(bind(probas, in_order), pick)
+    return F.get(names, F.array_position(scores, F.array_max(scores)).cast("int") - 1)

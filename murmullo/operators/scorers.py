@@ -1,6 +1,7 @@
-"""Text scorers: each adds a ``map<string,double>`` of label probabilities.
+"""Text scorers: each adds an array of probabilities, one per declared label.
 
-A scorer is a function ``(df, text_column, target_column) -> df``. Three kinds:
+A scorer is a function ``(df, text_column, target_column) -> df``. The array is
+in label order, so the decision reads it without looking names up. Three kinds:
 
 * ``lexicon_scorer``: native expressions over word lists,
 * ``classifier_scorer``: an MLlib pipeline trained on labelled rows,
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmullo.functions.binding import bind
+from murmullo.schemas import HATE_LABELS
 
 Scorer = Callable[[DataFrame, str, str], DataFrame]
 Lexicon = Mapping[str, Sequence[str]]
@@ -33,24 +35,35 @@ def _hits(words: Column, terms: Sequence[str]) -> Column:
 
 
 def lexicon_scorer(
-    lexicon: Lexicon, half_point: float = 2.0, rest_label: str | None = None
+    lexicon: Lexicon, labels: Sequence[str] = HATE_LABELS, half_point: float = 2.0,
+    rest_label: str | None = None,
 ) -> Scorer:
     """Probability from the number of listed words in the text.
 
     Without ``rest_label`` the labels are independent: ``h / (h + half_point)``
     for ``h`` hits. With it they share one total, and ``rest_label`` gets what
-    the others leave: ``half_point / (all hits + half_point)``.
+    the others leave: ``half_point / (all hits + half_point)``. A label without
+    a word list has probability 0.
     """
-    labels = [*lexicon] if rest_label is None else [*lexicon, rest_label]
+    unknown = set(lexicon) - set(labels)
+    if unknown:
+        raise ValueError(f"not among the labels: {sorted(unknown)}")
+    place = {label: i for i, label in enumerate(lexicon)}
     listed = sorted({term for terms in lexicon.values() for term in terms})
     half = float(half_point)
 
     def probabilities(hits: Column) -> Column:
-        counts = [hits[i] for i in range(len(lexicon))]
-        if rest_label is None:
-            return F.array(*[h / (h + half) for h in counts])
-        total = sum(counts[1:], counts[0]) + half
-        return F.array(*[h / total for h in counts], F.lit(half) / total)
+        total = sum((hits[i] for i in range(1, len(place))), hits[0]) + half
+
+        def of(label: str) -> Column:
+            if label == rest_label:
+                return F.lit(half) / total
+            if label not in place:
+                return F.lit(0.0)
+            h = hits[place[label]]
+            return h / (h + half) if rest_label is None else h / total
+
+        return F.array(*[of(label) for label in labels])
 
     def score(df: DataFrame, text: str, target: str) -> DataFrame:
         words = F.split(F.coalesce(F.lower(F.col(text)), F.lit("")), " ")
@@ -58,8 +71,7 @@ def lexicon_scorer(
         # sorted out by label.
         found = F.filter(words, lambda word: word.isin(listed))
         hits = bind(found, lambda f: F.array(*[_hits(f, t) for t in lexicon.values()]))
-        names = F.array(*[F.lit(label) for label in labels])
-        return df.withColumn(target, F.map_from_arrays(names, bind(hits, probabilities)))
+        return df.withColumn(target, bind(hits, probabilities))
 
     return score
 
@@ -86,15 +98,16 @@ def fit_classifier(
     )
 
 
-def classifier_scorer(model: PipelineModel, label: str) -> Scorer:
+def classifier_scorer(
+    model: PipelineModel, label: str, labels: Sequence[str] = HATE_LABELS
+) -> Scorer:
     """Score with a fitted pipeline; its positive class becomes ``label``."""
 
     def score(df: DataFrame, text: str, target: str) -> DataFrame:
         ready = df.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
         positive = vector_to_array("_prob")[1]
-        scored = model.transform(ready).withColumn(
-            target, F.create_map(F.lit(label), positive)
-        )
+        scores = F.array(*[positive if x == label else F.lit(0.0) for x in labels])
+        scored = model.transform(ready).withColumn(target, scores)
         return scored.select(*[c for c in df.columns if c != target], target)
 
     return score
@@ -111,18 +124,20 @@ def _loaded(key: str, load: Callable[[], Model]) -> Model:
 
 
 def model_scorer(
-    spark: SparkSession, key: str, load: Callable[[], Model], labels: Sequence[str],
-    batch_size: int = 256,
+    spark: SparkSession, key: str, load: Callable[[], Model], model_labels: Sequence[str],
+    labels: Sequence[str] = HATE_LABELS, batch_size: int = 256,
 ) -> Scorer:
     """Score with a Python model that ``load`` creates inside the worker.
 
     The model is never serialised with the job and is reused by all tasks of a
-    worker. It sees batches of non-blank texts; blank texts get no scores.
+    worker. It sees batches of non-blank texts; blank texts get no scores. Its
+    probabilities come in the order of ``model_labels``.
     """
     from murmullo.session import ship_package
 
     ship_package(spark)
-    names = list(labels)
+    given = list(model_labels)
+    order = [given.index(label) if label in given else None for label in labels]
 
     @F.pandas_udf("array<double>")
     def probabilities(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -136,16 +151,10 @@ def model_scorer(
                     model = _loaded(key, load)
                 part = wanted.iloc[start:start + batch_size]
                 for index, row in zip(part.index, model(part.tolist())):
-                    found.at[index] = [float(p) for p in row]
+                    found.at[index] = [0.0 if i is None else float(row[i]) for i in order]
             yield found
 
     def score(df: DataFrame, text: str, target: str) -> DataFrame:
-        label_array = F.array(*[F.lit(name) for name in names])
-        return (
-            df.withColumn("_p", probabilities(F.col(text)))
-            .withColumn(target, F.map_from_arrays(label_array, F.col("_p")))
-            .drop("_p")
-        )
+        return df.withColumn(target, probabilities(F.col(text)))
 
     return score
-

@@ -10,8 +10,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from murmullo.functions.measures import best_class
+from murmullo.functions.measures import first_highest, probability_array
 from murmullo.functions.text import clean_text, has_text
 from murmullo.operators.scorers import Scorer
 from murmullo.schemas import (
@@ -27,6 +28,13 @@ def clean(df: DataFrame, emoji: Mapping[str, str] = EMOJI_NAMES) -> DataFrame:
     return df.withColumn("comentario_limpio", clean_text(F.col("comentario"), emoji))
 
 
+def _with_scores(df: DataFrame, probas: str, labels: Sequence[str]) -> DataFrame:
+    """The probabilities as an array in label order, whether given so or as a map."""
+    given = F.col(probas)
+    is_map = isinstance(df.schema[probas].dataType, T.MapType)
+    return df.withColumn("_p", probability_array(given, labels) if is_map else given)
+
+
 def decide_hate(
     df: DataFrame, probas: str = "probas_odio", text: str = "comentario_limpio",
     threshold: float = HATE_THRESHOLD, labels: Sequence[str] = HATE_LABELS,
@@ -36,17 +44,15 @@ def decide_hate(
     The threshold is strict and applies to the unrounded maximum. None of the
     three is ever null, so a null check on them costs nothing.
     """
-    scored = df.withColumn("_best", best_class(F.col(probas), labels))
-    top = F.coalesce("_best.p", F.lit(0.0))
+    top = F.coalesce(F.array_max("_p"), F.lit(0.0))
     some_text = has_text(F.col(text))
     over = top > F.lit(threshold)
-    return scored.withColumns({
+    category = F.coalesce(first_highest(F.col("_p"), labels), F.lit(NO_HATE))
+    return _with_scores(df, probas, labels).withColumns({
         "es_odio": over & some_text,
         "prob_odio": F.when(some_text, F.coalesce(F.round(top, 3), F.lit(0.0))).otherwise(0.0),
-        "categoria_odio": F.when(~some_text, NO_TEXT)
-        .when(over, F.coalesce("_best.label", F.lit(NO_HATE)))
-        .otherwise(NO_HATE),
-    }).drop("_best")
+        "categoria_odio": F.when(~some_text, NO_TEXT).when(over, category).otherwise(NO_HATE),
+    }).drop("_p")
 
 
 def decide_sentiment(
@@ -54,14 +60,13 @@ def decide_sentiment(
     labels: Sequence[str] = SENTIMENT_LABELS,
 ) -> DataFrame:
     """Most probable class and its probability; blank text is neutral."""
-    scored = df.withColumn("_best", best_class(F.col(probas), labels))
     some_text = has_text(F.col(text))
-    label = F.coalesce("_best.label", F.lit(NEUTRAL))
-    top = F.coalesce(F.round("_best.p", 3), F.lit(0.0))
-    return scored.withColumns({
+    label = F.coalesce(first_highest(F.col("_p"), labels), F.lit(NEUTRAL))
+    top = F.coalesce(F.round(F.array_max("_p"), 3), F.lit(0.0))
+    return _with_scores(df, probas, labels).withColumns({
         "sentimiento": F.when(some_text, label).otherwise(NEUTRAL),
         "prob_sentimiento": F.when(some_text, top).otherwise(0.0),
-    }).drop("_best")
+    }).drop("_p")
 
 
 def classify_hate(df: DataFrame, scorer: Scorer, threshold: float = HATE_THRESHOLD) -> DataFrame:

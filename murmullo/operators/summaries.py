@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from murmullo.functions.labels import (
     category_name, clock, flag_name, hate_band, named,
 )
-from murmullo.functions.measures import best_position, percent_or_zero
+from murmullo.functions.measures import first_highest, percent_or_zero
 from murmullo.wordlists import SENTIMENT_NAMES
 
 _WINDOW_COUNTS = {"positivos": "Positivo", "negativos": "Negativo", "neutrales": "Neutral"}
@@ -126,8 +126,7 @@ def _last(windows: DataFrame, *columns: str, time: str = "ventana_fin") -> DataF
 def dominant_sentiment(windows: DataFrame, time: str = "ventana_fin") -> DataFrame:
     """The most frequent sentiment of the last window; ties: POS, NEG, NEU."""
     last = _last(windows, *_WINDOW_COUNTS, time=time)
-    names = F.array(*[F.lit(name) for name in _WINDOW_COUNTS.values()])
-    dominant = F.element_at(names, best_position(F.array(*_WINDOW_COUNTS)))
+    dominant = first_highest(F.array(*_WINDOW_COUNTS), list(_WINDOW_COUNTS.values()))
     return last.select(time, dominant.alias("dominante"))
 
 

@@ -6,7 +6,7 @@ from murmullo import __main__ as cli
 from murmullo.operators.scorers import lexicon_scorer
 from murmullo.plans import batch
 from murmullo.schemas import (
-    CORRELATION, FINAL, HOURLY_TREND, NEUTRAL, SYNONYMS, TOP_TERMS, USER_RISK,
+    CORRELATION, FINAL, HOURLY_TREND, NEUTRAL, SENTIMENT_LABELS, SYNONYMS, TOP_TERMS, USER_RISK,
 )
 from murmullo.session import work_dir
 from murmullo.sources.tables import TooFewRows
@@ -26,7 +26,7 @@ def mixed(spark, tmp_path):
 
 
 HATE = lexicon_scorer({"CALLS": ["idiota"]})
-MOOD = lexicon_scorer({"NEG": ["idiota"], "POS": ["amable"]}, rest_label=NEUTRAL)
+MOOD = lexicon_scorer({"NEG": ["idiota"], "POS": ["amable"]}, SENTIMENT_LABELS, rest_label=NEUTRAL)
 
 
 def _kinds(schema):

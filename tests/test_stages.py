@@ -1,12 +1,13 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
-from murmullo.functions.measures import best_class
 from murmullo.operators.scorers import (
     classifier_scorer, fit_classifier, lexicon_scorer, model_scorer,
 )
 from murmullo.operators.stages import decide_hate, decide_sentiment, enrich, final_columns
-from murmullo.schemas import FINAL, HATE_LABELS, NEUTRAL
+from murmullo.schemas import FINAL, NEUTRAL, SENTIMENT_LABELS
 
 KIND = "i int, comentario_limpio string, p map<string,double>"
 
@@ -72,50 +73,49 @@ def test_sentiment(spark):
         ("NEG", 0.5), ("POS", 0.4), ("NEU", 0.0), ("NEU", 0.988)]
 
 
-def test_best_class_reads_its_input_once(spark):
-    expensive = F.from_json(F.col("j"), "map<string,double>")
-    plan = (
-        spark.createDataFrame([('{"CALLS":0.4}',)], "j string")
-        .select(best_class(expensive, HATE_LABELS).alias("b"))
-        ._jdf.queryExecution().optimizedPlan().toString()
-    )
-    assert plan.count("from_json") <= 1
+def test_scores_as_an_array(spark):
+    rows = [(0, "x", [0.1, 0.4] + [0.0] * 6), (1, "x", None), (2, "x", [None] * 8), (3, "x", [])]
+    df = spark.createDataFrame(rows, "i int, comentario_limpio string, p array<double>")
+    found = decide_hate(df, probas="p").orderBy("i").collect()
+    assert [(r.es_odio, r.prob_odio, r.categoria_odio) for r in found] == [
+        (True, 0.4, "CRIMINAL")] + [(False, 0.0, "ninguna")] * 3
+    found = decide_sentiment(df, probas="p").orderBy("i").collect()
+    assert [(r.sentimiento, r.prob_sentimiento) for r in found] == [("NEG", 0.4)] + [("NEU", 0.0)] * 3
 
 
 def test_lexicon_scorer(spark):
-    score = lexicon_scorer({"A": ["uno", "dos"], "B": ["tres"]}, half_point=1.0)
+    score = lexicon_scorer({"B": ["tres"], "A": ["uno", "dos"]}, ["A", "B", "C"], half_point=1.0)
     df = spark.createDataFrame([("Uno dos cuatro dos",), ("",), (None,), ("unos",)], "t string")
     found = [r.s for r in score(df, "t", "s").collect()]
-    assert found == [{"A": 0.75, "B": 0.0}] + [{"A": 0.0, "B": 0.0}] * 3
-    shared = lexicon_scorer({"POS": ["bien"], "NEG": ["mal"]}, 1.0, rest_label="NEU")
+    assert found == [[0.75, 0.0, 0.0]] + [[0.0, 0.0, 0.0]] * 3
+    shared = lexicon_scorer({"POS": ["bien"], "NEG": ["mal"]}, SENTIMENT_LABELS, 1.0, "NEU")
     df = spark.createDataFrame([("bien bien mal",), ("x",)], "t string")
-    assert [r.s for r in shared(df, "t", "s").collect()] == [
-        {"POS": 0.5, "NEG": 0.25, "NEU": 0.25}, {"POS": 0.0, "NEG": 0.0, "NEU": 1.0}]
+    assert [r.s for r in shared(df, "t", "s").collect()] == [[0.5, 0.25, 0.25], [0.0, 0.0, 1.0]]
+    with pytest.raises(ValueError, match="OTRA"):
+        lexicon_scorer({"OTRA": ["x"]})
 
 
 def test_model_is_loaded_in_the_worker_and_skips_blank_text(spark):
     def load():
         import os
 
-        seen = {"texts": 0, "pid": float(os.getpid()), "loads": 0}
-        seen["loads"] += 1
+        pid = float(os.getpid())
 
         def predict(texts):
             assert all(t.strip() for t in texts) and len(texts) <= 3
-            return [[min(1.0, len(t) / 10), seen["pid"]] for t in texts]
+            return [[pid, min(1.0, len(t) / 10), 0.7] for t in texts]
 
         return predict
 
-    scorer = model_scorer(spark, "lengths", load, ["CALLS", "WOMEN"], batch_size=3)
+    labels = ["CALLS", "RACISM", "WOMEN"]
+    scorer = model_scorer(spark, "lengths", load, ["WOMEN", "CALLS", "other"], labels, batch_size=3)
     df = spark.range(20).select(
         F.when(F.col("id") % 5 == 0, F.lit("  ")).when(F.col("id") % 5 == 1, F.lit(None))
         .otherwise(F.repeat(F.lit("a"), F.col("id").cast("int"))).alias("t"), "id")
     found = {r.id: r.s for r in scorer(df, "t", "s").collect()}
     assert all(found[i] is None for i in range(20) if i % 5 < 2)
-    assert found[2]["CALLS"] == 0.2 and found[19]["CALLS"] == 1.0
-    import os
-
-    assert all(v["WOMEN"] != float(os.getpid()) for v in found.values() if v)
+    assert found[2][:2] == [0.2, 0.0] and found[19][:2] == [1.0, 0.0]
+    assert all(v[2] != float(os.getpid()) for v in found.values() if v)
 
 
 def test_classifier_learns_the_labelled_words(spark):
@@ -124,7 +124,7 @@ def test_classifier_learns_the_labelled_words(spark):
     model = fit_classifier(df, features=1 << 10)
     scorer = classifier_scorer(model, "CALLS")
     probe = spark.createDataFrame([("eres idiota",), ("muy amable",), (None,)], "t string")
-    bad, good, none = [r.s["CALLS"] for r in scorer(probe, "t", "s").collect()]
+    bad, good, none = [r.s[0] for r in scorer(probe, "t", "s").collect()]
     assert bad > 0.5 > good and 0.0 <= none <= 1.0
 
 
@@ -134,7 +134,7 @@ def test_enrich_gives_the_final_schema_and_counts(spark):
         "autor string, comentario string, likes long, fecha string, respuestas long",
     )
     hate = lexicon_scorer({"CALLS": ["idiota"]})
-    mood = lexicon_scorer({"POS": ["risa"], "NEG": ["idiota"]}, rest_label=NEUTRAL)
+    mood = lexicon_scorer({"POS": ["risa"], "NEG": ["idiota"]}, SENTIMENT_LABELS, rest_label=NEUTRAL)
     found = final_columns(enrich(raw, hate, mood))
     assert found.columns == FINAL.names
     assert [f.dataType for f in found.schema] == [f.dataType for f in FINAL]

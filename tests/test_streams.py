@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from murmullo.operators.scorers import lexicon_scorer
 from murmullo.operators.stages import enrich, final_columns
 from murmullo.operators.windows import sentiment_windows, throughput_windows
-from murmullo.schemas import FINAL, NEUTRAL, RAW
+from murmullo.schemas import FINAL, NEUTRAL, RAW, SENTIMENT_LABELS
 from murmullo.sources.records import decode, encode
 from murmullo.sources.topics import FileTopic
 from murmullo.streaming import jobs
@@ -15,7 +15,7 @@ from murmullo.streaming.buffer import read_buffer, start_buffer
 from murmullo.streaming.progress import Progress, ProgressLog, progress_of
 
 HATE = lexicon_scorer({"CALLS": ["idiota"], "CLASS": ["basura"]})
-MOOD = lexicon_scorer({"POS": ["bien"], "NEG": ["mal", "idiota"]}, rest_label=NEUTRAL)
+MOOD = lexicon_scorer({"POS": ["bien"], "NEG": ["mal", "idiota"]}, SENTIMENT_LABELS, rest_label=NEUTRAL)
 
 RECORDS = [
     {"autor": "a", "comentario": "IDIOTA!! basura basura", "likes": 3, "fecha": "", "respuestas": 0, "id": 7},
