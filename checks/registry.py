@@ -26,7 +26,7 @@ from murmullo.operators.windows import sentiment_windows, throughput_windows
 from murmullo.schemas import FINAL, HATE_LABELS, RAW, SENTIMENT_LABELS, extend, struct
 from murmullo.session import work_dir
 from murmullo.sources import tables
-from murmullo.sources.records import decode, encode, split_json
+from murmullo.sources.records import decode, encode, malformed_lines
 from murmullo.sources.topics import FileTopic, advance, incremental_tail, last_messages
 from murmullo.streaming import jobs
 from murmullo.streaming.buffer import read_buffer, start_buffer
@@ -206,7 +206,7 @@ def _json_good_rows(spark, sf):
 @checked("json_quarantine", sql.over("raw", """
     SELECT concat('{bad ', rid) AS value FROM raw WHERE rid[1] = 'c'"""))
 def _json_quarantine(spark, sf):
-    return split_json(_damaged(spark, sf), _LINE)[1]
+    return malformed_lines(_damaged(spark, sf), _LINE)
 
 
 _ALL_MARKED = sql.over("marked", """

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from murmullo.functions.binding import bind
+from murmullo.functions.coerce import safe_bool, safe_double, safe_int
 from murmullo.functions.text import has_text
 from murmullo.schemas import as_text
 
@@ -21,34 +23,44 @@ def _parsed(value: Column, schema: T.StructType) -> Column:
     )
 
 
-def split_json(
-    df: DataFrame, schema: T.StructType, value: str = "value"
-) -> tuple[DataFrame, DataFrame]:
-    """Good records as columns (text), and the malformed lines. Blank lines are
-    in neither. Both are lazy views of ``df``."""
-    rows = df.filter(has_text(F.col(value))).withColumn("_r", _parsed(F.col(value), schema))
-    is_bad = F.col("_r").isNull() | F.col(f"_r.{_BAD}").isNotNull()
-    rest = [c for c in df.columns if c != value]
-    good = rows.filter(~is_bad).select(*rest, *[F.col(f"_r.{n}") for n in schema.names])
-    return good, rows.filter(is_bad).select(*rest, value)
+def _is_good(record: Column) -> Column:
+    return record.isNotNull() & record[_BAD].isNull()
 
 
-def decode(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
-    """Good records with their declared types.
+def good_records(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
+    """The well-formed records as text columns, each line parsed once.
 
-    Numbers are read as text first, because ``"7"`` and ``7.9`` are both valid
-    input for a whole number.
+    A filter on the parsed line would parse it again, so the line becomes a list
+    of one or no record, which is then unfolded.
     """
-    from murmullo.functions.coerce import safe_bool, safe_double, safe_int
+    record = F.filter(F.array(_parsed(F.col(value), schema)), _is_good)
+    rest = [c for c in df.columns if c != value]
+    return df.filter(has_text(F.col(value))).select(*rest, F.inline(record)).drop(_BAD)
+
+
+def malformed_lines(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
+    """The lines that hold no record. Blank lines are left out."""
+    good = bind(_parsed(F.col(value), schema), _is_good)
+    return df.filter(has_text(F.col(value)) & ~good)
 
+
+def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Text columns as the types of ``schema``, bad values as defaults."""
     rules = {"bigint": safe_int, "int": safe_int, "double": safe_double, "boolean": safe_bool}
-    good, _ = split_json(df, schema, value)
-    typed = {
+    return df.withColumns({
         f.name: rules[f.dataType.simpleString()](F.col(f.name)).cast(f.dataType)
         for f in schema.fields
         if f.dataType.simpleString() in rules
-    }
-    return good.withColumns(typed)
+    })
+
+
+def decode(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
+    """Good records with their declared types.
+
+    Numbers are read as text first, because ``"7"`` and ``7.9`` are both valid
+    input for a whole number.
+    """
+    return typed(good_records(df, schema, value), schema)
 
 
 def encode(df: DataFrame, *columns: str, value: str = "value") -> DataFrame:
@@ -56,17 +68,21 @@ def encode(df: DataFrame, *columns: str, value: str = "value") -> DataFrame:
     return df.select(F.to_json(F.struct(*(columns or df.columns))).alias(value))
 
 
-def text_field(value: Column, name: str) -> Column:
-    """One field of a JSON text, as a string; null where absent."""
-    return F.get_json_object(value, f"$.{name}")
+def parse_record(value: Column) -> Column:
+    """A JSON object with all its fields, whatever they are; else null."""
+    return F.try_variant_get(F.try_parse_json(value), "$", "map<string,variant>")
+
+
+def text_field(record: Column, name: str) -> Column:
+    """One field of a parsed record as a string; null where absent."""
+    return F.try_variant_get(record[name], "$", "string")
 
 
-def merge_fields(value: Column, fields: Mapping[str, Column]) -> Column:
-    """Set fields of a JSON text and leave every other field as it is."""
-    record = F.try_parse_json(value).cast("map<string,variant>")
+def set_fields(record: Column, fields: Mapping[str, Column]) -> Column:
+    """A parsed record with these fields set and every other one as it was."""
     names = list(fields)
     kept = F.map_filter(record, lambda key, _: ~key.isin(names))
     new = F.create_map(
         *[x for name, col in fields.items() for x in (F.lit(name), col.cast("variant"))]
     )
-    return F.to_json(F.map_concat(kept, new))
+    return F.map_concat(kept, new)

@@ -21,7 +21,7 @@ from murmullo.operators.windows import sentiment_windows, throughput_windows
 from murmullo.schemas import (
     HATE_THRESHOLD, RAW, SENTIMENT_SECONDS, THROUGHPUT_SECONDS,
 )
-from murmullo.sources.records import decode, encode, merge_fields, text_field
+from murmullo.sources.records import encode, parse_record, set_fields, text_field, typed
 from murmullo.sources.topics import Topic
 from murmullo.wordlists import EMOJI_NAMES
 
@@ -47,54 +47,55 @@ def begin(
     return (writer.trigger(**options) if options else writer).start()
 
 
-def _valid(df: DataFrame, on_malformed: str) -> DataFrame:
-    """Fail on a malformed record, or leave it out."""
-    good = F.try_parse_json("value").isNotNull()
+def parsed(df: DataFrame, on_malformed: str = "fail") -> DataFrame:
+    """Add ``record``, the parsed ``value``. Fail on a malformed one, or leave it out."""
+    record = parse_record(F.col("value"))
     if on_malformed == "skip":
-        return df.filter(good)
+        some = F.filter(F.array(record), lambda r: r.isNotNull())
+        return df.select("*", F.explode(some).alias("record"))
     if on_malformed != "fail":
         raise ValueError("on_malformed is 'fail' or 'skip'")
     wrong = F.raise_error(F.concat(F.lit("malformed record: "), F.col("value")))
-    return df.withColumn("value", F.when(good, F.col("value")).otherwise(wrong))
+    return df.withColumn("record", F.coalesce(record, wrong))
 
 
-def _set_fields(df: DataFrame, fields: Mapping[str, Column]) -> DataFrame:
-    return df.withColumn("value", merge_fields(F.col("value"), fields))
+def _field(name: str) -> Column:
+    return F.coalesce(text_field(F.col("record"), name), F.lit(""))
+
+
+def _update(df: DataFrame, fields: Mapping[str, Column]) -> DataFrame:
+    return df.withColumn("record", set_fields(F.col("record"), fields)).select("record")
 
 
 def clean_stage(emoji: Mapping[str, str] = EMOJI_NAMES) -> Stage:
-    """JSON record in, the same record with its cleaned text out."""
+    """Parsed record in, the same record with its cleaned text out."""
 
     def run(df: DataFrame) -> DataFrame:
-        text = F.coalesce(text_field(F.col("value"), "comentario"), F.lit(""))
-        return _set_fields(df, {"comentario_limpio": clean_text(text, emoji)})
+        return _update(df, {"comentario_limpio": clean_text(_field("comentario"), emoji)})
 
     return run
 
 
-def _scored(df: DataFrame, scorer: Scorer, decide: Stage, names: list[str], probas: str) -> DataFrame:
-    text = F.coalesce(text_field(F.col("value"), "comentario_limpio"), F.lit(""))
-    scored = scorer(df.withColumn("comentario_limpio", text), "comentario_limpio", probas)
-    decided = decide(scored)
-    return _set_fields(decided, {n: F.col(n) for n in names}).select(*df.columns)
-
-
-def hate_stage(scorer: Scorer, threshold: float = HATE_THRESHOLD) -> Stage:
+def _scored_stage(scorer: Scorer, decide: Stage, probas: str, names: list[str]) -> Stage:
     def run(df: DataFrame) -> DataFrame:
-        names = ["es_odio", "prob_odio", "categoria_odio"]
-        return _scored(
-            df, scorer, lambda d: decide_hate(d, threshold=threshold), names, "probas_odio"
-        )
+        texts = df.withColumn("comentario_limpio", _field("comentario_limpio"))
+        decided = decide(scorer(texts, "comentario_limpio", probas))
+        return _update(decided, {n: F.col(n) for n in names})
 
     return run
 
 
-def sentiment_stage(scorer: Scorer) -> Stage:
-    def run(df: DataFrame) -> DataFrame:
-        names = ["sentimiento", "prob_sentimiento"]
-        return _scored(df, scorer, decide_sentiment, names, "probas_sentimiento")
+def hate_stage(scorer: Scorer, threshold: float = HATE_THRESHOLD) -> Stage:
+    return _scored_stage(
+        scorer, lambda df: decide_hate(df, threshold=threshold), "probas_odio",
+        ["es_odio", "prob_odio", "categoria_odio"],
+    )
 
-    return run
+
+def sentiment_stage(scorer: Scorer) -> Stage:
+    return _scored_stage(
+        scorer, decide_sentiment, "probas_sentimiento", ["sentimiento", "prob_sentimiento"]
+    )
 
 
 def start_stage(
@@ -105,7 +106,8 @@ def start_stage(
     """Read a topic, apply one stage to each record, write another topic.
     Fields the stage does not know pass through."""
     records = source.read_stream(spark, max_per_trigger=max_per_trigger, group=name)
-    output = stage(_valid(records.select("value"), on_malformed))
+    done = stage(parsed(records.select("value"), on_malformed))
+    output = done.select(F.to_json("record").alias("value"))
     return begin(sink.write_stream(output).outputMode("append"), checkpoint, name, trigger)
 
 
@@ -115,8 +117,9 @@ def start_enrichment(
     threshold: float = HATE_THRESHOLD, on_malformed: str = "fail",
 ) -> StreamingQuery:
     """All three stages in one query: the record is parsed and written once."""
-    records = source.read_stream(spark, group=name).select("value")
-    raw = decode(_valid(records, on_malformed), RAW)
+    records = parsed(source.read_stream(spark, group=name).select("value"), on_malformed)
+    fields = [text_field(F.col("record"), n).alias(n) for n in RAW.names]
+    raw = typed(records.select(*fields), RAW)
     final = final_columns(enrich(raw, hate, sentiment, threshold))
     return begin(sink.write_stream(encode(final)).outputMode("append"), checkpoint, name, trigger)
 
@@ -156,11 +159,11 @@ def start_sentiment_windows(
     seconds: int = SENTIMENT_SECONDS, late: str = "10 seconds",
     name: str | None = None, trigger: str | None = None, on_malformed: str = "fail",
 ) -> StreamingQuery:
-    messages = _valid(source.read_stream(spark, group=name), on_malformed)
+    messages = parsed(source.read_stream(spark, group=name), on_malformed)
     flags = messages.select(
         "timestamp",
-        text_field(F.col("value"), "sentimiento").alias("sentimiento"),
-        text_field(F.col("value"), "es_odio").try_cast("boolean").alias("es_odio"),
+        text_field(F.col("record"), "sentimiento").alias("sentimiento"),
+        text_field(F.col("record"), "es_odio").try_cast("boolean").alias("es_odio"),
     )
     metric = encode(sentiment_stream(flags, "timestamp", seconds, late))
     return begin(sink.write_stream(metric).outputMode("append"), checkpoint, name, trigger)

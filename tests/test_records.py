@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from murmullo.schemas import FINAL, RAW
-from murmullo.sources.records import decode, encode, merge_fields, split_json, text_field
+from murmullo.sources.records import (
+    decode, encode, good_records, malformed_lines, parse_record, set_fields, text_field,
+)
 
 LINES = [
     '{"autor":"a","comentario":"x","likes":7,"fecha":"","respuestas":1}',
@@ -28,9 +30,13 @@ def test_decode_types_and_defaults(lines):
 
 
 def test_quarantine_holds_malformed_lines_only(lines):
-    good, bad = split_json(lines, RAW)
-    assert sorted(r.value for r in bad.collect()) == ["[1,2]", "{bad"]
-    assert good.count() == 4
+    assert sorted(r.value for r in malformed_lines(lines, RAW).collect()) == ["[1,2]", "{bad"]
+    assert good_records(lines, RAW).count() == 4
+
+
+def test_each_line_is_parsed_once(lines):
+    plan = decode(lines, RAW)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
 
 
 def test_truthiness_is_not_copied(spark):
@@ -46,16 +52,17 @@ def test_encode_is_json_of_all_columns(spark):
 
 def test_merge_keeps_unknown_fields(spark):
     text = '{"a":1,"n":{"x":[1,null,"ñ"]},"es_odio":"viejo","z":null}'
-    df = spark.createDataFrame([(text,), ("{bad",)], "value string")
+    df = spark.createDataFrame([(text,), ("{bad",), ("[1]",)], "value string")
     fields = {"es_odio": F.lit(True), "prob_odio": F.lit(0.5), "t": F.lit("a\"b")}
-    found = [r[0] for r in df.select(merge_fields(F.col("value"), fields)).collect()]
+    updated = F.to_json(set_fields(parse_record(F.col("value")), fields))
+    found = [r[0] for r in df.select(updated).collect()]
     assert json.loads(found[0]) == {
         "a": 1, "n": {"x": [1, None, "ñ"]}, "z": None, "es_odio": True, "prob_odio": 0.5, "t": "a\"b"}
-    assert found[1] is None
+    assert found[1:] == [None, None]
 
 
 def test_text_field(spark):
     df = spark.createDataFrame([('{"a":"x","b":2}',), ("{}",)], "value string")
-    assert [tuple(r) for r in df.select(
-        text_field(F.col("value"), "a"), text_field(F.col("value"), "b")).collect()] == [
-        ("x", "2"), (None, None)]
+    record = parse_record(F.col("value"))
+    found = df.select(text_field(record, "a").alias("a"), text_field(record, "b").alias("b"))
+    assert [tuple(r) for r in found.collect()] == [("x", "2"), (None, None)]

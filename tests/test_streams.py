@@ -71,6 +71,10 @@ def test_malformed_records_fail_or_are_skipped(spark, tmp_path, lines):
         spark, raw, FileTopic(str(tmp_path / "x")), jobs.clean_stage(), str(tmp_path / "ck1"), trigger="available")
     with pytest.raises(StreamingQueryException, match="malformed record"):
         bad.awaitTermination()
+    whole = jobs.start_enrichment(
+        spark, raw, FileTopic(str(tmp_path / "z")), HATE, MOOD, str(tmp_path / "ck4"), trigger="available")
+    with pytest.raises(StreamingQueryException, match="malformed record"):
+        whole.awaitTermination()
     out = FileTopic(str(tmp_path / "y"))
     _finish(jobs.start_stage(
         spark, raw, out, jobs.clean_stage(), str(tmp_path / "ck2"), trigger="available", on_malformed="skip"))
