@@ -27,7 +27,9 @@ from murmullo.schemas import FINAL, HATE_LABELS, RAW, SENTIMENT_LABELS, extend,
 from murmullo.session import work_dir
 from murmullo.sources import tables
 from murmullo.sources.records import decode, encode, malformed_lines
-from murmullo.sources.topics import FileTopic, advance, incremental_tail, last_messages
+from murmullo.sources.topics import (
+    FileTopic, advance, incremental_tail, last_messages, tail_starts,
+)
 from murmullo.streaming import jobs
 from murmullo.streaming.buffer import read_buffer, start_buffer
 from murmullo.wordlists import (
@@ -266,19 +268,13 @@ def _bounded_read(spark, sf):
     WHERE n <= 20"""))
 def _incremental_tail(spark, sf):
     messages = views.topic(views.tables(spark, sf)).select("partition", "offset", "event_id")
-    first = incremental_tail(messages)
-    starts = _tail_starts(messages)
+    starts = tail_starts(messages)
+    first = incremental_tail(messages, starts)
     second = incremental_tail(messages, advance(starts, first))
     mark = lambda df, n: df.select(F.lit(n).alias("lectura"), *messages.columns)
     return mark(first, 1).unionByName(mark(second, 2))
 
 
-def _tail_starts(messages: DataFrame) -> dict[int, int]:
-    from murmullo.sources.topics import TAIL_START, end_positions
-
-    return {p: max(0, end - TAIL_START) for p, end in end_positions(messages).items()}
-
-
 @checked("last_n_per_partition", sql.over("topic", """
     SELECT "partition", "offset", event_id, es_odio
     FROM (SELECT *, row_number() OVER (PARTITION BY "partition" ORDER BY "offset" DESC) AS n FROM topic)

@@ -53,6 +53,32 @@ def recent_shares(
     ).select("total", *[c.alias(n) for n, c in _shares(F.col("total")).items()])
 
 
+# Blocks whose totals are summed together before the sums themselves are.
+_BLOCKS_PER_GROUP = 4096
+
+
+def _rows_before(blocks: DataFrame) -> DataFrame:
+    """How many rows lie in the blocks before each block.
+
+    Summed in two levels: inside groups of blocks, in parallel, and over the
+    totals of the groups. Only the latter is one task, of one row per
+    ``_BLOCKS_PER_GROUP`` blocks.
+    """
+    grouped = blocks.withColumn("_group", F.floor(F.col("_block") / _BLOCKS_PER_GROUP))
+    start = Window.unboundedPreceding
+    groups = Window.orderBy("_group").rowsBetween(start, -1)
+    inside = Window.partitionBy("_group").orderBy("_block").rowsBetween(start, -1)
+    bases = grouped.groupBy("_group").agg(F.sum("_rows").alias("_all")).select(
+        "_group", F.coalesce(F.sum("_all").over(groups), F.lit(0)).alias("_base")
+    )
+    earlier = F.coalesce(F.sum("_rows").over(inside), F.lit(0))
+    return (
+        grouped.withColumn("_earlier", earlier)
+        .join(bases, "_group")
+        .select("_block", (F.col("_base") + F.col("_earlier")).alias("_start"))
+    )
+
+
 def rolling_shares(
     df: DataFrame, seq: str, size: int = BUFFER_SIZE, flag: str = "es_odio",
     sentiment: str = "sentimiento", chunk: int = 1 << 16,
@@ -64,8 +90,7 @@ def rolling_shares(
     position (rows of earlier ``seq`` blocks plus its place in its own block),
     positions are cut in chunks, and the last ``size - 1`` rows of a chunk are
     also sent to the next one. Every chunk is then complete on its own. Blocks
-    and chunks hold ``chunk`` rows at most, so no task grows with the data; the
-    block totals are one row per ``chunk`` numbers.
+    and chunks hold ``chunk`` rows at most, so no task grows with the data.
     """
     if chunk < size:
         raise ValueError("a chunk must hold at least one buffer")
@@ -74,11 +99,7 @@ def rolling_shares(
         *[t.alias(n) for n, t in _counters(F.col(flag), F.col(sentiment)).items()],
         F.floor(F.col(seq) / chunk).alias("_block"),
     )
-    blocks = rows.groupBy("_block").agg(F.count("*").alias("_rows"))
-    earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = blocks.select(
-        "_block", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start")
-    )
+    starts = _rows_before(rows.groupBy("_block").agg(F.count("*").alias("_rows")))
     place = F.row_number().over(Window.partitionBy("_block").orderBy("_seq"))
     placed = (
         rows.withColumn("_place", place)

@@ -11,10 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from murmullo.functions.coerce import (
-    author_or_unknown, safe_bool, safe_double, safe_int, text_or_empty,
+    author_or_unknown, safe_bool, safe_double, safe_int, text_or_empty, unified_text,
 )
 from murmullo.functions.text import has_text, strip
-from murmullo.schemas import FINAL
 
 log = logging.getLogger(__name__)
 
@@ -59,7 +58,7 @@ def normalize_comments(df: DataFrame) -> DataFrame:
     def given(name: str) -> Column:
         return F.col(name) if name in df.columns else F.lit(None).cast("string")
 
-    text = F.coalesce(given("comentario"), given("mensaje")).cast("string")
+    text = unified_text(given("comentario"), given("mensaje")).cast("string")
     raw = {
         "autor": author_or_unknown(given("autor")),
         "comentario": strip(text),
@@ -103,6 +102,3 @@ def export_table(df: DataFrame, paths: Sequence[str]) -> list[str]:
                 log.warning("could not copy the export to %s: %s", path, error)
     return done
 
-
-def empty_final(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], FINAL)

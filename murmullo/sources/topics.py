@@ -31,7 +31,7 @@ class KafkaTopic:
 
     def source_options(
         self, starting: str = "earliest", max_per_trigger: int | None = None,
-        group: str | None = None,
+        group: str | None = None, since_ms: int | None = None,
     ) -> dict[str, str]:
         found = {
             "kafka.bootstrap.servers": self.servers,
@@ -42,6 +42,8 @@ class KafkaTopic:
             found["maxOffsetsPerTrigger"] = str(max_per_trigger)
         if group is not None:
             found["groupIdPrefix"] = group
+        if since_ms is not None:
+            found["startingTimestamp"] = str(since_ms)
         return {**found, **self.options}
 
     def sink_options(self) -> dict[str, str]:
@@ -63,9 +65,16 @@ class KafkaTopic:
         options = self.source_options(starting, max_per_trigger, group)
         return self._columns(spark.readStream.format("kafka").options(**options).load())
 
-    def read_batch(self, spark: SparkSession, max_messages: int | None = None) -> DataFrame:
-        """Everything that is in the topic now, or its first ``max_messages``."""
-        options = {**self.source_options(), "endingOffsets": "latest"}
+    def read_batch(
+        self, spark: SparkSession, max_messages: int | None = None,
+        since_ms: int | None = None,
+    ) -> DataFrame:
+        """Everything that is in the topic now, or its first ``max_messages``.
+
+        With ``since_ms`` the brokers skip what is older, so a tail or last-N
+        read of a long topic fetches its recent part only.
+        """
+        options = {**self.source_options(since_ms=since_ms), "endingOffsets": "latest"}
         df = self._columns(spark.read.format("kafka").options(**options).load())
         return bounded(df, max_messages)
 
@@ -134,11 +143,11 @@ def from_positions(
     df: DataFrame, positions: Mapping[int, int],
     partition: str = "partition", offset: str = "offset",
 ) -> DataFrame:
-    """Rows at or after the given offsets; rows of other partitions are left out.
+    """Rows at or after the given offsets, and all rows of other partitions.
 
     The limits are literals, so they reach the scan and skip old row groups.
     """
-    wanted = F.lit(False)
+    wanted = ~F.col(partition).isin(list(positions)) if positions else F.lit(True)
     for number, start in sorted(positions.items()):
         wanted = wanted | ((F.col(partition) == number) & (F.col(offset) >= start))
     return df.filter(wanted)
@@ -151,13 +160,21 @@ def incremental_tail(
     """At most ``max_new`` messages after the remembered positions, oldest first.
 
     Without positions it starts a few messages before the end of each partition.
+    A partition that was added since is read from its beginning.
     """
     if positions is None:
-        ends = end_positions(df, partition, offset)
-        positions = {p: max(0, end - TAIL_START) for p, end in ends.items()}
+        positions = tail_starts(df, partition, offset)
     return from_positions(df, positions, partition, offset).orderBy(offset, partition).limit(max_new)
 
 
+def tail_starts(
+    df: DataFrame, partition: str = "partition", offset: str = "offset"
+) -> dict[int, int]:
+    """Where a tail without remembered positions begins."""
+    ends = end_positions(df, partition, offset)
+    return {p: max(0, end - TAIL_START) for p, end in ends.items()}
+
+
 def advance(
     positions: Mapping[int, int], taken: DataFrame,
     partition: str = "partition", offset: str = "offset",

@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from murmullo.operators import recent
 from murmullo.operators.recent import last_rows, recent_messages, recent_shares, rolling_shares
 
 KIND = "seq long, es_odio boolean, sentimiento string"
@@ -52,10 +53,21 @@ def test_rolling_shares_has_no_task_with_all_rows(spark):
     df = spark.createDataFrame(_rows(10, 1, 1), KIND)
     plan = rolling_shares(df, "seq")._jdf.queryExecution().optimizedPlan().toString()
     orders = [line.rsplit("], [", 2) for line in plan.splitlines() if "Window [" in line]
-    # Partition and order close the line. Only the block totals have no partition.
-    whole = [o for o in orders if len(o) < 3 or not o[1].startswith(("_block", "_chunk"))]
-    assert len(orders) == 3 and len(whole) == 1
-    assert "_rows" in whole[0][0]
+    # Partition and order close the line. Only the totals of groups of blocks
+    # have no partition.
+    split = ("_block", "_chunk", "_group")
+    whole = [o for o in orders if len(o) < 3 or not o[1].startswith(split)]
+    assert len(orders) == 4 and len(whole) == 1
+    assert "_all" in whole[0][0]
+
+
+def test_rolling_shares_over_several_groups_of_blocks(spark, monkeypatch):
+    monkeypatch.setattr(recent, "_BLOCKS_PER_GROUP", 3)
+    rows = _rows(500, 4, 5)
+    found = rolling_shares(spark.createDataFrame(rows, KIND), "seq", size=9, chunk=11).collect()
+    expected = _expected(rows, 9)
+    assert {r.seq: (r.total, r.pct_pos) for r in found} == {
+        k: (t, pytest.approx(100 * pos / t, abs=0.0501)) for k, (t, _, pos, _) in expected.items()}
 
 
 def test_recent_shares_is_the_last_rolling_row(spark):

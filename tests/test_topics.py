@@ -6,7 +6,7 @@ from murmullo.sources.tables import (
 )
 from murmullo.sources.topics import (
     FileTopic, KafkaTopic, advance, decode_value, end_positions, from_positions,
-    incremental_tail, last_messages,
+    incremental_tail, last_messages, tail_starts,
 )
 
 
@@ -18,6 +18,7 @@ def test_kafka_options():
         "kafka.security.protocol": "SSL",
     }
     assert "maxOffsetsPerTrigger" not in topic.source_options()
+    assert topic.source_options(since_ms=5)["startingTimestamp"] == "5"
     assert topic.sink_options()["topic"] == "comentarios-raw"
 
 
@@ -45,8 +46,9 @@ def messages(spark):
 def test_positions(messages):
     assert end_positions(messages) == {0: 100, 1: 10, 2: 25}
     found = from_positions(messages, {0: 98, 2: 0}).groupBy("partition").count().collect()
-    assert {r.partition: r["count"] for r in found} == {0: 2, 2: 20}
-    assert from_positions(messages, {}).count() == 0
+    assert {r.partition: r["count"] for r in found} == {0: 2, 1: 10, 2: 20}
+    assert from_positions(messages, {}).count() == 130
+    assert tail_starts(messages) == {0: 80, 1: 0, 2: 5}
 
 
 def test_tail_reads_everything_once(messages):
