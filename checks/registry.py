@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from checks import sql, views
 from murmullo.functions import text as tx
-from murmullo.functions.coerce import safe_bool, safe_double, safe_int
 from murmullo.functions.labels import category_name, correlation_label, severity
 from murmullo.operators import recent, summaries
 from murmullo.operators.correlation import likes_correlation

@@ -145,16 +145,18 @@ def final(read: Reader) -> DataFrame:
     return enrich(raw(read), *scorers())
 
 
-def given_probabilities(read: Reader) -> DataFrame:
-    """One comment per event with label probabilities as maps."""
+def given_probabilities(read: Reader, as_map: bool = True) -> DataFrame:
+    """One comment per event with its label probabilities, as maps or as arrays."""
     e = read("events")
 
     def table(steps: dict[str, int], modulus: int, scale: float):
-        return F.create_map(*[
-            x
+        found = {
+            label: (F.col("event_id") * step) % modulus / F.lit(scale)
             for label, step in steps.items()
-            for x in (F.lit(label), (F.col("event_id") * step) % modulus / F.lit(scale))
-        ])
+        }
+        if as_map:
+            return F.create_map(*[x for k, p in found.items() for x in (F.lit(k), p)])
+        return F.array(*found.values())
 
     return e.select(
         "event_id", "ts", "event_type", "props",
@@ -170,7 +172,7 @@ def given_probabilities(read: Reader) -> DataFrame:
 
 def marked(read: Reader) -> DataFrame:
     """The events with hate and sentiment decided from the given probabilities."""
-    given = given_probabilities(read)
+    given = given_probabilities(read, as_map=False)
     return decide_sentiment(decide_hate(given, text="props"), text="props").drop(
         "probas_odio", "probas_sentimiento", "texto_parcial"
     )
