@@ -15,7 +15,7 @@ from murmullo import schemas
 from murmullo.operators.scorers import lexicon_scorer
 from murmullo.plans import batch
 from murmullo.session import get_session
-from murmullo.sources.topics import EXPORT_LIMIT, FileTopic, KafkaTopic, Topic
+from murmullo.sources.topics import FileTopic, KafkaTopic, Topic
 from murmullo.streaming import jobs
 
 
@@ -56,7 +56,7 @@ def parser() -> argparse.ArgumentParser:
     publish.add_argument("source")
     export = commands.add_parser("export", help="the final topic to Parquet")
     export.add_argument("paths", nargs="+")
-    export.add_argument("--max-messages", type=int, default=EXPORT_LIMIT)
+    export.add_argument("--max-messages", type=int, help="default: the whole topic")
     streams = {
         "clean": "raw records to cleaned records",
         "hate": "cleaned records to classified records",

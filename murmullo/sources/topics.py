@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-EXPORT_LIMIT = 200_000
 TAIL_START = 20
 MAX_PARTITIONS = 10_000
 
