@@ -27,7 +27,7 @@ from murmullo.session import work_dir
 from murmullo.sources import tables
 from murmullo.sources.records import decode, encode, malformed_lines
 from murmullo.sources.topics import (
-    FileTopic, advance, incremental_tail, last_messages, tail_starts,
+    FileTopic, first_messages, incremental_tail, last_messages,
 )
 from murmullo.streaming import jobs
 from murmullo.streaming.buffer import read_buffer, start_buffer
@@ -147,8 +147,8 @@ def _clean_text(spark, sf):
 
 
 _EXPORT_FLAG = "CASE event_id % 5 WHEN 0 THEN 'true' WHEN 1 THEN 'false' WHEN 2 THEN '1' WHEN 3 THEN 'quizás' ELSE NULL END"
-_EXPORT_PROB = "CASE event_id % 4 WHEN 0 THEN CAST(value AS {0}) WHEN 1 THEN 'NaN' WHEN 2 THEN 'x' ELSE NULL END"
-_EXPORT_LIKES = "CASE event_id % 4 WHEN 0 THEN CAST(value AS {0}) WHEN 1 THEN 'nan' WHEN 2 THEN concat('-', CAST(value AS {0})) ELSE NULL END"
+_EXPORT_PROB = "CASE event_id % 5 WHEN 0 THEN CAST(value AS {0}) WHEN 1 THEN 'NaN' WHEN 2 THEN 'x' WHEN 3 THEN '2f' ELSE NULL END"
+_EXPORT_LIKES = "CASE event_id % 5 WHEN 0 THEN CAST(value AS {0}) WHEN 1 THEN 'nan' WHEN 2 THEN concat('-', CAST(value AS {0})) WHEN 3 THEN '1d' ELSE NULL END"
 
 
 @checked("coerce_export", f"""
@@ -182,12 +182,15 @@ def _json_roundtrip(spark, sf):
 
 
 def _damaged(spark, sf) -> DataFrame:
-    """The records as JSON lines: chat lines broken, page lines blank."""
+    """The records as JSON lines: chat lines broken, page lines blank, some events
+    with a key twice or a number that is none."""
     records = views.raw(views.tables(spark, sf))
     line = F.to_json(F.struct("rid", "autor", "likes", "comentario"))
     return records.select(
         F.when(F.col("rid").startswith("c"), F.concat(F.lit("{bad "), "rid"))
         .when(F.col("rid").startswith("p"), F.lit(" \t "))
+        .when(F.col("rid").rlike("^e.*3$"), F.concat(F.lit('{"likes":NaN,"rid":"'), "rid", F.lit('"}')))
+        .when(F.col("rid").rlike("^e.*4$"), F.concat(F.lit('{"rid":"x","rid":"'), "rid", F.lit('"}')))
         .otherwise(line)
         .alias("value")
     )
@@ -199,13 +202,16 @@ _LINE = struct(
 
 
 @checked("json_good_rows", sql.over("raw", """
-    SELECT rid, autor, likes, comentario FROM raw WHERE rid[1] NOT IN ('c', 'p')"""))
+    SELECT rid, autor, likes, comentario FROM raw WHERE rid[1] NOT IN ('c', 'p') AND NOT regexp_matches(rid, '^e.*[34]$')"""))
 def _json_good_rows(spark, sf):
     return decode(_damaged(spark, sf), _LINE)
 
 
 @checked("json_quarantine", sql.over("raw", """
-    SELECT concat('{bad ', rid) AS value FROM raw WHERE rid[1] = 'c'"""))
+    SELECT CASE WHEN rid[1] = 'c' THEN concat('{bad ', rid)
+        WHEN rid LIKE '%3' THEN concat('{"likes":NaN,"rid":"', rid, '"}')
+        ELSE concat('{"rid":"x","rid":"', rid, '"}') END AS value
+    FROM raw WHERE rid[1] = 'c' OR regexp_matches(rid, '^e.*[34]$')"""))
 def _json_quarantine(spark, sf):
     return malformed_lines(_damaged(spark, sf), _LINE)
 
@@ -252,28 +258,52 @@ def _row_gate(spark, sf):
     return rows.agg(F.count("*").alias("filas"))
 
 
-@checked("bounded_read", _ALL_MARKED)
+@checked("bounded_read", sql.over("topic", """
+    SELECT "partition", "offset", event_id FROM topic
+    WHERE "offset" < 333"""))
 def _bounded_read(spark, sf):
+    """The first 999 messages, a third from each of the three partitions."""
+    messages = views.topic(views.tables(spark, sf)).select("partition", "offset", "event_id")
+    return first_messages(messages, 999)
+
+
+@checked("export_topic", _ALL_MARKED)
+def _export_topic(spark, sf):
     rows, folder = _marked(spark, sf), FileTopic(work_dir(spark, "topic"))
     folder.write_batch(encode(rows))
     return decode(folder.read_batch(spark).select("value"), rows.schema)
 
 
-@checked("incremental_tail", sql.over("topic", """
-    SELECT CASE WHEN n <= 10 THEN 1 ELSE 2 END AS lectura, "partition", "offset", event_id
-    FROM (SELECT *, row_number() OVER (ORDER BY "offset", "partition") AS n
-          FROM (SELECT *, max("offset") OVER (PARTITION BY "partition") + 1 AS fin FROM topic)
-          WHERE "offset" >= greatest(0, fin - 20))
-    WHERE n <= 20"""))
+# Of 20 waiting messages per partition the first read takes 3, 3 and 4; then the
+# last partition is the shortest, and the shares go to 2, 0 and 1 in this order.
+_TAIL = """
+    SELECT CASE WHEN n <= CASE "partition" WHEN 2 THEN 4 ELSE 3 END THEN 1 ELSE 2 END AS lectura,
+           "partition", "offset", event_id
+    FROM (SELECT *, "offset" - (fin - 20) + 1 AS n
+          FROM (SELECT *, max("offset") OVER (PARTITION BY "partition") + 1 AS fin FROM topic))
+    WHERE n BETWEEN 1 AND CASE "partition" WHEN 0 THEN 6 ELSE 7 END"""
+
+
+@checked("incremental_tail", sql.over("topic", _TAIL))
 def _incremental_tail(spark, sf):
     messages = views.topic(views.tables(spark, sf)).select("partition", "offset", "event_id")
-    starts = tail_starts(messages)
-    first = incremental_tail(messages, starts)
-    second = incremental_tail(messages, advance(starts, first))
+    first, positions = incremental_tail(messages)
+    second, _ = incremental_tail(messages, positions)
     mark = lambda df, n: df.select(F.lit(n).alias("lectura"), *messages.columns)
     return mark(first, 1).unionByName(mark(second, 2))
 
 
+@checked("uneven_tail", sql.over("topic", """
+    SELECT "partition", "offset", event_id FROM (
+        SELECT *, row_number() OVER (PARTITION BY "partition" ORDER BY "offset") AS n
+        FROM topic WHERE "partition" = 0 OR "offset" >= 100)
+    WHERE n <= 10 + CASE WHEN "partition" = 0 THEN 1 ELSE 0 END"""))
+def _uneven_tail(spark, sf):
+    """Two partitions whose offsets lie far apart are served alike."""
+    messages = views.topic(views.tables(spark, sf)).select("partition", "offset", "event_id")
+    return incremental_tail(messages, {0: 0, 1: 100, 2: 100}, max_new=31)[0]
+
+
 @checked("last_n_per_partition", sql.over("topic", """
     SELECT "partition", "offset", event_id, es_odio
     FROM (SELECT *, row_number() OVER (PARTITION BY "partition" ORDER BY "offset" DESC) AS n FROM topic)
@@ -374,7 +404,7 @@ def _ml_hate_scores(spark, sf):
     # Training reads its input several times, so the cleaned texts are stored.
     path = work_dir(spark, "labelled")
     tables.write_table(labelled.select("comentario_limpio", "label"), path)
-    model = fit_classifier(tables.read_table(spark, path), features=1 << 14, max_iter=10)
+    model = fit_classifier(tables.read_table(spark, path))
     scored = classifier_scorer(model, "CALLS")(cleaned, "comentario_limpio", "probas_odio")
     return decide_hate(scored).select("doc_id", "es_odio", "prob_odio", "categoria_odio")
 
@@ -524,6 +554,17 @@ over_marked("rolling_shares", lambda df: recent.rolling_shares(df, "event_id"),
              count(*) FILTER (WHERE sentimiento = 'NEG') OVER w AS n,
              count(*) FILTER (WHERE sentimiento = 'NEU') OVER w AS u
       FROM marked WINDOW w AS (ORDER BY event_id ROWS BETWEEN 59 PRECEDING AND CURRENT ROW))"""))
+over_marked(
+    "rolling_shares_sparse",
+    lambda df: recent.rolling_shares(
+        df.withColumn("sparse", F.col("event_id") * (1 << 40)), "sparse"),
+    sql.over("marked", f"""
+    SELECT event_id * 1099511627776 AS sparse, total, {_ROLLING} FROM (
+      SELECT event_id, count(*) OVER w AS total, count(*) FILTER (WHERE es_odio) OVER w AS o,
+             count(*) FILTER (WHERE sentimiento = 'POS') OVER w AS p,
+             count(*) FILTER (WHERE sentimiento = 'NEG') OVER w AS n,
+             count(*) FILTER (WHERE sentimiento = 'NEU') OVER w AS u
+      FROM marked WINDOW w AS (ORDER BY event_id ROWS BETWEEN 59 PRECEDING AND CURRENT ROW))"""))
 over_final("recent_messages", lambda df: recent.recent_messages(df, "rid"), sql.over("final", f"""
     SELECT rid, autor, substr(comentario, 1, 130) AS texto, {sql.category('categoria_odio')} AS categoria,
         CASE WHEN es_odio THEN 'odio' WHEN sentimiento = 'NEG' THEN 'negativo'
@@ -551,29 +592,39 @@ def _to_parquet(spark, df: DataFrame, purpose: str) -> DataFrame:
 _CLOSED = "ventana_fin <= (SELECT epoch(max(ts)) FROM events) - 10"
 
 
-@checked("stream_throughput", sql.over(
-    "marked", f"SELECT * FROM throughput WHERE {_CLOSED}", sql.throughput()))
+def _latest(spark, df: DataFrame, purpose: str) -> DataFrame:
+    """Run a window metric over all there is; the last window is part of the result."""
+    path = work_dir(spark, purpose)
+    jobs.start_latest_result(
+        df, f"{path}/out", f"{path}/state", trigger="available"
+    ).awaitTermination()
+    return jobs.read_latest_result(spark, f"{path}/out", df.schema, "ventana_fin")
+
+
+@checked("stream_throughput", sql.over("marked", "SELECT * FROM throughput", sql.throughput()))
 def _stream_throughput(spark, sf):
     events = views.streams(spark, sf)("events")
-    return _to_parquet(spark, jobs.throughput_stream(events, "ts"), "throughput")
+    return _latest(spark, jobs.throughput_stream(events, "ts", late="10 seconds"), "throughput")
 
 
-@checked("stream_sentiment", sql.over(
-    "marked", f"SELECT * FROM ventanas WHERE {_CLOSED}", sql.sentiment_windows()))
+@checked("stream_sentiment", sql.over("marked", "SELECT * FROM ventanas", sql.sentiment_windows()))
 def _stream_sentiment(spark, sf):
     events = views.marked(views.streams(spark, sf))
-    return _to_parquet(spark, jobs.sentiment_stream(events, "ts"), "sentiment")
+    return _latest(spark, jobs.sentiment_stream(events, "ts", late="10 seconds"), "sentiment")
 
 
 @checked("stream_sentiment_complete", sql.over(
     "marked", "SELECT * FROM ventanas", sql.sentiment_windows()))
 def _stream_sentiment_complete(spark, sf):
-    events, path = views.marked(views.streams(spark, sf)), work_dir(spark, "complete")
-    result = jobs.sentiment_stream(events, "ts")
-    jobs.start_latest_result(
-        result, f"{path}/out", f"{path}/state", trigger="available"
-    ).awaitTermination()
-    return spark.read.schema(result.schema).parquet(f"{path}/out")
+    """In several micro-batches, so that windows are updated."""
+    path, read = work_dir(spark, "complete"), views.tables(spark, sf)
+    read("events").repartition(3).write.parquet(f"{path}/in")
+    arriving = spark.readStream.schema(read("events").schema).option(
+        "maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    result = jobs.sentiment_stream(
+        views.marked(lambda name: arriving if name == "events" else read(name)), "ts",
+        late="60 days")
+    return _latest(spark, result, "complete-out")
 
 
 @checked("stream_late_data", sql.over("marked", f"""
@@ -589,7 +640,7 @@ def _stream_late_data(spark, sf):
     for part in (second_half, ~second_half):
         events.filter(part).write.mode("append").parquet(f"{path}/in")
         arriving = spark.readStream.schema(events.schema).parquet(f"{path}/in")
-        metric = jobs.throughput_stream(arriving, "ts")
+        metric = jobs.throughput_stream(arriving, "ts", late="10 seconds")
         jobs.start_parquet_sink(
             metric, f"{path}/out", f"{path}/state", trigger="available"
         ).awaitTermination()

@@ -69,11 +69,21 @@ def parser() -> argparse.ArgumentParser:
     for stream in streaming:
         stream.add_argument("--checkpoint", required=True)
         stream.add_argument("--trigger")
+        stream.add_argument("--max-per-trigger", type=int, help="messages (files with --folder)")
     for command in [publish, export, *streaming]:
         command.add_argument("--servers", default="localhost:9092")
         command.add_argument("--folder", help="folders of JSON lines instead of Kafka")
     for name in ("hate", "sentiment", "enrich"):
         commands.choices[name].add_argument("--lexicons", required=True)
+    for name in ("hate", "enrich"):
+        commands.choices[name].add_argument(
+            "--threshold", type=float, default=schemas.HATE_THRESHOLD)
+    for name in ("clean", "hate", "sentiment", "enrich", "sentiment-windows"):
+        commands.choices[name].add_argument(
+            "--on-malformed", choices=("fail", "skip"), default="fail")
+    for name in ("throughput", "sentiment-windows"):
+        commands.choices[name].add_argument(
+            "--late", required=True, help="how late a message may come, such as '10 minutes'")
     return top
 
 
@@ -96,7 +106,13 @@ def main(argv: Sequence[str] | None = None) -> None:
 
 
 def _stream(spark, args: argparse.Namespace):
-    common = {"checkpoint": args.checkpoint, "name": args.command, "trigger": args.trigger}
+    common = {
+        "checkpoint": args.checkpoint, "name": args.command, "trigger": args.trigger,
+        "max_per_trigger": args.max_per_trigger,
+    }
+    for setting in ("on_malformed", "late"):
+        if hasattr(args, setting):
+            common[setting] = getattr(args, setting)
 
     def topics(source: str, sink: str) -> tuple[Topic, Topic]:
         return _topic(args, source), _topic(args, sink)
@@ -113,12 +129,12 @@ def _stream(spark, args: argparse.Namespace):
     hate, sentiment = _lexicons(args.lexicons)
     if args.command == "hate":
         ends = topics(schemas.TOPIC_CLEAN, schemas.TOPIC_CLASSIFIED)
-        return jobs.start_stage(spark, *ends, jobs.hate_stage(hate), **common)
+        return jobs.start_stage(spark, *ends, jobs.hate_stage(hate, args.threshold), **common)
     if args.command == "sentiment":
         ends = topics(schemas.TOPIC_CLASSIFIED, schemas.TOPIC_FINAL)
         return jobs.start_stage(spark, *ends, jobs.sentiment_stage(sentiment), **common)
     ends = topics(schemas.TOPIC_RAW, schemas.TOPIC_FINAL)
-    return jobs.start_enrichment(spark, *ends, hate, sentiment, **common)
+    return jobs.start_enrichment(spark, *ends, hate, sentiment, threshold=args.threshold, **common)
 
 
 if __name__ == "__main__":

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from murmullo.functions.labels import category_name, named, severity
 from murmullo.functions.measures import percent_or_zero
 from murmullo.functions.text import shorten
+from murmullo.operators.ordered import with_running_sums
 from murmullo.schemas import NEUTRAL, NO_HATE
 from murmullo.wordlists import CATEGORY_NAMES
 
@@ -53,58 +54,28 @@ def recent_shares(
     ).select("total", *[c.alias(n) for n, c in _shares(F.col("total")).items()])
 
 
-# Blocks whose totals are summed together before the sums themselves are.
-_BLOCKS_PER_GROUP = 4096
-
-
-def _rows_before(blocks: DataFrame) -> DataFrame:
-    """How many rows lie in the blocks before each block.
-
-    Summed in two levels: inside groups of blocks, in parallel, and over the
-    totals of the groups. Only the latter is one task, of one row per
-    ``_BLOCKS_PER_GROUP`` blocks.
-    """
-    grouped = blocks.withColumn("_group", F.floor(F.col("_block") / _BLOCKS_PER_GROUP))
-    start = Window.unboundedPreceding
-    groups = Window.orderBy("_group").rowsBetween(start, -1)
-    inside = Window.partitionBy("_group").orderBy("_block").rowsBetween(start, -1)
-    bases = grouped.groupBy("_group").agg(F.sum("_rows").alias("_all")).select(
-        "_group", F.coalesce(F.sum("_all").over(groups), F.lit(0)).alias("_base")
-    )
-    earlier = F.coalesce(F.sum("_rows").over(inside), F.lit(0))
-    return (
-        grouped.withColumn("_earlier", earlier)
-        .join(bases, "_group")
-        .select("_block", (F.col("_base") + F.col("_earlier")).alias("_start"))
-    )
-
-
 def rolling_shares(
     df: DataFrame, seq: str, size: int = BUFFER_SIZE, flag: str = "es_odio",
     sentiment: str = "sentimiento", chunk: int = 1 << 16,
 ) -> DataFrame:
     """The same shares after every message, over it and the ``size - 1`` before.
 
-    ``seq`` is a unique whole number that gives the order; gaps are allowed.
-    One ordered window would put all rows in one task. Instead each row gets its
-    position (rows of earlier ``seq`` blocks plus its place in its own block),
+    ``seq`` is a unique number or time that gives the order; its values may lie
+    any distance apart. One ordered window would put all rows in one task.
+    Instead each row gets its position from range partitions and their counts,
     positions are cut in chunks, and the last ``size - 1`` rows of a chunk are
-    also sent to the next one. Every chunk is then complete on its own. Blocks
-    and chunks hold ``chunk`` rows at most, so no task grows with the data.
+    also sent to the next one. Every chunk is then complete on its own and holds
+    ``chunk + size`` rows at most.
     """
     if chunk < size:
         raise ValueError("a chunk must hold at least one buffer")
     rows = df.select(
         F.col(seq).alias("_seq"),
         *[t.alias(n) for n, t in _counters(F.col(flag), F.col(sentiment)).items()],
-        F.floor(F.col(seq) / chunk).alias("_block"),
+        F.lit(1).alias("_one"),
     )
-    starts = _rows_before(rows.groupBy("_block").agg(F.count("*").alias("_rows")))
-    place = F.row_number().over(Window.partitionBy("_block").orderBy("_seq"))
-    placed = (
-        rows.withColumn("_place", place)
-        .join(starts, "_block")
-        .withColumn("_pos", F.col("_start") + F.col("_place") - 1)
+    placed = with_running_sums(rows, [F.col("_seq")], {"_place": "_one"}, "rolling").withColumn(
+        "_pos", F.col("_place") - 1
     )
     own = F.floor(F.col("_pos") / chunk)
     is_tail = F.pmod(F.col("_pos"), F.lit(chunk)) > chunk - size

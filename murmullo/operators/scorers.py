@@ -10,10 +10,13 @@ in label order, so the decision reads it without looking names up. Three kinds:
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from dataclasses import dataclass
 from typing import Any
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, Tokenizer
@@ -21,7 +24,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmullo.functions.binding import bind
+from murmullo.functions.binding import bind, generated
 from murmullo.schemas import HATE_LABELS
 
 Scorer = Callable[[DataFrame, str, str], DataFrame]
@@ -34,10 +37,47 @@ def _hits(words: Column, terms: Sequence[str]) -> Column:
     return F.size(F.filter(words, lambda word: word.isin(list(terms)))).cast("double")
 
 
+@dataclass(frozen=True)
+class LexiconScorer:
+    """Word lists as a scorer; see ``lexicon_scorer``."""
+
+    lexicon: Lexicon
+    labels: Sequence[str]
+    half_point: float
+    rest_label: str | None
+
+    def __call__(self, df: DataFrame, text: str, target: str) -> DataFrame:
+        return score_together(df, text, {target: self})
+
+    def listed(self) -> set[str]:
+        return {term for terms in self.lexicon.values() for term in terms}
+
+    def probabilities(self, found: Column) -> Column:
+        """From the listed words of a text to the array of probabilities."""
+        half = float(self.half_point)
+        place = {label: i for i, label in enumerate(self.lexicon)}
+
+        def shares(hits: Column) -> Column:
+            total = sum((hits[i] for i in range(1, len(place))), hits[0]) + half
+
+            def of(label: str) -> Column:
+                if label == self.rest_label:
+                    return F.lit(half) / total
+                if label not in place:
+                    return F.lit(0.0)
+                h = hits[place[label]]
+                return h / (h + half) if self.rest_label is None else h / total
+
+            return F.array(*[of(label) for label in self.labels])
+
+        hits = bind(found, lambda f: F.array(*[_hits(f, t) for t in self.lexicon.values()]))
+        return bind(hits, shares)
+
+
 def lexicon_scorer(
     lexicon: Lexicon, labels: Sequence[str] = HATE_LABELS, half_point: float = 2.0,
     rest_label: str | None = None,
-) -> Scorer:
+) -> LexiconScorer:
     """Probability from the number of listed words in the text.
 
     Without ``rest_label`` the labels are independent: ``h / (h + half_point)``
@@ -48,32 +88,24 @@ def lexicon_scorer(
     unknown = set(lexicon) - set(labels)
     if unknown:
         raise ValueError(f"not among the labels: {sorted(unknown)}")
-    place = {label: i for i, label in enumerate(lexicon)}
-    listed = sorted({term for terms in lexicon.values() for term in terms})
-    half = float(half_point)
-
-    def probabilities(hits: Column) -> Column:
-        total = sum((hits[i] for i in range(1, len(place))), hits[0]) + half
+    return LexiconScorer(lexicon, labels, half_point, rest_label)
 
-        def of(label: str) -> Column:
-            if label == rest_label:
-                return F.lit(half) / total
-            if label not in place:
-                return F.lit(0.0)
-            h = hits[place[label]]
-            return h / (h + half) if rest_label is None else h / total
 
-        return F.array(*[of(label) for label in labels])
-
-    def score(df: DataFrame, text: str, target: str) -> DataFrame:
-        words = F.split(F.coalesce(F.lower(F.col(text)), F.lit("")), " ")
-        # The text is searched once for all lists; the few words found are then
-        # sorted out by label.
-        found = F.filter(words, lambda word: word.isin(listed))
-        hits = bind(found, lambda f: F.array(*[_hits(f, t) for t in lexicon.values()]))
-        return df.withColumn(target, bind(hits, probabilities))
+def score_together(
+    df: DataFrame, text: str, scorers: Mapping[str, LexiconScorer]
+) -> DataFrame:
+    """Several word-list scorers in one pass: ``target: scorer``.
 
-    return score
+    The text is split and searched once for all lists; the few words found are
+    then sorted out by scorer and label.
+    """
+    listed = sorted(set().union(*[s.listed() for s in scorers.values()]))
+    words = F.split(F.coalesce(F.lower(F.col(text)), F.lit("")), " ")
+    found = F.filter(words, lambda word: word.isin(listed))
+    searched = generated(df, {"_found": found})
+    return searched.withColumns({
+        target: scorer.probabilities(F.col("_found")) for target, scorer in scorers.items()
+    }).drop("_found")
 
 
 def fit_classifier(
@@ -113,14 +145,19 @@ def classifier_scorer(
     return score
 
 
-_models: dict[str, Model] = {}
+_models: dict[tuple[str, str], Model] = {}
 
 
-def _loaded(key: str, load: Callable[[], Model]) -> Model:
-    """One model per worker process, loaded when the first batch arrives."""
-    if key not in _models:
-        _models[key] = load()
-    return _models[key]
+def _loaded(key: str, version: str, load: Callable[[], Model]) -> Model:
+    """One model per key in a worker process, loaded when the first batch arrives.
+
+    Another version under the same key takes the place of the old one.
+    """
+    if (key, version) not in _models:
+        for old in [k for k in _models if k[0] == key]:
+            del _models[old]
+        _models[key, version] = load()
+    return _models[key, version]
 
 
 def model_scorer(
@@ -131,11 +168,13 @@ def model_scorer(
 
     The model is never serialised with the job and is reused by all tasks of a
     worker. It sees batches of non-blank texts; blank texts get no scores. Its
-    probabilities come in the order of ``model_labels``.
+    probabilities come in the order of ``model_labels``. The version in the key is a
+    hash of ``load`` with what it refers to, so a changed model is loaded anew.
     """
     from murmullo.session import ship_package
 
     ship_package(spark)
+    version = hashlib.sha256(cloudpickle.dumps(load)).hexdigest()
     given = list(model_labels)
     order = [given.index(label) if label in given else None for label in labels]
 
@@ -143,16 +182,16 @@ def model_scorer(
     def probabilities(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model: Any = None
         for batch in batches:
-            texts = batch.fillna("")
-            wanted = texts[texts.str.strip() != ""]
-            found = pd.Series([None] * len(texts), index=texts.index, dtype=object)
+            texts = batch.fillna("").tolist()
+            wanted = [i for i, one in enumerate(texts) if one.strip()]
+            found: list[list[float] | None] = [None] * len(texts)
             for start in range(0, len(wanted), batch_size):
                 if model is None:
-                    model = _loaded(key, load)
-                part = wanted.iloc[start:start + batch_size]
-                for index, row in zip(part.index, model(part.tolist())):
-                    found.at[index] = [0.0 if i is None else float(row[i]) for i in order]
-            yield found
+                    model = _loaded(key, version, load)
+                part = wanted[start:start + batch_size]
+                for i, row in zip(part, model([texts[i] for i in part])):
+                    found[i] = [0.0 if j is None else float(row[j]) for j in order]
+            yield pd.Series(found, dtype=object)
 
     def score(df: DataFrame, text: str, target: str) -> DataFrame:
         return df.withColumn(target, probabilities(F.col(text)))

@@ -37,25 +37,26 @@ def vocabulary_size(lists: DataFrame, min_count: int) -> int:
 
 def fit_word2vec(
     lists: DataFrame, vector_size: int = 50, min_count: int = 1, seed: int = 42,
-    max_iter: int = 1, num_partitions: int | None = None, max_vocabulary: int = 5_000_000,
+    max_iter: int = 1, num_partitions: int = 2, max_vocabulary: int | None = None,
 ) -> Word2VecModel:
     """Train word vectors.
 
-    MLlib keeps the vocabulary on the driver and sends it to every task. Its
-    size is therefore counted first; beyond ``max_vocabulary`` the job stops and
-    names the setting to change, rather than dropping words on its own. Training
-    runs in as many partitions as the cluster has cores unless told otherwise.
+    MLlib trains in each partition and merges the vectors, so the model depends
+    on ``num_partitions``, a setting like the others and never taken from the
+    cluster. It keeps the vocabulary on the driver and sends it to every task;
+    with ``max_vocabulary`` the size is counted first and the job stops where the
+    driver could not hold it, rather than dropping words on its own.
     """
-    found = vocabulary_size(lists, min_count)
-    if found > max_vocabulary:
-        raise VocabularyTooLarge(
-            f"{found} words occur {min_count} times or more; "
-            f"raise min_count or max_vocabulary ({max_vocabulary})"
-        )
-    cores = lists.sparkSession.sparkContext.defaultParallelism
+    if max_vocabulary is not None:
+        found = vocabulary_size(lists, min_count)
+        if found > max_vocabulary:
+            raise VocabularyTooLarge(
+                f"{found} words occur {min_count} times or more; "
+                f"raise min_count or max_vocabulary ({max_vocabulary})"
+            )
     return Word2Vec(
         vectorSize=vector_size, minCount=min_count, seed=seed, maxIter=max_iter,
-        numPartitions=num_partitions or max(2, cores),
+        numPartitions=num_partitions,
         inputCol="tokens", outputCol="vector",
     ).fit(lists)
 

@@ -12,20 +12,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from murmullo.functions.binding import generated
 from murmullo.functions.measures import first_highest, probability_array
 from murmullo.functions.text import clean_text, has_text
-from murmullo.operators.scorers import Scorer
+from murmullo.operators.scorers import LexiconScorer, Scorer, score_together
 from murmullo.schemas import (
     FINAL, HATE_LABELS, HATE_THRESHOLD, NEUTRAL, NO_HATE, NO_TEXT, SENTIMENT_LABELS,
 )
 from murmullo.wordlists import EMOJI_NAMES
 
 
-METRICS = "comentarios"
-
-
 def clean(df: DataFrame, emoji: Mapping[str, str] = EMOJI_NAMES) -> DataFrame:
-    return df.withColumn("comentario_limpio", clean_text(F.col("comentario"), emoji))
+    return generated(df, {"comentario_limpio": clean_text(F.col("comentario"), emoji)})
 
 
 def _with_scores(df: DataFrame, probas: str, labels: Sequence[str]) -> DataFrame:
@@ -79,27 +77,43 @@ def classify_sentiment(df: DataFrame, scorer: Scorer) -> DataFrame:
     return decide_sentiment(scored).drop("probas_sentimiento")
 
 
-def with_counts(df: DataFrame, name: str = METRICS) -> DataFrame:
-    """Count all rows and the hate rows while they pass.
+def with_counts(df: DataFrame, name: str) -> DataFrame:
+    """Count all rows and the hate rows under ``name`` while they pass.
 
     The counts arrive with the result: a ``QueryExecutionListener`` or
     ``Observation`` in a batch job, ``lastProgress.observedMetrics`` in a
-    stream. No second scan is needed. As the counts are of all rows, a later
-    filter stays behind this point, so it reads the scores that were computed
-    here rather than computing them a second time.
+    stream. No second scan is needed, but as all rows are counted, a later filter
+    cannot be pushed below this point; a name can be used once in a query.
     """
     return df.observe(
         name, F.count(F.lit(1)).alias("total"), F.count_if("es_odio").alias("n_odio")
     )
 
 
+def _scored(df: DataFrame, hate: Scorer, sentiment: Scorer) -> DataFrame:
+    if isinstance(hate, LexiconScorer) and isinstance(sentiment, LexiconScorer):
+        return score_together(
+            df, "comentario_limpio", {"probas_odio": hate, "probas_sentimiento": sentiment}
+        )
+    scored = hate(df, "comentario_limpio", "probas_odio")
+    return sentiment(scored, "comentario_limpio", "probas_sentimiento")
+
+
 def enrich(
     raw: DataFrame, hate: Scorer, sentiment: Scorer,
     threshold: float = HATE_THRESHOLD, emoji: Mapping[str, str] = EMOJI_NAMES,
-    metrics: str | None = METRICS,
+    metrics: str | None = None,
 ) -> DataFrame:
-    """Raw records to final records in one plan, counted under ``metrics``."""
-    final = classify_sentiment(classify_hate(clean(raw, emoji), hate, threshold), sentiment)
+    """Raw records to final records in one plan.
+
+    The cleaned text and the words found in it are computed once per row, whatever
+    is read or filtered later; a filter on a raw column reaches the scan.
+    With ``metrics`` the rows are counted under that name.
+    """
+    scored = _scored(clean(raw, emoji), hate, sentiment)
+    final = decide_sentiment(decide_hate(scored, threshold=threshold)).drop(
+        "probas_odio", "probas_sentimiento"
+    )
     return final if metrics is None else with_counts(final, metrics)
 
 

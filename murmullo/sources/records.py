@@ -8,40 +8,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from murmullo.functions.binding import bind
 from murmullo.functions.coerce import safe_bool, safe_double, safe_int
 from murmullo.functions.text import has_text
-from murmullo.schemas import as_text
-
-_BAD = "_corrupt"
-
-
-def _parsed(value: Column, schema: T.StructType) -> Column:
-    wide = as_text(schema).add(_BAD, T.StringType())
-    return F.from_json(
-        value, wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
-    )
-
-
-def _is_good(record: Column) -> Column:
-    return record.isNotNull() & record[_BAD].isNull()
-
 
 def good_records(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """The well-formed records as text columns, each line parsed once.
 
-    A filter on the parsed line would parse it again, so the line becomes a list
-    of one or no record, which is then unfolded.
+    A record is one JSON object as the standard has it: ``NaN``, infinities and
+    repeated keys make a line malformed, here and in the streams alike. A filter
+    on the parsed line would parse it again, so the line becomes a list of one
+    or no record, which is then unfolded.
     """
-    record = F.filter(F.array(_parsed(F.col(value), schema)), _is_good)
+    record = F.filter(F.array(parse_record(F.col(value))), lambda r: r.isNotNull())
     rest = [c for c in df.columns if c != value]
-    return df.filter(has_text(F.col(value))).select(*rest, F.inline(record)).drop(_BAD)
+    parsed = df.filter(has_text(F.col(value))).select(*rest, F.explode(record).alias("_record"))
+    return parsed.select(
+        *rest, *[text_field(F.col("_record"), f.name).alias(f.name) for f in schema.fields]
+    )
 
 
 def malformed_lines(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """The lines that hold no record. Blank lines are left out."""
-    good = bind(_parsed(F.col(value), schema), _is_good)
-    return df.filter(has_text(F.col(value)) & ~good)
+    return df.filter(has_text(F.col(value)) & parse_record(F.col(value)).isNull())
 
 
 def typed(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -6,6 +6,7 @@ does not know which one it reads.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -13,8 +14,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+# How far before the end a tail begins that has no positions yet.
 TAIL_START = 20
-MAX_PARTITIONS = 10_000
+
+# Topic partition -> next offset; topic partition -> (first offset, offset behind the last).
+Positions = Mapping[int, int]
+Ranges = Mapping[int, tuple[int, int]]
 
 
 def decode_value(value: Column) -> Column:
@@ -43,8 +48,25 @@ class KafkaTopic:
             found["groupIdPrefix"] = group
         if since_ms is not None:
             found["startingTimestamp"] = str(since_ms)
+            # A partition without newer records gives nothing, and does not fail.
+            found["startingOffsetsByTimestampStrategy"] = "latest"
         return {**found, **self.options}
 
+    def range_options(self, ranges: Ranges) -> dict[str, str]:
+        """Read exactly these offsets: the brokers send nothing else."""
+
+        def offsets(side: int) -> str:
+            return json.dumps({self.name: {str(p): r[side] for p, r in sorted(ranges.items())}})
+
+        return {
+            **self.source_options(), "startingOffsets": offsets(0), "endingOffsets": offsets(1)
+        }
+
+    def positions(self, offset: str) -> dict[int, int]:
+        """Positions from an offset text of a progress report or a checkpoint,
+        such as ``query.lastProgress.sources[0].endOffset``."""
+        return {int(p): int(o) for p, o in json.loads(offset)[self.name].items()}
+
     def sink_options(self) -> dict[str, str]:
         return {
             "kafka.bootstrap.servers": self.servers, "topic": self.name, **self.options
@@ -66,16 +88,25 @@ class KafkaTopic:
 
     def read_batch(
         self, spark: SparkSession, max_messages: int | None = None,
-        since_ms: int | None = None,
+        since_ms: int | None = None, starts: Positions | None = None,
+        ends: Positions | None = None,
     ) -> DataFrame:
-        """Everything that is in the topic now, or its first ``max_messages``.
+        """What is in the topic now, or at most its first ``max_messages``.
 
-        With ``since_ms`` the brokers skip what is older, so a tail or last-N
-        read of a long topic fetches its recent part only.
+        With ``starts`` and ``ends``, as a progress report gives them, only these
+        offsets are read. Without them a bounded read asks the topic for them
+        first, which reads it once. With ``since_ms`` the brokers skip what is older.
         """
+        if starts is not None and ends is not None:
+            return self.read_range(spark, next_ranges(starts, ends, max_messages))
         options = {**self.source_options(since_ms=since_ms), "endingOffsets": "latest"}
         df = self._columns(spark.read.format("kafka").options(**options).load())
-        return bounded(df, max_messages)
+        return df if max_messages is None else first_messages(df, max_messages)
+
+    def read_range(self, spark: SparkSession, ranges: Ranges) -> DataFrame:
+        """The messages of a closed range; what arrives meanwhile is not in it."""
+        options = self.range_options(ranges)
+        return self._columns(spark.read.format("kafka").options(**options).load())
 
     def write_stream(self, df: DataFrame) -> DataStreamWriter:
         return df.select("value").writeStream.format("kafka").options(**self.sink_options())
@@ -107,7 +138,12 @@ class FileTopic:
         return self._columns(reader.text(self.path))
 
     def read_batch(self, spark: SparkSession, max_messages: int | None = None) -> DataFrame:
-        return bounded(self._columns(spark.read.text(self.path)), max_messages)
+        df = spark.read.text(self.path)
+        if max_messages is None:
+            return self._columns(df)
+        # Oldest file first; lines of a file have no number, so they come by text.
+        oldest = [F.col("_metadata.file_modification_time"), F.col("_metadata.file_path")]
+        return self._columns(df.orderBy(*oldest, "value").limit(max_messages))
 
     def write_stream(self, df: DataFrame) -> DataStreamWriter:
         return df.select("value").writeStream.format("text").option("path", self.path)
@@ -119,32 +155,31 @@ class FileTopic:
 Topic = KafkaTopic | FileTopic
 
 
-def bounded(df: DataFrame, max_messages: int | None) -> DataFrame:
-    return df if max_messages is None else df.limit(max_messages)
+def bounds(
+    df: DataFrame, partition: str = "partition", offset: str = "offset"
+) -> dict[int, tuple[int, int]]:
+    """First offset and offset behind the last of each topic partition.
+
+    One row per topic partition comes to the driver; the scan reads two columns.
+    """
+    found = df.groupBy(partition).agg(F.min(offset), F.max(offset) + 1)
+    return {row[0]: (row[1], row[2]) for row in found.collect()}
 
 
 def end_positions(
     df: DataFrame, partition: str = "partition", offset: str = "offset"
 ) -> dict[int, int]:
-    """The next offset of each topic partition, as a consumer would ask for it.
-
-    One row per topic partition comes to the driver; the count is checked. The
-    scan reads the two columns only.
-    """
-    ends = df.groupBy(partition).agg((F.max(offset) + 1).alias("fin"))
-    rows = ends.limit(MAX_PARTITIONS + 1).collect()
-    if len(rows) > MAX_PARTITIONS:
-        raise ValueError(f"more than {MAX_PARTITIONS} topic partitions")
-    return {row[partition]: row["fin"] for row in rows}
+    """The next offset of each topic partition, as a consumer would ask for it."""
+    return {p: end for p, (_, end) in bounds(df, partition, offset).items()}
 
 
 def from_positions(
-    df: DataFrame, positions: Mapping[int, int],
+    df: DataFrame, positions: Positions,
     partition: str = "partition", offset: str = "offset",
 ) -> DataFrame:
     """Rows at or after the given offsets, and all rows of other partitions.
 
-    The limits are literals, so they reach the scan and skip old row groups.
+    The limits are literals, so they reach a Parquet scan and skip old row groups.
     """
     wanted = ~F.col(partition).isin(list(positions)) if positions else F.lit(True)
     for number, start in sorted(positions.items()):
@@ -152,46 +187,84 @@ def from_positions(
     return df.filter(wanted)
 
 
-def incremental_tail(
-    df: DataFrame, positions: Mapping[int, int] | None = None, max_new: int = 10,
-    partition: str = "partition", offset: str = "offset",
+def in_ranges(
+    df: DataFrame, ranges: Ranges, partition: str = "partition", offset: str = "offset"
 ) -> DataFrame:
-    """At most ``max_new`` messages after the remembered positions, oldest first.
+    """The rows of closed offset ranges, whatever else has arrived."""
+    wanted = F.lit(False)
+    for number, (start, end) in sorted(ranges.items()):
+        inside = (F.col(offset) >= start) & (F.col(offset) < end)
+        wanted = wanted | ((F.col(partition) == number) & inside)
+    return df.filter(wanted)
 
-    Without positions it starts a few messages before the end of each partition.
-    A partition that was added since is read from its beginning.
-    """
-    if positions is None:
-        positions = tail_starts(df, partition, offset)
-    return from_positions(df, positions, partition, offset).orderBy(offset, partition).limit(max_new)
 
+def next_ranges(
+    starts: Positions, ends: Positions, max_messages: int | None = None
+) -> dict[int, tuple[int, int]]:
+    """The next offsets of each partition, at most ``max_messages`` in all.
 
-def tail_starts(
-    df: DataFrame, partition: str = "partition", offset: str = "offset"
-) -> dict[int, int]:
-    """Where a tail without remembered positions begins."""
-    ends = end_positions(df, partition, offset)
-    return {p: max(0, end - TAIL_START) for p, end in ends.items()}
+    Every partition gets an equal share, and what a short one leaves goes to the
+    others, so none waits for the rest to catch up.
+    """
+    waiting = {p: max(0, end - starts.get(p, 0)) for p, end in ends.items()}
+    left = sum(waiting.values()) if max_messages is None else max_messages
+    found = {}
+    shortest = sorted(waiting.items(), key=lambda x: (x[1], x[0]))
+    for i, (p, n) in enumerate(shortest):
+        share = min(n, left // (len(shortest) - i))
+        left -= share
+        found[p] = (starts.get(p, 0), starts.get(p, 0) + share)
+    return found
+
+
+def first_messages(
+    df: DataFrame, max_messages: int, partition: str = "partition", offset: str = "offset"
+) -> DataFrame:
+    """The oldest messages, an equal share from each partition."""
+    there = bounds(df, partition, offset)
+    ranges = next_ranges(
+        {p: b[0] for p, b in there.items()}, {p: b[1] for p, b in there.items()}, max_messages
+    )
+    return in_ranges(df, ranges, partition, offset)
 
 
-def advance(
-    positions: Mapping[int, int], taken: DataFrame,
-    partition: str = "partition", offset: str = "offset",
-) -> dict[int, int]:
-    """The positions to remember after ``taken`` was read."""
-    return {**positions, **end_positions(taken, partition, offset)}
+def incremental_tail(
+    df: DataFrame, positions: Positions | None = None, max_new: int = 10,
+    partition: str = "partition", offset: str = "offset", back: int = TAIL_START,
+) -> tuple[DataFrame, dict[int, int]]:
+    """At most ``max_new`` messages after the remembered positions, and the
+    positions to remember next.
+
+    The ends are asked for once. Rows and new positions both come from the closed
+    range up to them, so a message that arrives meanwhile is read next time and
+    none is passed over. Without positions the tail starts ``back`` messages before
+    the end of each partition; a partition that was added since is read from its
+    beginning.
+    """
+    there = bounds(df, partition, offset)
+    ends = {p: end for p, (_, end) in there.items()}
+    if positions is None:
+        positions = {p: end - back for p, end in ends.items()}
+    # Offsets before the first that is still there cannot be read any more.
+    starts = {p: max(positions.get(p, first), first) for p, (first, _) in there.items()}
+    ranges = next_ranges(starts, ends, max_new)
+    rows = in_ranges(df, ranges, partition, offset).orderBy(offset, partition)
+    return rows, {**positions, **{p: end for p, (_, end) in ranges.items()}}
 
 
 def last_messages(
     df: DataFrame, max_messages: int = 300,
-    partition: str = "partition", offset: str = "offset",
+    partition: str = "partition", offset: str = "offset", time: str | None = None,
 ) -> DataFrame:
     """The newest messages, an equal share from each partition, at most
-    ``max_messages`` in all."""
+    ``max_messages`` in all.
+
+    With more partitions than messages the newest by ``time`` are kept, or by
+    offset where there is no time.
+    """
     ends = end_positions(df, partition, offset)
     share = max(1, max_messages // max(1, len(ends)))
-    starts = {p: max(0, end - share) for p, end in ends.items()}
-    newest = from_positions(df, starts, partition, offset)
+    newest = from_positions(df, {p: max(0, end - share) for p, end in ends.items()}, partition, offset)
     if share * len(ends) > max_messages:
-        newest = newest.orderBy(offset, partition).limit(max_messages)
+        newest = newest.orderBy(F.desc(time or offset), partition).limit(max_messages)
     return newest

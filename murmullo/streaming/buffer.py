@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,11 +29,14 @@ def start_buffer(
 
     Each micro-batch merges its own newest rows with the previous version and
     writes a new one. A batch that is repeated reads the same previous version
-    and writes the same result.
+    and writes the same result. A first batch on a path of an earlier buffer, that
+    is with a new checkpoint, starts it afresh.
     """
     schema = _with_version(df.schema)
 
     def keep_newest(batch: DataFrame, number: int) -> None:
+        if number == 0:
+            _clear(batch.sparkSession, path)
         newest = last_rows(batch, size, *order)
         if number > 0:
             reader = batch.sparkSession.read.schema(schema)
@@ -44,14 +49,33 @@ def start_buffer(
     return begin(writer, checkpoint, name, trigger)
 
 
-def read_buffer(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The newest version of a buffer. A folder that is being replaced while it
-    is read is an old one, so its missing files are of no interest."""
-    versions = (
-        spark.read.schema(_with_version(schema)).option("ignoreMissingFiles", True).parquet(path)
-    )
-    newest = versions.agg(F.max("version")).first()[0]
-    return versions.filter(F.col("version") == F.lit(newest)).drop("version", "slot")
+def _clear(spark: SparkSession, path: str) -> None:
+    """Remove the slots of an earlier buffer, and nothing else."""
+    for number in range(_SLOTS):
+        slot = spark._jvm.org.apache.hadoop.fs.Path(_slot(path, number))
+        slot.getFileSystem(spark._jsc.hadoopConfiguration()).delete(slot, True)
+
+
+def read_buffer(
+    spark: SparkSession, path: str, schema: T.StructType, tries: int = 5
+) -> DataFrame:
+    """The newest version of a buffer.
+
+    Its few rows (``size`` of the buffer) are read at once. Where a folder is
+    replaced meanwhile, the reader was overtaken by all slots, and reads again.
+    """
+    for left in reversed(range(tries)):
+        versions = spark.read.schema(_with_version(schema)).parquet(path)
+        try:
+            newest = versions.agg(F.max("version")).first()[0]
+            rows = versions.filter(F.col("version") == F.lit(newest)).drop("version", "slot").collect()
+            # The version may have been replaced between the two reads.
+            if newest is None or rows:
+                return spark.createDataFrame(rows, schema)
+        except (PySparkException, Py4JJavaError):
+            if not left:
+                raise
+    raise RuntimeError(f"{path}: every version was replaced while it was read")
 
 
 def _with_version(schema: T.StructType) -> T.StructType:

@@ -12,6 +12,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from murmullo.functions.text import clean_text
@@ -115,27 +116,33 @@ def start_enrichment(
     spark: SparkSession, source: Topic, sink: Topic, hate: Scorer, sentiment: Scorer,
     checkpoint: str, name: str | None = None, trigger: str | None = None,
     threshold: float = HATE_THRESHOLD, on_malformed: str = "fail",
+    max_per_trigger: int | None = None, metrics: str | None = None,
 ) -> StreamingQuery:
-    """All three stages in one query: the record is parsed and written once."""
-    records = parsed(source.read_stream(spark, group=name).select("value"), on_malformed)
+    """All three stages in one query: the record is parsed and written once.
+    With ``metrics`` its progress reports count rows and hate rows under that name."""
+    messages = source.read_stream(spark, max_per_trigger=max_per_trigger, group=name)
+    records = parsed(messages.select("value"), on_malformed)
     fields = [text_field(F.col("record"), n).alias(n) for n in RAW.names]
     raw = typed(records.select(*fields), RAW)
-    final = final_columns(enrich(raw, hate, sentiment, threshold))
+    final = final_columns(enrich(raw, hate, sentiment, threshold, metrics=metrics))
     return begin(sink.write_stream(encode(final)).outputMode("append"), checkpoint, name, trigger)
 
 
 def throughput_stream(
-    df: DataFrame, time: str = "timestamp", seconds: int = THROUGHPUT_SECONDS,
-    late: str = "10 seconds",
+    df: DataFrame, time: str = "timestamp", seconds: int = THROUGHPUT_SECONDS, *, late: str,
 ) -> DataFrame:
-    """Window counts of a stream; rows later than ``late`` are dropped."""
+    """Window counts of a stream.
+
+    Rows that come more than ``late`` after the newest are not counted any more;
+    how many these were is in the progress reports. Partitions of a backlog that
+    are read at different speed need a ``late`` that covers the difference.
+    """
     timed = df.select(F.col(time).cast("timestamp").alias(time)).withWatermark(time, late)
     return throughput_windows(timed, time, seconds)
 
 
 def sentiment_stream(
-    df: DataFrame, time: str = "timestamp", seconds: int = SENTIMENT_SECONDS,
-    late: str = "10 seconds",
+    df: DataFrame, time: str = "timestamp", seconds: int = SENTIMENT_SECONDS, *, late: str,
 ) -> DataFrame:
     timed = df.select(
         F.col(time).cast("timestamp").alias(time), "sentimiento", "es_odio"
@@ -145,27 +152,28 @@ def sentiment_stream(
 
 def start_throughput(
     spark: SparkSession, source: Topic, sink: Topic, checkpoint: str,
-    seconds: int = THROUGHPUT_SECONDS, late: str = "10 seconds",
-    name: str | None = None, trigger: str | None = None,
+    seconds: int = THROUGHPUT_SECONDS, *, late: str, name: str | None = None,
+    trigger: str | None = None, max_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """One metric record per closed window of a topic."""
-    messages = source.read_stream(spark, group=name)
-    metric = encode(throughput_stream(messages, "timestamp", seconds, late))
+    messages = source.read_stream(spark, max_per_trigger=max_per_trigger, group=name)
+    metric = encode(throughput_stream(messages, "timestamp", seconds, late=late))
     return begin(sink.write_stream(metric).outputMode("append"), checkpoint, name, trigger)
 
 
 def start_sentiment_windows(
     spark: SparkSession, source: Topic, sink: Topic, checkpoint: str,
-    seconds: int = SENTIMENT_SECONDS, late: str = "10 seconds",
-    name: str | None = None, trigger: str | None = None, on_malformed: str = "fail",
+    seconds: int = SENTIMENT_SECONDS, *, late: str, name: str | None = None,
+    trigger: str | None = None, on_malformed: str = "fail", max_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    messages = parsed(source.read_stream(spark, group=name), on_malformed)
+    read = source.read_stream(spark, max_per_trigger=max_per_trigger, group=name)
+    messages = parsed(read, on_malformed)
     flags = messages.select(
         "timestamp",
         text_field(F.col("record"), "sentimiento").alias("sentimiento"),
         text_field(F.col("record"), "es_odio").try_cast("boolean").alias("es_odio"),
     )
-    metric = encode(sentiment_stream(flags, "timestamp", seconds, late))
+    metric = encode(sentiment_stream(flags, "timestamp", seconds, late=late))
     return begin(sink.write_stream(metric).outputMode("append"), checkpoint, name, trigger)
 
 
@@ -182,15 +190,29 @@ def start_latest_result(
     df: DataFrame, path: str, checkpoint: str, name: str | None = None,
     trigger: str | None = None,
 ) -> StreamingQuery:
-    """Keep the whole current result of an aggregation in a Parquet folder.
+    """Keep the current result of an aggregation, windows still open included.
 
-    Each micro-batch replaces the folder, so a repeated batch does no harm.
+    Each micro-batch writes the rows it changed under its own number, so a
+    repeated batch replaces itself, nothing that a reader may hold goes away, and
+    the state of closed windows can be dropped. Read with ``read_latest_result``.
     """
 
-    def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={number}")
 
     return begin(
-        df.writeStream.outputMode("complete").foreachBatch(replace), checkpoint, name, trigger
+        df.writeStream.outputMode("update").foreachBatch(put), checkpoint, name, trigger
     )
 
+
+def read_latest_result(
+    spark: SparkSession, path: str, schema: T.StructType, *keys: str
+) -> DataFrame:
+    """The newest row of each key that ``start_latest_result`` wrote."""
+    stamped = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    rows = spark.read.schema(stamped).parquet(path)
+    row = F.struct(*[f.name for f in schema.fields])
+    newest = rows.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
+        F.max_by(row, "batch").alias("_row")
+    )
+    return newest.select("_row.*")

@@ -19,36 +19,47 @@ class Progress:
     late_rows: int = 0
 
 
-def progress_of(query: StreamingQuery) -> Progress:
-    """Totals over the progress reports the query still holds."""
-    total = Progress()
+    def add(self, report) -> None:
+        self.batches += 1
+        self.rows += report.numInputRows
+        self.rows_per_second = report.processedRowsPerSecond or self.rows_per_second
+        self.late_rows += sum(s.numRowsDroppedByWatermark for s in report.stateOperators)
+
+
+def recent_progress(query: StreamingQuery) -> Progress:
+    """Sums over the reports that the query still holds: the last 100 unless
+    ``spark.sql.streaming.numRecentProgressUpdates`` says otherwise. For totals
+    register a ``ProgressLog``."""
+    found = Progress()
     for report in query.recentProgress:
-        total.batches += 1
-        total.rows += report.numInputRows
-        total.rows_per_second = report.processedRowsPerSecond or total.rows_per_second
-        total.late_rows += sum(s.numRowsDroppedByWatermark for s in report.stateOperators)
-    return total
+        found.add(report)
+    return found
 
 
 class ProgressLog(StreamingQueryListener):
-    """Counts the rows of each query and logs one line per micro-batch.
+    """Totals of each query from its first batch on, and one log line per batch.
 
-    Register with ``spark.streams.addListener(ProgressLog())``.
+    Register with ``spark.streams.addListener(ProgressLog())`` before the queries
+    start.
     """
 
     def __init__(self) -> None:
-        self.rows: dict[str, int] = {}
+        self.totals: dict[str, Progress] = {}
+
+    def total(self, query: StreamingQuery) -> Progress:
+        return self.totals.get(str(query.id), Progress())
 
     def onQueryStarted(self, event) -> None:
-        self.rows[str(event.id)] = 0
+        self.totals.setdefault(str(event.id), Progress())
 
     def onQueryProgress(self, event) -> None:
         report = event.progress
         key = str(report.id)
-        self.rows[key] = self.rows.get(key, 0) + report.numInputRows
+        total = self.totals.setdefault(key, Progress())
+        total.add(report)
         log.info(
             "%s: %d rows in all, %.0f rows/s",
-            report.name or key, self.rows[key], report.processedRowsPerSecond or 0.0,
+            report.name or key, total.rows, report.processedRowsPerSecond or 0.0,
         )
 
     def onQueryIdle(self, event) -> None:

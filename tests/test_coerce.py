@@ -9,11 +9,13 @@ from murmullo.sources.tables import coerce_export, normalize_comments
 def test_safe_int(values):
     inputs = ["7", "7.9", "-3.9", "NaN", "inf", "-inf", "x", "", None, " 12 ", "1e3", "1e30"]
     assert values(safe_int, inputs) == [7, 7, -3, 0, 0, 0, 0, 0, 0, 12, 1000, 0]
+    assert values(safe_int, ["1d", "2f", "3D ", "4.F", "0x1F", "5"]) == [0, 0, 0, 0, 0, 5]
     assert values(safe_int, [2.9, float("nan"), None], "double") == [2, 0, 0]
     assert values(safe_int, [2**60 + 1, None], "bigint") in ([2**60, 0], [2**60 + 1, 0])
 
 
 def test_safe_double(values):
+    assert values(safe_double, ["1d", "2.5f", "2.5"]) == [0.0, 0.0, 2.5]
     found = values(safe_double, ["0.25", "nan", "x", None, "inf"])
     assert found[:4] == [0.25, 0.0, 0.0, 0.0] and math.isinf(found[4])
 

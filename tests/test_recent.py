@@ -53,16 +53,13 @@ def test_rolling_shares_has_no_task_with_all_rows(spark):
     df = spark.createDataFrame(_rows(10, 1, 1), KIND)
     plan = rolling_shares(df, "seq")._jdf.queryExecution().optimizedPlan().toString()
     orders = [line.rsplit("], [", 2) for line in plan.splitlines() if "Window [" in line]
-    # Partition and order close the line. Only the totals of groups of blocks
-    # have no partition.
-    split = ("_block", "_chunk", "_group")
+    # Partition and order close the line.
+    split = ("_range", "_chunk")
     whole = [o for o in orders if len(o) < 3 or not o[1].startswith(split)]
-    assert len(orders) == 4 and len(whole) == 1
-    assert "_all" in whole[0][0]
+    assert len(orders) == 2 and not whole
 
 
-def test_rolling_shares_over_several_groups_of_blocks(spark, monkeypatch):
-    monkeypatch.setattr(recent, "_BLOCKS_PER_GROUP", 3)
+def test_rolling_shares_over_many_chunks(spark):
     rows = _rows(500, 4, 5)
     found = rolling_shares(spark.createDataFrame(rows, KIND), "seq", size=9, chunk=11).collect()
     expected = _expected(rows, 9)
@@ -70,6 +67,12 @@ def test_rolling_shares_over_several_groups_of_blocks(spark, monkeypatch):
         k: (t, pytest.approx(100 * pos / t, abs=0.0501)) for k, (t, _, pos, _) in expected.items()}
 
 
+def test_rolling_shares_on_sparse_numbers(spark):
+    rows = [((r[0] - 3) * (1 << 50), *r[1:]) for r in _rows(7, 1, 1)]
+    found = rolling_shares(spark.createDataFrame(rows, KIND), "seq", size=3, chunk=4).collect()
+    assert {r.seq: r.total for r in found} == {k: t for k, (t, *_) in _expected(rows, 3).items()}
+
+
 def test_recent_shares_is_the_last_rolling_row(spark):
     df = spark.createDataFrame(_rows(200, 2, 9), KIND)
     last = rolling_shares(df, "seq").orderBy("seq").collect()[-1]

@@ -12,7 +12,7 @@ from murmullo.sources.records import decode, encode
 from murmullo.sources.topics import FileTopic
 from murmullo.streaming import jobs
 from murmullo.streaming.buffer import read_buffer, start_buffer
-from murmullo.streaming.progress import Progress, ProgressLog, progress_of
+from murmullo.streaming.progress import Progress, ProgressLog, recent_progress
 
 HATE = lexicon_scorer({"CALLS": ["idiota"], "CLASS": ["basura"]})
 MOOD = lexicon_scorer({"POS": ["bien"], "NEG": ["mal", "idiota"]}, SENTIMENT_LABELS, rest_label=NEUTRAL)
@@ -56,7 +56,7 @@ def test_one_query_gives_the_same_as_the_batch_form(spark, tmp_path, lines):
     raw, final = FileTopic(str(tmp_path / "raw")), FileTopic(str(tmp_path / "final"))
     raw.write_batch(lines(RECORDS))
     query = _finish(jobs.start_enrichment(
-        spark, raw, final, HATE, MOOD, str(tmp_path / "ck"), name="enrich", trigger="available"))
+        spark, raw, final, HATE, MOOD, str(tmp_path / "ck"), name="enrich", trigger="available", metrics="comentarios"))
     streamed = decode(final.read_batch(spark).select("value"), FINAL).collect()
     batch = final_columns(enrich(decode(lines(RECORDS), RAW), HATE, MOOD)).collect()
     assert sorted(map(tuple, streamed)) == sorted(map(tuple, batch))
@@ -139,10 +139,11 @@ def test_windows_of_a_stream_equal_the_batch_form(spark, tmp_path):
 def test_complete_result_has_the_open_window_too(spark, tmp_path):
     events = _events(spark, range(0, 130, 10))
     events.write.parquet(str(tmp_path / "in"))
-    df = jobs.sentiment_stream(_read(spark, str(tmp_path / "in"), EVENTS), "ts", 60)
+    df = jobs.sentiment_stream(_read(spark, str(tmp_path / "in"), EVENTS), "ts", 60, late="10 seconds")
     out = str(tmp_path / "out")
     _finish(jobs.start_latest_result(df, out, out + "-ck", trigger="available"))
-    assert sorted(map(tuple, spark.read.parquet(out).collect())) == sorted(
+    found = jobs.read_latest_result(spark, out, df.schema, "ventana_fin")
+    assert sorted(map(tuple, found.collect())) == sorted(
         map(tuple, sentiment_windows(events, "ts", 60).collect()))
 
 
@@ -156,7 +157,7 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     _events(spark, [0, 5, 100]).write.mode("append").parquet(path)
     run()
     _events(spark, [3, 79, 85, 200]).write.mode("append").parquet(path)
-    progress = progress_of(run())
+    progress = recent_progress(run())
     assert progress.late_rows >= 2 and progress.rows == 4
     found = {r.ventana_fin: r.cantidad_mensajes for r in spark.read.parquet(out).collect()}
     assert found == {10: 2, 90: 1, 110: 1}
@@ -183,11 +184,24 @@ def test_buffer_keeps_the_newest_over_batches(spark, tmp_path):
     assert len(list((tmp_path / "out").glob("slot=*"))) == 8
 
 
+def test_a_new_checkpoint_starts_the_buffer_afresh(spark, tmp_path):
+    path, out, schema = str(tmp_path / "in"), str(tmp_path / "out"), "offset long"
+    for i in range(3):
+        spark.createDataFrame([(i,)], schema).write.mode("append").parquet(path)
+        df = _read(spark, path, schema)
+        _finish(start_buffer(df, out, out + "-a", "offset", size=2, trigger="available"))
+    df = _read(spark, path, schema)
+    _finish(start_buffer(df, out, out + "-b", "offset", size=1, trigger="available"))
+    assert [r.offset for r in read_buffer(spark, out, df.schema).collect()] == [2]
+    assert len(list((tmp_path / "out").glob("slot=*"))) == 1
+
+
 def test_sentiment_metric_topic(spark, tmp_path, lines):
     final, metric = FileTopic(str(tmp_path / "final")), FileTopic(str(tmp_path / "metric"))
     final.write_batch(lines([{"sentimiento": "POS", "es_odio": True}, {"sentimiento": "NEG"}, {}]))
-    query = jobs.start_sentiment_windows(spark, final, metric, str(tmp_path / "ck"), trigger="available")
-    assert progress_of(_finish(query)).rows == 3
+    query = jobs.start_sentiment_windows(spark, final, metric, str(tmp_path / "ck"), late="10 seconds",
+        trigger="available")
+    assert recent_progress(_finish(query)).rows == 3
 
 
 def test_progress_log_counts_rows(spark, tmp_path, lines):
@@ -201,10 +215,10 @@ def test_progress_log_counts_rows(spark, tmp_path, lines):
         import time
 
         for _ in range(50):
-            if log.rows.get(str(query.id)):
+            if log.total(query).rows:
                 break
             time.sleep(0.1)
-        assert log.rows[str(query.id)] == 3
+        assert log.total(query).rows == 3
     finally:
         spark.streams.removeListener(log)
     assert Progress() == Progress(0, 0, 0.0, 0)

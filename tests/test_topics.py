@@ -5,8 +5,8 @@ from murmullo.sources.tables import (
     TooFewRows, export_table, read_parts, require_rows, write_table,
 )
 from murmullo.sources.topics import (
-    FileTopic, KafkaTopic, advance, decode_value, end_positions, from_positions,
-    incremental_tail, last_messages, tail_starts,
+    FileTopic, KafkaTopic, decode_value, end_positions, first_messages, from_positions,
+    incremental_tail, last_messages, next_ranges,
 )
 
 
@@ -18,7 +18,14 @@ def test_kafka_options():
         "kafka.security.protocol": "SSL",
     }
     assert "maxOffsetsPerTrigger" not in topic.source_options()
-    assert topic.source_options(since_ms=5)["startingTimestamp"] == "5"
+    since = topic.source_options(since_ms=5)
+    assert since["startingTimestamp"] == "5"
+    assert since["startingOffsetsByTimestampStrategy"] == "latest"
+    assert "startingOffsetsByTimestampStrategy" not in topic.source_options()
+    ranges = topic.range_options({1: (3, 9), 0: (0, 7)})
+    assert ranges["startingOffsets"] == '{"comentarios-raw": {"0": 0, "1": 3}}'
+    assert ranges["endingOffsets"] == '{"comentarios-raw": {"0": 7, "1": 9}}'
+    assert topic.positions('{"comentarios-raw":{"0":7,"12":9}}') == {0: 7, 12: 9}
     assert topic.sink_options()["topic"] == "comentarios-raw"
 
 
@@ -48,25 +55,82 @@ def test_positions(messages):
     found = from_positions(messages, {0: 98, 2: 0}).groupBy("partition").count().collect()
     assert {r.partition: r["count"] for r in found} == {0: 2, 1: 10, 2: 20}
     assert from_positions(messages, {}).count() == 130
-    assert tail_starts(messages) == {0: 80, 1: 0, 2: 5}
+
+
+def test_shares_are_equal_and_nothing_is_left_over():
+    assert next_ranges({}, {0: 100, 1: 2, 2: 100}, 20) == {0: (0, 9), 1: (0, 2), 2: (0, 9)}
+    assert next_ranges({0: 95}, {0: 100, 1: 1}) == {0: (95, 100), 1: (0, 1)}
+    assert next_ranges({0: 9}, {0: 5}, 3) == {0: (9, 9)}
+    assert sum(b - a for a, b in next_ranges({}, {p: 50 for p in range(7)}, 10).values()) == 10
+
+
+def test_tail_starts_before_the_end(messages):
+    rows, positions = incremental_tail(messages, max_new=9)
+    found = {(r.partition, r.offset) for r in rows.collect()}
+    assert found == {(0, 80), (0, 81), (0, 82), (1, 0), (1, 1), (1, 2), (2, 5), (2, 6), (2, 7)}
+    assert positions == {0: 83, 1: 3, 2: 8}
+    assert incremental_tail(messages, max_new=90, back=1)[0].count() == 3
 
 
 def test_tail_reads_everything_once(messages):
-    first = incremental_tail(messages, max_new=10)
-    assert [tuple(r) for r in first.collect()][:3] == [(1, 0), (1, 1), (1, 2)]
     positions, seen = {0: 0, 1: 0, 2: 0}, []
     while True:
-        taken = incremental_tail(messages, positions, max_new=33)
+        taken, positions = incremental_tail(messages, positions, max_new=33)
         rows = [tuple(r) for r in taken.collect()]
         if not rows:
             break
         assert len(rows) <= 33
         seen += rows
-        positions = advance(positions, taken)
     assert len(seen) == 130 and len(set(seen)) == 130
     assert positions == {0: 100, 1: 10, 2: 25}
 
 
+def test_no_partition_waits_for_another(spark):
+    rows = [(0, i) for i in range(1000)] + [(1, 10**6 + i) for i in range(1000)]
+    topic = spark.createDataFrame(rows, "partition int, offset long")
+    taken, _ = incremental_tail(topic, {0: 0, 1: 10**6}, max_new=10)
+    counts = {r["partition"]: r["count"] for r in taken.groupBy("partition").count().collect()}
+    assert counts == {0: 5, 1: 5}
+
+
+def test_a_growing_topic_loses_nothing(spark, tmp_path):
+    """Messages that arrive between the call and the reading come next time."""
+    path, sent = str(tmp_path / "grow"), 0
+
+    def send(n):
+        nonlocal sent
+        rows = [(i % 2, i // 2) for i in range(sent, sent + n)]
+        spark.createDataFrame(rows, "partition int, offset long").write.mode("append").parquet(path)
+        sent += n
+
+    send(40)
+    positions, seen = {0: 0, 1: 0}, []
+    for _ in range(6):
+        topic = spark.read.parquet(path)
+        taken, after = incremental_tail(topic, positions, max_new=1000)
+        send(20)  # after the ends were asked for, before the rows are read
+        again = incremental_tail(spark.read.parquet(path), positions, max_new=1000)
+        seen += [tuple(r) for r in taken.collect()]
+        assert again[1] != after
+        positions = after
+    taken, positions = incremental_tail(spark.read.parquet(path), positions, max_new=1000)
+    seen += [tuple(r) for r in taken.collect()]
+    assert len(seen) == sent == len(set(seen))
+
+
+def test_first_messages(messages):
+    found = {(r.partition, r.offset) for r in first_messages(messages, 12).collect()}
+    assert found == {(p, i + (5 if p == 2 else 0)) for p in range(3) for i in range(4)}
+    assert first_messages(messages, 10**6).count() == 130
+
+
+def test_the_newest_messages_are_kept(spark):
+    rows = [(0, 5, 1), (1, 2, 9), (2, 90, 3)]
+    topic = spark.createDataFrame(rows, "partition int, offset long, time long")
+    assert [r.partition for r in last_messages(topic, 1).collect()] == [2]
+    assert [r.partition for r in last_messages(topic, 1, time="time").collect()] == [1]
+
+
 def test_last_messages_takes_an_equal_share(messages):
     found = {(r.partition, r.offset) for r in last_messages(messages, 30).collect()}
     assert found == {(0, i) for i in range(90, 100)} | {(1, i) for i in range(10)} | {(2, i) for i in range(15, 25)}
