@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmullo.session import work_dir
+from murmullo.operators.ordered import stage, with_running_sums  # noqa: F401  (used by the operators)
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # What a word is made of where white space alone separates words.
@@ -19,49 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage(df: DataFrame, purpose: str) -> DataFrame:
-    """Write a table to the shared folder and read it back.
-
-    Later steps start from the files: lost executors cost no recomputation, a
-    random order or partition number is fixed once, and the planner knows the
-    size when it decides on a broadcast.
-    """
-    path = work_dir(df.sparkSession, purpose)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def with_running_sums(
-    df: DataFrame, order: Sequence[Column], sums: Mapping[str, str], purpose: str
-) -> DataFrame:
-    """Add, for each ``total: value``, the sum of ``value`` up to and with each row.
-
-    The rows are range-partitioned by ``order`` and written, each range is summed
-    on its own, and what the ranges before it hold is added. The one ordered
-    window over the whole table has a row per range, not per row of the data.
-    """
-    ranged = stage(
-        df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), purpose
-    )
-    start = Window.unboundedPreceding
-    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(start, 0)
-    before = Window.orderBy("_range").rowsBetween(start, -1)
-    bases = (
-        ranged.groupBy("_range")
-        .agg(*[F.sum(value).alias(f"_sum_{total}") for total, value in sums.items()])
-        .select("_range", *[
-            F.coalesce(F.sum(f"_sum_{total}").over(before), F.lit(0)).alias(f"_base_{total}")
-            for total in sums
-        ])
-    )
-    summed = ranged.withColumns({
-        f"_in_{total}": F.sum(value).over(inside) for total, value in sums.items()
-    }).join(bases, "_range")
-    return summed.withColumns({
-        total: F.col(f"_base_{total}") + F.col(f"_in_{total}") for total in sums
-    }).select(*df.columns, *sums)
-
-
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, every other letter as it is."""
     return F.translate(text, UPPER, UPPER.lower())

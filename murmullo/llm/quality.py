@@ -8,8 +8,8 @@ corpus. The posterior of its pattern is a document's soft label. A linear model
 over hashed word shapes learns from the soft labels of a bounded sample, and
 scores every document; it sees what the heuristics do not count.
 
-A null text counts as an empty one. Texts without words get no votes but the one on
-length, and features of their own. Rows may repeat. An empty table has no
+A null text counts as an empty one. Texts without words get no votes; their score is
+that of the model without features. Rows may repeat. An empty table has no
 rows to score and trains nothing.
 """
 
@@ -29,7 +29,7 @@ from murmullo.llm.common import PLAIN_WORD, row_struct, stage
 SAMPLE = 20_000
 FEATURES = 1 << 14
 KEEP = 0.5
-VOTERS = ("symbols", "capitals", "tables", "endings", "variety", "length")
+VOTERS = ("symbols", "capitals", "tables", "endings", "variety", "plain")
 
 
 def _shape(text: Column) -> Column:
@@ -46,15 +46,25 @@ def _vote(value: Column, bad: Column, good: Column) -> Column:
 def with_votes(docs: DataFrame) -> DataFrame:
     """``_doc`` (the row), ``_shapes`` (word shapes), and a column for each voter."""
     text = F.coalesce("text", F.lit(""))
-    shaped = docs.select(
+    split = docs.select(
         row_struct(docs).alias("_doc"),
-        F.size(F.array_distinct(F.regexp_extract_all(text, F.lit(PLAIN_WORD), F.lit(0))))
-        .alias("_distinct"),
-        F.regexp_extract_all(_shape(text), F.lit(PLAIN_WORD), F.lit(0)).alias("_shapes"),
+        F.regexp_extract_all(text, F.lit(PLAIN_WORD), F.lit(0)).alias("_words"),
+        F.regexp_extract_all(_shape(text), F.lit(PLAIN_WORD), F.lit(0)).alias("_own"),
+    )
+    n_words = F.size("_words")
+    follows = F.zip_with(
+        F.slice("_words", 1, F.greatest(n_words - 1, F.lit(0))),
+        F.slice("_words", 2, F.greatest(n_words - 1, F.lit(0))), lambda a, b: a == b,
+    )
+    shaped = split.select(
+        "_doc", "_own", F.size(F.array_distinct("_words")).alias("_distinct"),
+        # A word that is the one before it again counts as one more shape.
+        F.concat("_own", F.array_repeat(F.lit("="), F.size(F.filter(follows, lambda x: x))))
+        .alias("_shapes"),
     )
     measured = shaped.select(
-        "_doc", "_distinct", "_shapes", F.size("_shapes").alias("_n"),
-        F.array_join("_shapes", " ").alias("_joined"),
+        "_doc", "_distinct", "_shapes", F.size("_own").alias("_n"),
+        F.array_join("_own", " ").alias("_joined"),
     )
 
     def rate(pattern: str) -> Column:
@@ -64,6 +74,7 @@ def with_votes(docs: DataFrame) -> DataFrame:
         "_doc", "_shapes", "_n", (F.col("_distinct") / F.nullif("_n", F.lit(0))).alias("_variety"),
         rate(r"[#$%&*=~^<>@]").alias("_symbols"), rate(r"X").alias("_capitals"),
         rate(r"\|").alias("_bars"), rate(r"x[.!?]( |$)").alias("_ends"),
+        rate(r"(?<=^| )x[.,;:]?(?= |$)").alias("_plain"),
     )
     n = F.col("_n")
     return rates.select(
@@ -71,11 +82,11 @@ def with_votes(docs: DataFrame) -> DataFrame:
         _vote(F.col("_symbols"), F.col("_symbols") > 0.3, F.col("_symbols") < 0.05).alias("symbols"),
         _vote(F.col("_capitals"), F.col("_capitals") > 0.3, F.col("_capitals") < 0.05).alias("capitals"),
         _vote(F.col("_bars"), F.col("_bars") > 0.2, F.col("_bars") < 0.02).alias("tables"),
-        _vote(F.when(n >= 10, F.col("_ends")), F.col("_ends") < 0.01,
-              F.col("_ends").between(0.03, 0.4)).alias("endings"),
+        _vote(F.when(n >= 10, F.col("_ends")), ~F.col("_ends").between(0.025, 0.4),
+              F.col("_ends").between(0.04, 0.3)).alias("endings"),
         _vote(F.when(n >= 20, F.col("_variety")), F.col("_variety") < 0.2,
               F.col("_variety") > 0.35).alias("variety"),
-        _vote(n, n < 5, n >= 30).alias("length"),
+        _vote(F.col("_plain"), F.col("_plain") < 0.7, F.col("_plain") > 0.9).alias("plain"),
     )
 
 
