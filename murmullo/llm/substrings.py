@@ -1,15 +1,20 @@
 """Substring dedup by content-defined chunks.
 
-A gear hash rolls over the bytes of a text; it depends on the last 32 bytes only.
-A chunk ends where its selected bits are zero, so after an insertion the cuts
-fall in the same places of the content again. Chunks are ``LEAST`` to ``LONGEST``
-bytes long, about 48 on average, and are compared by a 128-bit digest. A chunk
-is a repeat where a document with a smaller ``doc_id`` has it too.
-
-Chunks are counted with partial aggregates, so a chunk that is in a third of all
+A gear hash rolls over the bytes of a text; it depends on the last 16 bytes only.
+A chunk ends where the hash is higher than at the ``REACH`` bytes before and not
+lower than at as many after. So a cut depends on its surroundings alone: after
+an insertion the cuts fall in the same places of the content again. Chunks have
+more than ``REACH`` bytes (but for the ends of a text), about 49 on average, and
+are compared by a 128-bit digest. Where no cut comes, as in the same word over
+and over, a chunk ends after ``LONGEST`` bytes.
+
+A chunk is a repeat where a document with a smaller ``doc_id`` has it too. Chunks
+are counted with partial aggregates, so a chunk that is in a third of all
 documents sends one row per task. Only digests found in several documents
 are joined back. A span is a run of repeated chunks without a gap; spans of
-fewer than ``SPAN`` bytes stay, as short phrases repeat by chance.
+fewer than ``SPAN`` bytes stay, as short phrases repeat by chance. The ends of a
+passage lie in chunks with other text, so a span is some 60 to 110 bytes
+shorter than what two documents share.
 
 Null and empty texts have no chunks. Rows that share a ``doc_id`` count as one
 document and never repeat each other; equal rows give each span once. A null
@@ -29,9 +34,8 @@ from pyspark.sql import functions as F
 from murmullo.llm.common import row_struct, sliced, stage
 from murmullo.session import ship_package
 
-LEAST, LONGEST, SPAN = 16, 192, 96
-# A cut in 32 positions on average, decided by bits that 20 or more bytes reach.
-_MASK = np.uint32(0x1F << 20)
+REACH, LONGEST, SPAN = 24, 192, 80
+_WINDOW = 16
 _GEAR_SEED = 7
 _LAST = (1 << 63) - 1
 
@@ -42,42 +46,49 @@ def gear_table() -> np.ndarray:
 
 
 def rolling_hash(data: np.ndarray, gear: np.ndarray) -> np.ndarray:
-    """The gear hash at every byte, ``h = 2 h + gear[byte]`` in 32 bits.
+    """The gear hash at every byte, ``h = 2 h + gear[byte]``, of the last 16 bytes.
 
-    A window of 2 n bytes is a window of n plus the one before it, moved by n.
+    A window of 2 n bytes is a window of n plus the one before it, moved by n. The
+    highest bits depend on all of them.
     """
     h = gear[data]
     width = 1
-    while width < 32:
+    while width < _WINDOW:
         longer = h.copy()
         longer[width:] += h[:-width] << np.uint32(width)
         h, width = longer, 2 * width
     return h
 
 
-def chunk_ends(data: bytes, gear: np.ndarray, least: int, longest: int) -> list[int]:
+def _highest_before(h: np.ndarray, reach: int) -> np.ndarray:
+    """The highest of the ``reach`` values before each one, 0 at the beginning."""
+    best = np.concatenate((np.zeros(1, h.dtype), h[:-1]))
+    width = 1
+    while width < reach:
+        step = min(width, reach - width)
+        moved = np.concatenate((np.zeros(step, h.dtype), best[:-step]))[:len(best)]
+        best, width = np.maximum(best, moved), width + step
+    return best
+
+
+def chunk_ends(data: bytes, gear: np.ndarray, reach: int, longest: int) -> list[int]:
     """Where the chunks of one text end."""
     n = len(data)
     h = rolling_hash(np.frombuffer(data, np.uint8), gear)
+    after = _highest_before(h[::-1], reach)[::-1]
+    cuts = np.flatnonzero((h > _highest_before(h, reach)) & (h >= after)) + 1
     ends, start = [], 0
-    for cut in (np.flatnonzero((h & _MASK) == 0) + 1).tolist():
-        if cut - start < least:
-            continue
+    for cut in [*cuts.tolist(), n]:
         while cut - start > longest:
             start += longest
             ends.append(start)
-        if cut - start >= least:
+        if cut > start:
             ends.append(cut)
             start = cut
-    while n - start > longest:
-        start += longest
-        ends.append(start)
-    if start < n:
-        ends.append(n)
     return ends
 
 
-def _chunker(least: int, longest: int):
+def _chunker(reach: int, longest: int):
     def chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gear, digest = gear_table(), xxhash.xxh3_128_digest
         for whole in batches:
@@ -89,7 +100,7 @@ def _chunker(least: int, longest: int):
                     data = text.as_buffer().to_pybytes()
                     if not data:
                         continue
-                    ends = chunk_ends(data, gear, least, longest)
+                    ends = chunk_ends(data, gear, reach, longest)
                     begins = [0, *ends[:-1]]
                     keys.extend([digest(data[a:b]) for a, b in zip(begins, ends)])
                     ids.append(np.full(len(ends), _LAST if doc_id is None else doc_id))
@@ -108,25 +119,26 @@ def _chunker(least: int, longest: int):
     return chunk
 
 
-def chunks(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> DataFrame:
+def chunks(docs: DataFrame, reach: int = REACH, longest: int = LONGEST) -> DataFrame:
     """A row per chunk: digest in two halves, document, start and size in one number."""
-    if not 0 < least <= longest < 1 << 16:
-        raise ValueError("0 < least <= longest < 65536")
+    if not 0 < reach <= longest < 1 << 16:
+        raise ValueError("0 < reach <= longest < 65536")
     ship_package(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
-        _chunker(least, longest), "_d0 bigint, _d1 bigint, _id bigint, _place bigint"
+        _chunker(reach, longest), "_d0 bigint, _d1 bigint, _id bigint, _place bigint"
     )
 
 
 def repeated_spans(
-    docs: DataFrame, span: int = SPAN, least: int = LEAST, longest: int = LONGEST
+    docs: DataFrame, span: int = SPAN, reach: int = REACH, longest: int = LONGEST
 ) -> DataFrame:
     """Spans of ``span`` bytes or more that documents with smaller ids have too.
 
-    ``doc_id, start, n_bytes`` (in UTF-8), ``n_chunks``, and ``first_doc_ids``:
-    the documents in which the chunks of the span occur first.
+    ``doc_id, start, n_bytes`` (in UTF-8), ``n_chunks``, and ``first_doc_ids``: the
+    documents with the first occurrence of ``span`` bytes of it or, if there is none,
+    of the most. Others share a phrase with it by chance.
     """
-    found = chunks(docs, least, longest)
+    found = chunks(docs, reach, longest)
     shared = stage(
         found.groupBy("_d0", "_d1")
         .agg(F.min("_id").alias("_first"), F.max("_id").alias("_final"))
@@ -146,16 +158,24 @@ def repeated_spans(
     runs = repeats.withColumn("_gap", gap.cast("int")).withColumn(
         "_run", F.sum("_gap").over(by_place)
     )
+    by_source = runs.groupBy("_id", "_run", "_first").agg(
+        F.min("_start").alias("_from"), F.max(F.col("_start") + F.col("_size")).alias("_to"),
+        F.sum("_size").alias("_bytes"), F.count("*").alias("_n"),
+    )
+    sources = F.col("_sources")
+    enough = F.least(F.array_max(F.transform(sources, lambda x: x["_bytes"])), F.lit(span))
+    main = F.filter(sources, lambda x: x["_bytes"] >= enough)
     return (
-        runs.groupBy("_id", "_run").agg(
-            F.min("_start").alias("start"),
-            (F.max(F.col("_start") + F.col("_size")) - F.min("_start")).alias("n_bytes"),
-            F.count("*").alias("n_chunks"),
-            F.array_sort(F.collect_set("_first")).alias("first_doc_ids"),
+        by_source.groupBy("_id", "_run").agg(
+            F.min("_from").alias("start"), (F.max("_to") - F.min("_from")).alias("n_bytes"),
+            F.sum("_n").alias("n_chunks"),
+            F.collect_list(F.struct("_bytes", "_first")).alias("_sources"),
         )
         .filter(F.col("n_bytes") >= span)
-        .select(F.nullif(F.col("_id"), F.lit(_LAST)).alias("doc_id"), "start", "n_bytes",
-                "n_chunks", "first_doc_ids")
+        .select(
+            F.nullif(F.col("_id"), F.lit(_LAST)).alias("doc_id"), "start", "n_bytes", "n_chunks",
+            F.array_sort(F.transform(main, lambda x: x["_first"])).alias("first_doc_ids"),
+        )
     )
 
 
