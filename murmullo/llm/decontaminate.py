@@ -132,8 +132,10 @@ def judged(
     def covered(place: Column) -> Column:
         return F.sequence(place["_begin"], place["_begin"] + place["_len"] - 1)
 
+    # The texts are shuffled at every size: whether the places would fit a broadcast
+    # depends on the corpus.
     found = (
-        keyed.join(places, keyed["_key"] == places["_k"], "left")
+        keyed.join(places.hint("merge"), keyed["_key"] == places["_k"], "left")
         .select("_doc", "_places", words_of(F.col("text")).alias("_words"))
         .select(
             "_doc", F.size("_words").cast("bigint").alias("n_words"),
