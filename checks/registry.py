@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,18 +16,20 @@ from murmullo.operators.correlation import likes_correlation
 from murmullo.operators.risk import top_users, user_risk, user_risk_score
 from murmullo.operators.scorers import classifier_scorer, fit_classifier, model_scorer
 from murmullo.operators.similarity import (
-    fit_word2vec, nearest_terms, save_model, saved_vectors, word_lists,
+    fit_word2vec, load_model, nearest_terms, save_model, saved_vectors, word_lists,
 )
 from murmullo.operators.stages import clean, decide_hate, decide_sentiment
 from murmullo.operators.terms import top_hate_terms, top_negative_terms
-from murmullo.operators.trend import hourly_trend, peak_hour
+from murmullo.operators.trend import hourly_mean, hourly_trend, peak_hour
 from murmullo.operators.windows import sentiment_windows, throughput_windows
-from murmullo.schemas import FINAL, HATE_LABELS, RAW, SENTIMENT_LABELS, extend, struct
+from murmullo.schemas import (
+    FINAL, HATE_LABELS, HATE_THRESHOLD, RAW, SENTIMENT, SENTIMENT_LABELS, THROUGHPUT, extend, struct,
+)
 from murmullo.session import work_dir
 from murmullo.sources import tables
-from murmullo.sources.records import decode, encode, malformed_lines
+from murmullo.sources.records import decode, encode, malformed_lines, parse_record, text_field
 from murmullo.sources.topics import (
-    FileTopic, first_messages, incremental_tail, last_messages,
+    FileTopic, decode_value, first_messages, incremental_tail, last_messages,
 )
 from murmullo.streaming import jobs
 from murmullo.streaming.buffer import read_buffer, start_buffer
@@ -284,6 +286,16 @@ _TAIL = """
     WHERE n BETWEEN 1 AND CASE "partition" WHEN 0 THEN 6 ELSE 7 END"""
 
 
+@checked("invalid_utf8", """
+    SELECT event_id, concat(event_type, chr(65533), ' ñ', CASE WHEN event_id % 2 = 0 THEN chr(65533) ELSE '' END)
+        AS value FROM events""")
+def _invalid_utf8(spark, sf):
+    """Event types as bytes with one that never occurs in UTF-8, and a cut letter."""
+    odd = F.when(F.col("event_id") % 2 == 0, F.unhex(F.lit("C3"))).otherwise(F.unhex(F.lit("")))
+    raw = F.concat(F.encode("event_type", "UTF-8"), F.unhex(F.lit("FF")), F.encode(F.lit(" ñ"), "UTF-8"), odd)
+    return views.tables(spark, sf)("events").select("event_id", decode_value(raw).alias("value"))
+
+
 @checked("incremental_tail", sql.over("topic", _TAIL))
 def _incremental_tail(spark, sf):
     messages = views.topic(views.tables(spark, sf)).select("partition", "offset", "event_id")
@@ -394,8 +406,8 @@ def _udf_scores(spark, sf):
     )
 
 
-@checked("ml_hate_scores")
-def _ml_hate_scores(spark, sf):
+def _trained(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Cleaned documents, and the same with scores learned from their labels."""
     read = views.tables(spark, sf)
     cleaned = read("documents").select(
         "doc_id", tx.clean_text(F.col("text")).alias("comentario_limpio")
@@ -403,10 +415,38 @@ def _ml_hate_scores(spark, sf):
     labelled = cleaned.join(read("labels").withColumnRenamed("toxic", "label"), "doc_id")
     # Training reads its input several times, so the cleaned texts are stored.
     path = work_dir(spark, "labelled")
-    tables.write_table(labelled.select("comentario_limpio", "label"), path)
-    model = fit_classifier(tables.read_table(spark, path))
-    scored = classifier_scorer(model, "CALLS")(cleaned, "comentario_limpio", "probas_odio")
-    return decide_hate(scored).select("doc_id", "es_odio", "prob_odio", "categoria_odio")
+    tables.write_table(labelled.select("doc_id", "comentario_limpio", "label"), path)
+    stored = tables.read_table(spark, path)
+    model = fit_classifier(stored)
+    return stored, classifier_scorer(model, "CALLS")(cleaned, "comentario_limpio", "probas_odio")
+
+
+@checked("ml_hate_scores")
+def _ml_hate_scores(spark, sf):
+    return decide_hate(_trained(spark, sf)[1]).select(
+        "doc_id", "es_odio", "prob_odio", "categoria_odio"
+    )
+
+
+@checked("ml_hate_checks", f"""
+    SELECT count(*) AS filas, count(*) FILTER (WHERE NOT {sql.has_text("coalesce(text, '')")}) AS sin_texto,
+           true AS por_umbral, true AS por_etiqueta, true AS acierta FROM documents""")
+def _ml_hate_checks(spark, sf):
+    """Decisions of the trained scorer against its probabilities and its labels."""
+    labelled, scored = _trained(spark, sf)
+    rows = decide_hate(scored).join(labelled.select("doc_id", "label"), "doc_id", "left")
+    top, blank = F.array_max("probas_odio"), F.col("categoria_odio") == "sin_texto"
+    flag = F.col("es_odio")
+    of_label = F.get("probas_odio", F.lit(HATE_LABELS.index("CALLS")))
+    right = F.avg(F.when(F.col("label").isNotNull(), (flag == (F.col("label") == 1)).cast("int")))
+    usual = F.avg(F.when(F.col("label").isNotNull(), (F.col("label") == 0).cast("int")))
+    return rows.agg(
+        F.count("*").alias("filas"), F.count_if(blank).alias("sin_texto"),
+        F.every(blank | (flag == (top > HATE_THRESHOLD))).alias("por_umbral"),
+        F.every((of_label == top) & (blank | (flag == (F.col("categoria_odio") == "CALLS"))))
+        .alias("por_etiqueta"),
+        (right > usual).alias("acierta"),
+    )
 
 
 _FINAL_ORACLE = sql.over("final", "SELECT * FROM final")
@@ -478,6 +518,57 @@ over_marked(
         FROM ventanas""", sql.sentiment_windows()),
 )
 
+over_marked(
+    "last_window", lambda df: summaries.last_window(sentiment_windows(df, "ts")),
+    sql.over("marked", f"""
+        SELECT ventana_fin, total_comentarios, positivos, negativos, neutrales, odio,
+               {sql.rounded('porcentaje_odio', 1)} AS porcentaje_odio,
+               strftime(make_timestamp(ventana_fin * 1000000), '%H:%M:%S') AS hora
+        FROM ventanas ORDER BY ventana_fin DESC LIMIT 1""", sql.sentiment_windows()),
+)
+over_marked(
+    "window_table", lambda df: summaries.window_table(sentiment_windows(df, "ts")),
+    sql.over("marked", """
+        SELECT strftime(make_timestamp(ventana_fin * 1000000), '%H:%M:%S') AS "Hora",
+               total_comentarios AS "Total", odio AS "Discriminatorio", porcentaje_odio AS "% Discrim."
+        FROM ventanas""", sql.sentiment_windows()),
+)
+over_marked("hourly_mean", lambda df: hourly_mean(hourly_trend(df)), sql.over("marked", f"""
+    SELECT {sql.rounded('avg(porcentaje_odio)', 1)} AS promedio FROM ({_TREND})"""))
+
+
+def _metric_topic(windows: DataFrame) -> DataFrame:
+    """Windows as the messages of a metric topic with one partition."""
+    place = F.row_number().over(Window.orderBy("ventana_fin"))
+    return windows.select(
+        F.lit(0).alias("partition"), place.cast("bigint").alias("offset"),
+        F.to_json(F.struct(*windows.columns)).alias("value"),
+    )
+
+
+over_marked(
+    "recent_throughput",
+    lambda df: summaries.series_summary(
+        summaries.metric_records(_metric_topic(throughput_windows(df, "ts")), THROUGHPUT, 60),
+        "throughput_msg_seg", "cantidad_mensajes",
+    ),
+    sql.over("marked", f"""
+        SELECT arg_max(throughput_msg_seg, ventana_fin) AS actual, max(throughput_msg_seg) AS maximo,
+               {sql.rounded('avg(throughput_msg_seg)', 2)} AS promedio,
+               CAST(sum(cantidad_mensajes) AS BIGINT) AS total
+        FROM (SELECT * FROM throughput ORDER BY ventana_fin DESC LIMIT 60)""", sql.throughput()),
+)
+over_marked(
+    "recent_hate_delta",
+    lambda df: summaries.hate_delta(
+        summaries.metric_records(_metric_topic(sentiment_windows(df, "ts")), SENTIMENT, 30)),
+    sql.over("marked", f"""
+        SELECT arg_max(porcentaje_odio, ventana_fin) AS ultimo,
+               {sql.rounded('avg(porcentaje_odio)', 2)} AS promedio,
+               {sql.rounded('(arg_max(porcentaje_odio, ventana_fin) - avg(porcentaje_odio))', 2)} AS delta
+        FROM (SELECT * FROM ventanas ORDER BY ventana_fin DESC LIMIT 30)""", sql.sentiment_windows()),
+)
+
 
 # --- Reports over records ----------------------------------------------------
 
@@ -673,6 +764,43 @@ def _stream_topics(spark, sf):
     return decode(final.read_batch(spark).select("value"), extend(FINAL, rid=T.StringType()))
 
 
+@checked("stream_two_sinks", sql.over("raw", """
+    SELECT count(*) AS registros, count(*) AS limpios, count(*) AS contados, count(*) AS progreso FROM raw"""))
+def _stream_two_sinks(spark, sf):
+    """Two jobs read one topic at their own positions; the first is stopped after
+    half of the files and started again. No record is lost or written twice."""
+    path = work_dir(spark, "sinks")
+    raw, cleaned = FileTopic(f"{path}/raw"), FileTopic(f"{path}/clean")
+    records = views.raw(views.tables(spark, sf))
+    half = F.pmod(F.xxhash64("rid"), F.lit(2)) == 0
+
+    def run(queries):
+        for query in queries:
+            query.awaitTermination()
+        return queries
+
+    def cleaning():
+        return jobs.start_stage(
+            spark, raw, cleaned, jobs.clean_stage(), f"{path}/state", trigger="available",
+            max_per_trigger=1,
+        )
+
+    raw.write_batch(encode(records.filter(half)))
+    first = run([cleaning()])[0]
+    raw.write_batch(encode(records.filter(~half)))
+    copies = raw.read_stream(spark).select("value")
+    second, _ = run([cleaning(), jobs.start_parquet_sink(
+        copies, f"{path}/copy", f"{path}/state2", trigger="available")])
+    told = sum(p.numInputRows for q in (first, second) for p in q.recentProgress)
+    one = lambda df, name: df.agg(
+        F.count("*").alias(name), F.lit(1).alias("_"))
+    rid = text_field(parse_record(F.col("value")), "rid").alias("rid")
+    lines = cleaned.read_batch(spark).select(rid)
+    found = one(records, "registros").join(one(lines.distinct(), "limpios"), "_").join(
+        one(spark.read.schema("value string").parquet(f"{path}/copy"), "contados"), "_")
+    return found.select("registros", "limpios", "contados", F.lit(told).cast("bigint").alias("progreso"))
+
+
 @checked("stream_recent_messages", sql.over("marked", """
     SELECT event_id, autor, likes, es_odio, sentimiento FROM marked ORDER BY event_id DESC LIMIT 60"""))
 def _stream_recent_messages(spark, sf):
@@ -688,11 +816,15 @@ def _stream_recent_messages(spark, sf):
 
 # --- Word vectors --------------------------------------------------------------
 
+def _words(spark, sf, path: str) -> DataFrame:
+    """Stored word lists: training reads its input several times."""
+    tables.write_table(word_lists(clean(views.raw(views.tables(spark, sf)))), f"{path}/words")
+    return tables.read_table(spark, f"{path}/words")
+
+
 def _synonyms(spark, sf, terms):
     path = work_dir(spark, "word2vec")
-    # Training reads its input several times, so the cleaned words are stored.
-    tables.write_table(word_lists(clean(views.raw(views.tables(spark, sf)))), f"{path}/words")
-    save_model(fit_word2vec(tables.read_table(spark, f"{path}/words")), f"{path}/model")
+    save_model(fit_word2vec(_words(spark, sf, path)), f"{path}/model")
     return nearest_terms(saved_vectors(spark, f"{path}/model"), terms)
 
 
@@ -701,6 +833,78 @@ def _word2vec_synonyms(spark, sf):
     return _synonyms(spark, sf, ["idiot", "stupid", "que", "nicht", "purchase", "terruco"])
 
 
+_WORD_LIST = "list_filter(regexp_split_to_array(comentario_limpio, ' '), lambda w: w <> '')"
+
+
+@checked("word_lists", sql.over("limpio", f"""
+    SELECT rid, len({_WORD_LIST}) AS palabras, list_distinct({_WORD_LIST})[1] IS NOT NULL AS alguna
+    FROM limpio WHERE len({_WORD_LIST}) > 0"""))
+def _word_lists(spark, sf):
+    cleaned = clean(views.raw(views.tables(spark, sf)))
+    lists = word_lists(cleaned, keep=["rid"])
+    return lists.select(
+        "rid", F.size("tokens").cast("bigint").alias("palabras"), (F.get("tokens", F.lit(0)) != "").alias("alguna")
+    )
+
+
+@checked("word2vec_checks", sql.over("limpio", f"""
+    SELECT count(DISTINCT w) AS vocabulario, 50 AS medidas, true AS rangos, true AS valores, true AS leido
+    FROM (SELECT unnest({_WORD_LIST}) AS w FROM limpio)"""))
+def _word2vec_checks(spark, sf):
+    """Size of the vocabulary and of the vectors, ranks and range of the neighbours,
+    and whether the saved model is the trained one."""
+    path = work_dir(spark, "word2vec")
+    model = fit_word2vec(_words(spark, sf, path))
+    save_model(model, f"{path}/model")
+    vectors = saved_vectors(spark, f"{path}/model")
+    sizes = vectors.agg(
+        F.count("*").alias("vocabulario"), F.max(F.size("vector")).alias("medidas")
+    )
+    near = nearest_terms(vectors, ["que", "the", "nicht"], 4).groupBy("palabra_clave").agg(
+        F.count("*").alias("n"), F.every(F.col("similitud").between(-1, 1)).alias("ok")
+    ).agg(F.every(F.col("n") == 4).alias("rangos"), F.every("ok").alias("valores"))
+    kept = load_model(f"{path}/model").getVectors().join(
+        model.getVectors(), ["word", "vector"], "left_anti").limit(1)
+    same = kept.agg((F.count("*") == 0).alias("leido"))
+    one = F.lit(1).alias("_")
+    return (
+        sizes.withColumn("_", one).join(near.withColumn("_", one), "_")
+        .join(same.withColumn("_", one), "_").drop("_")
+    )
+
+
 @checked("synonyms_missing_terms")
 def _synonyms_missing_terms(spark, sf):
     return _synonyms(spark, sf, ["terruco", "comunista"])
+
+
+def _vectors(spark, sf) -> DataFrame:
+    return views.tables(spark, sf)("embeddings").select(
+        F.col("vec_id").cast("string").alias("word"), F.col("embedding").alias("vector")
+    )
+
+
+def _nearest(*terms: str) -> str:
+    wanted = ", ".join(f"'{t}'" for t in terms)
+    return f"""
+    WITH v AS (SELECT CAST(vec_id AS VARCHAR) AS word, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+    p AS (SELECT k.word AS palabra_clave, v.word AS palabra_similar, list_cosine_similarity(k.x, v.x) AS c
+          FROM v JOIN v AS k ON k.word <> v.word WHERE k.word IN ({wanted})),
+    r AS (SELECT *, row_number() OVER (PARTITION BY palabra_clave ORDER BY c DESC, palabra_similar) AS n FROM p)
+    SELECT palabra_clave, palabra_similar, {sql.rounded('c', 4)} AS similitud FROM r WHERE n <= 5"""
+
+
+@checked("nearest_vectors", _nearest("0", "7", "42", "123"))
+def _nearest_vectors(spark, sf):
+    return nearest_terms(_vectors(spark, sf), ["0", "7", "42", "123"])
+
+
+@checked("nearest_vectors_some_absent", _nearest("3", "-1"))
+def _nearest_vectors_some_absent(spark, sf):
+    """A key word without a vector gives no rows; the others give theirs."""
+    return nearest_terms(_vectors(spark, sf), ["3", "-1", "nada"])
+
+
+@checked("nearest_vectors_absent", f"SELECT count(*) AS filas FROM ({_nearest('nada')})")
+def _nearest_vectors_absent(spark, sf):
+    return nearest_terms(_vectors(spark, sf), ["nada", "-1"]).agg(F.count("*").alias("filas"))

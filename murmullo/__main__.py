@@ -12,11 +12,13 @@ import json
 from collections.abc import Sequence
 
 from murmullo import schemas
+from murmullo.functions.text import emoji_names
 from murmullo.operators.scorers import lexicon_scorer
 from murmullo.plans import batch
 from murmullo.session import get_session
 from murmullo.sources.topics import FileTopic, KafkaTopic, Topic
 from murmullo.streaming import jobs
+from murmullo.wordlists import EMOJI_NAMES
 
 
 def _topic(args: argparse.Namespace, name: str) -> Topic:
@@ -75,6 +77,9 @@ def parser() -> argparse.ArgumentParser:
         command.add_argument("--folder", help="folders of JSON lines instead of Kafka")
     for name in ("hate", "sentiment", "enrich"):
         commands.choices[name].add_argument("--lexicons", required=True)
+    for name in ("clean", "enrich"):
+        commands.choices[name].add_argument(
+            "--emoji", help="Parquet table with columns emoji, nombre; default: a short list")
     for name in ("hate", "enrich"):
         commands.choices[name].add_argument(
             "--threshold", type=float, default=schemas.HATE_THRESHOLD)
@@ -117,9 +122,12 @@ def _stream(spark, args: argparse.Namespace):
     def topics(source: str, sink: str) -> tuple[Topic, Topic]:
         return _topic(args, source), _topic(args, sink)
 
+    emoji = EMOJI_NAMES
+    if getattr(args, "emoji", None):
+        emoji = emoji_names(spark.read.parquet(args.emoji))
     if args.command == "clean":
         ends = topics(schemas.TOPIC_RAW, schemas.TOPIC_CLEAN)
-        return jobs.start_stage(spark, *ends, jobs.clean_stage(), **common)
+        return jobs.start_stage(spark, *ends, jobs.clean_stage(emoji), **common)
     if args.command == "throughput":
         ends = topics(schemas.TOPIC_RAW, schemas.TOPIC_THROUGHPUT)
         return jobs.start_throughput(spark, *ends, **common)
@@ -134,7 +142,7 @@ def _stream(spark, args: argparse.Namespace):
         ends = topics(schemas.TOPIC_CLASSIFIED, schemas.TOPIC_FINAL)
         return jobs.start_stage(spark, *ends, jobs.sentiment_stage(sentiment), **common)
     ends = topics(schemas.TOPIC_RAW, schemas.TOPIC_FINAL)
-    return jobs.start_enrichment(spark, *ends, hate, sentiment, threshold=args.threshold, **common)
+    return jobs.start_enrichment(spark, *ends, hate, sentiment, threshold=args.threshold, emoji=emoji, **common)
 
 
 if __name__ == "__main__":

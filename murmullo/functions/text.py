@@ -10,16 +10,16 @@ import re
 import string
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from murmullo.functions.binding import bind
 from murmullo.wordlists import EMOJI_NAMES
 
 _SPACE = r"\s\p{Z}\x0b\x1c-\x1f\x85"
+_LETTERS = "a-záéíóúñü"
 # Single characters, not ranges: Java turns them into one bit set, and a negated
-# class of several ranges takes ten times as long.
-_LETTERS = string.ascii_lowercase + "áéíóúñü"
+# class of this many ranges takes more than twice as long.
 _KEPT = string.ascii_letters + string.digits + "ñáéíóúü"
 
 # Every character that counts as whitespace, for trimming.
@@ -79,6 +79,16 @@ def emoji_pattern(names: Mapping[str, str]) -> str:
     return f"(?={_first_characters(names)})(?:" + "|".join(map(re.escape, ordered)) + ")"
 
 
+def emoji_names(table: DataFrame, sequence: str = "emoji", name: str = "nombre") -> dict[str, str]:
+    """An emoji table as the mapping that the cleaner takes.
+
+    Sequences of any length: joined ones, flags, skin tones. The table is as
+    large as the standard's list, some thousand rows, and comes to the driver.
+    """
+    rows = table.select(sequence, name).na.drop().distinct().collect()
+    return {row[0]: row[1].strip(":") for row in rows if row[0]}
+
+
 def _with_plain_forms(names: Mapping[str, str]) -> dict[str, str]:
     """Add each sequence without its variation selector, as people type both."""
     plain = {s.replace("\ufe0f", ""): n for s, n in names.items() if "\ufe0f" in s}

@@ -18,12 +18,14 @@ class VocabularyTooLarge(ValueError):
     """The vocabulary would not fit the driver; raise ``min_count``."""
 
 
-def word_lists(df: DataFrame, text: str = "comentario_limpio") -> DataFrame:
+def word_lists(
+    df: DataFrame, text: str = "comentario_limpio", keep: Sequence[str] = ()
+) -> DataFrame:
     """The words of each text; empty words and empty texts are left out."""
     words = F.array_remove(F.split(F.trim(F.col(text)), r"\s+"), "")
     return (
         df.filter(F.col(text).isNotNull())
-        .select(words.alias("tokens"))
+        .select(*keep, words.alias("tokens"))
         .filter(F.size("tokens") > 0)
     )
 

@@ -6,13 +6,17 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from murmullo.functions.labels import (
     category_name, clock, flag_name, hate_band, named,
 )
 from murmullo.functions.measures import first_highest, percent_or_zero
+from murmullo.sources.records import decode
+from murmullo.sources.topics import last_messages
 from murmullo.wordlists import SENTIMENT_NAMES
 
+# What the reports call the counts of a window and the flags below.
 _WINDOW_COUNTS = {"positivos": "Positivo", "negativos": "Negativo", "neutrales": "Neutral"}
 
 
@@ -130,6 +134,20 @@ def dominant_sentiment(windows: DataFrame, time: str = "ventana_fin") -> DataFra
     return last.select(time, dominant.alias("dominante"))
 
 
+def last_window(windows: DataFrame, time: str = "ventana_fin") -> DataFrame:
+    """The newest window with its clock time, counts and percentage: one row."""
+    last = _last(windows, "total_comentarios", *_WINDOW_COUNTS, "odio", "porcentaje_odio", time=time)
+    return with_clock(last.withColumn("porcentaje_odio", F.round("porcentaje_odio", 1)), time)
+
+
+def window_table(windows: DataFrame, time: str = "ventana_fin") -> DataFrame:
+    """Clock time, comments, hate comments and percentage of each window, oldest first."""
+    return with_clock(windows, time, "Hora").orderBy(time).select(
+        "Hora", F.col("total_comentarios").alias("Total"), F.col("odio").alias("Discriminatorio"),
+        F.col("porcentaje_odio").alias("% Discrim."),
+    )
+
+
 def with_hate_band(windows: DataFrame, pct: str = "porcentaje_odio") -> DataFrame:
     return windows.withColumn("banda", hate_band(F.col(pct)))
 
@@ -147,3 +165,9 @@ def hate_delta(windows: DataFrame, pct: str = "porcentaje_odio", time: str = "ve
 
 def distinct_sorted(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct().orderBy(column)
+
+
+def metric_records(messages: DataFrame, schema: T.StructType, n: int) -> DataFrame:
+    """The newest ``n`` records of a metric topic (``partition``, ``offset``,
+    ``value``), with their types, for any of the summaries above."""
+    return decode(last_messages(messages, n).select("value"), schema)

@@ -89,3 +89,8 @@ def peak_hour(trend: DataFrame) -> DataFrame:
     order = F.struct("porcentaje_odio", -F.col("hora_dia"))
     best = F.max_by(F.struct("hora_dia", "porcentaje_odio"), order)
     return trend.agg(best.alias("p")).select("p.*")
+
+
+def hourly_mean(trend: DataFrame) -> DataFrame:
+    """The mean of the hourly percentages, every hour counting the same."""
+    return trend.agg(F.round(F.avg("porcentaje_odio"), 1).alias("promedio"))

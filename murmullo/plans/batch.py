@@ -23,6 +23,7 @@ from murmullo.sources.tables import (
 from murmullo.sources.topics import Topic
 from murmullo.wordlists import KEY_TERMS
 
+# What an export and a report need at least.
 MIN_EXPORT_ROWS = 1
 MIN_BATCH_ROWS = 10
 
@@ -50,14 +51,13 @@ def run_synonyms(
     **training,
 ) -> None:
     """Train and save word vectors, then write the neighbours of the key terms.
-    If no key term is in the vocabulary, no neighbours are written."""
+    If no key term is in the vocabulary, the result is an empty table, so none of
+    an earlier run is left in place."""
     comments = read_table(spark, source, FINAL)
     require_rows(comments, min_rows)
     model = fit_word2vec(word_lists(comments), **training)
     save_model(model, model_path)
-    near = nearest_terms(saved_vectors(spark, model_path), terms, k)
-    if not near.isEmpty():
-        write_table(near, target)
+    write_table(nearest_terms(saved_vectors(spark, model_path), terms, k), target)
 
 
 def run_publish(spark: SparkSession, source: str, topic: Topic) -> None:

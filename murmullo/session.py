@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -44,7 +45,7 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
 
 def _local_root(spark: SparkSession) -> str:
     """Driver and executors are one process here, so its own folder will do."""
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):  # local-cluster is not local
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return _own_folder()
 

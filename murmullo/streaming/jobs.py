@@ -117,6 +117,7 @@ def start_enrichment(
     checkpoint: str, name: str | None = None, trigger: str | None = None,
     threshold: float = HATE_THRESHOLD, on_malformed: str = "fail",
     max_per_trigger: int | None = None, metrics: str | None = None,
+    emoji: Mapping[str, str] = EMOJI_NAMES,
 ) -> StreamingQuery:
     """All three stages in one query: the record is parsed and written once.
     With ``metrics`` its progress reports count rows and hate rows under that name."""
@@ -124,7 +125,7 @@ def start_enrichment(
     records = parsed(messages.select("value"), on_malformed)
     fields = [text_field(F.col("record"), n).alias(n) for n in RAW.names]
     raw = typed(records.select(*fields), RAW)
-    final = final_columns(enrich(raw, hate, sentiment, threshold, metrics=metrics))
+    final = final_columns(enrich(raw, hate, sentiment, threshold, emoji, metrics))
     return begin(sink.write_stream(encode(final)).outputMode("append"), checkpoint, name, trigger)
 
 

@@ -53,11 +53,14 @@ def test_from_mixed_table_to_reports(spark, tmp_path, mixed):
     assert {r.palabra_clave for r in found.collect()} == {"voto"}
 
 
-def test_synonyms_of_unknown_terms_write_nothing(spark, tmp_path, mixed):
+def test_synonyms_of_unknown_terms_leave_no_old_result(spark, tmp_path, mixed):
     final, target = str(tmp_path / "final"), tmp_path / "syn"
     batch.run_enrichment(spark, mixed, final, HATE, MOOD)
+    word = spark.read.parquet(final).filter("comentario_limpio <> ''").first().comentario_limpio.split()[0]
+    batch.run_synonyms(spark, final, str(target), str(tmp_path / "m"), [word])
+    assert spark.read.parquet(str(target)).count() > 0
     batch.run_synonyms(spark, final, str(target), str(tmp_path / "m"), ["ausente"])
-    assert not target.exists() and (tmp_path / "m").exists()
+    assert spark.read.parquet(str(target)).count() == 0 and (tmp_path / "m").exists()
 
 
 def test_too_few_rows_stop_a_report(spark, tmp_path):
@@ -90,7 +93,11 @@ def test_whole_chain_through_topics_by_command_line(spark, tmp_path, mixed):
     direct = spark.read.parquet(str(tmp_path / "direct")).select(*FINAL.names)
     assert sorted(map(tuple, chained.collect())) == sorted(map(tuple, direct.collect()))
     for command in ("throughput", "sentiment-windows"):
-        cli.main([command, "--folder", folder, "--checkpoint", f"{folder}/ck-{command}", "--trigger", "available"])
+        cli.main([
+            command, "--folder", folder, "--checkpoint", f"{folder}/ck-{command}",
+            "--trigger", "available", "--late", "1 minute", "--max-per-trigger", "1"])
+    with pytest.raises(SystemExit):
+        cli.main(["throughput", "--folder", folder, "--checkpoint", f"{folder}/ck"])
 
 
 def test_work_dir_lies_in_the_shared_folder(spark):
