@@ -38,7 +38,7 @@ def _counting(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = encoder(path)
         for whole in batches:
-            for batch in sliced(whole, 1, 32 << 20):
+            for batch in sliced(whole, 1, 8 << 20):
                 _, counts = known.encode(batch.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(counts.astype(np.int64))],

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_REMEMBERED = 400_000
+_REMEMBERED = 250_000
 _SPACE = " \t\n\r\f\v"
 # White space of other kinds, which the patterns of the library know and the cut does not.
 _OTHER_SPACE = re.compile(
