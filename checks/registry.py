@@ -14,7 +14,9 @@ from murmullo.functions.labels import category_name, correlation_label, severity
 from murmullo.operators import recent, summaries
 from murmullo.operators.correlation import likes_correlation
 from murmullo.operators.risk import top_users, user_risk, user_risk_score
-from murmullo.operators.scorers import classifier_scorer, fit_classifier, model_scorer
+from murmullo.operators.scorers import (
+    classifier_scorer, fit_classifier, model_scorer, score_together,
+)
 from murmullo.operators.similarity import (
     fit_word2vec, load_model, nearest_terms, save_model, saved_vectors, word_lists,
 )
@@ -370,7 +372,7 @@ _SCORE_COLUMNS = ", ".join(f"p_{x}" for x in [*HATE_LABELS, "POS", "NEG", "NEU"]
 def _lexicon_scores(spark, sf):
     hate, mood = views.scorers()
     cleaned = clean(views.raw(views.tables(spark, sf))).select("rid", "comentario_limpio")
-    scored = mood(hate(cleaned, "comentario_limpio", "h"), "comentario_limpio", "s")
+    scored = score_together(cleaned, "comentario_limpio", {"h": hate, "s": mood})
     return scored.select(
         "rid",
         *[F.get("h", F.lit(i)).alias(f"p_{x}") for i, x in enumerate(HATE_LABELS)],

@@ -38,20 +38,20 @@ def with_running_sums(
     found = ranged.groupBy("_range").agg(
         *[F.coalesce(F.sum(value), F.lit(0)).cast("bigint") for value in sums.values()]
     ).collect()
-    before, bases = [0] * len(sums), []
-    for row in sorted(found):
-        bases.append((row[0], *before))
-        before = [a + b for a, b in zip(before, row[1:])]
-    base = df.sparkSession.createDataFrame(
-        bases, ", ".join(["_range int", *[f"`_base_{total}` bigint" for total in sums]])
-    )
+    by_range = {row[0]: row[1:] for row in found}
+    bases, before = [], [0] * len(sums)
+    for number in range(max(by_range, default=-1) + 1):
+        bases.append(before)
+        before = [a + b for a, b in zip(before, by_range.get(number, [0] * len(sums)))]
     inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, 0
     )
-    summed = ranged.withColumns({
-        f"_in_{total}": F.coalesce(F.sum(value).over(inside), F.lit(0))
-        for total, value in sums.items()
-    }).join(base, "_range")
-    return summed.withColumns({
-        total: F.col(f"_base_{total}") + F.col(f"_in_{total}") for total in sums
+
+    def total(i: int, value: str) -> Column:
+        listed = ", ".join(f"{base[i]}L" for base in bases) or "0L"
+        base = F.element_at(F.expr(f"array({listed})"), F.col("_range") + 1)
+        return base + F.coalesce(F.sum(value).over(inside), F.lit(0))
+
+    return ranged.withColumns({
+        name: total(i, value) for i, (name, value) in enumerate(sums.items())
     }).select(*df.columns, *sums)

@@ -11,6 +11,14 @@ from pyspark.sql import types as T
 from murmullo.functions.coerce import safe_bool, safe_double, safe_int
 from murmullo.functions.text import has_text
 
+
+def _parsed(value: Column) -> Column:
+    """The line as a variant if it is one JSON object, else null. What is valid JSON
+    and begins with a brace is an object."""
+    begins = F.ltrim(value, F.lit(" \t\n\r")).startswith("{")
+    return F.when(begins, F.try_parse_json(value))
+
+
 def good_records(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """The well-formed records as text columns, each line parsed once.
 
@@ -19,17 +27,18 @@ def good_records(df: DataFrame, schema: T.StructType, value: str = "value") -> D
     on the parsed line would parse it again, so the line becomes a list of one
     or no record, which is then unfolded.
     """
-    record = F.filter(F.array(parse_record(F.col(value))), lambda r: r.isNotNull())
+    record = F.filter(F.array(_parsed(F.col(value))), lambda r: r.isNotNull())
     rest = [c for c in df.columns if c != value]
     parsed = df.filter(has_text(F.col(value))).select(*rest, F.explode(record).alias("_record"))
-    return parsed.select(
-        *rest, *[text_field(F.col("_record"), f.name).alias(f.name) for f in schema.fields]
-    )
+    return parsed.select(*rest, *[
+        F.try_variant_get("_record", f"$['{f.name}']", "string").alias(f.name)
+        for f in schema.fields
+    ])
 
 
 def malformed_lines(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """The lines that hold no record. Blank lines are left out."""
-    return df.filter(has_text(F.col(value)) & parse_record(F.col(value)).isNull())
+    return df.filter(has_text(F.col(value)) & _parsed(F.col(value)).isNull())
 
 
 def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
