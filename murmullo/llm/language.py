@@ -269,7 +269,7 @@ def _labeller(model: Model, switch: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in sliced(whole, 1, 24 << 20):
+            for batch in sliced(whole, 1, 6 << 20):
                 if n_langs:
                     found = label(batch.column(1))
                 else:
