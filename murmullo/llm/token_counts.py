@@ -74,10 +74,10 @@ def token_counts(
         "doc_id", text.alias("text"), F.unhex(F.sha2(text, 256)).alias("digest"),
         F.octet_length(text).cast("bigint").alias("n_bytes"),
     )
+    # Copies are dropped inside the tasks, before anything is shuffled.
     misses = (
-        digested.select("digest", "text")
+        digested.select("digest", "text").dropDuplicates(["digest"])
         .join(_cached(spark, cache, version), "digest", "left_anti")
-        .dropDuplicates(["digest"])
     )
     (
         misses.mapInArrow(_counting(tokenizer), "digest binary, n_tokens bigint")
