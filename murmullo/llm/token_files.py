@@ -82,7 +82,7 @@ def _tokenizing(path: str, end: int):
         tail = np.array([end], known.dtype).tobytes()
         width = len(tail)
         for whole in batches:
-            for batch in sliced(whole, 2, 32 << 20):
+            for batch in sliced(whole, 2, 8 << 20):
                 ids, counts = known.encode([t or "" for t in batch.column(2).to_pylist()])
                 ends = np.cumsum(counts) * width
                 values = [ids[a:b] + tail for a, b in zip((ends - counts * width).tolist(),

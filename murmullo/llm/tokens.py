@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_REMEMBERED = 250_000
+_REMEMBERED = 400_000
 _SPACE = " \t\n\r\f\v"
 # White space of other kinds, which the patterns of the library know and the cut does not.
 _OTHER_SPACE = re.compile(
@@ -28,7 +28,7 @@ _PIECE = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 # A piece of letters and signs without apostrophes, digits or markers: every run
 # of letters and every run of signs is a word of the model.
-_SIMPLE = re.compile(f"( ?)((?:[{_LETTERS}]+|[!-&(-/:-;=?@\\[-`{{}}~]+)+)")
+_SIMPLE = re.compile(f"(?:[{_LETTERS}]+|[!-&(-/:-;=?@\\[-`{{}}~]+)+")
 _RUN = re.compile(f"[{_LETTERS}]+|[^{_LETTERS}]+")
 
 
@@ -79,15 +79,16 @@ class Encoder:
         small = self.tokenizer.get_vocab_size() <= 1 << 16
         self.code, self.dtype = ("H", np.uint16) if small else ("I", np.uint32)
         self.letters = _byte_letters()
-        self.words, self.runs = Remembered(), Remembered()
+        # Runs of letters, and pieces of several; a run that is a piece has the same ids.
+        self.known = Remembered()
 
     def _run(self, run: str) -> bytes:
-        ids = self.runs.get(run)
+        ids = self.known.get(run)
         if ids is None:
             word = run if run.isalpha() and run.isascii() else (
                 run.encode().decode("latin-1").translate(self.letters))
             ids = array(self.code, [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
-            self.runs.put(run, ids)
+            self.known.put(run, ids)
         return ids
 
     def whole(self, texts: list[str]) -> list[bytes]:
@@ -95,26 +96,37 @@ class Encoder:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [array(self.code, e.ids).tobytes() for e in found]
 
+    def _simple(self, piece: str) -> bytes | None:
+        """The ids of a piece of plain words and signs; None for any other."""
+        body = piece[1:] if piece[0] == " " else piece
+        space = " " if not self.folds and len(body) < len(piece) else ""
+        # Most pieces are one word, or a word and one sign.
+        if body.isascii() and body.isalpha():
+            return self._run(space + (body.lower() if self.folds else body))
+        word = body[:-1]
+        if word.isascii() and word.isalpha() and body[-1] in ".,":
+            return self._run(space + (word.lower() if self.folds else word)) + self._run(body[-1])
+        if _SIMPLE.fullmatch(body) is None:
+            return None
+        runs = _RUN.findall(body.lower() if self.folds else body)
+        runs[0] = space + runs[0]
+        ids = b"".join([self._run(r) for r in runs])
+        self.known.put(piece, ids)
+        return ids
+
     def _pieces_ids(self, pieces: list[str]) -> list[bytes]:
-        ids, hard = [self.words.get(p) for p in pieces], []
-        for i, known in enumerate(ids):
-            if known is not None:
-                continue
-            piece = pieces[i]
-            found = _SIMPLE.fullmatch(piece)
-            if found is None:
+        get, simple = self.known.get, self._simple
+        ids = [get(p) if p else b"" for p in pieces]
+        hard = []
+        for i in [i for i, found in enumerate(ids) if found is None]:
+            ids[i] = simple(pieces[i])
+            if ids[i] is None:
                 hard.append(i)
-                continue
-            runs = _RUN.findall(found[2].lower() if self.folds else found[2])
-            if not self.folds and found[1]:
-                runs[0] = " " + runs[0]
-            ids[i] = b"".join([self._run(r) for r in runs])
-            self.words.put(piece, ids[i])
         for start in range(0, len(hard), 4096):
             part = hard[start:start + 4096]
             for i, found in zip(part, self.whole([pieces[i] for i in part])):
                 ids[i] = found
-                self.words.put(pieces[i], found)
+                self.known.put(pieces[i], found)
         return ids
 
     def _pieces(self, texts: list[str]) -> tuple[np.ndarray, pa.Array]:
