@@ -8,6 +8,8 @@ script. Viterbi then labels the words of a document: it takes the sequence of
 languages with the highest total, where every change costs ``SWITCH``, and so
 finds the spans of mixed texts. The language of a document is the one with the
 most letters; its score is their share, weighed by how clearly the words speak for it.
+A word is a run without white space. One of more than ``_PIECE`` characters, as in
+scripts without spaces, is read whole, as several words one after another.
 
 ``und`` with score 0 if the text is null or has no letter. A script no language
 was trained on leaves all of them as candidates. Of equal languages the first by name
@@ -34,8 +36,8 @@ BUCKETS = 1 << 15
 SAMPLE = 40_000
 SWITCH = 12.0
 _LONGEST_RUN = 4
-# A word is read up to here; longer ones are addresses or noise.
-_WORD = 40
+# Longer runs without white space are read as several words, a step each.
+_PIECE = 40
 UNKNOWN = "und"
 
 # Where the letters of each script begin and end (code points). Fixed values.
@@ -90,17 +92,25 @@ def words_of(texts: pa.Array) -> Words:
     cut = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
     count = pc.list_value_length(cut).to_numpy(zero_copy_only=False).astype(np.int64)
     coded = cut.flatten().dictionary_encode()
-    distinct = [w[:_WORD] for w in coded.dictionary.to_pylist()]
-    code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    # A space before each word marks its beginning.
+    distinct = coded.dictionary.to_pylist()
+    run_of = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    # A space before each run marks its beginning.
     points = np.frombuffer((" " + " ".join(distinct) + " ").encode("utf-32-le"), np.uint32)
     lengths = np.fromiter(map(len, distinct), np.int64, len(distinct))
-    word = np.repeat(np.arange(len(distinct)), lengths + 1)
+    pieces = np.maximum(1, -(-lengths // _PIECE))
+    n_words, first_piece = int(pieces.sum()), np.cumsum(pieces) - pieces
+    inside = np.arange(len(points) - 1 if len(distinct) else 0) - np.repeat(
+        np.cumsum(lengths + 1) - (lengths + 1), lengths + 1
+    )
+    word = np.repeat(first_piece, lengths + 1) + np.maximum(inside - 1, 0) // _PIECE
+    times = pieces[run_of]
+    code = np.repeat(first_piece[run_of] - (np.cumsum(times) - times), times)
+    code += np.arange(len(code))
     kind = _letters()[points]
     place = np.flatnonzero(kind[:-1])
-    letters = np.bincount(word[place], minlength=len(distinct))
+    letters = np.bincount(word[place], minlength=n_words)
     # A word's script is that of its first letter.
-    script = np.zeros(len(distinct), np.int64)
+    script = np.zeros(n_words, np.int64)
     first = place[::-1]
     script[word[first]] = kind[first]
     lower = np.where(kind > 0, points, 32).astype(np.uint64)
@@ -117,7 +127,7 @@ def words_of(texts: pa.Array) -> Words:
         runs.append((mixed % np.uint64(BUCKETS)).astype(np.int64))
         owners.append(np.concatenate((word[place], word[behind - 1])) if last else word[place])
     keep = letters[code] > 0 if len(code) else np.zeros(0, bool)
-    text_of = np.repeat(np.arange(len(count)), count)
+    text_of = np.repeat(np.repeat(np.arange(len(count)), count), times)
     return Words(
         code[keep], np.bincount(text_of[keep], minlength=len(count)), letters, script,
         np.concatenate(runs), np.concatenate(owners),

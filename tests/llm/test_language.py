@@ -92,6 +92,31 @@ def test_words():
     assert words.letters[words.code].tolist() == [4, 5, 4, 1]
 
 
+def test_long_runs_are_read_whole(spark):
+    _, docs = _docs(spark)
+    rows, han = docs.collect(), "这是一个没有空格的段落"
+    rows += [(1000 + i, han[i % 5:] * 3, "zh") for i in range(40)]
+    model = learn(spark.createDataFrame(rows, docs.schema))
+    texts = [han * 450 + " the dog eats bread and the house is big", "-" * 90 + "the,dog,eats,bread,and,the,house"]
+    words = words_of(pa.array(texts))
+    n = [sum(c.isalpha() for c in t) for t in texts]
+    text_of = np.repeat(np.arange(2), words.count)
+    assert np.bincount(text_of, weights=words.letters[words.code]).tolist() == n
+    found = identified(spark.createDataFrame([(t,) for t in texts], "text string"), model).collect()
+    assert {r._doc.text: r.lang_pred for r in found} == dict(zip(texts, ["zh", "en"]))
+    assert all(r.score > 0.5 for r in found)
+
+
+def test_pieces_keep_the_runs_of_their_word():
+    """What lies across a cut is counted as anywhere else in the word."""
+    word = "".join(chr(97 + i * 7 % 26) for i in range(130))
+    words = words_of(pa.array([word]))
+    assert words.count.tolist() == [4] and words.letters.tolist() == [40, 40, 40, 10]
+    assert len(words.run) == 4 * 130 + 1
+    same = words_of(pa.array(["x" + word]))
+    assert len(set(words.run.tolist()) - set(same.run.tolist())) <= 6
+
+
 def test_edges(spark, edges, nothing):
     found = language_table(edges).collect()
     assert len(found) == 10
