@@ -250,7 +250,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 def grouped(docs: DataFrame, distance: int = DISTANCE, most: int = MOST) -> DataFrame:
-    """``doc_id, _hash, _print, component_id`` for every row."""
+    """``doc_id, _hash, _print, _root, component_id`` for every row; ``_root`` is its component."""
     rows = stage(
         fingerprints(docs.select(
             F.struct("doc_id", F.xxhash64("text").alias("_hash")).alias("_row"), "text"
@@ -267,11 +267,11 @@ def grouped(docs: DataFrame, distance: int = DISTANCE, most: int = MOST) -> Data
     rooted = stage(rooted, "simhash-roots")
     smallest = rooted.groupBy("_root").agg(F.min("_first").alias("component_id"))
     known = stage(
-        rooted.join(smallest, "_root").select(F.col("_print").alias("_p"), "component_id"),
+        rooted.join(smallest, "_root").select(F.col("_print").alias("_p"), "_root", "component_id"),
         "simhash-known",
     )
     return rows.join(known, rows["_print"] == known["_p"]).select(
-        "doc_id", "_hash", "_print", "component_id"
+        "doc_id", "_hash", "_print", "_root", "component_id"
     )
 
 
@@ -283,18 +283,15 @@ def near_duplicates(docs: DataFrame, **how) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, **how) -> DataFrame:
-    """One row of every component, the one with the smallest ``doc_id``.
+    """One row of every component, the one with the smallest ``doc_id``, null last.
 
     Among rows that share this id the smallest text hash stays, and one of rows
     that are equal in both.
     """
-    kept = (
-        grouped(docs, **how).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy(F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_no_id"),
-                 "component_id")
-        .agg(F.min("_hash").alias("_hash"))
-        .select("_id", "_no_id", "_hash")
+    place = F.struct(
+        F.col("doc_id").isNull().alias("_no_id"), F.coalesce("doc_id", F.lit(0)).alias("_id"), "_hash"
     )
+    kept = grouped(docs, **how).groupBy("_root").agg(F.min(place).alias("_kept")).select("_kept.*")
     rows = docs.select(
         row_struct(docs).alias("_doc"), F.coalesce("doc_id", F.lit(0)).alias("_id"),
         F.col("doc_id").isNull().alias("_no_id"), F.xxhash64("text").alias("_hash"),

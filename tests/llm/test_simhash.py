@@ -132,6 +132,18 @@ def test_one_of_each_group_stays(corpus):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(groups)
 
 
+def test_unrelated_rows_without_or_with_one_id_stay(spark):
+    rng = random.Random(6)
+    text = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(60))
+    texts = [text() for _ in range(8)]
+    rows = [(None, t) for t in texts[:4]] + [(5, t) for t in texts[4:]]
+    copies = [(None, texts[0]), (None, texts[5]), (9, texts[1]), (5, texts[6])]
+    docs = spark.createDataFrame(rows + copies, "doc_id long, text string").repartition(3)
+    kept = sorted(((r.doc_id, r.text) for r in deduplicated(docs).collect()), key=lambda r: r[1])
+    # One row of each text; the copy with an id stands for the one without.
+    assert kept == sorted([(9, t) if t == texts[1] else (i, t) for i, t in rows], key=lambda r: r[1])
+
+
 def test_edges(edges, edge_rows, nothing):
     _check(edge_rows, near_duplicates(edges).collect())
     kept = deduplicated(edges).collect()
