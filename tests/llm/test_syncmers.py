@@ -5,7 +5,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from murmullo.llm.syncmers import SKETCH, compare_edited, likeness, with_fingerprint
+from murmullo.llm.syncmers import SKETCH, anchor_table, compare_edited, likeness, with_fingerprint
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -96,3 +96,19 @@ def test_a_passage_has_the_same_anchors_anywhere(spark):
 def test_likeness_of_empty_prints(spark):
     df = spark.createDataFrame([("", ""), ("", "00000001"), ("00000001", "00000001")], "a string, b string")
     assert [r[0] for r in df.select(likeness(F.col("a"), F.col("b"))).collect()] == [1.0, 0.0, 1.0]
+
+
+def test_all_anchors_of_long_texts_count(spark):
+    line = lambda a, n: " ".join(f"{a}{i}" for i in range(n))
+    passage = line("p", 60)
+    one, two = f"{line('a', 3000)} {passage}", f"{passage} {line('b', 3000)}"
+    docs = spark.createDataFrame([(2, one), (1, two)], "doc_id long, text string")
+    for row in compare_edited(docs).collect():
+        assert 0 < row.near_next < 0.05 and len(row.fingerprint) > 8 * 1000
+    # A sketch on request still estimates it.
+    assert all(len(r.fingerprint) == 8 * 48 for r in compare_edited(docs, sketch=48).collect())
+    found = anchor_table(docs).collect()
+    places = {i: {(r.anchor, r.position) for r in found if r._doc.doc_id == i} for i in (1, 2)}
+    common = {a for a, _ in places[1]} & {a for a, _ in places[2]}
+    assert len(common) > 10
+    assert {q - p for a, p in places[1] for b, q in places[2] if a == b} == {3000}
