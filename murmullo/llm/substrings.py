@@ -8,7 +8,7 @@ more than ``REACH`` bytes (but for the ends of a text), about 49 on average, and
 are compared by a 128-bit digest. Where no cut comes, as in the same word over
 and over, a chunk ends after ``LONGEST`` bytes.
 
-A chunk is a repeat where a document with a smaller ``doc_id`` has it too. Chunks
+A chunk is a repeat where a document that comes before has it too. Chunks
 are counted with partial aggregates, so a chunk that is in a third of all
 documents sends one row per task. Only digests found in several documents
 are joined back. A span is a run of repeated chunks without a gap; spans of
@@ -16,9 +16,10 @@ fewer than ``SPAN`` bytes stay, as short phrases repeat by chance. The ends of a
 passage lie in chunks with other text, so a span is some 60 to 110 bytes
 shorter than what two documents share.
 
-Null and empty texts have no chunks. Rows that share a ``doc_id`` count as one
-document and never repeat each other; equal rows give each span once. A null
-``doc_id`` counts as the largest.
+Null and empty texts have no chunks. A document is a ``doc_id`` with a text: rows
+that are equal in both are one document and never repeat each other, and equal
+rows give each span once; other texts under the same or under no ``doc_id`` are
+documents of their own. Their order is that of ``doc_id``, null last, then of a hash.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from murmullo.llm.common import row_struct, sliced, stage
@@ -37,7 +38,9 @@ from murmullo.session import ship_package
 REACH, LONGEST, SPAN = 24, 192, 80
 _WINDOW = 16
 _GEAR_SEED = 7
-_LAST = (1 << 63) - 1
+# A document's key is its id, from 0 on, and below it so many values of a hash.
+_HASHES, _LOWEST, _NO_ID = 1 << 62, 1 << 63, 1 << 64
+_KEY = "decimal(38,0)"
 
 
 def gear_table() -> np.ndarray:
@@ -88,13 +91,35 @@ def chunk_ends(data: bytes, gear: np.ndarray, reach: int, longest: int) -> list[
     return ends
 
 
+def _whole(value: int) -> Column:
+    return F.lit(str(value)).cast(_KEY)
+
+
+def document_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """One number for ``doc_id`` (null last) and the hash of the text, in this order.
+
+    A number is a fixed place in an aggregate, where a struct would have to be sorted.
+    """
+    own = F.col(doc_id).cast("bigint").cast(_KEY) + _whole(_LOWEST)
+    place = F.coalesce(own, _whole(_NO_ID)).cast("decimal(20,0)")
+    short = F.shiftrightunsigned(F.xxhash64(text), 2).cast("decimal(19,0)")
+    return (place * F.lit(str(_HASHES)).cast("decimal(19,0)") + short).cast(_KEY)
+
+
+def _id_of(key: Column) -> Column:
+    """The ``doc_id`` of a document's key."""
+    hashes = F.lit(str(_HASHES)).cast(_KEY)
+    place = ((key - key % hashes) / hashes).cast("decimal(20,0)")
+    return F.when(place < _whole(_NO_ID), (place - _whole(_LOWEST)).cast("bigint"))
+
+
 def _chunker(reach: int, longest: int):
     def chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gear, digest = gear_table(), xxhash.xxh3_128_digest
         for whole in batches:
             for batch in sliced(whole, 1):
                 ids, starts, sizes, keys = [], [], [], []
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                for row, text in enumerate(batch.column(1)):
                     if not text.is_valid:
                         continue
                     data = text.as_buffer().to_pybytes()
@@ -103,7 +128,7 @@ def _chunker(reach: int, longest: int):
                     ends = chunk_ends(data, gear, reach, longest)
                     begins = [0, *ends[:-1]]
                     keys.extend([digest(data[a:b]) for a, b in zip(begins, ends)])
-                    ids.append(np.full(len(ends), _LAST if doc_id is None else doc_id))
+                    ids.append(np.full(len(ends), row))
                     starts.append(np.array(begins))
                     sizes.append(np.array(ends) - np.array(begins))
                 if not keys:
@@ -111,7 +136,7 @@ def _chunker(reach: int, longest: int):
                 halves = np.frombuffer(b"".join(keys), "<i8").reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy()),
-                     pa.array(np.concatenate(ids)),
+                     batch.column(0).take(pa.array(np.concatenate(ids))),
                      pa.array(np.concatenate(starts) << 16 | np.concatenate(sizes))],
                     names=["_d0", "_d1", "_id", "_place"],
                 )
@@ -124,20 +149,25 @@ def chunks(docs: DataFrame, reach: int = REACH, longest: int = LONGEST) -> DataF
     if not 0 < reach <= longest < 1 << 16:
         raise ValueError("0 < reach <= longest < 65536")
     ship_package(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
-        _chunker(reach, longest), "_d0 bigint, _d1 bigint, _id bigint, _place bigint"
+    return docs.select(document_key().alias("_key"), "text").mapInArrow(
+        _chunker(reach, longest), f"_d0 bigint, _d1 bigint, _id {_KEY}, _place bigint"
     )
 
 
 def repeated_spans(
     docs: DataFrame, span: int = SPAN, reach: int = REACH, longest: int = LONGEST
 ) -> DataFrame:
-    """Spans of ``span`` bytes or more that documents with smaller ids have too.
+    """Spans of ``span`` bytes or more that documents before theirs have too.
 
     ``doc_id, start, n_bytes`` (in UTF-8), ``n_chunks``, and ``first_doc_ids``: the
     documents with the first occurrence of ``span`` bytes of it or, if there is none,
     of the most. Others share a phrase with it by chance.
     """
+    return _spans(docs, span, reach, longest).drop("_id")
+
+
+def _spans(docs: DataFrame, span: int, reach: int, longest: int) -> DataFrame:
+    """The spans with the key of their document as ``_id``."""
     found = chunks(docs, reach, longest)
     shared = stage(
         found.groupBy("_d0", "_d1")
@@ -173,8 +203,10 @@ def repeated_spans(
         )
         .filter(F.col("n_bytes") >= span)
         .select(
-            F.nullif(F.col("_id"), F.lit(_LAST)).alias("doc_id"), "start", "n_bytes", "n_chunks",
-            F.array_sort(F.transform(main, lambda x: x["_first"])).alias("first_doc_ids"),
+            "_id", _id_of(F.col("_id")).alias("doc_id"), "start", "n_bytes", "n_chunks",
+            F.array_sort(F.array_distinct(
+                F.transform(main, lambda x: _id_of(x["_first"]))
+            )).alias("first_doc_ids"),
         )
     )
 
@@ -198,15 +230,14 @@ def _cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def without_repeats(docs: DataFrame, **how) -> DataFrame:
+def without_repeats(
+    docs: DataFrame, span: int = SPAN, reach: int = REACH, longest: int = LONGEST
+) -> DataFrame:
     """The input's rows as ``_doc`` and their texts without the repeated spans."""
-    spans = repeated_spans(docs, **how).groupBy(
-        F.coalesce("doc_id", F.lit(_LAST)).alias("_span_id")
-    ).agg(F.collect_list(F.struct("start", "n_bytes")).alias("_spans"))
-    rows = docs.select(
-        row_struct(docs).alias("_doc"), "text",
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)).alias("_id"),
+    spans = _spans(docs, span, reach, longest).groupBy(F.col("_id").alias("_span_id")).agg(
+        F.collect_list(F.struct("start", "n_bytes")).alias("_spans")
     )
+    rows = docs.select(row_struct(docs).alias("_doc"), "text", document_key().alias("_id"))
     joined = rows.join(spans, rows["_id"] == spans["_span_id"], "left").select(
         "_doc", "text", "_spans"
     )

@@ -113,6 +113,28 @@ def test_texts_without_their_repeats(spark):
     assert len(found[2]) < len(passage) / 2
 
 
+@pytest.mark.parametrize("shared", [None, 7, -(1 << 63), (1 << 63) - 1])
+def test_texts_under_one_id_are_documents_of_their_own(spark, shared):
+    rng = random.Random(10)
+    text = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(60))
+    known, passage, clean = text(), text(), [text() for _ in range(3)]
+    rows = [(3, known), (shared, f"{clean[0]} {known}"), (shared, clean[1]),
+            (shared, f"{passage} uno"), (shared, f"dos {passage}"), (shared, clean[2])]
+    docs = spark.createDataFrame(rows + rows[2:3], "doc_id long, text string").repartition(3)
+    spans = repeated_spans(docs).collect()
+    # The smaller id comes first, so the copy of it is the one with the larger.
+    low = shared is not None and shared < 3
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in spans) == sorted(
+        [(shared is None, shared or 0), (False, 3) if low else (shared is None, shared or 0)])
+    assert sorted(map(str, (r.first_doc_ids for r in spans))) == sorted(
+        map(str, ([shared], [shared] if low else [3])))
+    found = {r._doc.text: r.deduplicated for r in without_repeats(docs).collect()}
+    assert len(found) == 6 and all(found[t] == t for t in clean[1:])
+    cut = sorted(t for t in found if found[t] != t)
+    assert len(cut) == 2 and all(len(found[t]) < len(t) - SPAN for t in cut)
+    assert len({rows[3][1], rows[4][1]} & set(cut)) == 1 and (rows[0 if low else 1][1] in cut)
+
+
 def test_edges(edges, nothing):
     found = repeated_spans(edges).collect()
     assert all(r.n_bytes >= SPAN for r in found)
