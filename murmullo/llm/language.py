@@ -319,10 +319,7 @@ def language_table(docs: DataFrame, sample: int = SAMPLE, switch: float = SWITCH
     )
 
 
-def in_a_language(
-    docs: DataFrame, least: float = 0.5, sample: int = SAMPLE, switch: float = SWITCH
-) -> DataFrame:
-    """The rows whose language is known with a score of ``least`` at the least."""
+def in_a_language(docs: DataFrame, sample: int = SAMPLE, switch: float = SWITCH) -> DataFrame:
+    """The rows whose language is known; a text in several languages has its main one."""
     model = learn(docs.filter(~held_out(F.col("doc_id"))), sample)
-    found = identified(docs, model, switch)
-    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("_doc.*")
+    return identified(docs, model, switch).filter(F.col("lang_pred") != UNKNOWN).select("_doc.*")

@@ -117,6 +117,14 @@ def test_pieces_keep_the_runs_of_their_word():
     assert len(set(words.run.tolist()) - set(same.run.tolist())) <= 6
 
 
+def test_bilingual_documents_stay(spark):
+    rows, _ = _docs(spark)
+    mixed = " ".join(TEXTS[x] for x in ("en", "de", "ru"))
+    rows += [(1000, mixed, None), (1001, "12 ... 34", None)]
+    kept = in_a_language(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert sorted(r.doc_id for r in kept.collect()) == [*range(160), 1000]
+
+
 def test_edges(spark, edges, nothing):
     found = language_table(edges).collect()
     assert len(found) == 10
