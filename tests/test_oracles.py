@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as contract
 from checks.compare import connect, differences
+from checks.registry import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -22,8 +23,10 @@ def test_contract(spark):
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, connection, name):
-    rows, missing, extra, notes = differences(spark, connection, name, SF_DIR)
+    rows, missing, extra, notes = differences(
+        spark, connection, QUERIES[name], ORACLES[name], SF_DIR
+    )
     assert (missing, extra, notes) == ({}, {}, "")
     assert rows > 0
