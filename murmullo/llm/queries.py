@@ -8,12 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from murmullo.llm.common import table
+from murmullo.llm.conversations import repair_damaged
 from murmullo.llm.decontaminate import contamination
+from murmullo.llm.divergence import source_divergence
 from murmullo.llm.language import language_table
 from murmullo.llm.mixing import mix_report
 from murmullo.llm.quality import quality_table
+from murmullo.llm.secrets import secret_table
 from murmullo.llm.simhash import near_duplicates
-from murmullo.llm.sql import DECONTAMINATION, MIX, WARC
+from murmullo.llm.sql import CONVERSATIONS, DECONTAMINATION, DIVERGENCE, MIX, WARC
 from murmullo.llm.substrings import repeated_spans
 from murmullo.llm.syncmers import compare_edited
 from murmullo.llm.token_counts import token_counts
@@ -64,6 +67,18 @@ def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_edited(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_table(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -72,9 +87,11 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_substring_dedup, op2_source_mix, op3_token_files, op4_simhash, op5_decontamination,
-    op6_quality, op7_token_counts, op8_warc, op9_language, op10_syncmers, pipeline,
+    op6_quality, op7_token_counts, op8_warc, op9_language, op10_syncmers,
+    op11_source_divergence, op12_conversation_repair, op13_secret_scan, pipeline,
 )}
 
 ORACLES = {
     "op2_source_mix": MIX, "op5_decontamination": DECONTAMINATION, "op8_warc": WARC,
+    "op11_source_divergence": DIVERGENCE, "op12_conversation_repair": CONVERSATIONS,
 }

@@ -96,3 +96,129 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
     CASE WHEN page_id IS NULL OR page_id < newest THEN newest END AS refers_to
 FROM n"""
 
+
+
+# Terms of at least thirty documents of their language; shares are whole billionths.
+_TERMS = (
+    "regexp_extract_all(" + _ASCII_LOWER.format("coalesce(text, '')")
+    + r", '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+DIVERGENCE = rf"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        {_TERMS} AS w FROM documents
+),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS m FROM t GROUP BY ALL HAVING count(DISTINCT r) >= 30),
+v AS (SELECT lang, count(*) AS v, sum(m) AS all_n FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+cells AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+sizes AS (SELECT lang, source, sum(n) AS size FROM cells GROUP BY ALL),
+p AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+        1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 5)) // (coalesce(s.size, 0) + 5 * v.v) AS p,
+        1 + (CAST(1000000000 AS HUGEINT) * (k.m + 5)) // (v.all_n + 5 * v.v) AS q
+    FROM groups g JOIN kept k USING (lang) JOIN v USING (lang)
+    LEFT JOIN cells c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+    LEFT JOIN sizes s ON s.lang = g.lang AND s.source = g.source
+),
+pairs AS (
+    SELECT a.lang, a.source, b.source AS item, CAST(coalesce(f, 0) AS BIGINT) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN (
+        SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS f
+        FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source
+        GROUP BY ALL
+    ) s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+),
+parts AS (
+    SELECT lang, source, 'pair' AS part, item, value FROM pairs
+    UNION ALL
+    SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM p WHERE n > 0 AND p > q
+)
+SELECT * FROM (
+    SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)
+        AS INTEGER) AS rank FROM parts
+) WHERE part = 'pair' OR rank <= 50"""
+
+# The checksum of a short ASCII text, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+    list_transform(string_split({0}, ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda x, b: list_reduce(list_prepend(xor(x, b), [0, 0, 0, 0, 0, 0, 0, 0]),
+        lambda y, z: xor(y >> 1, 3988292384 * (y & 1)))))"""
+
+# States: 0 nothing, 1 system, 2 user, 3 assistant. The best way to each state, turn by turn.
+_BEST = "min({'cost': cost, 'audit': audit, 'made': made})"
+CONVERSATIONS = rf"""
+WITH RECURSIVE src AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        {_CRC32.format("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")}
+        % 20 AS kind FROM conversations
+), hurt AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS nth
+    FROM src WHERE kind <> 0
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i
+    FROM hurt
+), faults AS (
+    SELECT *, left(role, 1) AS r,
+        lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS met,
+        CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+             WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+             WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated'
+             ELSE 'none' END AS fault
+    FROM placed
+), every AS (SELECT DISTINCT conv_id FROM conversations),
+put(st, into_st, n, new) AS (VALUES
+    (0, 0, 0, CAST([] AS VARCHAR[])), (1, 1, 0, []), (2, 2, 0, []), (3, 3, 0, []),
+    (0, 2, 1, ['user:']), (1, 2, 1, ['user:']), (2, 3, 1, ['assistant:']), (3, 2, 1, ['user:']),
+    (0, 3, 2, ['user:', 'assistant:']), (1, 3, 2, ['user:', 'assistant:'])
+), edit(st, op, into_st, price, initial, name) AS (VALUES
+    (0, 'D', 0, 2, '', ''), (1, 'D', 1, 2, '', ''), (2, 'D', 2, 2, '', ''), (3, 'D', 3, 2, '', ''),
+    (0, 'K', 1, 0, 's', ''), (0, 'K', 2, 0, 'u', ''), (1, 'K', 2, 0, 'u', ''),
+    (2, 'K', 3, 0, 'a', ''), (3, 'K', 2, 0, 'u', ''),
+    (0, 'R', 2, 1, '', 'user'), (1, 'R', 2, 1, '', 'user'), (2, 'R', 3, 1, '', 'assistant'),
+    (3, 'R', 2, 1, '', 'user')
+), ways AS (
+    SELECT conv_id, CAST(0 AS BIGINT) AS i, 0 AS st, CAST(0 AS BIGINT) AS cost, '' AS audit,
+        CAST([] AS VARCHAR[]) AS made FROM every
+    UNION ALL
+    SELECT conv_id, i, st, best.cost, best.audit, best.made FROM (
+        SELECT conv_id, i, into_st AS st, {_BEST} AS best FROM (
+            SELECT w.conv_id, f.i, e.into_st,
+                w.cost + 5 * p.n + e.price
+                    + CASE WHEN e.op <> 'D' AND f.fault = 'truncated' THEN 5 ELSE 0 END AS cost,
+                w.audit || repeat('I', p.n) || e.op AS audit,
+                list_concat(list_concat(w.made, p.new), CASE e.op WHEN 'D' THEN []
+                    WHEN 'K' THEN [f.role || ':' || f.text] ELSE [e.name || ':' || f.text] END) AS made
+            FROM ways w JOIN faults f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1
+            JOIN put p ON p.st = w.st
+            JOIN edit e ON e.st = p.into_st AND (e.op = 'D'
+                OR f.fault NOT IN ('blank', 'duplicate') AND (e.op = 'R' OR e.initial = f.r))
+        ) GROUP BY ALL
+    )
+), report AS (
+    SELECT conv_id, count(*) AS n,
+        CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps,
+        count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+        count(*) FILTER (fault = 'truncated') AS truncated,
+        count(*) FILTER (met NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM faults GROUP BY conv_id
+), ended AS (
+    SELECT conv_id, {_BEST} AS best FROM (
+        SELECT w.conv_id, w.cost + CASE w.st WHEN 1 THEN 10 WHEN 2 THEN 5 ELSE 0 END AS cost,
+            w.audit || CASE w.st WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END AS audit,
+            list_concat(w.made, CASE w.st WHEN 1 THEN ['user:', 'assistant:']
+                WHEN 2 THEN ['assistant:'] ELSE [] END) AS made
+        FROM ways w LEFT JOIN report r ON r.conv_id IS NOT DISTINCT FROM w.conv_id
+        WHERE w.i = coalesce(r.n, 0)
+    ) GROUP BY conv_id
+)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+    coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+    coalesce(illegal, 0) AS illegal, best.cost AS cost, best.audit AS audit,
+    sha256(array_to_string(best.made, chr(10))) AS repaired_sha256
+FROM every e JOIN ended ON ended.conv_id IS NOT DISTINCT FROM e.conv_id
+LEFT JOIN report r ON r.conv_id IS NOT DISTINCT FROM e.conv_id"""
