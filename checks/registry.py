@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,7 +12,9 @@ from pyspark.sql import types as T
 from checks import sql, views
 from murmullo.functions import text as tx
 from murmullo.functions.labels import category_name, correlation_label, severity
-from murmullo.operators import recent, summaries
+from murmullo.operators import cooccurrence as co
+from murmullo.operators import recent, summaries, trained
+from murmullo.operators.ordered import stage as tables_stage
 from murmullo.operators.correlation import likes_correlation
 from murmullo.operators.risk import top_users, user_risk, user_risk_score
 from murmullo.operators.scorers import (
@@ -31,10 +34,13 @@ from murmullo.session import work_dir
 from murmullo.sources import tables
 from murmullo.sources.records import decode, encode, malformed_lines, parse_record, text_field
 from murmullo.sources.topics import (
-    FileTopic, decode_value, first_messages, incremental_tail, last_messages,
+    FileTopic, TableTopic, bounded_read, decode_value, first_messages, incremental_tail, last_messages,
+    read_last, read_tail,
 )
-from murmullo.streaming import jobs
+from murmullo.streaming import clock, jobs
+from murmullo.streaming.batches import read_batches
 from murmullo.streaming.buffer import read_buffer, start_buffer
+from murmullo.streaming.progress import wait_until_idle
 from murmullo.wordlists import (
     CATEGORY_NAMES, NEGATIVE_STOPWORDS, SENTIMENT_NAMES, TERM_STOPWORDS,
 )
@@ -327,6 +333,50 @@ def _last_n(spark, sf):
     return last_messages(messages.select("partition", "offset", "event_id", "es_odio"), 300)
 
 
+def _archive(spark, sf) -> TableTopic:
+    """The topic as Parquet with offsets in the file footers."""
+    archive = TableTopic(work_dir(spark, "archive"))
+    archive.write_batch(views.topic(views.tables(spark, sf)).select(
+        "partition", "offset", "event_id", "es_odio"))
+    return archive
+
+
+@checked("topic_bounded_read", ORACLES["bounded_read"])
+def _topic_bounded_read(spark, sf):
+    """The offsets come from the footers, and only the range is scanned."""
+    return bounded_read(spark, _archive(spark, sf), 999).select("partition", "offset", "event_id")
+
+
+@checked("topic_tail", ORACLES["incremental_tail"])
+def _topic_tail(spark, sf):
+    archive = _archive(spark, sf)
+    first, positions = read_tail(spark, archive)
+    second, _ = read_tail(spark, archive, positions)
+    mark = lambda df, n: df.select(F.lit(n).alias("lectura"), "partition", "offset", "event_id")
+    return mark(first, 1).unionByName(mark(second, 2))
+
+
+@checked("topic_last_n", ORACLES["last_n_per_partition"])
+def _topic_last_n(spark, sf):
+    return read_last(spark, _archive(spark, sf), 300).select("partition", "offset", "event_id", "es_odio")
+
+
+@checked("export_gated", sql.over("marked", """
+    SELECT count(*) AS filas, count_if(es_odio) AS con_odio, count(*) AS guardadas, count(*) AS antes FROM marked"""))
+def _export_gated(spark, sf):
+    """One read of the input; too few rows leave the earlier table."""
+    path, rows = f"{work_dir(spark, 'gated')}/out", _marked(spark, sf)
+    found = tables.write_gated(rows, path, 10)
+    try:
+        tables.write_gated(rows.limit(3), path, 10)
+        left = 0
+    except tables.TooFewRows:
+        left = tables.read_table(spark, path).count()
+    return tables.read_table(spark, path).agg(
+        F.lit(found).cast("bigint").alias("filas"), F.count_if("es_odio").alias("con_odio"),
+        F.count("*").alias("guardadas"), F.lit(left).cast("bigint").alias("antes"))
+
+
 # --- Scoring and decisions ---------------------------------------------------
 
 _DECIDED = sql.decided("props")
@@ -408,6 +458,49 @@ def _udf_scores(spark, sf):
     )
 
 
+def _says(terms):
+    return F.arrays_overlap(F.split("comentario_limpio", " "), F.array(*[F.lit(t) for t in terms]))
+
+
+def _sums_oracle(lexicon, case) -> str:
+    words = {label: f"list_has_any(string_split(comentario_limpio, ' '), {list(terms)})"
+             for label, terms in lexicon.items()}
+    parts = " UNION ALL ".join(
+        f"SELECT '{label}' AS etiqueta, count(*) AS textos, count(*) FILTER (WHERE {c}) AS casos, "
+        f"CAST(count(*) FILTER (WHERE {c}) AS DOUBLE) AS esperados FROM calibran"
+        for label, c in case(words).items())
+    return sql.over("limpio", parts, f"""calibran AS (
+        SELECT * FROM limpio WHERE {sql.has_text('comentario_limpio')}
+        AND CAST('0x' || substr(md5(comentario_limpio), 1, 4) AS INTEGER) % 10 IN (0, 1))""")
+
+
+def _sums(spark, sf, labels, exclusive: bool) -> DataFrame:
+    cleaned = tables_stage(
+        clean(views.raw(views.tables(spark, sf))).select("comentario_limpio"), "trained-clean")
+    scorer = trained.fit_labels(cleaned, labels, exclusive=exclusive)
+    return trained.calibration_sums(scorer, cleaned, labels, "comentario_limpio").select(
+        F.col("label").alias("etiqueta"), F.col("texts").alias("textos"), F.col("cases").alias("casos"),
+        F.round("expected", 6).alias("esperados"))
+
+
+@checked("trained_hate_sums", _sums_oracle(views.HATE_LEXICON, lambda words: words))
+def _trained_hate_sums(spark, sf):
+    """Eight labels: what the calibrated probabilities add up to is what was labelled."""
+    return _sums(spark, sf, {x: _says(views.HATE_LEXICON[x]) for x in HATE_LABELS}, False)
+
+
+def _classes(says, negate, both):
+    pos, neg = says["POS"], says["NEG"]
+    return {"POS": pos, "NEG": both(negate(pos), neg), "NEU": both(negate(pos), negate(neg))}
+
+
+@checked("trained_sentiment_sums", _sums_oracle(views.SENTIMENT_LEXICON, lambda words: _classes(
+    words, lambda a: f"NOT {a}", lambda a, b: f"{a} AND {b}")))
+def _trained_sentiment_sums(spark, sf):
+    says = {x: _says(terms) for x, terms in views.SENTIMENT_LEXICON.items()}
+    return _sums(spark, sf, _classes(says, lambda a: ~a, lambda a, b: a & b), True)
+
+
 def _trained(spark, sf) -> tuple[DataFrame, DataFrame]:
     """Cleaned documents, and the same with scores learned from their labels."""
     read = views.tables(spark, sf)
@@ -689,7 +782,7 @@ def _latest(spark, df: DataFrame, purpose: str) -> DataFrame:
     """Run a window metric over all there is; the last window is part of the result."""
     path = work_dir(spark, purpose)
     jobs.start_latest_result(
-        df, f"{path}/out", f"{path}/state", trigger="available"
+        df, f"{path}/out", f"{path}/state", trigger="available", keys=["ventana_fin"], compact_every=2
     ).awaitTermination()
     return jobs.read_latest_result(spark, f"{path}/out", df.schema, "ventana_fin")
 
@@ -740,6 +833,119 @@ def _stream_late_data(spark, sf):
     return spark.read.schema(metric.schema).parquet(f"{path}/out")
 
 
+def _by_clock(spark, path: str, metric: DataFrame, idle: float) -> DataFrame:
+    """Run windows that close by the clock until the stream has been silent for a while."""
+    query = jobs.start_clock_windows(metric, f"{path}/out", f"{path}/state", trigger="500 milliseconds")
+    try:
+        if not wait_until_idle(query, idle, timeout=300):
+            raise TimeoutError("the stream never fell silent")
+    finally:
+        query.stop()
+    return spark.read.schema(metric.schema).parquet(f"{path}/out")
+
+
+@checked("stream_idle_window", sql.over("marked", "SELECT *, 0 AS revision FROM ventanas", sql.sentiment_windows()))
+def _stream_idle_window(spark, sf):
+    """No newer message follows the last window, and it is there, once."""
+    metric = clock.clock_sentiment(views.marked(views.streams(spark, sf)), time="ts", idle=3)
+    found = _by_clock(spark, work_dir(spark, "idle"), metric, 8)
+    return found.withColumn("revision", F.col("revision").cast("int"))
+
+
+def _in_two_halves(spark, sf, path: str):
+    """The events arrive in two halves; the stream after each of them."""
+    events = views.tables(spark, sf)("events")
+    for half in (0, 1):
+        events.filter(F.pmod("event_id", F.lit(2)) == half).write.mode("append").parquet(f"{path}/in")
+        yield views.marked(lambda name: spark.readStream.schema(events.schema).parquet(f"{path}/in"))
+
+
+@checked("stream_clock_windows", sql.over("marked", """
+    SELECT count(*) AS mensajes, count(*) FILTER (WHERE sentimiento = 'POS') AS positivos,
+           count(*) FILTER (WHERE es_odio) AS odio, 0 AS repetidas FROM marked"""))
+def _stream_clock_windows(spark, sf):
+    """Windows of the machine's time, over a restart: every message is in one of them,
+    and no window is given twice."""
+    path = work_dir(spark, "clock")
+    for arriving in _in_two_halves(spark, sf, path):
+        found = _by_clock(spark, path, clock.clock_sentiment(arriving, seconds=2), 6)
+    return found.agg(
+        F.sum("total_comentarios").alias("mensajes"), F.sum("positivos").alias("positivos"),
+        F.sum("odio").alias("odio"),
+        (F.count("*") - F.count_distinct("ventana_fin")).cast("int").alias("repetidas"))
+
+
+@checked("stream_late_corrected", sql.over("marked", """
+    SELECT t.*, veces FROM throughput t JOIN (
+        SELECT CAST(floor(epoch(ts) / 86400) AS BIGINT) * 86400 + 86400 AS ventana_fin,
+               count(DISTINCT event_id % 2) AS veces FROM events GROUP BY 1) USING (ventana_fin)""",
+    sql.throughput(86400)))
+def _stream_late_corrected(spark, sf):
+    """Half of every day comes when its window is closed: the window is given again."""
+    path = work_dir(spark, "corrected")
+    for arriving in _in_two_halves(spark, sf, path):
+        found = _by_clock(spark, path, clock.clock_throughput(arriving, 86400, "ts", 3), 8)
+    times = found.groupBy("ventana_fin").agg(F.count("*").alias("veces"))
+    return clock.last_revisions(found).join(times, "ventana_fin")
+
+
+@checked("stream_running_shares", ORACLES["rolling_shares"])
+def _stream_running_shares(spark, sf):
+    """The shares after every message of a stream, which is stopped and started again."""
+    path, read = work_dir(spark, "running"), views.tables(spark, sf)
+    events = read("events")
+    half = events.agg(F.percentile_approx("event_id", 0.5)).first()[0]
+    for part in (F.col("event_id") <= half, F.col("event_id") > half):
+        events.filter(part).write.mode("append").parquet(f"{path}/in")
+        rows = views.marked(lambda name: spark.readStream.schema(events.schema).parquet(f"{path}/in")).select(
+            "event_id", "es_odio", "sentimiento")
+        jobs.start_rolling_shares(
+            rows, "event_id", f"{path}/out", f"{path}/state", trigger="available").awaitTermination()
+    schema = recent.rolling_shares(views.marked(read).limit(0), "event_id").schema
+    return read_batches(spark, f"{path}/out", schema).drop("batch")
+
+
+@checked("stream_one_read", sql.over("marked", """
+    SELECT count(*) AS todos, count(*) FILTER (WHERE es_odio) AS odio, count(*) AS leidos FROM marked"""))
+def _stream_one_read(spark, sf):
+    """Two sinks of one query; between them it fails once, and is started again."""
+    path, failed = work_dir(spark, "one-read"), []
+    rows = views.marked(views.streams(spark, sf)).select("event_id", "es_odio")
+
+    def hate(batch: DataFrame) -> DataFrame:
+        if not failed:
+            failed.append(True)
+            raise RuntimeError("the second sink is not there")
+        return batch.filter("es_odio")
+
+    sinks = {"todos": (f"{path}/a", lambda batch: batch), "odio": (f"{path}/b", hate)}
+    try:
+        jobs.start_sinks(rows, sinks, f"{path}/state", trigger="available").awaitTermination()
+    except StreamingQueryException:
+        pass
+    query = jobs.start_sinks(rows, sinks, f"{path}/state", trigger="available")
+    query.awaitTermination()
+    read = sum(p.numInputRows for p in query.recentProgress)
+    count = lambda name, folder: read_batches(spark, folder, rows.schema).agg(
+        F.count("*").alias(name), F.lit(1).alias("_"))
+    return count("todos", f"{path}/a").join(count("odio", f"{path}/b"), "_").select(
+        "todos", "odio", F.lit(read).cast("bigint").alias("leidos"))
+
+
+@checked("stream_interval", sql.over("marked", "SELECT * FROM throughput", sql.throughput()))
+def _stream_interval(spark, sf):
+    """An interval trigger, a file for each batch; stopped when nothing more comes."""
+    path, events = work_dir(spark, "interval"), views.tables(spark, sf)("events")
+    events.repartition(3).write.parquet(f"{path}/in")
+    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    df = jobs.throughput_stream(arriving, "ts", late="60 days")
+    query = jobs.start_latest_result(
+        df, f"{path}/out", f"{path}/state", trigger="300 milliseconds", keys=["ventana_fin"], compact_every=2)
+    query.processAllAvailable()
+    query.stop()
+    return jobs.read_latest_result(spark, f"{path}/out", df.schema, "ventana_fin")
+
+
 @checked("stream_stages", _FINAL_ORACLE)
 def _stream_stages(spark, sf):
     """All stages as one query on file streams."""
@@ -880,6 +1086,65 @@ def _synonyms_missing_terms(spark, sf):
     return _synonyms(spark, sf, ["terruco", "comunista"])
 
 
+# Every pair of words at most five apart, both ways, and its positive information.
+_PAIRS = f"""palabras AS (
+    SELECT rid, unnest({_WORD_LIST}) AS w, generate_subscripts({_WORD_LIST}, 1) AS i FROM limpio
+), cercanas AS (
+    SELECT w, unnest([lead(w, 1) OVER v, lead(w, 2) OVER v, lead(w, 3) OVER v, lead(w, 4) OVER v,
+        lead(w, 5) OVER v]) AS x FROM palabras WINDOW v AS (PARTITION BY rid ORDER BY i)
+), pares AS (
+    SELECT a, b, count(*) AS n FROM (
+        SELECT w AS a, x AS b FROM cercanas WHERE x IS NOT NULL
+        UNION ALL SELECT x, w FROM cercanas WHERE x IS NOT NULL) GROUP BY ALL
+), sumas AS (SELECT a, sum(n) AS na FROM pares GROUP BY a),
+ppmi AS (
+    SELECT p.a, p.b, ln(p.n * CAST(t.n AS DOUBLE) / (CAST(x.na AS DOUBLE) * y.na)) AS valor
+    FROM pares p JOIN sumas x ON x.a = p.a JOIN sumas y ON y.a = p.b, (SELECT sum(n) AS n FROM pares) t
+    WHERE ln(p.n * CAST(t.n AS DOUBLE) / (CAST(x.na AS DOUBLE) * y.na)) > 0
+)"""
+
+
+def _information(spark, sf):
+    words = _words(spark, sf, work_dir(spark, "cooccurrence"))
+    return words, co.positive_information(co.pair_counts(words))
+
+
+@checked("cooccurrence_by_word", sql.over("limpio", f"""
+    SELECT a AS palabra, count(*) AS parejas, round(sum(valor), 3) AS informacion
+    FROM ppmi GROUP BY a""", _PAIRS))
+def _cooccurrence_by_word(spark, sf):
+    words, matrix = _information(spark, sf)
+    sums = matrix.groupBy(F.col("a").alias("id")).agg(
+        F.count("*").alias("parejas"), F.round(F.sum("value"), 3).alias("informacion"))
+    return sums.join(co.word_ids(words), "id").select(F.col("word").alias("palabra"), "parejas", "informacion")
+
+
+_NEAR_KEYS = ("que", "the", "nicht", "stupid", "terruco")
+
+
+@checked("nearest_by_information", sql.over("limpio", f"""
+    SELECT palabra_clave, palabra_similar, similitud FROM (
+        SELECT *, row_number() OVER (PARTITION BY palabra_clave ORDER BY similitud DESC, palabra_similar) AS n
+        FROM (
+            SELECT k.a AS palabra_clave, m.a AS palabra_similar,
+                round(sum(k.valor * m.valor) / (any_value(nk.norma) * any_value(nm.norma)), 6) AS similitud
+            FROM ppmi k JOIN ppmi m ON m.b = k.b AND m.a <> k.a
+            JOIN normas nk ON nk.a = k.a JOIN normas nm ON nm.a = m.a
+            WHERE k.a IN {_NEAR_KEYS} GROUP BY ALL))
+    WHERE n <= 4""", _PAIRS, "normas AS (SELECT a, sqrt(sum(valor * valor)) AS norma FROM ppmi GROUP BY a)"))
+def _nearest_by_information(spark, sf):
+    words, matrix = _information(spark, sf)
+    return co.nearest_rows(matrix, co.word_ids(words), _NEAR_KEYS, 4)
+
+
+@checked("factor_synonyms")
+def _factor_synonyms(spark, sf):
+    """As ``word2vec_synonyms``, from counts, with nothing per word on the driver."""
+    words = _words(spark, sf, work_dir(spark, "factors"))
+    vectors = tables_stage(co.word_vectors(words), "factor-vectors")
+    return nearest_terms(vectors, ["idiot", "stupid", "que", "nicht", "purchase", "terruco"])
+
+
 def _vectors(spark, sf) -> DataFrame:
     return views.tables(spark, sf)("embeddings").select(
         F.col("vec_id").cast("string").alias("word"), F.col("embedding").alias("vector")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import string
+import zlib
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -95,11 +96,82 @@ def _with_plain_forms(names: Mapping[str, str]) -> dict[str, str]:
     return {**plain, **names}
 
 
+# Up to so many sequences one alternation finds them; a longer table is looked up.
+_ALTERNATIVES = 100
+
+
+def _character_class(points: set[int]) -> str:
+    """A class of exactly these characters, as ranges."""
+    ranges: list[list[int]] = []
+    for point in sorted(points):
+        if ranges and point == ranges[-1][1] + 1:
+            ranges[-1][1] = point
+        else:
+            ranges.append([point, point])
+    return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges) + "]"
+
+
+def _buckets(table: Mapping[str, str]) -> tuple[int, Column]:
+    """The table in buckets by checksum, so that a look-up searches a few sequences,
+    however many there are: their number, and one literal."""
+    n = 1 << max(4, len(table).bit_length())
+    buckets = [""] * n
+    for sequence, name in sorted(table.items()):
+        buckets[zlib.crc32(sequence.encode()) % n] += f"\x01{sequence}\x02:{name}:\x03"
+    # Split of a literal: done once, when the plan is made.
+    return n, F.split(F.lit("\x04".join(buckets)), "\x04", -1)
+
+
+def _looked_up(sequence: Column, n: int, buckets: Column) -> Column:
+    """The name of a sequence, or null."""
+    key = F.concat(F.lit("\x01"), sequence, F.lit("\x02"))
+    return bind(
+        F.get(buckets, F.pmod(F.crc32(sequence), F.lit(n)).cast("int")),
+        lambda bucket: F.when(bucket.contains(key), F.substring_index(
+            F.call_function("substring_index", bucket, key, F.lit(-1)), "\x03", 1)),
+    )
+
+
+def name_emoji_by_table(text: Column, table: Mapping[str, str]) -> Column:
+    """As ``name_emoji``, for tables of any length.
+
+    Runs of characters that occur in sequences are cut out. In a run every place
+    takes the longest sequence that begins there, and goes on behind it.
+    """
+    sizes = sorted({len(sequence) for sequence in table}, reverse=True)
+    run = _character_class({ord(c) for sequence in table for c in sequence}) + "+"
+    n, listed = _buckets(table)
+
+    def walked(found: Column, buckets: Column) -> Column:
+        def step(state: Column, place: Column) -> Column:
+            def if_known(size: int) -> Column:
+                sequence = F.substring(found, place, F.lit(size))
+                return bind(_looked_up(sequence, n, buckets), lambda name: F.when(
+                    name.isNotNull(), F.struct(name.alias("name"), F.lit(size).alias("n"))))
+
+            itself = F.struct(F.substring(found, place, F.lit(1)).alias("name"), F.lit(1).alias("n"))
+            longest = F.coalesce(*map(if_known, sizes), itself)
+            return F.when(place < state["next"], state).otherwise(bind(longest, lambda x: F.struct(
+                (place + x["n"]).alias("next"), F.concat(state["out"], x["name"]).alias("out"))))
+
+        start = F.struct(F.lit(1).alias("next"), F.lit("").alias("out"))
+        return F.aggregate(F.sequence(F.lit(1), F.char_length(found)), start, step, lambda state: state["out"])
+
+    runs = bind(listed, lambda buckets: F.transform(
+        F.regexp_extract_all(text, F.lit(run), F.lit(0)), lambda found: walked(found, buckets)))
+    woven = F.zip_with(
+        F.split(text, run, -1), F.concat(runs, F.array(F.lit(""))), lambda a, b: F.concat(a, b))
+    maybe = text.rlike(_character_class({ord(sequence[0]) for sequence in table}))
+    return F.when(maybe, F.array_join(woven, "")).otherwise(text)
+
+
 def name_emoji(text: Column, names: Mapping[str, str] = EMOJI_NAMES) -> Column:
     """Replace each known emoji by ``:its_name:``."""
     if not names:
         return text
     table = _with_plain_forms(names)
+    if len(table) > _ALTERNATIVES:
+        return name_emoji_by_table(text, table)
     pattern = emoji_pattern(table)
     lookup = F.create_map(
         *[F.lit(x) for seq, name in table.items() for x in (seq, f":{name}:")]

@@ -70,10 +70,10 @@ def run_export(
     max_messages: int | None = None, min_rows: int = MIN_EXPORT_ROWS,
 ) -> list[str]:
     """What is in a topic now, as a typed Parquet table at each path.
-    Malformed and blank lines are skipped; an empty topic is an error."""
+    Malformed and blank lines are skipped; an empty topic is an error. The topic is read
+    once: bounds come from its offsets, and the rows that were written are counted."""
     records = coerce_export(decode(topic.read_batch(spark, max_messages), FINAL))
-    require_rows(records, min_rows)
-    return export_table(records, paths)
+    return export_table(records, paths, min_rows)
 
 
 def run_enrichment(

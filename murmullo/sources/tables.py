@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -14,6 +15,7 @@ from murmullo.functions.coerce import (
     author_or_unknown, safe_bool, safe_double, safe_int, text_or_empty, unified_text,
 )
 from murmullo.functions.text import has_text, strip
+from murmullo.sources import store
 
 log = logging.getLogger(__name__)
 
@@ -51,6 +53,26 @@ def require_rows(df: DataFrame, min_rows: int) -> DataFrame:
     return df
 
 
+def write_gated(df: DataFrame, path: str, min_rows: int = 0) -> int:
+    """Write a table and keep it only if it has ``min_rows``; returns how many it has.
+
+    The input is read once: rows go to a draft beside ``path``, and the footers of its
+    files tell their number. Too few, and the draft is removed and an earlier table
+    stays; else the draft takes its place.
+    """
+    spark = df.sparkSession
+    draft = f"{path.rstrip('/')}.draft-{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(draft)
+        found = spark.read.schema(df.schema).parquet(draft).count()
+        if found < min_rows:
+            raise TooFewRows(f"{found} rows found, {min_rows} needed")
+        store.replace(spark, draft, path)
+    finally:
+        store.remove(spark, draft)
+    return found
+
+
 def normalize_comments(df: DataFrame) -> DataFrame:
     """Mixed input rows as raw records: one text column, no blank text, whole
     numbers, no nulls. Columns that the input lacks get their defaults."""
@@ -83,14 +105,14 @@ def coerce_export(df: DataFrame) -> DataFrame:
     )
 
 
-def export_table(df: DataFrame, paths: Sequence[str]) -> list[str]:
+def export_table(df: DataFrame, paths: Sequence[str], min_rows: int = 0) -> list[str]:
     """Write to the first path, then copy to the others; returns those written.
 
-    The copies read what was written first, so the input is computed once. A
-    copy that fails is logged and left out.
+    The copies read what was written first, so the input is computed once; too few
+    rows leave nothing. A copy that fails is logged and left out.
     """
     first, *others = paths
-    write_table(df, first)
+    write_gated(df, first, min_rows)
     done = [first]
     if others:
         written = df.sparkSession.read.schema(df.schema).parquet(first)

@@ -1,11 +1,14 @@
-"""Topics: Kafka in production, a folder of JSON lines in tests.
+"""Topics: Kafka in production, a folder of JSON lines in tests, Parquet for archives.
 
-Both kinds give the same columns, ``value`` and ``timestamp`` first, so a job
-does not know which one it reads.
+All kinds give the same columns, ``value`` and ``timestamp`` first, so a job
+does not know which one it reads. Kafka and Parquet topics have offsets: they are asked
+for where they are known (the brokers, the file footers), and then a closed range is
+read, so nothing is scanned to find out where to begin or end.
 """
 
 from __future__ import annotations
 
+import functools
 import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
@@ -67,6 +70,43 @@ class KafkaTopic:
         such as ``query.lastProgress.sources[0].endOffset``."""
         return {int(p): int(o) for p, o in json.loads(offset)[self.name].items()}
 
+    def client_options(self) -> dict[str, str]:
+        """Settings of a plain client: the ``kafka.`` options, and keys and values as bytes."""
+        kept = {k.removeprefix("kafka."): v for k, v in self.options.items() if k.startswith("kafka.")}
+        as_bytes = "org.apache.kafka.common.serialization.ByteArrayDeserializer"
+        return {"bootstrap.servers": self.servers, "key.deserializer": as_bytes,
+                "value.deserializer": as_bytes, **kept}
+
+    def offsets(self, spark: SparkSession, since_ms: int | None = None) -> dict[int, tuple[int, int]]:
+        """First offset and offset behind the last of each partition, as the brokers
+        tell them; no message is read. With ``since_ms`` the first offset is that of the
+        first message of that time or later."""
+        jvm = spark._jvm
+        settings = jvm.java.util.Properties()
+        for key, value in self.client_options().items():
+            settings.setProperty(key, value)
+        try:
+            consumer = jvm.org.apache.kafka.clients.consumer.KafkaConsumer(settings)
+        except TypeError as error:  # a package name where the class is missing
+            raise RuntimeError("the Kafka connector is not on the class path") from error
+        try:
+            parts, times = jvm.java.util.ArrayList(), jvm.java.util.HashMap()
+            for info in consumer.partitionsFor(self.name):
+                part = jvm.org.apache.kafka.common.TopicPartition(self.name, info.partition())
+                parts.add(part)
+                times.put(part, jvm.java.lang.Long(since_ms or 0))
+            first, ends = consumer.beginningOffsets(parts), consumer.endOffsets(parts)
+            later = {} if since_ms is None else consumer.offsetsForTimes(times)
+            found = {}
+            for part in parts:
+                start, end = int(first.get(part)), int(ends.get(part))
+                if since_ms is not None:
+                    start = int(later.get(part).offset()) if later.get(part) is not None else end
+                found[part.partition()] = (start, end)
+            return found
+        finally:
+            consumer.close()
+
     def sink_options(self) -> dict[str, str]:
         return {
             "kafka.bootstrap.servers": self.servers, "topic": self.name, **self.options
@@ -94,14 +134,15 @@ class KafkaTopic:
         """What is in the topic now, or at most its first ``max_messages``.
 
         With ``starts`` and ``ends``, as a progress report gives them, only these
-        offsets are read. Without them a bounded read asks the topic for them
-        first, which reads it once. With ``since_ms`` the brokers skip what is older.
+        offsets are read. Without them a bounded read asks the brokers for them
+        first. With ``since_ms`` the brokers skip what is older.
         """
         if starts is not None and ends is not None:
             return self.read_range(spark, next_ranges(starts, ends, max_messages))
+        if max_messages is not None:
+            return self.read_range(spark, first_ranges(self.offsets(spark, since_ms), max_messages))
         options = {**self.source_options(since_ms=since_ms), "endingOffsets": "latest"}
-        df = self._columns(spark.read.format("kafka").options(**options).load())
-        return df if max_messages is None else first_messages(df, max_messages)
+        return self._columns(spark.read.format("kafka").options(**options).load())
 
     def read_range(self, spark: SparkSession, ranges: Ranges) -> DataFrame:
         """The messages of a closed range; what arrives meanwhile is not in it."""
@@ -152,7 +193,51 @@ class FileTopic:
         df.select("value").write.mode("append").text(self.path)
 
 
+@dataclass(frozen=True)
+class TableTopic:
+    """A topic kept as Parquet, a folder for each partition, for archives and replays.
+
+    The messages of a partition lie in the order of their offsets, so the footers of
+    its files tell the first and the last one, and row groups outside a range are
+    skipped. Besides ``partition`` and ``offset`` there may be any columns.
+    """
+
+    path: str
+
+    def write_batch(self, df: DataFrame) -> None:
+        """Append messages that have their partition and offset."""
+        by = ["partition", "offset"]
+        df.repartitionByRange(*by).sortWithinPartitions(*by).write.mode("append").partitionBy(
+            "partition").parquet(self.path)
+
+    def bounds_query(self, spark: SparkSession) -> DataFrame:
+        """Least and greatest offset of each partition, from the file footers alone."""
+        reader = spark.newSession()  # shares all but the settings
+        reader.conf.set("spark.sql.sources.useV1SourceList", "")
+        reader.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+        return reader.read.parquet(self.path).groupBy("partition").agg(
+            F.min("offset").alias("first"), F.max("offset").alias("last"))
+
+    def offsets(self, spark: SparkSession) -> dict[int, tuple[int, int]]:
+        found = self.bounds_query(spark).collect()
+        return {row["partition"]: (row["first"], row["last"] + 1) for row in found}
+
+    def read_range(self, spark: SparkSession, ranges: Ranges) -> DataFrame:
+        """The messages of a closed range: a scan of each partition's folder with its own
+        limits, so that no row group outside them is read."""
+        whole = spark.read.parquet(self.path)
+        parts = [in_ranges(whole, {p: r}) for p, r in sorted(ranges.items()) if r[0] < r[1]]
+        return functools.reduce(DataFrame.unionAll, parts) if parts else whole.limit(0)
+
+    def read_batch(self, spark: SparkSession, max_messages: int | None = None) -> DataFrame:
+        if max_messages is None:
+            return spark.read.parquet(self.path)
+        return self.read_range(spark, first_ranges(self.offsets(spark), max_messages))
+
+
 Topic = KafkaTopic | FileTopic
+# Topics that know their offsets without being read.
+OffsetTopic = KafkaTopic | TableTopic
 
 
 def bounds(
@@ -217,14 +302,62 @@ def next_ranges(
     return found
 
 
+def first_ranges(there: Ranges, max_messages: int) -> dict[int, tuple[int, int]]:
+    """The oldest messages, an equal share from each partition."""
+    return next_ranges(
+        {p: b[0] for p, b in there.items()}, {p: b[1] for p, b in there.items()}, max_messages
+    )
+
+
+def tail_ranges(
+    there: Ranges, positions: Positions | None, max_new: int, back: int = TAIL_START
+) -> tuple[dict[int, tuple[int, int]], dict[int, int]]:
+    """What a tail reads next, and the positions it remembers then."""
+    ends = {p: end for p, (_, end) in there.items()}
+    if positions is None:
+        positions = {p: end - back for p, end in ends.items()}
+    # Offsets before the first that is still there cannot be read any more.
+    starts = {p: max(positions.get(p, first), first) for p, (first, _) in there.items()}
+    ranges = next_ranges(starts, ends, max_new)
+    return ranges, {**positions, **{p: end for p, (_, end) in ranges.items()}}
+
+
+def last_ranges(there: Ranges, max_messages: int) -> dict[int, tuple[int, int]]:
+    """The newest messages, an equal share from each partition, one at least."""
+    share = max(1, max_messages // max(1, len(there)))
+    return {p: (max(first, end - share), end) for p, (first, end) in there.items()}
+
+
+def bounded_read(spark: SparkSession, topic: OffsetTopic, max_messages: int) -> DataFrame:
+    """The oldest messages of a topic, an equal share from each partition."""
+    return topic.read_range(spark, first_ranges(topic.offsets(spark), max_messages))
+
+
+def read_tail(
+    spark: SparkSession, topic: OffsetTopic, positions: Positions | None = None,
+    max_new: int = 10, back: int = TAIL_START,
+) -> tuple[DataFrame, dict[int, int]]:
+    """As ``incremental_tail``, of a topic that knows its offsets."""
+    ranges, then = tail_ranges(topic.offsets(spark), positions, max_new, back)
+    return topic.read_range(spark, ranges).orderBy("offset", "partition"), then
+
+
+def read_last(
+    spark: SparkSession, topic: OffsetTopic, max_messages: int = 300, time: str | None = None
+) -> DataFrame:
+    """As ``last_messages``, of a topic that knows its offsets."""
+    ranges = last_ranges(topic.offsets(spark), max_messages)
+    newest = topic.read_range(spark, ranges)
+    if sum(end - start for start, end in ranges.values()) > max_messages:
+        newest = newest.orderBy(F.desc(time or "offset"), "partition").limit(max_messages)
+    return newest
+
+
 def first_messages(
     df: DataFrame, max_messages: int, partition: str = "partition", offset: str = "offset"
 ) -> DataFrame:
     """The oldest messages, an equal share from each partition."""
-    there = bounds(df, partition, offset)
-    ranges = next_ranges(
-        {p: b[0] for p, b in there.items()}, {p: b[1] for p, b in there.items()}, max_messages
-    )
+    ranges = first_ranges(bounds(df, partition, offset), max_messages)
     return in_ranges(df, ranges, partition, offset)
 
 
@@ -241,15 +374,8 @@ def incremental_tail(
     the end of each partition; a partition that was added since is read from its
     beginning.
     """
-    there = bounds(df, partition, offset)
-    ends = {p: end for p, (_, end) in there.items()}
-    if positions is None:
-        positions = {p: end - back for p, end in ends.items()}
-    # Offsets before the first that is still there cannot be read any more.
-    starts = {p: max(positions.get(p, first), first) for p, (first, _) in there.items()}
-    ranges = next_ranges(starts, ends, max_new)
-    rows = in_ranges(df, ranges, partition, offset).orderBy(offset, partition)
-    return rows, {**positions, **{p: end for p, (_, end) in ranges.items()}}
+    ranges, then = tail_ranges(bounds(df, partition, offset), positions, max_new, back)
+    return in_ranges(df, ranges, partition, offset).orderBy(offset, partition), then
 
 
 def last_messages(

@@ -8,7 +8,7 @@ least once to Kafka and exactly once to files.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +24,10 @@ from murmullo.schemas import (
 )
 from murmullo.sources.records import encode, parse_record, set_fields, text_field, typed
 from murmullo.sources.topics import Topic
+from murmullo.streaming.batches import (
+    keep_newest, newest_rows, read_batches, rolling_batches, to_sinks,
+)
+from murmullo.streaming.clock import timers
 from murmullo.wordlists import EMOJI_NAMES
 
 Stage = Callable[[DataFrame], DataFrame]
@@ -189,18 +193,17 @@ def start_parquet_sink(
 
 def start_latest_result(
     df: DataFrame, path: str, checkpoint: str, name: str | None = None,
-    trigger: str | None = None,
+    trigger: str | None = None, keys: Sequence[str] = (), compact_every: int = 20,
 ) -> StreamingQuery:
     """Keep the current result of an aggregation, windows still open included.
 
     Each micro-batch writes the rows it changed under its own number, so a
     repeated batch replaces itself, nothing that a reader may hold goes away, and
-    the state of closed windows can be dropped. Read with ``read_latest_result``.
+    the state of closed windows can be dropped. With the ``keys`` of a row the
+    batches are compacted, so a reader opens a bounded number of folders however
+    long the query runs. Read with ``read_latest_result``.
     """
-
-    def put(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={number}")
-
+    put = keep_newest(path, df.schema, keys, compact_every)
     return begin(
         df.writeStream.outputMode("update").foreachBatch(put), checkpoint, name, trigger
     )
@@ -210,10 +213,37 @@ def read_latest_result(
     spark: SparkSession, path: str, schema: T.StructType, *keys: str
 ) -> DataFrame:
     """The newest row of each key that ``start_latest_result`` wrote."""
-    stamped = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-    rows = spark.read.schema(stamped).parquet(path)
-    row = F.struct(*[f.name for f in schema.fields])
-    newest = rows.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
-        F.max_by(row, "batch").alias("_row")
+    return newest_rows(read_batches(spark, path, schema), keys).select(*schema.names)
+
+
+def start_sinks(
+    df: DataFrame, sinks: Mapping[str, tuple[str, Stage]], checkpoint: str,
+    name: str | None = None, trigger: str | None = None,
+) -> StreamingQuery:
+    """One read of a stream to several sinks (name: path, transformation), each exactly
+    once. Read a sink with ``read_batches``."""
+    return begin(
+        df.writeStream.outputMode("append").foreachBatch(to_sinks(sinks)), checkpoint, name, trigger
     )
-    return newest.select("_row.*")
+
+
+def start_rolling_shares(
+    df: DataFrame, seq: str, path: str, checkpoint: str, name: str | None = None,
+    trigger: str | None = None, **how,
+) -> StreamingQuery:
+    """Hate and sentiment shares over the last messages, after each of a stream.
+    Read with ``read_batches``."""
+    put = rolling_batches(path, seq, df.schema, **how)
+    return begin(df.writeStream.outputMode("append").foreachBatch(put), checkpoint, name, trigger)
+
+
+def start_clock_windows(
+    df: DataFrame, path: str, checkpoint: str, name: str | None = None,
+    trigger: str | None = None,
+) -> StreamingQuery:
+    """Windows of ``streaming.clock`` to a Parquet folder. Needs an interval or no trigger:
+    windows end without new rows, so there is no point at which all is done."""
+    if trigger == "available":
+        raise ValueError("windows that close by the clock need a trigger that goes on")
+    with timers(df.sparkSession):
+        return start_parquet_sink(df, path, checkpoint, name, trigger)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import logging
+import time
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
@@ -18,7 +20,6 @@ class Progress:
     rows_per_second: float = 0.0
     late_rows: int = 0
 
-
     def add(self, report) -> None:
         self.batches += 1
         self.rows += report.numInputRows
@@ -36,6 +37,24 @@ def recent_progress(query: StreamingQuery) -> Progress:
     return found
 
 
+def wait_until_idle(query: StreamingQuery, idle: float = 0.0, timeout: float = 120.0) -> bool:
+    """Wait for a batch that began ``idle`` seconds or more after the last one with rows;
+    whether there was one in time. Timers of that length have ended by then."""
+    end = time.monotonic() + timeout
+    while time.monotonic() < end:
+        if query.exception() is not None:
+            raise query.exception()
+        last = None
+        for report in query.recentProgress:
+            begun = datetime.fromisoformat(report.timestamp.replace("Z", "+00:00")).timestamp()
+            if report.numInputRows:
+                last = begun
+            elif last is not None and begun >= last + idle:
+                return True
+        time.sleep(0.1)
+    return False
+
+
 class ProgressLog(StreamingQueryListener):
     """Totals of each query from its first batch on, and one log line per batch.
 

@@ -1,3 +1,6 @@
+import random
+import time
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -94,3 +97,48 @@ def test_is_term(values):
     keep = lambda c: tx.is_term(c, 2, ["que", "los"])
     assert values(keep, ["ab", "abc", "que", "ñañ"]) == [False, True, False, True]
     assert values(lambda c: tx.is_term(c, 3, []), ["abc", "abcd"]) == [False, True]
+
+
+def _many_sequences(rng, n):
+    """Sequences of one to six characters, with joiners, selectors, flags and signs."""
+    base = [chr(c) for c in range(0x1F300, 0x1F300 + 900)] + list("#*0123456789©®") + [chr(c) for c in range(0x1F1E6, 0x1F200)]
+    tail = ["\u200d", "\ufe0f", "\u20e3", *map(chr, range(0x1F3FB, 0x1F400)), *base[:200]]
+    found = {}
+    while len(found) < n:
+        seq = rng.choice(base) + "".join(rng.choice(tail) for _ in range(rng.choice([0, 0, 1, 2, 3, 5])))
+        if seq not in "0123456789#*":
+            found[seq] = f"n{len(found)}"
+    return found, base, tail
+
+
+def test_a_long_emoji_table_gives_the_text_of_the_alternation(values, monkeypatch):
+    rng = random.Random(1)
+    names, base, tail = _many_sequences(rng, 1200)
+    known = list(names)
+    texts = ["".join(rng.choice([rng.choice(known), rng.choice(base), rng.choice(tail), "a ñ", "12", " ", "."])
+                     for _ in range(rng.randint(0, 25))) for _ in range(300)] + [None, ""]
+    by_table = values(lambda c: tx.name_emoji(c, names), texts)
+    monkeypatch.setattr(tx, "_ALTERNATIVES", 10**9)
+    assert by_table == values(lambda c: tx.name_emoji(c, names), texts)
+    assert sum(":n" in (t or "") for t in by_table) > 200
+
+
+def test_a_full_emoji_table_costs_little_more_than_a_short_one(spark):
+    rng = random.Random(2)
+    names, _, _ = _many_sequences(rng, 5000)
+    short = dict(list(names.items())[:50])
+    prose = "unas palabras de un comentario cualquiera "
+    rows = [("".join(prose + (rng.choice(list(short)) if rng.random() < 0.2 else "") for _ in range(8)),) for _ in range(4000)]
+    df = spark.createDataFrame(rows, "t string").repartition(4).cache()
+    df.count()
+
+    def seconds(table):
+        best = []
+        for _ in range(4):
+            start = time.perf_counter()
+            df.select(F.sum(F.length(tx.name_emoji(F.col("t"), table)))).collect()
+            best.append(time.perf_counter() - start)
+        return min(best)
+
+    few, all_of_them = seconds(short), seconds(names)
+    assert all_of_them <= 2 * few + 0.5, (few, all_of_them)
