@@ -362,7 +362,7 @@ def _topic_last_n(spark, sf):
 
 
 @checked("export_gated", sql.over("marked", """
-    SELECT count(*) AS filas, count_if(es_odio) AS con_odio, count(*) AS guardadas, count(*) AS antes FROM marked"""))
+    SELECT count(*) AS filas, count(*) FILTER (WHERE es_odio) AS con_odio, count(*) AS guardadas, count(*) AS antes FROM marked"""))
 def _export_gated(spark, sf):
     """One read of the input; too few rows leave the earlier table."""
     path, rows = f"{work_dir(spark, 'gated')}/out", _marked(spark, sf)
