@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +15,7 @@ from murmullo.functions.labels import category_name, correlation_label, severity
 from murmullo.operators import cooccurrence as co
 from murmullo.operators import recent, summaries, trained
 from murmullo.operators.ordered import stage as tables_stage
+from murmullo.operators.ordered import with_running_sums
 from murmullo.operators.correlation import likes_correlation
 from murmullo.operators.risk import top_users, user_risk, user_risk_score
 from murmullo.operators.scorers import (
@@ -634,9 +635,10 @@ over_marked("hourly_mean", lambda df: hourly_mean(hourly_trend(df)), sql.over("m
 
 def _metric_topic(windows: DataFrame) -> DataFrame:
     """Windows as the messages of a metric topic with one partition."""
-    place = F.row_number().over(Window.orderBy("ventana_fin"))
-    return windows.select(
-        F.lit(0).alias("partition"), place.cast("bigint").alias("offset"),
+    placed = with_running_sums(
+        windows.withColumn("_one", F.lit(1)), [F.col("ventana_fin")], {"_place": "_one"}, "metric-topic")
+    return placed.select(
+        F.lit(0).alias("partition"), F.col("_place").alias("offset"),
         F.to_json(F.struct(*windows.columns)).alias("value"),
     )
 

@@ -47,11 +47,16 @@ def parser() -> argparse.ArgumentParser:
     report.add_argument("name", choices=sorted(batch.REPORTS))
     report.add_argument("source")
     report.add_argument("target")
+    report.add_argument("--k", type=int, help="top_hate_terms: how many")
+    report.add_argument("--min-comments", type=int, help="user_risk_score: comments an author needs")
+    report.add_argument("--hours-behind", type=int, help="hourly_trend: local time behind UTC")
 
     synonyms = commands.add_parser("synonyms", help="word vectors and neighbours")
     for name in ("source", "target", "model"):
         synonyms.add_argument(name)
     synonyms.add_argument("--min-count", type=int, default=1)
+    synonyms.add_argument("--from-counts", action="store_true",
+                          help="vectors from co-occurrence counts, for vocabularies of any size")
     synonyms.add_argument("--terms", nargs="*", default=list(batch.KEY_TERMS))
 
     publish = commands.add_parser("publish", help="a table of comments to the raw topic")
@@ -87,8 +92,10 @@ def parser() -> argparse.ArgumentParser:
         commands.choices[name].add_argument(
             "--on-malformed", choices=("fail", "skip"), default="fail")
     for name in ("throughput", "sentiment-windows"):
-        commands.choices[name].add_argument(
-            "--late", required=True, help="how late a message may come, such as '10 minutes'")
+        closing = commands.choices[name].add_mutually_exclusive_group(required=True)
+        closing.add_argument("--late", help="how late a message may come, such as '10 minutes'")
+        closing.add_argument(
+            "--idle", type=float, help="close a window after so many seconds without a message for it")
     return top
 
 
@@ -96,10 +103,13 @@ def main(argv: Sequence[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = get_session(f"murmullo-{args.command}")
     if args.command == "report":
-        batch.run_report(spark, args.name, args.source, args.target)
+        given = {name: getattr(args, name) for name in ("k", "min_comments", "hours_behind")}
+        options = {name: value for name, value in given.items() if value is not None}
+        batch.run_report(spark, args.name, args.source, args.target, **options)
     elif args.command == "synonyms":
         batch.run_synonyms(
-            spark, args.source, args.target, args.model, args.terms, min_count=args.min_count
+            spark, args.source, args.target, args.model, args.terms, from_counts=args.from_counts,
+            min_count=args.min_count,
         )
     elif args.command == "publish":
         batch.run_publish(spark, args.source, _topic(args, schemas.TOPIC_RAW))
@@ -115,7 +125,7 @@ def _stream(spark, args: argparse.Namespace):
         "checkpoint": args.checkpoint, "name": args.command, "trigger": args.trigger,
         "max_per_trigger": args.max_per_trigger,
     }
-    for setting in ("on_malformed", "late"):
+    for setting in ("on_malformed", "late", "idle"):
         if hasattr(args, setting):
             common[setting] = getattr(args, setting)
 

@@ -224,6 +224,14 @@ def tokens(text: Column) -> Column:
     return F.split(F.trim(F.lower(text)), r"\s+")
 
 
+def loose_tokens(text: Column) -> Column:
+    """As ``tokens``, with an empty word wherever two separators meet, for counts that leave
+    these out anyway. Cleaned text has single spaces, and a plain split of these takes a
+    fraction of the time of a pattern."""
+    return bind(F.lower(text), lambda t: F.when(
+        t.rlike(r"[\t\n\x0b\f\r]"), F.split(t, r"\s")).otherwise(F.split(t, " ")))
+
+
 def letter_tokens(text: Column) -> Column:
     """Words of letters only: digits and marks are separators."""
     letters = F.regexp_replace(F.lower(text), f"[^{_LETTERS}]++", " ")

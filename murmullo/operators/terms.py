@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from murmullo.functions.text import is_term, letter_tokens, tokens
+from murmullo.functions.text import is_term, letter_tokens, loose_tokens
 from murmullo.wordlists import NEGATIVE_STOPWORDS, TERM_STOPWORDS
 
 
@@ -44,7 +44,7 @@ def top_hate_terms(
     stopwords: Sequence[str] | DataFrame = TERM_STOPWORDS, longer_than: int = 2,
 ) -> DataFrame:
     hate = df.filter(F.col(flag))
-    return top(word_counts(hate, tokens(F.col(text)), longer_than, stopwords), k)
+    return top(word_counts(hate, loose_tokens(F.col(text)), longer_than, stopwords), k)
 
 
 def top_negative_terms(

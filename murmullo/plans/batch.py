@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from murmullo.operators.cooccurrence import word_vectors
 from murmullo.operators.correlation import likes_correlation
 from murmullo.operators.risk import user_risk_score
 from murmullo.operators.similarity import (
@@ -48,13 +49,18 @@ def run_report(
 def run_synonyms(
     spark: SparkSession, source: str, target: str, model_path: str,
     terms: Sequence[str] = KEY_TERMS, k: int = 5, min_rows: int = MIN_BATCH_ROWS,
-    **training,
+    from_counts: bool = False, **training,
 ) -> None:
     """Train and save word vectors, then write the neighbours of the key terms.
     If no key term is in the vocabulary, the result is an empty table, so none of
-    an earlier run is left in place."""
+    an earlier run is left in place. With ``from_counts`` the vectors come from
+    co-occurrence counts, and the model is the table of them."""
     comments = read_table(spark, source, FINAL)
     require_rows(comments, min_rows)
+    if from_counts:
+        write_table(word_vectors(word_lists(comments), **training), model_path)
+        write_table(nearest_terms(read_table(spark, model_path), terms, k), target)
+        return
     model = fit_word2vec(word_lists(comments), **training)
     save_model(model, model_path)
     write_table(nearest_terms(saved_vectors(spark, model_path), terms, k), target)

@@ -27,7 +27,7 @@ from murmullo.sources.topics import Topic
 from murmullo.streaming.batches import (
     keep_newest, newest_rows, read_batches, rolling_batches, to_sinks,
 )
-from murmullo.streaming.clock import timers
+from murmullo.streaming.clock import clock_sentiment, clock_throughput, timers
 from murmullo.wordlists import EMOJI_NAMES
 
 Stage = Callable[[DataFrame], DataFrame]
@@ -155,22 +155,42 @@ def sentiment_stream(
     return sentiment_windows(timed, time, seconds)
 
 
+def _metric(query: Callable[[], StreamingQuery], late: str | None, idle: float | None, df: DataFrame):
+    """Start a metric that closes by the watermark or, with timers, by the clock."""
+    if (late is None) == (idle is None):
+        raise ValueError("give late (close by the next message) or idle (close by the clock)")
+    if idle is None:
+        return query()
+    with timers(df.sparkSession):
+        return query()
+
+
 def start_throughput(
     spark: SparkSession, source: Topic, sink: Topic, checkpoint: str,
-    seconds: int = THROUGHPUT_SECONDS, *, late: str, name: str | None = None,
-    trigger: str | None = None, max_per_trigger: int | None = None,
+    seconds: int = THROUGHPUT_SECONDS, *, late: str | None = None, idle: float | None = None,
+    name: str | None = None, trigger: str | None = None, max_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """One metric record per closed window of a topic."""
+    """One metric record per closed window of a topic.
+
+    With ``late`` a window closes when a message that much newer comes. With ``idle`` it
+    closes when none has come for it for so many seconds; late messages then give it
+    again, with the next ``revision``.
+    """
     messages = source.read_stream(spark, max_per_trigger=max_per_trigger, group=name)
-    metric = encode(throughput_stream(messages, "timestamp", seconds, late=late))
-    return begin(sink.write_stream(metric).outputMode("append"), checkpoint, name, trigger)
+    metric = encode(
+        throughput_stream(messages, "timestamp", seconds, late=late) if late is not None
+        else clock_throughput(messages, seconds, "timestamp", idle))
+    return _metric(lambda: begin(
+        sink.write_stream(metric).outputMode("append"), checkpoint, name, trigger), late, idle, messages)
 
 
 def start_sentiment_windows(
     spark: SparkSession, source: Topic, sink: Topic, checkpoint: str,
-    seconds: int = SENTIMENT_SECONDS, *, late: str, name: str | None = None,
-    trigger: str | None = None, on_malformed: str = "fail", max_per_trigger: int | None = None,
+    seconds: int = SENTIMENT_SECONDS, *, late: str | None = None, idle: float | None = None,
+    name: str | None = None, trigger: str | None = None, on_malformed: str = "fail",
+    max_per_trigger: int | None = None,
 ) -> StreamingQuery:
+    """As ``start_throughput``, sentiment and hate counts."""
     read = source.read_stream(spark, max_per_trigger=max_per_trigger, group=name)
     messages = parsed(read, on_malformed)
     flags = messages.select(
@@ -178,8 +198,11 @@ def start_sentiment_windows(
         text_field(F.col("record"), "sentimiento").alias("sentimiento"),
         text_field(F.col("record"), "es_odio").try_cast("boolean").alias("es_odio"),
     )
-    metric = encode(sentiment_stream(flags, "timestamp", seconds, late=late))
-    return begin(sink.write_stream(metric).outputMode("append"), checkpoint, name, trigger)
+    metric = encode(
+        sentiment_stream(flags, "timestamp", seconds, late=late) if late is not None
+        else clock_sentiment(flags, seconds, "timestamp", idle))
+    return _metric(lambda: begin(
+        sink.write_stream(metric).outputMode("append"), checkpoint, name, trigger), late, idle, flags)
 
 
 def start_parquet_sink(

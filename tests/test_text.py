@@ -99,6 +99,13 @@ def test_is_term(values):
     assert values(lambda c: tx.is_term(c, 3, []), ["abc", "abcd"]) == [False, True]
 
 
+def test_loose_tokens_are_tokens_and_empty_words(values):
+    texts = ["Uno  dos\ttres\n", " a ", "", None, "x\x0by\fz\rw", "ÑANDÚ él", "a\u00a0b"]
+    loose, exact = values(tx.loose_tokens, texts), values(tx.tokens, texts)
+    for a, b in zip(loose, exact):
+        assert (a is None) == (b is None) and [w for w in a or [] if w] == [w for w in b or [] if w]
+
+
 def _many_sequences(rng, n):
     """Sequences of one to six characters, with joiners, selectors, flags and signs."""
     base = [chr(c) for c in range(0x1F300, 0x1F300 + 900)] + list("#*0123456789©®") + [chr(c) for c in range(0x1F1E6, 0x1F200)]
