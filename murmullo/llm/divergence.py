@@ -19,16 +19,19 @@ repeat and count each time. An empty table gives no rows. All sums are whole num
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from murmullo.llm.common import lower_ascii, stage
+from murmullo.llm.common import sliced, stage
 from murmullo.session import ship_package
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 MIN_DOCS = 30
 SMOOTH = 5
 SCALE = 1_000_000_000
@@ -37,6 +40,10 @@ TOP = 50
 _ALL_TERMS = 2**31 - 1
 # No term holds a space, so it parts the language from the term.
 _PARTED = " "
+# A term is a run of A-Z, which become a-z, of a-z and of bytes above 127: UTF-8 puts no
+# others into a character that is not ASCII. All other bytes become spaces.
+_BYTES = bytes(b | 0x20 if chr(b).isascii() and chr(b).isalpha() else b if b > 127 else 0x20
+               for b in range(256))
 # Terms and sources of a block, on average.
 _TERMS, _SOURCES = 4096, 256
 
@@ -46,13 +53,39 @@ def _known(docs: DataFrame) -> DataFrame:
                          for c in ("lang", "source", "text")])
 
 
+def terms_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The terms of all texts, one after another, and how many each has."""
+    texts = texts.cast(pa.string())
+    _, offsets, data = texts.buffers()
+    plain = pa.StringArray.from_buffers(
+        len(texts), offsets, pa.py_buffer((data.to_pybytes() if data else b"").translate(_BYTES)),
+        None, 0, texts.offset)
+    cut = pc.ascii_split_whitespace(plain)
+    found = cut.flatten()
+    some = pc.not_equal(found, "")
+    text_of = np.repeat(np.arange(len(texts)), pc.list_value_length(cut).to_numpy(zero_copy_only=False))
+    counts = np.bincount(text_of[some.to_numpy(zero_copy_only=False)], minlength=len(texts))
+    return found.filter(some), counts
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``source`` and the terms of each text, with the language in front."""
+    for whole in batches:
+        for batch in sliced(whole, 2):
+            terms, counts = terms_of(batch.column(2))
+            langs = batch.column(0).take(pa.array(np.repeat(np.arange(batch.num_rows), counts)))
+            named = pc.binary_join_element_wise(langs, terms.cast(langs.type), _PARTED)
+            ends = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(1), pa.ListArray.from_arrays(ends, named)], names=["source", "_terms"])
+
+
 def count_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, DataFrame]:
     """The kept terms (``_id``, ``lang``, ``term``) and the counts of each source
     (``_id``, ``source``, ``n`` above 0)."""
     spark = docs.sparkSession
-    found = F.regexp_extract_all(lower_ascii(F.col("text")), F.lit(TERM), F.lit(0))
-    rows = _known(docs).select("source", F.transform(
-        found, lambda term: F.concat("lang", F.lit(_PARTED), term)).alias("_terms"))
+    ship_package(spark)
+    rows = _known(docs).mapInArrow(_cut, "source string, _terms array<string>")
     # A vectorizer refuses an empty vocabulary: rows with a term that no text has.
     floor = spark.range(min_docs).select(F.array(F.lit(_PARTED)).alias("_terms"))
     model = CountVectorizer(
@@ -90,11 +123,11 @@ def shares(
     share ``p`` and the whole language's ``q``)."""
     kept, counted = count_terms(docs, min_docs)
     cells = counted.join(kept, "_id")
-    terms_of = kept.groupBy("lang").agg(F.count("*").alias("v"))
+    n_terms = kept.groupBy("lang").agg(F.count("*").alias("v"))
     sizes = cells.groupBy("lang", "source").agg(F.sum("n").alias("size"))
     groups = stage(
         _known(docs).select("lang", "source").distinct()
-        .join(terms_of, "lang", "left").join(sizes, ["lang", "source"], "left")
+        .join(n_terms, "lang", "left").join(sizes, ["lang", "source"], "left")
         .select("lang", "source", F.coalesce("v", F.lit(0)).alias("v"),
                 F.coalesce("size", F.lit(0)).alias("size"))
         .withColumn("_whole", F.col("size") + F.col("v") * smooth)

@@ -4,8 +4,10 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
+
 import murmullo.llm.divergence as divergence
-from murmullo.llm.divergence import count_terms, shares, source_divergence
+from murmullo.llm.divergence import count_terms, shares, source_divergence, terms_of
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, term string, v string, _id int"
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
@@ -89,3 +91,16 @@ def test_edges(spark, edges, edge_rows):
     groups, found_shares = shares(edges, min_docs=1)
     assert groups.count() == len({(r[2] or "", r[3] or "") for r in edge_rows})
     assert found_shares.filter("p < 1 or q < 1").count() == 0
+
+
+def test_terms_are_those_of_the_pattern():
+    rng = random.Random(9)
+    parts = ["Ab", "é", "É", "\u00a0", "\u3000", "\x85", "\u2028", "\x00", "\x1c", " ", "\t\n", "9", "_", "[", "`", "{",
+             "\x7f", "@", "ſK", "İ", "日本", "😀", "z", "Z", ".", ""]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(500)]
+    for given in (pa.array(texts), pa.array(["pre"] + texts).slice(1), pa.array(texts, pa.large_string())):
+        terms, counts = terms_of(given)
+        want = [TERM.findall(t.translate(LOWER)) for t in texts]
+        assert terms.to_pylist() == [w for found in want for w in found]
+        assert counts.tolist() == [len(found) for found in want]
+    assert terms_of(pa.array([], pa.string()))[1].tolist() == []
