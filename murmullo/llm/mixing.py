@@ -8,9 +8,10 @@ total budget of words is spent. A source whose target is above its size is read
 again, in the same order, up to ``repeats`` times.
 
 Null texts and texts without a word have size 0 and are never taken. A null
-source is a source of its own and comes last. Rows with one ``doc_id`` are
-ordered by size; equal rows are told apart by nothing, so it does not matter
-which of them is taken. Without any word all targets are 0.
+source is a source of its own and comes last. Rows without ``doc_id`` are shuffled by
+their text, so copies among them stand together. Rows with one ``doc_id`` are ordered
+by size; equal rows are told apart by nothing, so it does not matter which of them
+is taken. Without any word all targets are 0.
 """
 
 from __future__ import annotations
@@ -56,32 +57,27 @@ def source_targets(
         "_before": F.col("_until") - F.col("source_size"),
         "_most": F.col("source_size") * repeats,
     }).withColumn("_ratio", F.col("_most") / F.col("_weight"))
-    filled = with_running_sums(
+    filled = stage(with_running_sums(
         weighted, [F.col("_ratio").asc(), *by_name],
         {"_most_until": "_most", "_weight_until": "_weight"}, "mix-levels",
+    ), "mix-filled")
+    # A few numbers over all sources come to the driver, one row each.
+    whole = filled.agg(F.sum("source_size").alias("size"), F.sum("_weight").alias("weight")).first()
+    total, weights_sum = F.lit(whole["size"]).cast("bigint"), F.lit(whole["weight"]).cast("bigint")
+    level = (total - (F.col("_most_until") - F.col("_most"))) / (
+        weights_sum - (F.col("_weight_until") - F.col("_weight"))
     )
-    everything = Window.partitionBy()
-    level = (F.col("_total") - (F.col("_most_until") - F.col("_most"))) / (
-        F.col("_all_weights") - (F.col("_weight_until") - F.col("_weight"))
-    )
-    return (
-        filled.withColumns({
-            "_total": F.sum("source_size").over(everything),
-            "_all_weights": F.sum("_weight").over(everything),
-        })
-        .withColumn("_level", level)
-        .withColumn("_stopped", F.col("_ratio") < F.col("_level"))
-        # The level of the first source that is not stopped holds for all the rest.
-        .withColumn("_share", F.min(F.when(~F.col("_stopped"), F.struct("_weight_until", "_level"))
-                                    ).over(everything)["_level"])
-        .withColumn("target", F.when(F.col("_stopped"), F.col("_most").cast("double"))
-                    .otherwise(F.col("_share") * F.col("_weight")))
-        # No finish time beyond this one can be inside the budget.
-        .withColumn("_last_time", F.max(
-            (F.col("target") + F.col("_longest")) / F.nullif(F.col("target"), F.lit(0.0))
-        ).over(everything))
-        .select("source", "source_size", "target", "_before", "_total", "_last_time")
-    )
+    levelled = filled.withColumn("_level", level).withColumn("_stopped", F.col("_ratio") < F.col("_level"))
+    # The level of the first source that is not stopped holds for all the rest.
+    first = levelled.filter(~F.col("_stopped")).agg(F.min_by("_level", "_weight_until")).first()[0]
+    aimed = levelled.withColumn("target", F.when(F.col("_stopped"), F.col("_most").cast("double"))
+                                .otherwise(F.lit(first).cast("double") * F.col("_weight")))
+    # No finish time beyond this one can be inside the budget.
+    last = aimed.agg(F.max(
+        (F.col("target") + F.col("_longest")) / F.nullif(F.col("target"), F.lit(0.0)))).first()[0]
+    return aimed.select(
+        "source", "source_size", "target", "_before", total.alias("_total"),
+        F.lit(last).cast("double").alias("_last_time"))
 
 
 def plan_mix(
@@ -100,7 +96,8 @@ def plan_mix(
         "mix-sizes",
     )
     targets = stage(source_targets(sizes, weights, repeats), "mix-targets")
-    shuffled = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}")))
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.col("_hash")), F.lit(""))
+    shuffled = F.md5(F.concat(name, F.lit(f":{seed}")))
     in_source = [F.col("source").asc_nulls_last(), F.col("_key"), F.col("doc_id"), F.col("size"), F.col("_hash")]
     summed = with_running_sums(
         sizes.withColumn("_key", shuffled), in_source, {"_until": "size"}, "mix-order"

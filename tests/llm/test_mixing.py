@@ -85,3 +85,17 @@ def test_empty_tables(spark, nothing):
     assert mix_report(nothing).collect() == [] and mixed(nothing).collect() == []
     blank = spark.createDataFrame([(1, None, "a"), (2, "", None)], "doc_id long, text string, source string")
     assert sorted(tuple(r) for r in mix_report(blank).collect()) == [(1, 0, 0, 0.0, 0), (2, 0, 0, 0.0, 0)]
+
+
+def test_rows_without_id_are_shuffled(spark):
+    """Short texts do not come first; reruns agree."""
+    rows = [(None, "w" + str(i) + " x" * (i // 40), "s", "one") for i in range(200)]
+    rows += [(1000 + i, "y", "s", "two") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    # A third of all words is less than "one" has, so only some of its texts are taken.
+    taken = [(r.size, r.taken) for r in mix_report(docs).collect() if r.doc_id is None]
+    assert 0.3 * 600 < sum(n for _, n in taken) < 0.6 * 600
+    by_size = {size: sum(1 for s, n in taken if s == size and n) for size in range(1, 6)}
+    assert all(by_size.values()), by_size
+    again = [(r.size, r.taken) for r in mix_report(docs.repartition(5)).collect() if r.doc_id is None]
+    assert sorted(taken) == sorted(again)
