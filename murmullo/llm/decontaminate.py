@@ -107,9 +107,11 @@ def _candidates(texts: DataFrame, windows: DataFrame, shingle: int) -> DataFrame
         .select("_key", "_begin", "_window").distinct()
     )
     return stage(
-        places.join(windows.select("_window", "_len", "_text", "_items"), "_window")
+        # A window and its items once for a text, however often it may stand there.
+        places.groupBy("_key", "_window").agg(F.collect_list("_begin").alias("_begins"))
+        .join(windows.select("_window", "_len", "_text", "_items"), "_window")
         .groupBy("_key")
-        .agg(F.collect_list(F.struct("_begin", "_len", "_text", "_items")).alias("_places")),
+        .agg(F.collect_list(F.struct("_begins", "_len", "_text", "_items")).alias("_places")),
         "decon-places",
     )
 
@@ -125,12 +127,17 @@ def judged(
         keyed.select("_key", words_of(F.col("text")).alias("_words")), windows, shingle
     ).withColumnRenamed("_key", "_k")
 
-    def occurs(place: Column) -> Column:
-        there = F.slice("_words", place["_begin"] + 1, place["_len"])
-        return F.array_join(there, " ") == place["_text"]
+    def occurring(window: Column) -> Column:
+        def there(begin: Column) -> Column:
+            return F.array_join(F.slice("_words", begin + 1, window["_len"]), " ") == window["_text"]
 
-    def covered(place: Column) -> Column:
-        return F.sequence(place["_begin"], place["_begin"] + place["_len"] - 1)
+        return F.struct(
+            window["_len"].alias("_len"), window["_items"].alias("_items"),
+            F.filter(window["_begins"], there).alias("_begins"))
+
+    def covered(window: Column) -> Column:
+        return F.flatten(F.transform(
+            window["_begins"], lambda begin: F.sequence(begin, begin + window["_len"] - 1)))
 
     # The texts are shuffled at every size: whether the places would fit a broadcast
     # depends on the corpus.
@@ -139,7 +146,8 @@ def judged(
         .select("_doc", "_places", words_of(F.col("text")).alias("_words"))
         .select(
             "_doc", F.size("_words").cast("bigint").alias("n_words"),
-            F.coalesce(F.filter("_places", occurs), F.array()).alias("_hits"),
+            F.coalesce(F.filter(F.transform("_places", occurring), lambda w: F.size(w["_begins"]) > 0),
+                       F.array()).alias("_hits"),
         )
         .select(
             "_doc", "n_words",

@@ -84,3 +84,15 @@ def test_edges(spark, edges, edge_rows, nothing, items):
     none = contamination(edges, bench.limit(0)).collect()
     assert len(none) == 10 and not any(r.n_hit for r in none)
     assert decontaminated(edges, bench.limit(0)).count() == 10
+
+
+def test_a_window_of_many_items_at_many_places(spark):
+    """One row does not carry the items once for each place."""
+    import time
+
+    items = spark.createDataFrame([(f"i{k:05d}", " ".join(["same"] * 13)) for k in range(3000)], "item_id string, text string")
+    docs = spark.createDataFrame([(1, "same " * 30_000), (2, "other words")], "doc_id bigint, text string")
+    start = time.time()
+    rows = {r.doc_id: r for r in contamination(docs, items).collect()}
+    assert rows[1].n_hit == rows[1].n_words == 30_000 and rows[1].n_items == 3000 and rows[1].contaminated
+    assert rows[2].n_items == 0 and time.time() - start < 60
