@@ -1,7 +1,7 @@
 """Token counts through a cache of digests.
 
-The cache is a Parquet folder: tokenizer version (SHA-256 of its file), digest of the
-content (SHA-256 in UTF-8), number of tokens. Contents that are in it are
+The cache is a Parquet folder with a folder for each tokenizer version (SHA-256 of its
+file): digest of the content (SHA-256 in UTF-8), number of tokens. Contents that are in it are
 not encoded again; of the others each is encoded once, however many documents
 have it, and appended. The content is normalised by making null an empty text,
 the only change that cannot alter a count. Equal digests are pre-aggregated
@@ -26,7 +26,7 @@ from murmullo.llm.tokens import encoder
 from murmullo.session import ship_package, work_dir
 
 LIMIT = 1024
-_CACHE = "version string, digest binary, n_tokens bigint"
+_CACHE = "digest binary, n_tokens bigint"
 
 
 def tokenizer_version(path: str) -> str:
@@ -49,12 +49,12 @@ def _counting(path: str):
 
 
 def _cached(spark: SparkSession, cache: str, version: str) -> DataFrame:
-    where = spark._jvm.org.apache.hadoop.fs.Path(cache)
+    own = f"{cache.rstrip('/')}/version={version}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(own)
     store = where.getFileSystem(spark._jsc.hadoopConfiguration())
     if not store.exists(where):
-        return spark.createDataFrame([], "digest binary, n_tokens bigint")
-    rows = spark.read.schema(_CACHE).parquet(cache)
-    return rows.filter(F.col("version") == version).select("digest", "n_tokens")
+        return spark.createDataFrame([], _CACHE)
+    return spark.read.schema(_CACHE).parquet(own)
 
 
 def token_counts(
@@ -81,12 +81,13 @@ def token_counts(
     )
     (
         misses.mapInArrow(_counting(tokenizer), "digest binary, n_tokens bigint")
-        .select(F.lit(version).alias("version"), "digest", "n_tokens")
-        .write.mode("append").parquet(cache)
+        .write.mode("append").parquet(f"{cache.rstrip('/')}/version={version}")
     )
+    # Only what this table needs is kept of the cache, however large it is.
+    wanted = digested.select("digest").distinct()
     counts = stage(
-        _cached(spark, cache, version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")),
-        "token-counts-read",
+        _cached(spark, cache, version).join(wanted, "digest", "left_semi")
+        .groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")), "token-counts-read",
     )
     return digested.select("doc_id", "digest", "n_bytes").join(counts, "digest").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")

@@ -135,3 +135,17 @@ def test_token_counts(spark, corpus, edges, edge_rows, nothing, tmp_path):
     assert spark.read.parquet(cache).count() == distinct + new
     assert found(nothing) == []
     assert tokenizer_version(path) != tokenizer_version(FILES["word_bpe_49k.json"])
+
+
+def test_a_cache_of_several_versions_gives_what_the_table_needs(spark, tmp_path):
+    """Counts of other versions and other texts are in the cache and stay out."""
+    cache = str(tmp_path / "cache")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    some = spark.createDataFrame([(1, "uno dos"), (2, "tres"), (3, None)], "doc_id bigint, text string")
+    more = spark.createDataFrame([(4, "uno dos"), (5, "cuatro cinco seis")], "doc_id bigint, text string")
+    first = {r.doc_id: r.n_tokens for r in token_counts(some, path, cache).collect()}
+    token_counts(more, public_tokenizers.path("word_bpe_49k.json"), cache).collect()
+    second = {r.doc_id: r.n_tokens for r in token_counts(more, path, cache).collect()}
+    assert set(second) == {4, 5} and second[4] == first[1]
+    versions = spark.read.parquet(cache).groupBy("version").count().collect()
+    assert sorted(r["count"] for r in versions) == [2, 4]
