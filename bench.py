@@ -21,7 +21,7 @@ HEADLINE = [
     "last_n_per_partition", "stream_throughput", "stream_sentiment", "stream_stages",
 ]
 # Training and Python scoring take long enough to be timed once.
-ONCE = ["udf_scores", "ml_hate_scores", "word2vec_synonyms"]
+ONCE = ["udf_scores", "ml_hate_scores", "word2vec_synonyms", "factor_synonyms"]
 
 
 def main() -> None:
