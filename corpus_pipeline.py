@@ -3,6 +3,11 @@
 Each stage takes the documents that the one before it kept, makes its decision on
 them, and returns those that stay, with the same columns; the last returns what the
 token files hold. Every stage is written as Parquet and read again.
+
+Texts without a letter, null ones too, are in no language and go in the first stage. Of
+repeated rows one stays. A null id or source is a value like any other; other columns,
+whatever their names, stay as they are. An empty table, or one that a stage leaves empty,
+gives no rows.
 """
 
 from __future__ import annotations
