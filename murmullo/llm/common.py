@@ -29,12 +29,15 @@ def row_struct(df: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in df.columns])
 
 
-def sliced(batch: pa.RecordBatch, column: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def sliced(
+    batch: pa.RecordBatch, column: int | pa.Array, most: int = 4 << 20
+) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of about ``most`` bytes of text, one row at least.
 
-    What a task keeps besides its batch is then bounded by the longest text.
+    ``column`` is the number of the texts' column, or the texts. What a task keeps
+    besides its batch is then bounded by the longest text.
     """
-    texts = batch.column(column)
+    texts = batch.column(column) if isinstance(column, int) else column
     start = size = 0
     for i in range(batch.num_rows):
         value = texts[i]

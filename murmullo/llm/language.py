@@ -14,7 +14,7 @@ scripts without spaces, is read whole, as several words one after another.
 ``und`` with score 0 if the text is null or has no letter. A script no language
 was trained on leaves all of them as candidates. Of equal languages the first by name
 wins. Without training rows everything is ``und``. Rows may repeat. The work of a
-task is bounded by a batch and its longest text.
+task is bounded by a batch and its longest text; words are scored some thousand at a time.
 """
 
 from __future__ import annotations
@@ -36,8 +36,12 @@ BUCKETS = 1 << 15
 SAMPLE = 40_000
 SWITCH = 12.0
 _LONGEST_RUN = 4
+# Between two words, so that no run holds letters of both.
+_GAP = " " * (_LONGEST_RUN - 1)
 # Longer runs without white space are read as several words, a step each.
 _PIECE = 40
+# Distinct words that are scored at once.
+_STEP = 1 << 15
 UNKNOWN = "und"
 
 # Where the letters of each script begin and end (code points). Fixed values.
@@ -75,63 +79,82 @@ def _letters() -> np.ndarray:
     return _tables[0]
 
 
+@dataclass
+class Block:
+    """Some of the distinct words of texts: one or more pieces each."""
+
+    points: np.ndarray  # code points; spaces before each word mark its beginning
+    kind: np.ndarray  # script number + 1 of each, 0 for what is no letter
+    piece: np.ndarray  # the piece of each
+    word: np.ndarray  # the distinct word that a piece is of
+    letters: np.ndarray  # letters of each piece
+    script: np.ndarray  # script of each piece
+
+    def runs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Hashed runs of one length after another, and the piece that each is of."""
+        place = np.flatnonzero(self.kind)
+        behind = place[self.kind[place + 1] == 0] + 1
+        lower = np.where(self.kind > 0, self.points, 32).astype(np.uint64)
+        value = np.zeros(len(lower), np.uint64)
+        for n in range(_LONGEST_RUN):
+            # Runs of n + 1 characters that end at a letter, the longest also behind it.
+            moved = np.concatenate((np.full(n, 32, np.uint64), lower))[:len(lower)]
+            value = value * np.uint64(0x9E3779B97F4A7C15) + moved + np.uint64(1)
+            ends = [(place, place)] + [(behind, behind - 1)] * (n == _LONGEST_RUN - 1)
+            for at, owner in ends:
+                mixed = value[at] ^ (value[at] >> np.uint64(29)) ^ np.uint64(n)
+                mixed = (mixed * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(32)
+                yield (mixed % np.uint64(BUCKETS)).astype(np.int32), self.piece[owner]
+
+
+def _block(words: list[str]) -> Block:
+    points = np.frombuffer((_GAP + _GAP.join(words) + _GAP).encode("utf-32-le"), np.uint32)
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    pieces = np.maximum(1, -(-lengths // _PIECE))
+    wide = lengths + len(_GAP)
+    inside = np.arange(len(points) - len(_GAP)) - np.repeat(np.cumsum(wide) - wide, wide)
+    piece = np.repeat(np.cumsum(pieces) - pieces, wide) + np.maximum(inside - len(_GAP), 0) // _PIECE
+    kind = _letters()[points]
+    place = np.flatnonzero(kind)
+    n = int(pieces.sum())
+    # The script of a piece is that of its first letter.
+    script = np.zeros(n, np.uint8)
+    script[piece[place[::-1]]] = kind[place[::-1]]
+    return Block(points, kind, piece.astype(np.int32), np.repeat(np.arange(len(words)), pieces),
+                 np.bincount(piece[place], minlength=n).astype(np.int32), script)
+
+
 @dataclass
 class Words:
-    """The words of some texts: distinct ones, and where each stands."""
+    """The words of some texts: distinct ones in blocks, and where each stands."""
 
+    distinct: pa.Array
     code: np.ndarray  # number of the distinct word, for every word of the texts
     count: np.ndarray  # words of each text
-    letters: np.ndarray  # letters of each distinct word
-    script: np.ndarray  # script of each distinct word
-    run: np.ndarray  # hashed runs of all distinct words
-    run_word: np.ndarray  # the distinct word that each run is of
+
+    def blocks(self) -> Iterator[tuple[int, Block]]:
+        """Blocks of at most ``_STEP`` distinct words, and the number of their first."""
+        for first in range(0, len(self.distinct), _STEP):
+            yield first, _block(self.distinct.slice(first, _STEP).to_pylist())
 
 
 def words_of(texts: pa.Array) -> Words:
-    """Lower-case words with at least one letter."""
+    """Words in lower case."""
     cut = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
     count = pc.list_value_length(cut).to_numpy(zero_copy_only=False).astype(np.int64)
     coded = cut.flatten().dictionary_encode()
-    distinct = coded.dictionary.to_pylist()
-    run_of = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    # A space before each run marks its beginning.
-    points = np.frombuffer((" " + " ".join(distinct) + " ").encode("utf-32-le"), np.uint32)
-    lengths = np.fromiter(map(len, distinct), np.int64, len(distinct))
-    pieces = np.maximum(1, -(-lengths // _PIECE))
-    n_words, first_piece = int(pieces.sum()), np.cumsum(pieces) - pieces
-    inside = np.arange(len(points) - 1 if len(distinct) else 0) - np.repeat(
-        np.cumsum(lengths + 1) - (lengths + 1), lengths + 1
-    )
-    word = np.repeat(first_piece, lengths + 1) + np.maximum(inside - 1, 0) // _PIECE
-    times = pieces[run_of]
-    code = np.repeat(first_piece[run_of] - (np.cumsum(times) - times), times)
-    code += np.arange(len(code))
-    kind = _letters()[points]
-    place = np.flatnonzero(kind[:-1])
-    letters = np.bincount(word[place], minlength=n_words)
-    # A word's script is that of its first letter.
-    script = np.zeros(n_words, np.int64)
-    first = place[::-1]
-    script[word[first]] = kind[first]
-    lower = np.where(kind > 0, points, 32).astype(np.uint64)
-    value, runs, owners = np.zeros(len(lower), np.uint64), [], []
-    behind = place[kind[place + 1] == 0] + 1
-    for n in range(_LONGEST_RUN):
-        # Runs of n + 1 characters that end at a letter, the longest also behind it.
-        moved = np.concatenate((np.full(n, 32, np.uint64), lower))[:len(lower)]
-        value = value * np.uint64(0x9E3779B97F4A7C15) + moved + np.uint64(1)
-        last = n == _LONGEST_RUN - 1
-        at = np.concatenate((place, behind)) if last else place
-        mixed = value[at] ^ (value[at] >> np.uint64(29)) ^ np.uint64(n)
-        mixed = (mixed * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(32)
-        runs.append((mixed % np.uint64(BUCKETS)).astype(np.int64))
-        owners.append(np.concatenate((word[place], word[behind - 1])) if last else word[place])
-    keep = letters[code] > 0 if len(code) else np.zeros(0, bool)
-    text_of = np.repeat(np.repeat(np.arange(len(count)), count), times)
-    return Words(
-        code[keep], np.bincount(text_of[keep], minlength=len(count)), letters, script,
-        np.concatenate(runs), np.concatenate(owners),
-    )
+    return Words(coded.dictionary, coded.indices.to_numpy(zero_copy_only=False), count)
+
+
+@dataclass
+class Scored:
+    """The pieces of some texts with at least one letter, one after another."""
+
+    code: np.ndarray  # number of the distinct piece, for every piece
+    count: np.ndarray  # pieces of each text
+    letters: np.ndarray  # letters of each distinct piece
+    scores: np.ndarray  # score of each distinct piece in each language
+    clear: np.ndarray  # how clearly a distinct piece speaks for its best language
 
 
 @dataclass
@@ -140,16 +163,41 @@ class Model:
     scores: np.ndarray  # log probability, bucket by language
     scripts: np.ndarray  # whether a language is written in a script
 
-    def of_words(self, words: Words) -> np.ndarray:
-        """Score of each distinct word in each language."""
-        out = np.zeros((len(words.letters), len(self.languages)), np.float32)
-        for i in range(len(self.languages)):
-            out[:, i] = np.bincount(
-                words.run_word, weights=self.scores[words.run, i], minlength=len(words.letters)
-            )
-        usable = self.scripts[words.script]
+    def of_block(self, block: Block) -> np.ndarray:
+        """Score of each piece in each language."""
+        n = len(block.letters)
+        out = np.zeros((n, len(self.languages)))
+        for bucket, piece in block.runs():
+            for i in range(len(self.languages)):
+                out[:, i] += np.bincount(piece, weights=self.scores[bucket, i], minlength=n)
+        usable = self.scripts[block.script]
         usable = usable | ~usable.any(axis=1, keepdims=True)
-        return np.where(usable, out, np.float32(-1e6))
+        return np.where(usable, out, -1e6).astype(np.float32)
+
+    def of_texts(self, texts: pa.Array) -> Scored:
+        """All pieces of the texts; only what a block needs is in memory beside the result."""
+        words = words_of(texts)
+        pieces, letters, scores, clear = [], [], [], []
+        for _, block in words.blocks():
+            found = self.of_block(block)
+            top = np.partition(found, -2, axis=1)[:, -2:] if found.shape[1] > 1 else found
+            margin = (top[:, -1] - top[:, 0]) if found.shape[1] > 1 else np.full(len(found), 9.0, np.float32)
+            pieces.append(np.bincount(block.word, minlength=int(block.word[-1]) + 1 if len(block.word) else 0))
+            letters.append(block.letters)
+            scores.append(found)
+            clear.append((1.0 / (1.0 + np.exp(-np.minimum(margin, 30.0)))).astype(np.float32))
+        if not pieces:
+            return Scored(np.zeros(0, np.int64), np.zeros(len(words.count), np.int64), np.zeros(0, np.int32),
+                          np.zeros((0, len(self.languages)), np.float32), np.zeros(0, np.float32))
+        size, weight = np.concatenate(pieces), np.concatenate(letters)
+        first = np.cumsum(size) - size
+        times = size[words.code]
+        code = np.repeat(first[words.code] - (np.cumsum(times) - times), times)
+        code += np.arange(len(code))
+        text_of = np.repeat(np.repeat(np.arange(len(words.count)), words.count), times)
+        keep = weight[code] > 0
+        return Scored(code[keep], np.bincount(text_of[keep], minlength=len(words.count)), weight,
+                      np.concatenate(scores), np.concatenate(clear))
 
 
 def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,9 +207,14 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             langs = batch.column(0)
             for lang in pc.unique(langs).to_pylist():
                 words = words_of(pc.filter(batch.column(1), pc.equal(langs, lang)))
-                times = np.bincount(words.code, minlength=len(words.letters))
-                runs = np.bincount(words.run, weights=times[words.run_word], minlength=BUCKETS)
-                scripts = np.bincount(words.script, weights=times)
+                times = np.bincount(words.code, minlength=len(words.distinct))
+                runs, scripts = np.zeros(BUCKETS), np.zeros(len(SCRIPTS) + 2)
+                for first, block in words.blocks():
+                    weight = times[first + block.word]
+                    for bucket, piece in block.runs():
+                        runs += np.bincount(bucket, weights=weight[piece], minlength=BUCKETS)
+                    scripts += np.bincount(block.script, weights=weight * (block.letters > 0),
+                                           minlength=len(scripts))
                 for kind, found in ((0, runs), (1, scripts)):
                     at = np.flatnonzero(found)
                     yield pa.RecordBatch.from_arrays(
@@ -170,20 +223,37 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                          pa.array(at), pa.array(found[at].astype(np.int64))], names=names)
 
 
+def sample_shares(counts: dict[str, int], sample: int) -> dict[str, float]:
+    """What part of each language's rows is counted so that all get the same number of
+    rows, as far as they have them, and ``sample`` in all."""
+    shares, left = {}, sample
+    for i, (lang, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
+        taken = min(n, max(1, left // (len(counts) - i)))
+        shares[lang] = taken / n
+        left -= taken
+    return shares
+
+
 def learn(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     """Count the runs of the labelled texts (``lang``, ``text``, ``doc_id``).
 
-    About ``sample`` rows are counted, chosen by a hash of ``doc_id``; they take
-    part whole. What comes to the driver is a number per language and bucket.
+    About ``sample`` rows are counted, the same number of every language that has so
+    many, chosen by a hash of id and text; they take part whole. What comes to the
+    driver is a number per language and bucket.
     """
-    ship_package(labelled.sparkSession)
-    rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    share = min(1.0, sample / max(1, rows.count()))
-    chosen = rows.filter(
-        F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 20)) < int(share * (1 << 20))
-    )
+    spark = labelled.sparkSession
+    ship_package(spark)
+    rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
+        F.col("lang").cast("string"), "text", F.col("doc_id").cast("string").alias("_id"))
+    counts = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
+    shares = spark.createDataFrame(
+        [(lang, int(share * (1 << 30))) for lang, share in sample_shares(counts, sample).items()],
+        "lang string, _share long")
+    # As many rows as the model has columns, so small enough for every task.
+    chosen = rows.join(F.broadcast(shares), "lang").filter(
+        F.pmod(F.xxhash64("_id", "text"), F.lit(1 << 30)) < F.col("_share"))
     found = (
-        chosen.select(F.col("lang").cast("string"), "text")
+        chosen.select("lang", "text")
         .mapInArrow(_counter, "_lang string, _kind int, _bucket bigint, _n bigint")
         .groupBy("_lang", "_kind", "_bucket").agg(F.sum("_n").alias("_n"))
     ).toPandas()
@@ -245,9 +315,8 @@ def _labeller(model: Model, switch: float):
         ("first_word", pa.int64()), ("n_words", pa.int64()), ("lang", pa.string())]))
 
     def label(texts: pa.Array) -> list[pa.Array]:
-        words = words_of(texts)
-        scores = model.of_words(words)
-        path = best_paths(scores, words.code, words.count, switch)
+        words = model.of_texts(texts)
+        path = best_paths(words.scores, words.code, words.count, switch)
         text_of = np.repeat(np.arange(len(words.count)), words.count)
         weight = words.letters[words.code]
         by_lang = np.bincount(
@@ -256,10 +325,7 @@ def _labeller(model: Model, switch: float):
         total = by_lang.sum(axis=1)
         pred = np.where(total > 0, by_lang.argmax(axis=1), n_langs)
         # How clearly the words speak for their language against the next one.
-        top = np.sort(scores, axis=1)
-        margin = (top[:, -1] - top[:, -2] if n_langs > 1 else np.full(len(scores), 9.0))
-        clear = 1.0 / (1.0 + np.exp(-np.minimum(margin, 30.0)))
-        agreed = (path == pred[text_of]) * weight * clear[words.code]
+        agreed = (path == pred[text_of]) * weight * words.clear[words.code]
         score = np.bincount(text_of, weights=agreed, minlength=len(total)) / np.maximum(total, 1)
         change = np.ones(len(path), bool)
         change[1:] = (path[1:] != path[:-1]) | (text_of[1:] != text_of[:-1])
@@ -277,11 +343,17 @@ def _labeller(model: Model, switch: float):
         return [pa.array(names[pred].tolist(), pa.string()),
                 pa.array(np.clip(np.where(total > 0, score, 0.0), 0.0, 1.0)), spans]
 
+    # What a text's words take grows with the languages; slices shrink with them.
+    most = min(4 << 20, (64 << 20) // max(1, n_langs))
+
+    def text_of_row(batch: pa.RecordBatch) -> pa.Array:
+        return batch.column(1) if batch.num_columns > 1 else batch.column(0).field("text")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in sliced(whole, 1, 6 << 20):
+            for batch in sliced(whole, text_of_row(whole), most):
                 if n_langs:
-                    found = label(batch.column(1))
+                    found = label(text_of_row(batch))
                 else:
                     n = batch.num_rows
                     found = [pa.array([UNKNOWN] * n), pa.array([0.0] * n),
@@ -293,10 +365,16 @@ def _labeller(model: Model, switch: float):
     return run
 
 
-def identified(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame:
-    """Every row as ``_doc`` with ``lang_pred``, ``score`` and ``spans``."""
+def identified(docs: DataFrame, model: Model, switch: float = SWITCH, with_text: bool = True) -> DataFrame:
+    """Every row as ``_doc`` with ``lang_pred``, ``score`` and ``spans``.
+
+    ``_doc`` has all columns, or all but ``text``.
+    """
     ship_package(docs.sparkSession)
-    rows = docs.select(row_struct(docs).alias("_doc"), "text")
+    if with_text:  # the text lies in the row, and is sent once
+        rows = docs.select(row_struct(docs).alias("_doc"))
+    else:
+        rows = docs.select(row_struct(docs.drop("text")).alias("_doc"), "text")
     kind = rows.schema["_doc"].dataType.simpleString()
     return rows.mapInArrow(
         _labeller(model, switch), f"_doc {kind}, lang_pred string, score double, "
@@ -312,9 +390,8 @@ def held_out(doc_id: Column) -> Column:
 def language_table(docs: DataFrame, sample: int = SAMPLE, switch: float = SWITCH) -> DataFrame:
     """Learn from the documents that are not held out, and label all."""
     model = learn(docs.filter(~held_out(F.col("doc_id"))), sample)
-    slim = docs.select("doc_id", "text")
-    return identified(slim.select("text", F.col("doc_id").alias("_id")), model, switch).select(
-        F.col("_doc._id").alias("doc_id"), held_out(F.col("_doc._id")).alias("held_out"),
+    return identified(docs.select("doc_id", "text"), model, switch, with_text=False).select(
+        F.col("_doc.doc_id").alias("doc_id"), held_out(F.col("_doc.doc_id")).alias("held_out"),
         "lang_pred", "score",
     )
 
