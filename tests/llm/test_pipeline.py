@@ -74,6 +74,32 @@ def test_run_is_the_stages_in_a_row(spark, stages):
     assert found == sorted(map(tuple, stages["token_output"][1].collect()))
 
 
+def _through(spark, docs, path):
+    """All stages over a table, every one written."""
+    seen = [docs]
+    for name, function in corpus_pipeline.STAGES:
+        function(spark, docs, SF_DIR).write.parquet(f"{path}/{name}")
+        docs = spark.read.parquet(f"{path}/{name}")
+        seen.append(docs)
+    return seen
+
+
+def test_odd_rows_go_through_all_stages(spark, edges, tmp_path):
+    """Nulls in every column, blank and very long texts, repeated rows, clashing names."""
+    given, known, unique, clean, mix, tokens = _through(spark, edges, str(tmp_path))
+    assert known.columns == unique.columns == clean.columns == mix.columns == edges.columns
+    # Null, empty, blank and letterless texts are in no language.
+    assert not _ids(known) & {1, 2, 5, 7}
+    assert _ids(unique) <= _ids(known) and unique.groupBy("doc_id", "text").count().filter("count > 1").count() == 0
+    assert _ids(mix) <= _ids(clean) <= _ids(unique)
+    rows = sorted((r.start, r.n_tokens) for r in tokens.collect())
+    assert len(rows) == mix.count() and [r[0] for r in rows] == [0, *(a + n for a, n in rows[:-1])][:len(rows)]
+
+
+def test_an_empty_table_goes_through_all_stages(spark, nothing, tmp_path):
+    assert [df.count() for df in _through(spark, nothing, str(tmp_path))] == [0] * 6
+
+
 def test_queries_are_registered():
-    assert [n.split("_")[0] for n in queries.QUERIES] == [*(f"op{i}" for i in range(1, 11)), "pipeline"]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [*(f"op{i}" for i in range(1, 14)), "pipeline"]
     assert set(queries.ORACLES) <= set(queries.QUERIES)
