@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from murmullo.llm.common import row_struct, stage
+from murmullo.llm.common import row_struct, sliced, stage
 from murmullo.llm.components import components
 from murmullo.session import ship_package
 
@@ -70,16 +70,16 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
 
 
 def _print_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = batch.column(1)
-        prints = np.fromiter(
-            (fingerprint((t.as_buffer() or b"") and t.as_buffer().to_pybytes())
-             if t.is_valid else 0 for t in texts),
-            dtype=np.uint64, count=batch.num_rows,
-        )
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(prints.view(np.int64))], names=["_row", "_print"]
-        )
+    for whole in batches:
+        for batch in sliced(whole, 1):
+            prints = np.fromiter(
+                (fingerprint((t.as_buffer() or b"") and t.as_buffer().to_pybytes())
+                 if t.is_valid else 0 for t in batch.column(1)),
+                dtype=np.uint64, count=batch.num_rows,
+            )
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(prints.view(np.int64))], names=["_row", "_print"]
+            )
 
 
 def _keys(prints: np.ndarray) -> np.ndarray:
@@ -138,7 +138,7 @@ def _forest(prints: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """Each linked fingerprint with the first of its component in this group."""
     n = len(prints)
     label = np.arange(n)
-    block = max(1, (1 << 22) // n)
+    block = max(1, (1 << 19) // n)
     while True:
         new = label.copy()
         for i in range(0, n, block):
