@@ -1027,9 +1027,11 @@ def _stream_recent_messages(spark, sf):
 # --- Word vectors --------------------------------------------------------------
 
 def _words(spark, sf, path: str) -> DataFrame:
-    """Stored word lists: training reads its input several times."""
-    tables.write_table(word_lists(clean(views.raw(views.tables(spark, sf)))), f"{path}/words")
-    return tables.read_table(spark, f"{path}/words")
+    """Word lists of stored texts: training reads its input several times. Parquet takes
+    one text in a fraction of the time it takes for a list of its words."""
+    cleaned = clean(views.raw(views.tables(spark, sf))).select("comentario_limpio")
+    tables.write_table(cleaned, f"{path}/texts")
+    return word_lists(tables.read_table(spark, f"{path}/texts"))
 
 
 def _synonyms(spark, sf, terms):

@@ -26,6 +26,8 @@ DIMENSIONS = 50
 _SPARE = 10
 # Words of a text that are paired at once, which bounds a row.
 _PIECE = 8192
+# Words whose pairs a task counts at once before it sends them on.
+_AT_ONCE = 1 << 20
 
 
 def word_ids(lists: DataFrame, tokens: str = "tokens", min_count: int = 1) -> DataFrame:
@@ -34,6 +36,50 @@ def word_ids(lists: DataFrame, tokens: str = "tokens", min_count: int = 1) -> Da
     return counted.filter(F.col("n") >= min_count).select(F.xxhash64("word").alias("id"), "word", "n")
 
 
+def _pairs_of(ids: np.ndarray, sizes: np.ndarray, window: int, piece: int) -> pa.RecordBatch:
+    """The pairs of some pieces and how often they occur, sorted. ``ids`` are the words of
+    all pieces one after the other; only the first ``piece`` words of one begin pairs."""
+    words, code = np.unique(ids, return_inverse=True)
+    code = code.astype(np.uint64)
+    ends = np.cumsum(sizes)
+    left = np.repeat(ends, sizes) - np.arange(len(ids))
+    begins = np.repeat(ends - sizes, sizes) + piece > np.arange(len(ids))
+    met = []
+    for distance in range(1, window + 1):
+        first = np.flatnonzero((left > distance) & begins)
+        x, y = code[first], code[first + distance]
+        met.append(np.minimum(x, y) << np.uint64(32) | np.maximum(x, y))
+    met = np.concatenate(met)
+    met.sort()
+    starts = np.flatnonzero(np.concatenate(([True], met[1:] != met[:-1]))) if len(met) else np.zeros(0, int)
+    pair, n = met[starts], np.diff(np.append(starts, len(met)))
+    # Codes are in the order of the ids, so the smaller one is the smaller id.
+    a, b = words[pair >> np.uint64(32)], words[pair & np.uint64(0xFFFFFFFF)]
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(n.astype(np.int64))], names=["a", "b", "n"])
+
+
+def _count_pairs(
+    batches: Iterator[pa.RecordBatch], window: int, piece: int
+) -> Iterator[pa.RecordBatch]:
+    held, words = [], 0
+    for batch in batches:
+        # A batch may be many words: it is taken by rows.
+        sizes = batch.column(0).value_lengths().to_numpy(zero_copy_only=False)
+        ids = batch.column(0).flatten().to_numpy()
+        ends, at = np.cumsum(sizes), 0
+        while at < len(sizes):
+            begin = ends[at] - sizes[at]
+            upto = max(at + 1, int(np.searchsorted(ends, begin + _AT_ONCE - words, "right")))
+            held.append((ids[begin:ends[upto - 1]], sizes[at:upto]))
+            words += int(ends[upto - 1] - begin)
+            at = upto
+            if words >= _AT_ONCE * 9 // 10:
+                yield _pairs_of(*map(np.concatenate, zip(*held)), window, piece)
+                held, words = [], 0
+    if held:
+        yield _pairs_of(*map(np.concatenate, zip(*held)), window, piece)
+
+
 def pair_counts(lists: DataFrame, window: int = WINDOW, tokens: str = "tokens") -> DataFrame:
     """``a``, ``b`` (ids, ``a <= b``) and ``n``: how often the two stand at most
     ``window`` words apart. Pairs are counted inside the tasks before they are dealt out."""
@@ -42,15 +88,10 @@ def pair_counts(lists: DataFrame, window: int = WINDOW, tokens: str = "tokens")
         "_ids", F.explode(F.sequence(F.lit(0), F.size("_ids") - 1, F.lit(_PIECE))).alias("_from")
     ).select(F.slice("_ids", F.col("_from") + 1, F.lit(_PIECE + window)).alias("_ids"))
 
-    def apart(distance: int) -> Column:
-        size = F.greatest(F.least(F.lit(_PIECE), F.size("_ids") - distance), F.lit(0))
-        return F.zip_with(
-            F.slice("_ids", F.lit(1), size), F.slice("_ids", F.lit(1 + distance), size),
-            lambda x, y: F.struct(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")),
-        )
-
-    pairs = F.concat(*[apart(d) for d in range(1, window + 1)])
-    return pieces.select(F.inline(pairs)).groupBy("a", "b").agg(F.count("*").alias("n"))
+    ship_package(lists.sparkSession)
+    piece = _PIECE
+    counted = pieces.mapInArrow(lambda batches: _count_pairs(batches, window, piece), "a bigint, b bigint, n bigint")
+    return counted.groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
 def both_ways(pairs: DataFrame) -> DataFrame:
@@ -69,14 +110,22 @@ def positive_information(pairs: DataFrame, words: DataFrame | None = None) -> Da
     if words is not None:
         for side in ("a", "b"):
             known = known.join(words.select(F.col("id").alias(side)), side, "left_semi")
-    counts = stage(both_ways(known), "cooccurrence")
-    totals = counts.groupBy("a").agg(F.sum("n").alias("_na"))
-    whole = counts.agg(F.sum("n")).first()[0] or 0
+    # Each pair is kept and joined once; both directions have the same value.
+    counts = stage(known, "cooccurrence")
+    totals = both_ways(counts).groupBy("a").agg(F.sum("n").alias("_na"))
+    totals = stage(totals, "cooccurrence-totals")
+    whole = totals.agg(F.sum("_na")).first()[0] or 0
     beside = totals.select(F.col("a").alias("b"), F.col("_na").alias("_nb"))
     # In floating point from the start: the product of two totals may not fit a long.
     chance = F.col("_na").cast("double") * F.col("_nb")
-    value = F.log(F.col("n") * F.lit(float(whole)) / chance)
-    return counts.join(totals, "a").join(beside, "b").select("a", "b", value.alias("value")).filter("value > 0")
+    same = F.col("a") == F.col("b")
+    value = F.log(F.when(same, F.col("n") * 2).otherwise(F.col("n")) * F.lit(float(whole)) / chance)
+    # Totals are small beside the pairs: a table of them in each task spares sorting the pairs.
+    half = counts.join(totals.hint("shuffle_hash"), "a").join(beside.hint("shuffle_hash"), "b").select(
+        "a", "b", value.alias("value")).filter("value > 0")
+    one = F.struct("a", "b", "value")
+    other = F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "value")
+    return half.select(F.inline(F.when(same, F.array(one)).otherwise(F.array(one, other))))
 
 
 def _summed(rows: DataFrame, directions: Sequence[Column]) -> DataFrame:

@@ -22,10 +22,11 @@ def word_lists(
     df: DataFrame, text: str = "comentario_limpio", keep: Sequence[str] = ()
 ) -> DataFrame:
     """The words of each text; empty words and empty texts are left out."""
-    words = F.array_remove(F.split(F.trim(F.col(text)), r"\s+"), "")
+    # Cleaned text has single spaces: a plain split of these takes a fraction of a pattern's time.
+    words = F.when(F.col(text).rlike(r"[\t\n\x0b\f\r]"), F.split(text, r"\s")).otherwise(F.split(text, " "))
     return (
         df.filter(F.col(text).isNotNull())
-        .select(*keep, words.alias("tokens"))
+        .select(*keep, F.array_remove(words, "").alias("tokens"))
         .filter(F.size("tokens") > 0)
     )
 

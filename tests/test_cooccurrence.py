@@ -131,3 +131,13 @@ def test_nothing_per_word_comes_to_the_driver(spark, texts):
     _, matrix, _ = matrix_of(spark, frame(spark, texts))
     plan = co.factorise(matrix, 4, rounds=1)._jdf.queryExecution().toString()
     assert "MapInArrow" in plan and F.broadcast.__name__ not in plan
+
+
+def test_pairs_are_counted_in_parts(spark, texts, monkeypatch):
+    """Counts of a task leave it in parts, which add up; a part is never all of its words."""
+    monkeypatch.setattr(co, "_AT_ONCE", 50)
+    monkeypatch.setattr(co, "_PIECE", 7)
+    found, _, _ = matrix_of(spark, frame(spark, texts))
+    want, _ = brute(texts)
+    assert found.keys() == want.keys()
+    assert all(found[k] == pytest.approx(want[k]) for k in want)
