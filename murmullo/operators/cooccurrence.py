@@ -214,16 +214,30 @@ def word_vectors(
 def nearest_rows(matrix: DataFrame, words: DataFrame, terms: Sequence[str], k: int = 5) -> DataFrame:
     """The ``k`` words whose rows of the matrix have the highest cosine with that of each
     key term: exact, for a few terms, without factors."""
-    keys = words.filter(F.col("word").isin(list(terms))).select(
-        F.col("id").alias("_key"), F.col("word").alias("palabra_clave"))
-    norms = matrix.groupBy("a").agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("_norm"))
-    key_rows = matrix.join(keys, matrix["a"] == keys["_key"]).select(
-        "_key", "b", F.col("value").alias("_key_value"))
-    dots = matrix.join(key_rows, "b").groupBy("_key", "a").agg(
-        F.sum(F.col("value") * F.col("_key_value")).alias("_dot")).filter("_key <> a")
-    key_norms = norms.select(F.col("a").alias("_key"), F.col("_norm").alias("_key_norm"))
+    # The matrix is read twice, and what makes it is long.
+    matrix = stage(matrix.select("a", "b", "value"), "nearest-matrix")
+    words = stage(words.select("id", "word"), "nearest-words")
+    keys = words.filter(F.col("word").isin(list(terms))).orderBy("word").collect()
+    if not keys:
+        return words.limit(0).select(
+            F.lit("").alias("palabra_clave"), F.col("word").alias("palabra_similar"), F.lit(0.0).alias("similitud"))
+    # A row for each word beside a key term, with its value in the rows of all key terms.
+    beside = matrix.filter(F.col("a").isin([k.id for k in keys])).groupBy("b").agg(
+        *[F.sum(F.when(F.col("a") == k.id, F.col("value"))).alias(f"_k{i}") for i, k in enumerate(keys)])
+    v = F.col("value")
+    sums = stage(matrix.join(beside.hint("shuffle_hash"), "b", "left").groupBy("a").agg(
+        F.sqrt(F.sum(v * v)).alias("_norm"), *[F.sum(v * F.col(f"_k{i}")).alias(f"_dot{i}") for i in range(len(keys))]
+    ), "nearest-sums")
+    norms = {r.a: r["_norm"] for r in sums.filter(F.col("a").isin([k.id for k in keys])).collect()}
+    entries = F.array(*[
+        F.struct(F.lit(k.word).alias("palabra_clave"), F.lit(k.id).alias("_key"), F.col(f"_dot{i}").alias("_dot"),
+                 F.lit(norms[k.id]).alias("_key_norm"))
+        for i, k in enumerate(keys) if k.id in norms])
+    if not norms:
+        return words.limit(0).select(
+            F.lit("").alias("palabra_clave"), F.col("word").alias("palabra_similar"), F.lit(0.0).alias("similitud"))
     found = (
-        dots.join(norms, "a").join(key_norms, "_key").join(keys, "_key")
+        sums.select("a", "_norm", F.inline(entries)).filter("_dot IS NOT NULL AND _key <> a")
         .join(words.select(F.col("id").alias("a"), F.col("word").alias("palabra_similar")), "a")
         .select("palabra_clave", "palabra_similar",
                 (F.col("_dot") / (F.col("_norm") * F.col("_key_norm"))).alias("_cosine"))

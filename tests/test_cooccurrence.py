@@ -141,3 +141,14 @@ def test_pairs_are_counted_in_parts(spark, texts, monkeypatch):
     want, _ = brute(texts)
     assert found.keys() == want.keys()
     assert all(found[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_the_matrix_is_made_once_for_neighbours(spark, texts, monkeypatch):
+    _, matrix, words = matrix_of(spark, frame(spark, texts))
+    table = spark.createDataFrame(list(words.items()), "id bigint, word string")
+    written, plain = [], co.stage
+    monkeypatch.setattr(co, "stage", lambda df, purpose: written.append(purpose) or plain(df, purpose))
+    rows = co.nearest_rows(matrix, table, ["w1", "w30"], 3)
+    assert written.count("nearest-matrix") == 1 and rows.count() == 6
+    assert "cooccurrence" not in rows._jdf.queryExecution().toString()
+    assert co.nearest_rows(matrix, table, ["absent"], 3).collect() == []
