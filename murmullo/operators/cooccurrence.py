@@ -4,8 +4,9 @@ Words that stand near each other are counted, the counts become positive pointwi
 mutual information (how much more often than by chance), and the sparse symmetric
 matrix of these is factorised by subspace iteration with random signs. Every step is a
 join and an aggregation keyed by word; what comes to the driver is square in the
-number of dimensions and does not know how many words there are. Words are joined by
-their 64-bit hash, so no dictionary of them is sent anywhere.
+number of dimensions, and the vectors of the 32,768 words with the most neighbours,
+however many words there are. Words are joined by their 64-bit hash, so no dictionary
+of them is sent anywhere.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ _SPARE = 10
 _PIECE = 8192
 # Words whose pairs a task counts at once before it sends them on.
 _AT_ONCE = 1 << 20
+# Words with the most neighbours, whose vectors all tasks get: 16 MB.
+_CONNECTED = 1 << 15
 
 
 def word_ids(lists: DataFrame, tokens: str = "tokens", min_count: int = 1) -> DataFrame:
@@ -128,10 +131,96 @@ def positive_information(pairs: DataFrame, words: DataFrame | None = None) -> Da
     return half.select(F.inline(F.when(same, F.array(one)).otherwise(F.array(one, other))))
 
 
-def _summed(rows: DataFrame, directions: Sequence[Column]) -> DataFrame:
-    sums = [F.sum(F.col("value") * d).alias(f"_{i}") for i, d in enumerate(directions)]
-    return rows.groupBy("a").agg(*sums).select(
-        F.col("a").alias("id"), F.array(*[f"_{i}" for i in range(len(sums))]).alias("y"))
+def _rows(entries: DataFrame, degrees: DataFrame) -> tuple[DataFrame, np.ndarray]:
+    """A row for each word with its neighbours, and the ids of the most connected words.
+
+    Neighbours among these have their place in that list (``slots``), the others their id.
+    What such a word has with others stands in the rows of the others alone, as the matrix
+    is symmetric, so no row is longer than the list and what few links the others have.
+    """
+    most = degrees.orderBy(F.desc("degree"), "id").limit(_CONNECTED)
+    listed = np.array([r.id for r in most.select("id").collect()], dtype=np.int64)
+    spark = entries.sparkSession
+    places = stage(spark.createDataFrame(
+        [(int(x), i) for i, x in enumerate(listed)], "id bigint, slot int"), "factors-places")
+    of_a = places.select(F.col("id").alias("a"), F.col("slot").alias("_own"))
+    of_b = places.select(F.col("id").alias("b"), F.col("slot"))
+    kept = entries.join(of_b, "b", "left").join(of_a, "a", "left").filter("slot IS NOT NULL OR _own IS NULL")
+    inside, outside = F.col("slot").isNotNull(), F.col("slot").isNull()
+    # Lists of both kinds in their own order: one structure for each neighbour keeps them together.
+    rows = kept.groupBy("a").agg(
+        F.first("_own").alias("own"),
+        F.collect_list(F.when(inside, F.struct("slot", "value"))).alias("_in"),
+        F.collect_list(F.when(outside, F.struct("b", "value"))).alias("_out"),
+    ).select(
+        F.col("a").alias("id"), "own", F.col("_in.slot").alias("slots"), F.col("_in.value").alias("weights"),
+        F.col("_out.b").alias("others"), F.col("_out.value").alias("other_weights"))
+    return stage(rows, "factors-rows"), listed
+
+
+def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """All elements, and where each row's begin and end."""
+    sizes = column.value_lengths().to_numpy(zero_copy_only=False)
+    return column.flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(sizes)))
+
+
+def _pieces(ids: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+    offsets = pa.array(np.arange(len(y) + 1, dtype=np.int32) * y.shape[1])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(ids), pa.ListArray.from_arrays(offsets, pa.array(y.ravel()))], names=["id", "y"])
+
+
+def _multiplied(rows: DataFrame, listed: np.ndarray, vectors: DataFrame, size: int) -> DataFrame:
+    """The matrix times one vector for each word.
+
+    Vectors of the most connected words, a bounded number, are sent to all tasks, and each
+    task sums up what these words get from its rows. Only links between two others send
+    a vector over the network.
+    """
+    spark = rows.sparkSession
+    places = {int(x): i for i, x in enumerate(listed)}
+    known = spark.createDataFrame([(x,) for x in places], "id bigint")
+    own = vectors.join(F.broadcast(known), "id").select("id", "y").toArrow()
+    table = np.zeros((len(listed), size))
+    if len(own):
+        at = [places[x] for x in own.column("id").to_pylist()]
+        table[at] = own.column("y").combine_chunks().flatten().to_numpy().reshape(-1, size)
+    sent = spark.sparkContext.broadcast((listed, table))
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        listed, table = sent.value
+        gained = np.zeros_like(table)
+        for batch in batches:
+            ids, rare = batch.column(0).to_numpy(), batch.column(1).is_null().to_numpy(zero_copy_only=False)
+            slots, from_slot = _lists(batch.column(2))
+            weights, _ = _lists(batch.column(3))
+            others, from_other = _lists(batch.column(4))
+            other_weights, _ = _lists(batch.column(5))
+            x = batch.column(6).flatten().to_numpy().reshape(-1, size)
+            y = np.empty((len(ids), size))
+            for i in range(len(ids)):
+                part = slice(from_slot[i], from_slot[i + 1])
+                y[i] = weights[part] @ table[slots[part]]
+                if rare[i]:
+                    gained[slots[part]] += np.outer(weights[part], x[i])
+            yield _pieces(ids, y)
+            row = np.repeat(np.arange(len(ids)), np.diff(from_other))
+            for begin in range(0, len(others), 16384):
+                part = slice(begin, begin + 16384)
+                to, place = np.unique(others[part], return_inverse=True)
+                y = np.zeros((len(to), size))
+                np.add.at(y, place, other_weights[part, None] * x[row[part]])
+                yield _pieces(to, y)
+        some = np.flatnonzero(gained.any(axis=1))
+        for begin in range(0, len(some), 8192):
+            yield _pieces(listed[some[begin:begin + 8192]], gained[some[begin:begin + 8192]])
+
+    columns = ["id", "own", "slots", "weights", "others", "other_weights"]
+    joined = rows.join(vectors.select("id", "y"), "id").select(*columns, "y")
+    found = joined.mapInArrow(multiply, "id bigint, y array<double>")
+    sums = [F.sum(F.get("y", F.lit(i))).alias(f"_{i}") for i in range(size)]
+    return stage(found.groupBy("id").agg(*sums).select(
+        "id", F.array(*[f"_{i}" for i in range(size)]).alias("y")), "factors")
 
 
 def _gram(vectors: DataFrame, size: int) -> np.ndarray:
@@ -180,18 +269,18 @@ def factorise(
     if not 1 <= dimensions <= size:
         raise ValueError("at most 64 dimensions")
     entries = stage(matrix.select("a", "b", "value"), "factors-matrix")
-    bits = F.xxhash64("b", F.lit(seed))
-    signed = entries.select("a", "value", bits.alias("_bits"))
-    vectors = stage(_summed(signed, [
-        F.lit(1) - F.lit(2) * F.shiftrightunsigned("_bits", i).bitwiseAND(F.lit(1)) for i in range(size)
-    ]), "factors")
+    degrees = stage(entries.groupBy(F.col("a").alias("id")).agg(F.count("*").alias("degree")), "factors-degrees")
+    rows, listed = _rows(entries, degrees)
+    signs = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: (
+        F.lit(1) - F.lit(2) * F.call_function("shiftrightunsigned", F.col("_bits"), i).bitwiseAND(F.lit(1))
+    ).cast("double"))
+    random = degrees.select("id", F.xxhash64("id", F.lit(seed)).alias("_bits")).select("id", signs.alias("y"))
+    vectors = _multiplied(rows, listed, random, size)
     for _ in range(rounds):
         values, turn = np.linalg.eigh(_gram(vectors, size))
         kept = values > max(values.max(), 0) * 1e-12
         scale = np.where(kept, 1 / np.sqrt(np.where(kept, values, 1)), 0)
-        basis = _turned(vectors, turn * scale).select(F.col("id").alias("b"), "y")
-        met = entries.join(basis, "b").select("a", "value", "y")
-        vectors = stage(_summed(met, [F.get("y", F.lit(i)) for i in range(size)]), "factors")
+        vectors = _multiplied(rows, listed, _turned(vectors, turn * scale), size)
     values, turn = np.linalg.eigh(_gram(vectors, size))
     order = np.argsort(-values)[:dimensions]
     # A vector times ``turn`` has length singular value by coordinate: keep its root.

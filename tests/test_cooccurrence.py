@@ -152,3 +152,16 @@ def test_the_matrix_is_made_once_for_neighbours(spark, texts, monkeypatch):
     assert written.count("nearest-matrix") == 1 and rows.count() == 6
     assert "cooccurrence" not in rows._jdf.queryExecution().toString()
     assert co.nearest_rows(matrix, table, ["absent"], 3).collect() == []
+
+
+@pytest.mark.parametrize("connected", [1, 7])
+def test_factors_where_few_words_are_sent_to_all_tasks(spark, texts, monkeypatch, connected):
+    """Links between two of the other words, and those that stand in one row only, count."""
+    monkeypatch.setattr(co, "_CONNECTED", connected)
+    found, matrix, words = matrix_of(spark, frame(spark, texts))
+    names = sorted({a for a, _ in found})
+    dense = np.array([[found.get((a, b), 0.0) for b in names] for a in names])
+    vectors = {words[r.id]: r.vector for r in co.factorise(matrix, 40, rounds=3).collect()}
+    got = np.array([vectors[a] for a in names])
+    values, turn = np.linalg.eigh(dense)
+    assert np.linalg.norm(got @ got.T - (turn * np.abs(values)) @ turn.T) < 1e-6 * np.linalg.norm(dense)
