@@ -959,7 +959,7 @@ def _stream_topics(spark, sf):
     """Each stage as its own query, linked by topics; ``rid`` passes through."""
     path = work_dir(spark, "topics")
     names = ["raw", "clean", "classified", "final"]
-    raw, cleaned, classified, final = [FileTopic(f"{path}/{n}") for n in names]
+    raw, cleaned, classified, final = [FileTopic(f"{path}/{n}", "gzip") for n in names]
     raw.write_batch(encode(views.raw(views.tables(spark, sf))))
     hate, mood = views.scorers()
     hops = [

@@ -158,9 +158,15 @@ class KafkaTopic:
 
 @dataclass(frozen=True)
 class FileTopic:
-    """A folder of text files with one JSON record per line."""
+    """A folder of text files with one JSON record per line.
+
+    With ``compression`` (``"gzip"``) files are written compressed, and end after
+    ``records_per_file`` records, as a reader cannot split such a file.
+    """
 
     path: str
+    compression: str | None = None
+    records_per_file: int = 10_000
 
     @staticmethod
     def _columns(df: DataFrame) -> DataFrame:
@@ -169,6 +175,12 @@ class FileTopic:
             F.col("_metadata.file_modification_time").alias("timestamp"),
         )
 
+    def _options(self) -> dict[str, str]:
+        if self.compression is None:
+            return {}
+        return {"compression": self.compression, "maxRecordsPerFile": str(self.records_per_file),
+                "zlib.compress.level": "BEST_SPEED"}
+
     def read_stream(
         self, spark: SparkSession, starting: str = "earliest",
         max_per_trigger: int | None = None, group: str | None = None,
@@ -187,10 +199,10 @@ class FileTopic:
         return self._columns(df.orderBy(*oldest, "value").limit(max_messages))
 
     def write_stream(self, df: DataFrame) -> DataStreamWriter:
-        return df.select("value").writeStream.format("text").option("path", self.path)
+        return df.select("value").writeStream.format("text").options(**self._options()).option("path", self.path)
 
     def write_batch(self, df: DataFrame) -> None:
-        df.select("value").write.mode("append").text(self.path)
+        df.select("value").write.mode("append").options(**self._options()).text(self.path)
 
 
 @dataclass(frozen=True)

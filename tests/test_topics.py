@@ -168,3 +168,23 @@ def test_a_failed_copy_does_not_fail_the_export(spark, tmp_path):
     assert spark.read.parquet(done[1]).count() == 4
     with pytest.raises(Exception):
         export_table(spark.range(4), ["nofs://bucket/b"])
+
+
+def test_a_compressed_topic_holds_all_records_in_small_files(spark, tmp_path):
+    """Its files are smaller than the text, and bounded, as none of them can be split."""
+    rows = spark.range(2500).select(F.concat(F.lit('{"texto":"uno dos tres","n":'), "id", F.lit("}")).alias("value"))
+    first, second = [FileTopic(str(tmp_path / n), "gzip", 1000) for n in ("a", "b")]
+    first.write_batch(rows.coalesce(1))
+    second.write_stream(first.read_stream(spark)).option(
+        "checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
+    size = sum(len(r.value) + 1 for r in rows.collect())
+    for topic in (first, second):
+        files = list((tmp_path / topic.path).glob("*.gz"))
+        assert len(files) >= 3 and sum(f.stat().st_size for f in files) < size / 3
+        found = topic.read_batch(spark)
+        assert found.select("value").exceptAll(rows).count() == 0 and found.count() == 2500
+        most = found.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+        assert most <= 1000
+    plain = FileTopic(str(tmp_path / "c"))
+    plain.write_batch(rows)
+    assert not list((tmp_path / "c").glob("*.gz")) and plain.read_batch(spark).count() == 2500
