@@ -36,6 +36,8 @@ from murmullo.session import ship_package, work_dir
 END = 2
 MAGIC = b"RANKTOK1"
 _BLOCK = 1 << 20
+# Bytes of text encoded at once: a task needs several times as much for their pieces.
+_ENCODED = 4 << 20
 _HEAD = "<III"
 
 # Bytes of the four ranks of each control byte.
@@ -82,7 +84,7 @@ def _tokenizing(path: str, end: int):
         tail = np.array([end], known.dtype).tobytes()
         width = len(tail)
         for whole in batches:
-            for batch in sliced(whole, 2, 8 << 20):
+            for batch in sliced(whole, 2, _ENCODED):
                 ids, counts = known.encode([t or "" for t in batch.column(2).to_pylist()])
                 ends = np.cumsum(counts) * width
                 values = [ids[a:b] + tail for a, b in zip((ends - counts * width).tolist(),
@@ -93,6 +95,9 @@ def _tokenizing(path: str, end: int):
                      pa.array(values, pa.binary())],
                     names=["doc_id", "_hash", "_width", "_ids"],
                 )
+                # What a slice took must not lie beside the next one's.
+                del ids, values
+            pa.default_memory_pool().release_unused()
 
     return run
 

@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -149,3 +150,22 @@ def test_a_cache_of_several_versions_gives_what_the_table_needs(spark, tmp_path)
     assert set(second) == {4, 5} and second[4] == first[1]
     versions = spark.read.parquet(cache).groupBy("version").count().collect()
     assert sorted(r["count"] for r in versions) == [2, 4]
+
+
+def test_texts_are_encoded_a_few_megabytes_at_once(monkeypatch):
+    import murmullo.llm.token_files as files
+
+    sizes = []
+
+    class Fake:
+        dtype = np.uint16
+
+        def encode(self, texts):
+            sizes.append(sum(map(len, texts)))
+            return b"", np.zeros(len(texts), np.int64)
+
+    monkeypatch.setattr(files, "encoder", lambda path: Fake())
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(12)), pa.array(range(12)), pa.array(["x" * (1 << 20)] * 12)], names=["doc_id", "_hash", "text"])
+    out = list(files._tokenizing("", 2)(iter([batch])))
+    assert sum(b.num_rows for b in out) == 12 and sum(sizes) == 12 << 20 and max(sizes) <= 4 << 20
