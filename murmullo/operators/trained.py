@@ -18,7 +18,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.ml import PipelineModel, Pipeline
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import IDF, HashingTF, Tokenizer
 from pyspark.ml.functions import vector_to_array
@@ -33,6 +33,10 @@ from murmullo.operators.ordered import stage
 PARTS = 10
 CALIBRATES, TELLS = (0, 1), (2,)
 BINS = 512
+# A model of exclusive classes multiplies rows in blocks, and each block fills a whole table
+# of coefficients: blocks of the default size, 1 MB, hold little more than that. Binary models
+# have no such table, so 0, the default, is left to them.
+_BLOCK_MB = {"multinomial": 8.0, "binomial": 0.0}
 
 
 def part_of(text: Column) -> Column:
@@ -102,21 +106,24 @@ def fit_labels(
     rows = labelled.filter(has_text(F.col(text))).select(
         F.col(text).alias("_text"), part_of(F.col(text)).alias("_part"),
         F.array(*[c.cast("double") for c in cases]).alias("_y"))
-    makes = Pipeline(stages=[
+    # Texts are cut and hashed once: the weights are found from the stored terms, and each
+    # model reads the stored features twice.
+    terms = PipelineModel(stages=[
         Tokenizer(inputCol="_text", outputCol="_tok"),
         HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=features),
-        IDF(inputCol="_tf", outputCol="_f"),
     ])
     trains = ~F.col("_part").isin(*CALIBRATES, *TELLS)
-    rows = stage(rows, "trained-texts")
-    fitted = makes.fit(rows.filter(trains))
-    table = stage(fitted.transform(rows).select("_f", "_part", "_y"), "trained-features")
+    counted = stage(terms.transform(rows).select("_tf", "_part", "_y"), "trained-terms")
+    weights = IDF(inputCol="_tf", outputCol="_f").fit(counted.filter(trains))
+    fitted = PipelineModel(stages=[*terms.stages, weights])
+    table = stage(weights.transform(counted).select("_f", "_part", "_y"), "trained-features")
     known = table.filter(trains)
 
     def model(i: int, label: Column, family: str) -> LogisticRegressionModel:
         return LogisticRegression(
             featuresCol="_f", labelCol="_label", maxIter=max_iter, regParam=reg, family=family,
             probabilityCol=f"_p{i}", rawPredictionCol=f"_r{i}", predictionCol=f"_c{i}",
+            maxBlockSizeInMB=_BLOCK_MB[family],
         ).fit(known.select("_f", label.alias("_label")))
 
     if exclusive:

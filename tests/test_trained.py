@@ -91,3 +91,17 @@ def test_copies_are_in_one_part(spark):
     parts = spark.createDataFrame([("x",)] * 5 + [(None,), ("",)], "t string").select(trained.part_of(F.col("t")).alias("p"))
     found = [r.p for r in parts.collect()]
     assert len(set(found[:5])) == 1 and found[5] == found[6] and all(0 <= p < 10 for p in found)
+
+
+def test_texts_are_hashed_once(texts, monkeypatch):
+    """The weights and the models read stored vectors; no text is stored to be hashed again."""
+    written, plans = [], []
+    plain, fit = trained.stage, trained.IDF.fit
+    monkeypatch.setattr(trained, "stage", lambda df, purpose: written.append(df.columns) or plain(df, purpose))
+    monkeypatch.setattr(trained.IDF, "fit", lambda self, df: plans.append(
+        df._jdf.queryExecution().toString()) or fit(self, df))
+    scorer = trained.fit_labels(texts, {"A": says(SIGNS["CALLS"])}, max_iter=2)
+    assert written == [["_tf", "_part", "_y"], ["_f", "_part", "_y"]]
+    assert len(plans) == 1 and "UDF" not in plans[0]
+    assert len(scorer.features.stages) == 3
+    assert scorer(texts.limit(3), "comentario_limpio", "p").count() == 3
