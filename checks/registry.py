@@ -459,8 +459,16 @@ def _udf_scores(spark, sf):
     )
 
 
-def _says(terms):
-    return F.arrays_overlap(F.split("comentario_limpio", " "), F.array(*[F.lit(t) for t in terms]))
+def _listed(terms):
+    return F.array(*[F.lit(t) for t in terms])
+
+
+def _says(lexicon):
+    """Per label, whether a text has one of its words. Each word is looked up once, in the
+    words of all labels; what is found is compared with those of each."""
+    every = _listed(sorted({t for terms in lexicon.values() for t in terms}))
+    found = F.array_intersect(F.split("comentario_limpio", " "), every)
+    return {label: F.arrays_overlap(found, _listed(terms)) for label, terms in lexicon.items()}
 
 
 def _sums_oracle(lexicon, case) -> str:
@@ -487,7 +495,8 @@ def _sums(spark, sf, labels, exclusive: bool) -> DataFrame:
 @checked("trained_hate_sums", _sums_oracle(views.HATE_LEXICON, lambda words: words))
 def _trained_hate_sums(spark, sf):
     """Eight labels: what the calibrated probabilities add up to is what was labelled."""
-    return _sums(spark, sf, {x: _says(views.HATE_LEXICON[x]) for x in HATE_LABELS}, False)
+    says = _says(views.HATE_LEXICON)
+    return _sums(spark, sf, {x: says[x] for x in HATE_LABELS}, False)
 
 
 def _classes(says, negate, both):
@@ -498,7 +507,7 @@ def _classes(says, negate, both):
 @checked("trained_sentiment_sums", _sums_oracle(views.SENTIMENT_LEXICON, lambda words: _classes(
     words, lambda a: f"NOT {a}", lambda a, b: f"{a} AND {b}")))
 def _trained_sentiment_sums(spark, sf):
-    says = {x: _says(terms) for x, terms in views.SENTIMENT_LEXICON.items()}
+    says = _says(views.SENTIMENT_LEXICON)
     return _sums(spark, sf, _classes(says, lambda a: ~a, lambda a, b: a & b), True)
 
 

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from checks import registry
 from murmullo.operators import trained
 from murmullo.operators.stages import decide_hate, decide_sentiment
 from murmullo.schemas import HATE_LABELS, SENTIMENT_LABELS
@@ -105,3 +106,13 @@ def test_texts_are_hashed_once(texts, monkeypatch):
     assert len(plans) == 1 and "UDF" not in plans[0]
     assert len(scorer.features.stages) == 3
     assert scorer(texts.limit(3), "comentario_limpio", "p").count() == 3
+
+
+def test_words_of_all_labels_are_looked_up_once(spark):
+    lexicon = {"A": ["x", "y z"], "B": ["w"], "C": ["x", "w", ""]}
+    rows = [(t,) for t in ("x", "w x w", "xw", "", "y z", "q  r", None)]
+    found = spark.createDataFrame(rows, "comentario_limpio string").select(
+        "comentario_limpio", *[c.alias(k) for k, c in registry._says(lexicon).items()])
+    for r in found.collect():
+        words = None if r[0] is None else r[0].split(" ")
+        assert list(r[1:]) == [None if words is None else any(w in words for w in lexicon[k]) for k in "ABC"]
