@@ -6,6 +6,8 @@ Unicode whitespace and word characters.
 
 from __future__ import annotations
 
+import functools
+import operator
 import re
 import string
 import zlib
@@ -70,6 +72,23 @@ def _first_characters(names: Mapping[str, str], gap: int = 0x800) -> str:
     return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges) + "]"
 
 
+# So many searches for bytes take less time than one pattern over the text.
+_SEARCHES = 4
+
+
+def _may_hold(text: Column, names: Mapping[str, str]) -> Column:
+    """True where a sequence may begin, and false in ordinary text.
+
+    Searched are the first two bytes of the first characters, which takes no decoding. A table
+    with too many of these, or with plain characters, is told by a pattern.
+    """
+    starts = sorted({seq[0].encode("utf-8", "surrogatepass")[:2] for seq in names})
+    if len(starts) > _SEARCHES or any(len(start) < 2 for start in starts):
+        return text.rlike(_first_characters(names))
+    found = [F.contains(text.cast("binary"), F.lit(start)) for start in starts]
+    return functools.reduce(operator.or_, found)
+
+
 def emoji_pattern(names: Mapping[str, str]) -> str:
     """One alternation over all sequences, longest first.
 
@@ -182,8 +201,7 @@ def name_emoji(text: Column, names: Mapping[str, str] = EMOJI_NAMES) -> Column:
     woven = F.zip_with(
         pieces, F.concat(named, F.array(F.lit(""))), lambda a, b: F.concat(a, b)
     )
-    maybe = text.rlike(_first_characters(table))
-    return F.when(maybe, F.array_join(woven, "")).otherwise(text)
+    return F.when(_may_hold(text, table), F.array_join(woven, "")).otherwise(text)
 
 
 def separators_to_space(text: Column) -> Column:

@@ -149,3 +149,20 @@ def test_a_full_emoji_table_costs_little_more_than_a_short_one(spark):
 
     few, all_of_them = seconds(short), seconds(names)
     assert all_of_them <= 2 * few + 0.5, (few, all_of_them)
+
+
+def test_ordinary_text_is_told_without_a_pattern(spark, monkeypatch):
+    """The bytes that sequences begin with are searched; what is replaced stays the same."""
+    texts = ["sin nada", "ñandú ≠ ❤ ❤️x", "a👍🏽👍", "✔ 🦄 😂🔥", "", None, "\ud7ff\uffff\U00010000"]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+
+    def named(names):
+        found = df.select("x", tx.name_emoji(F.col("x"), names).alias("y"))
+        return [tuple(r) for r in found.collect()], "RLIKE" in found._jdf.queryExecution().analyzed().toString()
+
+    many = {chr(0x100 + 0x800 * i): f"n{i}" for i in range(9)}
+    quick = [named(names) for names in (tx.EMOJI_NAMES, {"#": "n"}, many)]
+    assert [pattern for _, pattern in quick] == [False, True, True]
+    monkeypatch.setattr(tx, "_SEARCHES", 0)
+    plain = [named(names) for names in (tx.EMOJI_NAMES, {"#": "n"}, many)]
+    assert [rows for rows, _ in plain] == [rows for rows, _ in quick]
