@@ -5,17 +5,31 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from murmullo.operators.skipgram import fit_skipgram
 from murmullo.wordlists import KEY_TERMS
 
 
 class VocabularyTooLarge(ValueError):
-    """The vocabulary would not fit the driver; raise ``min_count``."""
+    """The vocabulary is larger than was allowed; raise ``min_count``."""
+
+
+class WordVectors:
+    """A table of words and vectors, with the names that MLlib's model has for them."""
+
+    def __init__(self, vectors: DataFrame):
+        self._vectors = vectors
+
+    def getVectors(self) -> DataFrame:  # noqa: N802
+        return self._vectors
+
+    def findSynonyms(self, word: str, num: int) -> DataFrame:  # noqa: N802
+        return nearest_terms(self._vectors, [word], num).select(
+            F.col("palabra_similar").alias("word"), F.col("similitud").alias("similarity"))
 
 
 def word_lists(
@@ -41,14 +55,13 @@ def vocabulary_size(lists: DataFrame, min_count: int) -> int:
 def fit_word2vec(
     lists: DataFrame, vector_size: int = 50, min_count: int = 1, seed: int = 42,
     max_iter: int = 1, num_partitions: int = 2, max_vocabulary: int | None = None,
-) -> Word2VecModel:
+) -> WordVectors:
     """Train word vectors.
 
-    MLlib trains in each partition and merges the vectors, so the model depends
-    on ``num_partitions``, a setting like the others and never taken from the
-    cluster. It keeps the vocabulary on the driver and sends it to every task;
-    with ``max_vocabulary`` the size is counted first and the job stops where the
-    driver could not hold it, rather than dropping words on its own.
+    Texts are trained in parts and the parts' vectors merged, so the model depends on
+    ``num_partitions``, the least number of parts at once; more are made by the size of the
+    texts, never by that of the cluster. With ``max_vocabulary`` the vocabulary is counted
+    first and the job stops where it is larger, rather than dropping words on its own.
     """
     if max_vocabulary is not None:
         found = vocabulary_size(lists, min_count)
@@ -57,11 +70,7 @@ def fit_word2vec(
                 f"{found} words occur {min_count} times or more; "
                 f"raise min_count or max_vocabulary ({max_vocabulary})"
             )
-    return Word2Vec(
-        vectorSize=vector_size, minCount=min_count, seed=seed, maxIter=max_iter,
-        numPartitions=num_partitions,
-        inputCol="tokens", outputCol="vector",
-    ).fit(lists)
+    return WordVectors(fit_skipgram(lists, vector_size, min_count, seed, max_iter, num_partitions))
 
 
 def _dot(values: Column, other: Sequence[float]) -> Column:
@@ -120,17 +129,14 @@ def nearest_terms(
     )
 
 
-def save_model(model: Word2VecModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: WordVectors, path: str) -> None:
+    model.getVectors().write.mode("overwrite").parquet(f"{path.rstrip('/')}/data")
 
 
 def saved_vectors(spark: SparkSession, path: str) -> DataFrame:
-    """The word vectors of a saved model, read by the executors.
-
-    ``Word2VecModel.getVectors`` would build the same table on the driver.
-    """
+    """The word vectors of a saved model, read by the executors."""
     return spark.read.parquet(f"{path.rstrip('/')}/data").select("word", "vector")
 
 
-def load_model(path: str) -> Word2VecModel:
-    return Word2VecModel.load(path)
+def load_model(path: str) -> WordVectors:
+    return WordVectors(saved_vectors(SparkSession.active(), path))
