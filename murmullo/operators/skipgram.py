@@ -221,6 +221,8 @@ class _Pass(NamedTuple):
 
 
 _PIECES = "words array<string>, counts array<int>, codes binary"
+# What a part is sent: pieces, and (key -1) words with their numbers in place of the text.
+_SENT = "part int, key bigint, names binary, sizes binary, codes binary"
 _CHANGES = "key bigint, part int, change binary"
 
 
@@ -249,6 +251,49 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             begin = end
 
 
+def _closed(words: pa.Array) -> tuple[bytes, bytes]:
+    """Words one after the other, and the bytes of each: a fraction of what a row with a list takes."""
+    own = words.cast(pa.string()).take(pa.array(np.arange(len(words))))
+    _, offsets, data = own.buffers()
+    sizes = np.diff(np.frombuffer(offsets, np.int32, len(own) + 1))
+    return data.to_pybytes()[:sizes.sum()] if data else b"", sizes.tobytes()
+
+
+def _opened(names: bytes, sizes: bytes) -> pa.Array:
+    offsets = np.append(0, np.cumsum(np.frombuffer(sizes, np.int32))).astype(np.int32)
+    return pa.Array.from_buffers(
+        pa.string(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(names)])
+
+
+def _sent(rows: list[tuple[int, int, pa.Array, bytes]]) -> pa.RecordBatch:
+    closed = [(part, key, *_closed(words), codes) for part, key, words, codes in rows]
+    kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(column, kind) for column, kind in zip(zip(*closed), kinds)],
+        ["part", "key", "names", "sizes", "codes"])
+
+
+def _send_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part, key, words, codes in zip(*(batch.column(c) for c in ("part", "key", "words", "codes"))):
+            yield _sent([(part.as_py(), key.as_py(), words.values, codes.as_py())])
+
+
+def _send_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words and their numbers, a row for each part that has some of a batch."""
+    for batch in batches:
+        if not len(batch):
+            continue
+        listed, numbers = batch.column("parts"), batch.column("number").to_numpy(zero_copy_only=False)
+        parts = listed.flatten().to_numpy(zero_copy_only=False)
+        rows = np.repeat(np.arange(len(batch)), listed.value_lengths().to_numpy(zero_copy_only=False))
+        order = np.argsort(parts, kind="stable")
+        parts, rows = parts[order], rows[order]
+        for own in np.split(np.arange(len(parts)), np.flatnonzero(np.diff(parts)) + 1):
+            some = rows[own]
+            yield _sent([(int(parts[own[0]]), -1, batch.column("word").take(pa.array(some)), numbers[some].tobytes())])
+
+
 def _packed(rows: np.ndarray) -> pa.Array:
     """One binary value for each row of numbers."""
     wide = rows.shape[1] * rows.itemsize
@@ -295,14 +340,13 @@ def _train_part(batches: Iterator[pa.RecordBatch], start: _Pass) -> Iterator[pa.
     size = start.words.shape[1]
     names, numbers, texts, part = [], [], [], 0
     for batch in batches:
-        if not len(batch):
-            continue
-        part, codes, keys = batch.column("part")[0].as_py(), batch.column("codes"), batch.column("key")
-        own = codes.is_valid()
-        names.append(batch.column("words").filter(pc.invert(own)).flatten())
-        numbers.append(keys.filter(pc.invert(own)).to_numpy(zero_copy_only=False))
-        for key, words, text in zip(*(batch.column(c).filter(own) for c in ("key", "words", "codes"))):
-            texts.append((key.as_py(), words.values, np.frombuffer(text.as_buffer(), np.uint16)))
+        for part, key, named, sizes, codes in zip(*(c.to_pylist() for c in batch.columns)):
+            words = _opened(named, sizes)
+            if key < 0:
+                names.append(words)
+                numbers.append(np.frombuffer(codes, np.int64))
+            else:
+                texts.append((key, words, np.frombuffer(codes, np.uint16)))
     if not texts or not sum(map(len, numbers)):
         return
     names, numbers = pa.chunked_array(names), np.concatenate(numbers)
@@ -474,10 +518,8 @@ def _fit(
     if not histogram:
         raise ValueError(f"no word occurs {min_count} times or more; lower min_count")
     codes = canonical(code_lengths(histogram))
-    own = words.select(
-        F.explode("parts").alias("part"), F.col("number").alias("key"), F.array("word").alias("words"),
-        F.lit(None).cast("binary").alias("codes"))
-    rows = pieces.select(_part(parts), "key", "words", "codes").unionByName(own).repartitionById(parts, "part")
+    rows = pieces.select(_part(parts), "key", "words", "codes").mapInArrow(_send_pieces, _SENT).unionByName(
+        words.select("word", "number", "parts").mapInArrow(_send_words, _SENT)).repartitionById(parts, "part")
 
     start = _Pass(
         start_vectors(np.arange(min(_WORDS, sum(histogram.values()))), vector_size, seed),
@@ -489,10 +531,10 @@ def _fit(
         # Parts of all passes are told apart, so that merging has one order.
         changes = rows.mapInArrow(lambda batches, start=start: _train_part(batches, start), _CHANGES).withColumn(
             "part", F.col("part") + F.lit(step * parts))
-        changes = stage(changes, "skipgram-changes")
         if start.last:
             found.append(changes)
             break
+        changes = stage(changes, "skipgram-changes")
         found.append(changes.filter(F.col("key") >= len(start.words)))
         common = _sorted(changes.filter(F.col("key") < len(start.words))).mapInArrow(
             lambda batches: _merge(batches, vector_size), "key bigint, change binary").toArrow()
