@@ -44,6 +44,8 @@ _PIECE_WORDS = 1 << 15
 _BATCH = 4096
 # Steps of one vector in a batch from which they are summed on their own.
 _MANY = 16
+# Parts that are told by the bits of one number.
+_BITS = 62
 # Ends a sentence in a piece, whose words have smaller codes.
 _END = (1 << 16) - 1
 # What is merged between passes: words by number, nodes by place in the tree.
@@ -284,14 +286,14 @@ def _send_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not len(batch):
             continue
-        listed, numbers = batch.column("parts"), batch.column("number").to_numpy(zero_copy_only=False)
-        parts = listed.flatten().to_numpy(zero_copy_only=False)
-        rows = np.repeat(np.arange(len(batch)), listed.value_lengths().to_numpy(zero_copy_only=False))
-        order = np.argsort(parts, kind="stable")
-        parts, rows = parts[order], rows[order]
-        for own in np.split(np.arange(len(parts)), np.flatnonzero(np.diff(parts)) + 1):
-            some = rows[own]
-            yield _sent([(int(parts[own[0]]), -1, batch.column("word").take(pa.array(some)), numbers[some].tobytes())])
+        numbers = batch.column("number").to_numpy(zero_copy_only=False)
+        masks = batch.column("parts").flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
+        for at in range(masks.shape[1]):
+            for bit in range(_BITS):
+                some = np.flatnonzero(masks[:, at] >> bit & 1)
+                if len(some):
+                    words = batch.column("word").take(pa.array(some))
+                    yield _sent([(at * _BITS + bit, -1, words, numbers[some].tobytes())])
 
 
 def _packed(rows: np.ndarray) -> pa.Array:
@@ -464,12 +466,17 @@ def cut(lists: DataFrame) -> DataFrame:
 
 
 def vocabulary(pieces: DataFrame, min_count: int, parts: int) -> DataFrame:
-    """``word``, ``n``, ``number``, from 0 by falling count, and the ``parts`` that have the word."""
+    """``word``, ``n``, ``number``, from 0 by falling count, and the ``parts`` that have the
+    word, as bits of one number or more: these are merged in place, a set is sorted for."""
+    held = pieces.select(_part(parts), "counts", F.posexplode("words").alias("at", "word")).select(
+        "word", F.get("counts", F.col("at")).alias("n"),
+        *[F.expr(f"if(part div {_BITS} = {i}, shiftleft(1L, part % {_BITS}), 0L)").alias(f"_{i}")
+          for i in range(math.ceil(parts / _BITS))])
+    masks = [c for c in held.columns if c.startswith("_")]
     counted = (
-        pieces.select(_part(parts), F.explode(F.arrays_zip("words", "counts")).alias("w"))
-        .groupBy(F.col("w.words").alias("word"))
-        .agg(F.sum("w.counts").alias("n"), F.collect_set("part").alias("parts"))
-        .filter(F.col("n") >= min_count).withColumn("one", F.lit(1))
+        held.groupBy("word").agg(F.sum("n").alias("n"), *[F.bit_or(c).alias(c) for c in masks])
+        .filter(F.col("n") >= min_count)
+        .select("word", "n", F.array(*masks).alias("parts"), F.lit(1).alias("one"))
     )
     numbered = with_running_sums(counted, [F.desc("n"), F.asc("word")], {"number": "one"}, "skipgram-words")
     return stage(numbered.select("word", "n", (F.col("number") - 1).alias("number"), "parts"), "skipgram-vocabulary")

@@ -1,10 +1,11 @@
 import math
 
+import pyarrow as pa
 import pytest
 from pyspark.ml.linalg import Vectors
 
 from murmullo.operators.similarity import (
-    VocabularyTooLarge, fit_word2vec, load_model, nearest_terms, save_model, saved_vectors,
+    VocabularyTooLarge, _best_of, fit_word2vec, load_model, nearest_terms, save_model, saved_vectors,
     vocabulary_size, word_lists,
 )
 
@@ -77,3 +78,26 @@ def test_large_vocabulary_stops_with_advice(texts):
     with pytest.raises(VocabularyTooLarge, match="min_count"):
         fit_word2vec(word_lists(texts), max_vocabulary=9)
     fit_word2vec(word_lists(texts), max_vocabulary=9, min_count=20)
+
+
+def test_each_text_is_split_once(texts):
+    plan = word_lists(texts)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_remove") == 1
+
+
+def test_nearest_of_odd_and_equal_vectors(spark):
+    """Ties go by word over several batches; what has no numbers is left out, another size has no cosine."""
+    rows = [(f"w{i:05d}", [1.0 + i % 2, 2.0]) for i in range(30_000)]
+    odd = [("k", [1.0, 2.0]), ("nulo", None), ("hueco", [1.0, None]), ("largo", [1.0, 2.0, 3.0]), (None, [1.0, 2.0])]
+    df = spark.createDataFrame(rows + odd, "word string, vector array<float>")
+    found = [tuple(r) for r in nearest_terms(df, ["k"], 4).collect()]
+    assert found == [("k", f"w{i:05d}", 1.0) for i in (0, 2, 4, 6)]
+    few = [tuple(r) for r in nearest_terms(spark.createDataFrame(odd, df.schema), ["k"], 4).collect()]
+    assert few == [("k", "largo", None)]
+
+
+def test_a_batch_sends_only_words_that_may_be_near():
+    values = pa.array([[float(i), 1.0] for i in range(500)], pa.list_(pa.float32()))
+    batch = pa.RecordBatch.from_arrays([pa.array([f"w{i}" for i in range(500)]), values], ["word", "v"])
+    sent = list(_best_of(iter([batch]), [("k", [1.0, 0.0]), ("w0", [0.0, 1.0])], 3))
+    assert [sorted(b.column(1).to_pylist()) for b in sent] == [["w497", "w498", "w499"], ["w1", "w2", "w3"]]

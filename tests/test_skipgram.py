@@ -6,6 +6,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from murmullo.operators import skipgram as sg
@@ -140,3 +141,19 @@ def test_odd_words_and_equal_runs(spark):
     assert {r.word for r in seldom} == {"a b", "ñ"}
     with pytest.raises(ValueError, match="min_count"):
         fit_word2vec(lists, min_count=10_000)
+
+
+def test_words_know_their_parts_beyond_one_number(spark):
+    rows = [(f"solo{i}", i) for i in range(70)] + [("todos", i) for i in range(70)] + [("dos", 3), ("dos", 65)]
+    pieces = spark.createDataFrame([([w], [i + 1], i) for w, i in rows], "words array<string>, counts array<int>, key bigint")
+    words = {r.word: (r.n, r.parts) for r in sg.vocabulary(pieces, 1, 70).collect()}
+
+    def parts(masks):
+        return [62 * at + bit for at, mask in enumerate(masks) for bit in range(62) if mask >> bit & 1]
+
+    assert words["todos"][0] == sum(range(1, 71)) and parts(words["todos"][1]) == list(range(70))
+    assert words["dos"][0] == 4 + 66 and parts(words["dos"][1]) == [3, 65]
+    assert all(parts(words[f"solo{i}"][1]) == [i] for i in range(70))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(["dos"]), pa.array([7]), pa.array([words["dos"][1]])], ["word", "number", "parts"])
+    assert [b.column("part")[0].as_py() for b in sg._send_words(iter([batch]))] == [3, 65]
