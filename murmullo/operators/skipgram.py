@@ -13,7 +13,8 @@ pass. What differs is where it runs:
 - Vectors are merged and written by the executors, word by word. Between two passes the
   16,384 most frequent words and the 16,383 upper nodes go on from their merged vectors
   (6.5 MB); the changes of other words in all passes are merged at the end.
-- Inside a part, a batch of words is trained at once, as products of small matrices.
+- Inside a part, a batch of words is trained at once, as products of small matrices, and of
+  whole ones for the first levels of the tree.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +44,8 @@ _FAR = 6.0
 _PART_WORDS = 1 << 22
 _PIECE_WORDS = 1 << 15
 _BATCH = 4096
+# Levels of the tree from the root down whose nodes are trained with all words of a batch.
+_TOP = 7
 # Steps of one vector in a batch from which they are summed on their own.
 _MANY = 16
 # Parts that are told by the bits of one number.
@@ -126,16 +130,30 @@ def start_vectors(numbers: np.ndarray, size: int, seed: int) -> np.ndarray:
     return ((z >> np.uint64(40)).astype(np.float32) / np.float32(1 << 24) - np.float32(0.5)) / np.float32(size)
 
 
+def _any_far(f: np.ndarray) -> bool:
+    return not (f.max() < _FAR and f.min() > -_FAR)
+
+
+def _sigmoid(f: np.ndarray) -> np.ndarray:
+    """In place: most of a batch's time would go into new arrays."""
+    np.exp(np.negative(f, out=f), out=f)
+    f += 1
+    return np.reciprocal(f, out=f)
+
+
+def _short(h: np.ndarray) -> np.ndarray:
+    """A sum of many steps from one place would go too far; by its curvature ``h`` it is
+    shortened to (1 - exp(-h)) / h, where small steps one after the other would end."""
+    return np.where(h > 1e-3, -np.expm1(-h) / np.maximum(h, 1e-3), 1).astype(np.float32)
+
+
 def _apply(vectors: np.ndarray, rows: np.ndarray, steps: np.ndarray, bend: np.ndarray) -> None:
-    """Add the steps of each row of ``vectors``. A sum of many steps from one place would go
-    too far; by its curvature ``h`` it is shortened to (1 - exp(-h)) / h, where small steps
-    one after the other would end."""
+    """Add the steps of each row of ``vectors``, shortened."""
     order = np.argsort(rows)
     ranked = rows[order]
     begin = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
     many = np.diff(np.append(begin, len(rows)))
-    h = np.add.reduceat(bend[order], begin)
-    short = np.where(h > 1e-3, -np.expm1(-h) / np.maximum(h, 1e-3), 1).astype(np.float32)
+    short = _short(np.add.reduceat(bend[order], begin))
     # Rows with the most steps first: these one by one, the others step by step.
     by = np.argsort(-many)
     begin, many = begin[by], many[by]
@@ -153,6 +171,52 @@ def _apply(vectors: np.ndarray, rows: np.ndarray, steps: np.ndarray, bend: np.nd
     vectors[ranked[begin]] += total
 
 
+def _top_of(
+    ways: np.ndarray, signs: np.ndarray, lengths: np.ndarray, last: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The turns of each word in the first levels, as a number (shorter ways go on to the left),
+    and the rows of the nodes there by their place in the tree."""
+    levels = min(_TOP, ways.shape[1])
+    turns, rows = np.zeros(len(ways), np.int64), np.full(1 << levels, last, np.int64)
+    for d in range(levels):
+        on = lengths > d
+        rows[(1 << d) + turns[on]] = ways[on, d]
+        turns = 2 * turns + (on & ~signs[:, d])
+    return turns, rows
+
+
+def _train_top(
+    near: np.ndarray, x: np.ndarray, syn1: np.ndarray, rows: np.ndarray, rate: np.float32
+) -> tuple[np.ndarray, np.ndarray]:
+    """A batch of the first levels; steps and bends of the vectors ``x``.
+
+    Most words of a batch meet most of these few nodes, so whole matrices take less than
+    pairs. ``near`` has how often each word (column) is near a word with the same turns (row).
+    """
+    left = np.zeros((len(rows), len(x)), np.float32)
+    both, below, first = np.zeros_like(left), near.astype(np.float32) * rate, len(rows)
+    while first > 1:
+        level = slice(first // 2, first)
+        left[level] = below[0::2]
+        np.add(below[0::2], below[1::2], out=both[level])
+        below, first = both[level], first // 2
+    last = len(syn1) - 1
+    left[rows == last] = both[rows == last] = 0  # a way has ended above
+    s = syn1.take(rows, axis=0)
+    f = s @ x.T
+    if _any_far(f):
+        far = ~(np.abs(f) < _FAR)
+        left[far] = both[far] = 0
+    p = _sigmoid(f)
+    both *= p
+    left -= both
+    both *= np.subtract(1, p, out=p)
+    real = np.flatnonzero(rows != last)
+    steps = (left @ x) * _short(both @ np.einsum("ij,ij->i", x, x))[:, None]
+    syn1[rows[real]] += steps[real]
+    return left.T @ s, np.einsum("ij,ij->i", s, s) @ both
+
+
 def train(
     words: np.ndarray, sentence: np.ndarray, ways: np.ndarray, signs: np.ndarray, lengths: np.ndarray,
     syn0: np.ndarray, syn1: np.ndarray, rates: tuple[float, float], random: np.random.Generator,
@@ -163,52 +227,64 @@ def train(
     padded, with the last row of ``syn1``, which stays zero, as the node.
     """
     size, last = syn0.shape[1], len(syn1) - 1
-    room = np.empty((_BATCH * ways.shape[1], size), np.float32)
+    turns, top = _top_of(ways, signs, lengths, last)
+    levels = min(_TOP, ways.shape[1])
+    room = np.empty((_BATCH * (ways.shape[1] - levels), size), np.float32)
     # Nothing is near across the margins.
     padded = np.pad(words, WINDOW)
     inside = np.pad(sentence, WINDOW, constant_values=-1)
+    window = np.abs(np.arange(-WINDOW, WINDOW + 1))
     for begin in range(0, len(words), _BATCH):
         end = min(begin + _BATCH, len(words))
         rate = np.float32(rates[0] + (rates[1] - rates[0]) * begin / len(words))
         text, own = padded[begin:end + 2 * WINDOW], inside[begin:end + 2 * WINDOW]
-        around = syn0.take(text, axis=0)
+        reach = random.integers(1, WINDOW + 1, end - begin)
+        there = (sliding_window_view(own, len(window)) == own[WINDOW:WINDOW + end - begin, None]) & (
+            window <= reach[:, None]) & (window > 0)
+        known, at = np.unique(text, return_inverse=True)
+        vectors = syn0.take(known, axis=0)
+        around = vectors.take(at, axis=0)
         around_2 = np.einsum("ij,ij->i", around, around)
         moved, bent = np.zeros_like(around), np.zeros(len(around), np.float32)
-        reach = random.integers(1, WINDOW + 1, end - begin)
+        cells = (turns[words[begin:end], None] * len(known) + sliding_window_view(at, len(window)))[there]
+        near = np.bincount(cells, minlength=len(top) * len(known)).reshape(len(top), len(known))
+        steps, firm = _train_top(near, vectors, syn1, top, rate)
         long = lengths[words[begin:end]]
         nodes, bends, filled = [], [], 0
         for wide in range(1, WINDOW + 1):
-            group = np.flatnonzero(reach == wide)
+            group = np.flatnonzero((reach == wide) & (long > levels))
             group = group[np.argsort(long[group])]
-            offsets = np.r_[-wide:0, 1:wide + 1]
+            offsets = np.r_[-wide:0, 1:wide + 1] + WINDOW
             for some in np.array_split(group, max(1, min(4, len(group) // 32))):
-                deep = int(long[some[-1]]) if len(some) else 0
-                if not deep:
+                if not len(some):
                     continue
-                some = some + WINDOW
-                near = some[:, None] + offsets
-                there = own.take(near) == own[some][:, None]
-                center = text[some]
-                way = ways[center, :deep]
+                near, center = some[:, None] + offsets, words[begin + some]
+                way = ways[center, levels:int(long[some[-1]])]
                 x, s = around.take(near, axis=0), syn1.take(way, axis=0)
                 f = x @ s.transpose(0, 2, 1)
-                p = 1 / (1 + np.exp(-f))
-                used = (there[:, :, None] & (way != last)[:, None, :] & (np.abs(f) < _FAR)) * rate
-                g = (signs[center, :deep][:, None, :] - p) * used
-                c = p * (1 - p) * used
+                # A padding node is zero, so nothing follows from it.
+                used = there[some[:, None], offsets][:, :, None] * rate
+                if _any_far(f):
+                    used = used * (np.abs(f) < _FAR)
+                p = _sigmoid(f)
+                c = 1 - p
+                c *= p
+                c *= used
+                g = np.subtract(signs[center, levels:levels + way.shape[1]][:, None, :], p, out=p)
+                g *= used
                 full = filled + way.size
-                np.matmul(g.transpose(0, 2, 1), x, out=room[filled:full].reshape(len(some), deep, size))
+                np.matmul(g.transpose(0, 2, 1), x, out=room[filled:full].reshape(*way.shape, size))
                 filled = full
                 nodes.append(way.ravel())
                 bends.append((around_2.take(near)[:, None, :] @ c).ravel())
-                back, firm = g @ s, (c @ np.einsum("ijk,ijk->ij", s, s)[:, :, None])[:, :, 0]
+                back, bend = g @ s, (c @ np.einsum("ijk,ijk->ij", s, s)[:, :, None])[:, :, 0]
                 for k in range(len(offsets)):
                     moved[near[:, k]] += back[:, k]
-                    bent[near[:, k]] += firm[:, k]
+                    bent[near[:, k]] += bend[:, k]
         if nodes:
             _apply(syn1, np.concatenate(nodes), room[:filled], np.concatenate(bends))
-            _apply(syn0, text, moved, bent)
             syn1[last] = 0
+        _apply(syn0, np.r_[text, known], np.r_[moved, steps], np.r_[bent, firm])
 
 
 class _Pass(NamedTuple):

@@ -85,6 +85,37 @@ def test_a_batch_against_loops():
     assert np.allclose(end1 - syn1, move1, rtol=2e-3, atol=1e-9)
 
 
+@pytest.mark.parametrize("top", [1, 4, 7])
+def test_upper_and_lower_levels_against_loops(monkeypatch, top):
+    """The first levels are trained as whole matrices, the others word by word; far pairs are left out in both."""
+    monkeypatch.setattr(sg, "_TOP", top)
+    rng = np.random.default_rng(4)
+    counts = sorted((int(300 / (i + 1)) + 1 for i in range(260)), reverse=True)
+    words = rng.permutation(np.repeat(np.arange(260), counts)).astype(np.int32)[:1200]
+    sentence = np.repeat(np.arange(3, dtype=np.int32), [500, 1, 699])
+    ways, signs, lengths, places = sg.ways_of(np.arange(260), sg.canonical(sg.code_lengths(Counter(counts))))
+    assert lengths.min() < 4 and lengths.max() > 8
+    syn0 = rng.normal(size=(260, 6)).astype(np.float32)
+    syn1 = np.r_[rng.normal(size=(len(places), 6)) * 2, np.zeros((1, 6))].astype(np.float32)
+    reach = np.random.default_rng(8).integers(1, 6, len(words))
+    move0, move1, far = np.zeros((260, 6)), np.zeros((len(places) + 1, 6)), Counter()
+    for i, center in enumerate(words):
+        for j in range(max(0, i - reach[i]), min(len(words), i + reach[i] + 1)):
+            if j == i or sentence[j] != sentence[i]:
+                continue
+            way = ways[center, :lengths[center]]
+            f = syn1[way].astype(np.float64) @ syn0[words[j]]
+            g = 1e-7 * (signs[center, :lengths[center]] - 1 / (1 + np.exp(-f))) * (np.abs(f) < 6)
+            far.update(np.flatnonzero(np.abs(f) >= 6).tolist())
+            move0[words[j]] += g @ syn1[way]
+            np.add.at(move1, way, g[:, None] * syn0[words[j]])
+    assert far[0] and far[8]
+    end0, end1 = syn0.astype(np.float64), syn1.astype(np.float64)
+    sg.train(words, sentence, ways, signs, lengths, end0, end1, (1e-7, 1e-7), np.random.default_rng(8))
+    assert np.allclose(end0 - syn0, move0, rtol=2e-3, atol=1e-9)
+    assert np.allclose(end1 - syn1, move1, rtol=2e-3, atol=1e-9) and not end1[-1].any()
+
+
 def test_many_steps_of_one_vector_do_not_go_too_far():
     vectors = np.zeros((2, 3), np.float32)
     rows = np.r_[np.zeros(400, np.int64), 1]
