@@ -2,24 +2,46 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from murmullo.session import work_dir
+from murmullo.sources.store import remove
 
 
-def stage(df: DataFrame, purpose: str) -> DataFrame:
-    """Write a table to the shared folder and read it back.
+def stage(df: DataFrame, purpose: str, by: Sequence[str] = ()) -> DataFrame:
+    """Write a table to the shared folder, in folders ``by`` its columns, and read it back.
 
     Later steps start from the files: lost executors cost no recomputation, a
     random order or partition number is fixed once, and the planner knows the
     size when it decides on a broadcast.
     """
     path = work_dir(df.sparkSession, purpose)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").partitionBy(*by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def discard(staged: DataFrame, name: str = "") -> None:
+    """Remove a table of ``stage``, or its folders of one ``name``, which no later step reads."""
+    for folder in {path.rsplit("/", 1)[0] for path in staged.inputFiles()}:
+        if folder.endswith(name):
+            remove(staged.sparkSession, folder)
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go when their job is done, not when the driver collects its garbage:
+    for jobs that each write their result to a table."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def with_running_sums(

@@ -22,17 +22,16 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Iterator, Mapping
-from contextlib import contextmanager
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from numpy.lib.stride_tricks import sliding_window_view
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from murmullo.operators.ordered import stage, with_running_sums
+from murmullo.operators.ordered import shuffles_removed, stage, with_running_sums
 from murmullo.session import ship_package
 
 WINDOW = 5
@@ -563,19 +562,6 @@ def _part(parts: int) -> Column:
     return F.pmod("key", F.lit(parts)).cast("int").alias("part")
 
 
-@contextmanager
-def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files go when their job is done, not when the driver collects its garbage:
-    each of a training's jobs writes its result to a table."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, "false")
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def fit_skipgram(
     lists: DataFrame, vector_size: int = 50, min_count: int = 1, seed: int = 42,
     max_iter: int = 1, num_partitions: int = 2,
@@ -586,7 +572,7 @@ def fit_skipgram(
     larger than 4,194,304 words.
     """
     ship_package(lists.sparkSession)
-    with _shuffles_removed(lists.sparkSession):
+    with shuffles_removed(lists.sparkSession):
         return _fit(lists, vector_size, min_count, seed, max_iter, num_partitions)
 
 

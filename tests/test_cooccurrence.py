@@ -4,6 +4,7 @@ neighbours against those of Word2Vec."""
 import math
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -165,3 +166,32 @@ def test_factors_where_few_words_are_sent_to_all_tasks(spark, texts, monkeypatch
     got = np.array([vectors[a] for a in names])
     values, turn = np.linalg.eigh(dense)
     assert np.linalg.norm(got @ got.T - (turn * np.abs(values)) @ turn.T) < 1e-6 * np.linalg.norm(dense)
+
+
+def test_chunks_keep_their_pairs(spark):
+    """Packed, dealt by classes and read again, pairs are the same; any ids and values will do."""
+    rng = np.random.default_rng(5)
+    a, b = rng.integers(-2 ** 63, 2 ** 63 - 1, (2, 500))
+    n = rng.integers(1, 2 ** 40, 500)
+    a[7], b[9] = b[7], a[8]
+    parts = [part for part in co._deal(co._chunk_of(a, b, n), 4)]
+    assert len(parts) == 10
+    found = [c for part in parts for c in co._chunks(iter([part]), np.int64)]
+    assert all(len(np.unique(c.ids)) == len(c.ids) == len(np.unique(np.concatenate(c.sides()))) for c in found)
+    pairs = {(int(c.ids[x]), int(c.ids[y]), int(v)) for c in found for x, y, v in zip(*c.sides(), c.values)}
+    assert pairs == set(zip(a.tolist(), b.tolist(), n.tolist()))
+
+
+def test_tables_of_factors_take_little_room(spark):
+    """Each pair is written packed and once, not as rows in both directions, and vectors that
+    are no longer read do not stay."""
+    rng = random.Random(4)
+    texts = [[f"w{int(rng.paretovariate(0.3)) % 20000}" for _ in range(100)] for _ in range(1500)]
+    root = Path(spark.conf.get("spark.checkpoint.dir"))
+    size = lambda: sum(p.stat().st_size for p in root.rglob("*.parquet"))
+    before = size()
+    vectors = co.word_vectors(frame(spark, texts))
+    written = size() - before
+    words = len({w for t in texts for w in t})
+    assert vectors.count() == words
+    assert written < 700 * words, written / words
