@@ -720,24 +720,61 @@ def word_vectors(
     return vectors.join(words, "id").select("word", "vector")
 
 
+def _beside(chunks: DataFrame, keys: Sequence[int]) -> DataFrame:
+    """A row for each word beside a key term, with its value in the rows of all key terms."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in _chunks(batches, np.float64):
+            a, b = chunk.sides()
+            for i, key in enumerate(keys):
+                place = int(_place(chunk.ids, np.array([key]))[0])
+                if place == len(chunk.ids) or chunk.ids[place] != key:
+                    continue
+                one, other = a == place, (b == place) & (a != b)
+                ids = chunk.ids[np.concatenate([b[one], a[other]])]
+                yield from _in_rows(
+                    [ids, np.full(len(ids), i, np.int32), np.concatenate([chunk.values[one], chunk.values[other]])],
+                    ["id", "key", "value"])
+
+    found = chunks.mapInArrow(find, "id bigint, key int, value double")
+    return found.groupBy("id").agg(
+        *[F.sum(F.when(F.col("key") == i, F.col("value"))).alias(f"_k{i}") for i in range(len(keys))])
+
+
 def nearest_rows(matrix: DataFrame, words: DataFrame, terms: Sequence[str], k: int = 5) -> DataFrame:
-    """The ``k`` words whose rows of the matrix have the highest cosine with that of each
-    key term: exact, for a few terms, without factors."""
-    # The matrix is read twice, and what makes it is long.
-    matrix = stage(matrix.select("a", "b", "value"), "nearest-matrix")
-    words = stage(words.select("id", "word"), "nearest-words")
+    """The ``k`` words whose rows of the symmetric matrix have the highest cosine with that of
+    each key term: exact, for a few terms, without factors."""
+    # The matrix is read twice, and what makes it is long. Half of it is kept: the other is the same.
+    with shuffles_removed(matrix.sparkSession):
+        matrix = stage(_pack(matrix.filter("a <= b"), "value", np.float64), "nearest-matrix")
+        words = stage(words.select("id", "word"), "nearest-words")
     keys = words.filter(F.col("word").isin(list(terms))).orderBy("word").collect()
     if not keys:
         return words.limit(0).select(
             F.lit("").alias("palabra_clave"), F.col("word").alias("palabra_similar"), F.lit(0.0).alias("similitud"))
-    # A row for each word beside a key term, with its value in the rows of all key terms.
-    beside = matrix.filter(F.col("a").isin([k.id for k in keys])).groupBy("b").agg(
-        *[F.sum(F.when(F.col("a") == k.id, F.col("value"))).alias(f"_k{i}") for i, k in enumerate(keys)])
-    v = F.col("value")
-    sums = stage(matrix.join(beside.hint("shuffle_hash"), "b", "left").groupBy("a").agg(
-        F.sqrt(F.sum(v * v)).alias("_norm"), *[F.sum(v * F.col(f"_k{i}")).alias(f"_dot{i}") for i in range(len(keys))]
-    ), "nearest-sums")
-    norms = {r.a: r["_norm"] for r in sums.filter(F.col("a").isin([k.id for k in keys])).collect()}
+    ids, many = [k.id for k in keys], matrix.agg(F.sum("many")).first()[0] or 0
+
+    def multiplied(chunk: _Chunk, table: np.ndarray) -> Iterator[pa.RecordBatch]:
+        a, b = chunk.sides()
+        both, v, size = a != b, chunk.values, len(chunk.ids)
+        squares = np.bincount(a, v * v, size) + np.bincount(b[both], (v * v)[both], size)
+        columns = [pa.array(chunk.ids), pa.array(squares)]
+        for row in table:
+            there = ~np.isnan(row)
+            row = np.where(there, row, 0)
+            dot = np.bincount(a, v * row[b], size) + np.bincount(b[both], (v * row[a])[both], size)
+            met = np.bincount(a, there[b], size) + np.bincount(b[both], there[a][both], size)
+            columns.append(pa.array(dot, mask=met == 0))
+        yield pa.RecordBatch.from_arrays(columns, names=["a", "_squares", *dots])
+
+    dots = [f"_dot{i}" for i in range(len(keys))]
+    schema = ", ".join(["a bigint", *[f"{c} double" for c in ["_squares", *dots]]])
+    with shuffles_removed(matrix.sparkSession):
+        found = _in_blocks(
+            matrix, _beside(matrix, ids), _classes(many), np.float64, len(keys), multiplied, schema)
+        sums = stage(found.groupBy("a").agg(
+            F.sqrt(F.sum("_squares")).alias("_norm"), *[F.sum(c).alias(c) for c in dots]), "nearest-sums")
+    norms = {r.a: r["_norm"] for r in sums.filter(F.col("a").isin(ids)).collect()}
     entries = F.array(*[
         F.struct(F.lit(k.word).alias("palabra_clave"), F.lit(k.id).alias("_key"), F.col(f"_dot{i}").alias("_dot"),
                  F.lit(norms[k.id]).alias("_key_norm"))

@@ -195,3 +195,16 @@ def test_tables_of_factors_take_little_room(spark):
     words = len({w for t in texts for w in t})
     assert vectors.count() == words
     assert written < 700 * words, written / words
+
+
+def test_a_matrix_of_neighbours_is_kept_once_and_packed(spark, monkeypatch):
+    rng = random.Random(6)
+    texts = [[f"w{int(rng.paretovariate(0.4)) % 5000}" for _ in range(100)] for _ in range(400)]
+    _, matrix, words = matrix_of(spark, frame(spark, texts))
+    table = spark.createDataFrame(list(words.items()), "id bigint, word string")
+    written, plain = [], co.stage
+    monkeypatch.setattr(co, "stage", lambda df, purpose: written.append((purpose, plain(df, purpose))) or written[-1][1])
+    assert co.nearest_rows(matrix, table, ["w1", "w30"], 3).count() == 6
+    kept = dict(written)["nearest-matrix"]
+    assert kept.count() <= 20
+    assert kept.agg(F.sum("many")).first()[0] == matrix.filter("a <= b").count() < matrix.count() * 0.6
