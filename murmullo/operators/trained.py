@@ -106,8 +106,8 @@ def fit_labels(
     rows = labelled.filter(has_text(F.col(text))).select(
         F.col(text).alias("_text"), part_of(F.col(text)).alias("_part"),
         F.array(*[c.cast("double") for c in cases]).alias("_y"))
-    # Texts are cut and hashed once: the weights are found from the stored terms, and each
-    # model reads the stored features twice.
+    # Texts are cut and hashed once: the weights are found from the stored terms, and the
+    # models start from the stored features.
     terms = PipelineModel(stages=[
         Tokenizer(inputCol="_text", outputCol="_tok"),
         HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=features),
@@ -117,7 +117,8 @@ def fit_labels(
     weights = IDF(inputCol="_tf", outputCol="_f").fit(counted.filter(trains))
     fitted = PipelineModel(stages=[*terms.stages, weights])
     table = stage(weights.transform(counted).select("_f", "_part", "_y"), "trained-features")
-    known = table.filter(trains)
+    # Every model reads them twice: from memory, as far as there is room, not from the files.
+    known = table.filter(trains).select("_f", "_y").persist()
 
     def model(i: int, label: Column, family: str) -> LogisticRegressionModel:
         return LogisticRegression(
@@ -126,14 +127,17 @@ def fit_labels(
             maxBlockSizeInMB=_BLOCK_MB[family],
         ).fit(known.select("_f", label.alias("_label")))
 
-    if exclusive:
-        place = F.array_position("_y", F.lit(1.0)) - 1
-        models = [model(0, place.cast("double"), "multinomial")]
-        # A class that no text of the training part has would be missing at the end.
-        if models[0].numClasses < len(names):
-            raise ValueError(f"no text to train on is {names[-1]}")
-    else:
-        models = [model(i, F.get("_y", F.lit(i)), "binomial") for i in range(len(names))]
+    try:
+        if exclusive:
+            place = F.array_position("_y", F.lit(1.0)) - 1
+            models = [model(0, place.cast("double"), "multinomial")]
+            # A class that no text of the training part has would be missing at the end.
+            if models[0].numClasses < len(names):
+                raise ValueError(f"no text to train on is {names[-1]}")
+        else:
+            models = [model(i, F.get("_y", F.lit(i)), "binomial") for i in range(len(names))]
+    finally:
+        known.unpersist()
     plain = TrainedScorer(fitted, models, names, exclusive)
     curves = _curves(plain, table)
     ready = TrainedScorer(fitted, models, names, exclusive, curves)

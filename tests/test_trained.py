@@ -108,6 +108,17 @@ def test_texts_are_hashed_once(texts, monkeypatch):
     assert scorer(texts.limit(3), "comentario_limpio", "p").count() == 3
 
 
+def test_models_read_their_features_from_memory(spark, texts, monkeypatch):
+    """The files are read for the first model; when all are trained, nothing stays in memory."""
+    plans, fit = [], trained.LogisticRegression.fit
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    monkeypatch.setattr(trained.LogisticRegression, "fit", lambda self, df: plans.append(
+        df._jdf.queryExecution().executedPlan().toString()) or fit(self, df))
+    trained.fit_labels(texts, {x: says(SIGNS[x]) for x in ("CALLS", "WOMEN")}, max_iter=2)
+    assert len(plans) == 2 and all("InMemoryTableScan" in plan for plan in plans)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == held
+
+
 def test_words_of_all_labels_are_looked_up_once(spark):
     lexicon = {"A": ["x", "y z"], "B": ["w"], "C": ["x", "w", ""]}
     rows = [(t,) for t in ("x", "w x w", "xw", "", "y z", "q  r", None)]
