@@ -21,7 +21,8 @@ def stage(df: DataFrame, purpose: str, by: Sequence[str] = ()) -> DataFrame:
     """
     path = work_dir(df.sparkSession, purpose)
     df.write.option("compression", "zstd").partitionBy(*by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    return found.select(*df.columns) if by else found  # columns of folders come last
 
 
 def discard(staged: DataFrame, name: str = "") -> None:
